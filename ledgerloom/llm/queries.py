@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import line_dedup
+from . import line_dedup, quality_rules
 
 QUERIES = {
     "op1_line_dedup": line_dedup.query,
+    "op4_quality_rules": quality_rules.query,
 }
 
 ORACLES = {
     "op1_line_dedup": line_dedup.ORACLE,
+    "op4_quality_rules": quality_rules.ORACLE,
 }
