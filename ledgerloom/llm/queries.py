@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from . import line_dedup, quality_rules
+from . import line_dedup, quality_rules, url_filters
 
 QUERIES = {
     "op1_line_dedup": line_dedup.query,
     "op4_quality_rules": quality_rules.query,
+    "op5_url_filters": url_filters.query,
 }
 
 ORACLES = {
     "op1_line_dedup": line_dedup.ORACLE,
     "op4_quality_rules": quality_rules.ORACLE,
+    "op5_url_filters": url_filters.ORACLE,
 }
