@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import line_dedup, quality_rules, url_filters
+from . import line_dedup, packing, quality_rules, token_files, url_filters
 
 QUERIES = {
     "op1_line_dedup": line_dedup.query,
     "op4_quality_rules": quality_rules.query,
     "op5_url_filters": url_filters.query,
+    "op8_token_files": token_files.query,
+    "op9_packing": packing.query,
 }
 
 ORACLES = {
