@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import line_dedup, packing, quality_rules, token_files, url_filters
+from . import line_dedup, packing, piece_codec, quality_rules, token_files, url_filters
 
 QUERIES = {
     "op1_line_dedup": line_dedup.query,
+    "op3_piece_codec": piece_codec.query,
     "op4_quality_rules": quality_rules.query,
     "op5_url_filters": url_filters.query,
     "op8_token_files": token_files.query,
