@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import line_dedup, packing, piece_codec, quality_rules, token_files, url_filters
+from . import line_dedup, packing, piece_codec, quality_rules, substring_dedup, token_files, url_filters
 
 QUERIES = {
     "op1_line_dedup": line_dedup.query,
     "op3_piece_codec": piece_codec.query,
     "op4_quality_rules": quality_rules.query,
     "op5_url_filters": url_filters.query,
+    "op6_substring_dedup": substring_dedup.query,
     "op8_token_files": token_files.query,
     "op9_packing": packing.query,
 }
@@ -17,4 +18,5 @@ ORACLES = {
     "op1_line_dedup": line_dedup.ORACLE,
     "op4_quality_rules": quality_rules.ORACLE,
     "op5_url_filters": url_filters.ORACLE,
+    "op6_substring_dedup": substring_dedup.ORACLE,
 }
