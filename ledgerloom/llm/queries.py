@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import line_dedup, packing, piece_codec, quality_rules, substring_dedup, token_files, url_filters
+from . import chosen_path, line_dedup, packing, piece_codec, quality_rules, substring_dedup, token_files, url_filters
 
 QUERIES = {
     "op1_line_dedup": line_dedup.query,
@@ -12,6 +12,7 @@ QUERIES = {
     "op6_substring_dedup": substring_dedup.query,
     "op8_token_files": token_files.query,
     "op9_packing": packing.query,
+    "op10_chosen_path_join": chosen_path.query,
 }
 
 ORACLES = {
