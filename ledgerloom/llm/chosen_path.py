@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from .common import ready, stash, text_of
 from .components import components
-from .substring_dedup import text_slices
+from .tokens import text_slices
 from .wordhash import Words, mix
 
 SHINGLE, THRESHOLD, RECALL = 5, Fraction(4, 5), 0.99999

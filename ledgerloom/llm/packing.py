@@ -19,7 +19,7 @@ from pyspark.sql.window import Window
 
 from .bin_completion import Pattern, pack_counts
 from .common import ready, stash, text_of
-from .tokens import encoder, slices
+from .tokens import encoder, text_slices
 
 #: Pieces of one length in one counting cell, about.
 CELL = 20_000
@@ -33,21 +33,21 @@ def cut_lengths(n: int, capacity: int) -> list[int]:
 def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = 2048, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """`doc_id, piece, start, length, ids_crc32` [and `ids`] for every piece of every document. Null text: empty."""
     ready(docs.sparkSession)
-    end = np.array([end_id], dtype="<u4").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
-        for rows, texts in slices(batches, "_text"):
-            out: dict[str, list] = defaultdict(list)
-            for key, blob in zip(rows.column("_id").to_pylist(), enc.encode(texts), strict=True):
-                blob += end
+        for rows in text_slices(batches, "_text"):
+            ids, at = enc.encode(rows.column("_text"))
+            ids, at = np.insert(ids, at[1:], end_id), (at + np.arange(len(at))).tolist()
+            raw = memoryview(np.ascontiguousarray(ids, dtype="<u4")).cast("B")
+            out: dict[str, list] = {n: [] for n in ("doc_id", "piece", "start", "length", "ids_crc32", *(["ids"] if with_ids else []))}
+            for key, a, b in zip(rows.column("_id").to_pylist(), at[:-1], at[1:], strict=True):
                 start = 0
-                for i, n in enumerate(cut_lengths(len(blob) // 4, capacity)):
-                    part = blob[4 * start : 4 * (start + n)]
-                    for name, value in (("doc_id", key), ("piece", i), ("start", start), ("length", n), ("ids_crc32", zlib.crc32(part))):
+                for i, n in enumerate(cut_lengths(b - a, capacity)):
+                    for name, value in (("doc_id", key), ("piece", i), ("start", start), ("length", n), ("ids_crc32", zlib.crc32(raw[4 * (a + start) : 4 * (a + start + n)]))):
                         out[name].append(value)
                     if with_ids:
-                        out["ids"].append(np.frombuffer(part, dtype="<i4"))
+                        out["ids"].append(ids[a + start : a + start + n].view("<i4"))
                     start += n
             kinds = {"piece": pa.int32(), "ids": pa.list_(pa.int32())}
             yield pa.RecordBatch.from_arrays([pa.array(v, kinds.get(k, pa.int64())) for k, v in out.items()], names=list(out))

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from .common import ready, text_of
 from .merge_agenda import SPACE, MergeTable
-from .tokens import slices
+from .tokens import text_slices
 
 #: Chunks remembered by one worker: half of them recent, half of the time before.
 CACHE_CHUNKS = 500_000
@@ -91,7 +91,8 @@ def encode_pieces(docs: DataFrame, model: str, id_col: str = "doc_id", text_col:
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(model)
-        for rows, texts in slices(batches, "_text", chars=2_000_000):
+        for rows in text_slices(batches, "_text", 2 << 20):
+            texts = rows.column("_text").to_pylist()
             n, ids_sha, text_sha, differing, ids, decoded = [], [], [], [], [], []
             for entries in c.encode(texts):
                 line = list(chain.from_iterable([e[1] for e in entries]))

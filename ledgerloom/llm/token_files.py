@@ -17,8 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import ready, scratch, text_of
-from .tokens import encoder, slices
+from .common import ready, scratch, stash, text_of
+from .tokens import encoder, text_slices
 
 SCHEMA = "doc_id long, n_tokens long, local_start long, part int, ids array<int>"
 #: Parquet settings of the files: row groups of 32 MB, pages of 256 KB and at most 2,000 rows with an index entry each.
@@ -42,23 +42,22 @@ def token_lists(docs: DataFrame, tokenizer: str, end_id: int | None, id_col: str
     Null text: empty. Null ids come first. Repeated rows stay.
     """
     ready(docs.sparkSession)
-    end = b"" if end_id is None else np.array([end_id], dtype="<u4").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         enc, part, start = encoder(tokenizer), TaskContext.get().partitionId(), 0
-        for rows, texts in slices(batches, "_text"):
-            blobs = [b + end for b in enc.encode(texts)]
-            n = np.fromiter(map(len, blobs), dtype=np.int64, count=len(blobs)) // 4
-            ends = np.cumsum(n)
-            values = pa.array(np.frombuffer(b"".join(blobs), dtype="<i4"))
-            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), values)
+        for rows in text_slices(batches, "_text"):
+            ids, at = enc.encode(rows.column("_text"))
+            if end_id is not None:
+                ids, at = np.insert(ids, at[1:], end_id), at + np.arange(len(at))
+            n = np.diff(at)
+            lists = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids.view("<i4")))
             yield pa.RecordBatch.from_arrays(
-                [rows.column("_id"), pa.array(n), pa.array(start + ends - n), pa.array(np.full(len(n), part, dtype=np.int32)), lists],
+                [rows.column("_id"), pa.array(n, pa.int64()), pa.array(start + at[:-1], pa.int64()), pa.array(np.full(len(n), part, dtype=np.int32)), lists],
                 names=["doc_id", "n_tokens", "local_start", "part", "ids"],
             )
-            start += int(ends[-1])
+            start += int(at[-1])
 
     keyed = docs.select(F.col(f"`{id_col}`").cast("long").alias("_id"), text_of(text_col).alias("_text")).withColumn("_h", F.xxhash64("_text"))
     dealt = keyed.repartitionByRange("_id", "_h").sortWithinPartitions("_id", "_h", "_text")
@@ -84,7 +83,7 @@ def read_tokens(spark, path: str) -> DataFrame:
 
 def _placed(rows: DataFrame, files: DataFrame) -> DataFrame:
     sums = files.groupBy(F.col("part").alias("_part")).agg(F.sum("n_tokens").alias("_n"))
-    base = sums.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_base"))
+    base = stash(sums.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_base")), "places")  # its size is known when the join is planned
     return rows.join(base, F.col("part") == F.col("_part")).withColumn("start", F.col("_base") + F.col("local_start"))
 
 

@@ -1,24 +1,29 @@
 """Whole-text token ids from the tokenizers library, with a bounded cache of text chunks in each Python worker.
 
-A text is cut only where the tokenizers cut it anyway: before a single space that stands between two characters
-other than white space. So the ids of a text are the ids of its chunks, joined, and a chunk met before costs one
-dictionary look-up. Texts where a space touches other white space take a slower, equally exact way of cutting.
+A text is cut only where the tokenizers cut it anyway: around a single line feed, and before a single space, that
+stands between two characters other than white space. So the ids of a text are the ids of its chunks, joined. Arrow
+cuts a slice of texts and numbers its distinct chunks; only those are looked up, and only chunks that the worker
+doesn't remember are encoded. A word with one mark after it is learned from its two parts. Texts where white space
+touches white space take a slower, equally exact way of cutting.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Chunks remembered by one worker: half of them recent, half of the time before.
-CACHE_CHUNKS = 1_400_000
+CACHE_CHUNKS = 1_000_000
 #: White space to any of the regex engines involved: at these characters a text isn't cut.
 _GAP = r"\s\x1c-\x1f\u180e\u200b\u2060\ufeff"
 _CUT = re.compile(rf"(?<=[^{_GAP}]) (?=[^{_GAP}])")
-_EDGE = re.compile(rf"^$|^[{_GAP}]|[{_GAP}]$")
+_GAPS = frozenset(c for c in map(chr, range(0xD800)) if re.match(f"[{_GAP}]", c)) | {"\ufeff"}
+#: A word of letters that every engine takes for letters, and one mark.
+_MARKED = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?])")
 #: What may stand between chunks that are encoded together, if the tokenizer makes one id of it, and how many are.
 _SEPARATORS, _TOGETHER = ("\t", " 7"), 400
 
@@ -32,54 +37,91 @@ class ChunkEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.limit = limit
-        self.head: dict[str, bytes] = {}
-        self.tail: dict[str, bytes] = {}
+        self.ids: dict[str, bytes] = {}  # a chunk after a space, or after a line feed that it begins with
         self.old: dict[str, bytes] = {}
+        self.feed = self._one("\n")
         self.sep, self.sep_id = next(((s, one[0]) for s in _SEPARATORS if len(one := self._ids(s)) == 1 and self._ids(f"{s} ab{s} c.") == one + self._ids(" ab") + one + self._ids(" c.")), ("", -1))
+        self.marks = {m: self._one(m) for m in ".,;:!?" if self._one(f" ab{m}") == self._one(" ab") + self._one(m)}
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
+    def _one(self, text: str) -> bytes:
+        return np.array(self._ids(text), dtype="<u4").tobytes()
+
+    def _each(self, chunks: list[str]) -> None:
+        for c, e in zip(chunks, self.tokenizer.encode_batch_fast([c[1:] if c[0] == "\n" else f" {c}" for c in chunks], add_special_tokens=False), strict=True):
+            self.ids[c] = (self.feed if c[0] == "\n" else b"") + np.array(e.ids, dtype="<u4").tobytes()
+
     def _learn(self, chunks: set[str]) -> None:
-        """Chunks for the tail. Many are encoded as one text, with a separator that none of them holds."""
-        mark = self.sep.strip(" ")
-        joint = [c for c in chunks if mark and mark not in c]
-        single = [c for c in chunks if not mark or mark in c]
+        """Many chunks are encoded as one text, with a separator that none of them holds."""
+        marked = [(c, m[1], self.marks[m[2]]) for c in chunks if c[-1] in self.marks and (m := _MARKED.fullmatch(c))]
+        chunks = chunks.difference([c for c, _, _ in marked]).union([b for _, b, _ in marked if b not in self.ids])
+        sign = self.sep.strip(" ")
+        joint = [c for c in chunks if sign and sign not in c and c[0] != "\n"]
+        single = [c for c in chunks if not sign or sign in c or c[0] == "\n"]
         blocks = [joint[i : i + _TOGETHER] for i in range(0, len(joint), _TOGETHER)]
-        for block, e in zip(blocks, self.tokenizer.encode_batch_fast(["".join(f"{self.sep} {c}" for c in b) for b in blocks], add_special_tokens=False), strict=True):
+        for block, e in zip(blocks, self.tokenizer.encode_batch_fast(["".join([f"{self.sep} {c}" for c in b]) for b in blocks], add_special_tokens=False), strict=True):
             ids = np.array(e.ids, dtype="<u4")
             at = np.flatnonzero(ids == self.sep_id)
             if len(at) != len(block):  # the separator's id within a chunk: these go one by one
                 single += block
                 continue
-            raw, ends = ids.tobytes(), [*at[1:].tolist(), len(ids)]
-            self.tail.update((c, raw[4 * a + 4 : 4 * b]) for c, a, b in zip(block, at.tolist(), ends, strict=True))
-        for c, e in zip(single, self.tokenizer.encode_batch_fast([f" {c}" for c in single], add_special_tokens=False), strict=True):
-            self.tail[c] = np.array(e.ids, dtype="<u4").tobytes()
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.tail) > self.limit // 2:
-            self.old, self.tail = self.tail, {}
-        if len(self.head) > self.limit // 20:
-            self.head = {}
-        cut, heads, tails = [], set(), set()
-        for t in texts:
-            first, *rest = words = t.split(" ")
-            new = [w for w in rest if w not in self.tail]
-            if _EDGE.search(first) or any(map(_EDGE.search, new)):
-                first, *rest = words = _CUT.split(t)
-                new = [w for w in rest if w not in self.tail]
-            heads.add(first)
-            tails.update(new)
-            cut.append(words)
-        heads = sorted(heads.difference(self.head))
-        for c, e in zip(heads, self.tokenizer.encode_batch_fast(heads, add_special_tokens=False), strict=True):
-            self.head[c] = np.array(e.ids, dtype="<u4").tobytes()
-        again = [w for w in tails if w in self.old]
-        self.tail.update(zip(again, map(self.old.__getitem__, again), strict=True))
-        self._learn(tails.difference(again))
-        head, tail = self.head, self.tail.__getitem__
-        return [head[w[0]] + b"".join(map(tail, w[1:])) for w in cut]
+            raw, starts = ids.tobytes(), (4 * at).tolist()
+            self.ids.update([(c, raw[a + 4 : b]) for c, a, b in zip(block, starts, [*starts[1:], len(raw)], strict=True)])
+        self._each(single)
+        self.ids.update([(c, self.ids[b] + m) for c, b, m in marked])
+
+    def _slowly(self, texts: list[str]) -> list[bytes]:
+        """Texts with unusual white space, cut before spaces alone; nothing of them is remembered."""
+        cut = [_CUT.split(t) for t in texts]
+        flat = [w if not i else f" {w}" for words in cut for i, w in enumerate(words)]
+        ids = [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(flat, add_special_tokens=False)]
+        ends = np.cumsum([len(words) for words in cut]).tolist()
+        return [b"".join(ids[a:b]) for a, b in zip([0, *ends], ends, strict=False)]
+
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts of a string column without nulls, and where each text's begin (with the end)."""
+        if len(self.ids) > self.limit // 2:
+            self.old, self.ids = self.ids, {}
+        marked = pc.replace_substring(pc.binary_join_element_wise("\n", column, ""), "\n", " \n")
+        cut = pc.split_pattern(marked, " ")
+        first = np.asarray(cut.offsets, dtype=np.int64)
+        numbered = cut.values.dictionary_encode()
+        word, chunks = np.array(numbered.indices)[first[0] :], numbered.dictionary.to_pylist()
+        first = first - first[0]
+        word[first[:-1]] = len(chunks)  # before the line feed that was added
+        get, old = self.ids.get, self.old.get
+        found = list(map(get, chunks))
+        missing = [c for c, f in zip(chunks, found, strict=True) if f is None]
+        odd = set()
+        if missing:
+            again = [(c, v) for c in missing if (v := old(c)) is not None]
+            self.ids.update(again)
+            odd = {c for c in missing if not c or c[-1] in _GAPS or c[c[0] == "\n"] in _GAPS}
+            self._learn(set(missing).difference([c for c, _ in again], odd))
+            found = [get(c) or (self.feed if c[:1] == "\n" else b"") if f is None else f for c, f in zip(chunks, found, strict=True)]
+        found.append(b"")
+        size = np.fromiter(map(len, found), dtype=np.int32, count=len(found)) // 4
+        flat = np.frombuffer(b"".join(found), dtype="<u4")
+        each = size[word]
+        ends = np.cumsum(each)
+        shift = ((np.cumsum(size) - size)[word] - ends + each).astype(np.int32)
+        ids = flat[np.arange(ends[-1] if len(ends) else 0, dtype=np.int32) + np.repeat(shift, each)]
+        starts = np.r_[0, ends][first]
+        skip = len(self.feed) // 4
+        if skip:
+            ids = np.delete(ids, (starts[:-1, None] + np.arange(skip)).ravel())
+            starts = starts - skip * np.arange(len(starts))
+        if odd:
+            strange = np.array([c in odd for c in chunks] + [False])[word]
+            strange[first[:-1]] = False
+            which = np.flatnonzero(np.add.reduceat(strange, first[:-1]) > 0)
+            parts = [ids[a:b] for a, b in zip(starts[:-1], starts[1:], strict=True)]
+            for k, blob in zip(which.tolist(), self._slowly([column[k].as_py() for k in which.tolist()]), strict=True):
+                parts[k] = np.frombuffer(blob, dtype="<u4")
+            ids, starts = np.concatenate(parts), np.r_[0, np.cumsum([len(p) for p in parts])]
+        return ids, starts
 
 
 _encoders: dict[str, ChunkEncoder] = {}
@@ -96,17 +138,14 @@ def encoder(path: str) -> ChunkEncoder:
     return _encoders[path]
 
 
-def slices(batches: Iterable[pa.RecordBatch], column: str, chars: int = 4_000_000) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Cuts Arrow batches so that a slice holds about so many characters, or one text; null texts become empty."""
+def text_slices(batches: Iterator[pa.RecordBatch], column: str, size: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """Arrow batches cut into slices with about so many bytes of text in the column, or one row."""
     for batch in batches:
-        start, held, texts = 0, 0, []
         col = batch.column(column)
-        for i in range(batch.num_rows):
-            t = col[i].as_py() or ""
-            if texts and held + len(t) > chars:
-                yield batch.slice(start, i - start), texts
-                start, held, texts = i, 0, []
-            texts.append(t)
-            held += len(t)
-        if texts:
-            yield batch.slice(start), texts
+        wide = pa.types.is_large_string(col.type)
+        offsets = np.frombuffer(col.buffers()[1], dtype=np.int64 if wide else np.int32)[col.offset : col.offset + len(col) + 1].astype(np.int64)
+        i = 0
+        while i < batch.num_rows:
+            j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + size, side="right")) - 1)
+            yield batch.slice(i, j - i)
+            i = j
