@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from . import chosen_path, line_dedup, packing, piece_codec, quality_rules, substring_dedup, token_files, url_filters
+from . import chosen_path, language_id, line_dedup, media, packing, piece_codec, quality_rules, substring_dedup, token_files, url_filters
 
 QUERIES = {
     "op1_line_dedup": line_dedup.query,
+    "op2_language_id": language_id.query,
     "op3_piece_codec": piece_codec.query,
     "op4_quality_rules": quality_rules.query,
     "op5_url_filters": url_filters.query,
     "op6_substring_dedup": substring_dedup.query,
+    "op7_media_columns": media.query,
     "op8_token_files": token_files.query,
     "op9_packing": packing.query,
     "op10_chosen_path_join": chosen_path.query,
