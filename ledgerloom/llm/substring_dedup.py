@@ -19,7 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import ready, stash, text_of
-from .wordhash import Words
+from .tokens import text_slices
+from .wordhash import Words, mix
 
 WINDOW = 20
 #: Bytes of text whose windows are sorted together in a worker, and bytes of source data for one range of hashes.
@@ -27,26 +28,6 @@ SLICE, RANGE_BYTES = 8 << 20, 8 << 20
 _DOC = np.dtype([("id", "<i8"), ("sum", "<u4"), ("n", "<u4")])
 
 
-def text_slices(batches: Iterator[pa.RecordBatch], column: str, size: int = SLICE) -> Iterator[pa.RecordBatch]:
-    """Slices with about so many bytes of text, or one row."""
-    for batch in batches:
-        col = batch.column(column)
-        wide = pa.types.is_large_string(col.type)
-        offsets = np.frombuffer(col.buffers()[1], dtype=np.int64 if wide else np.int32)[col.offset : col.offset + len(col) + 1].astype(np.int64)
-        i = 0
-        while i < batch.num_rows:
-            j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + size, side="right")) - 1)
-            yield batch.slice(i, j - i)
-            i = j
-
-
-def _positions(pos: np.ndarray) -> tuple[bytes, bytes]:
-    """Ascending positions of one document as steps of one byte, longer steps aside."""
-    steps = np.diff(pos, prepend=0)
-    small = np.minimum(steps, 255).astype(np.uint8)
-    return small.tobytes(), steps[steps >= 255].astype("<u4").tobytes()
-
-
 def pack_entries(ids: np.ndarray, sums: np.ndarray, row: np.ndarray, pos: np.ndarray, hashes: np.ndarray) -> bytes:
     """Windows of one hash range, in order of (row, pos): a table of documents, steps between positions, hashes."""
     starts = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
@@ -96,73 +77,102 @@ def later_ones(ids: np.ndarray, pos: np.ndarray, hashes: np.ndarray) -> tuple[np
     return later, ~later
 
 
-def _removals(ids: np.ndarray, sums: np.ndarray, pos: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
-    """Positions by document."""
+def pack_removals(ids: np.ndarray, sums: np.ndarray, pos: np.ndarray) -> bytes:
+    """First words of windows to remove, by document: a table of documents and their positions."""
     order = np.lexsort((pos, sums, ids))
     ids, sums, pos = ids[order], sums[order], pos[order]
-    starts = np.flatnonzero(np.r_[True, (ids[1:] != ids[:-1]) | (sums[1:] != sums[:-1])]) if len(ids) else []
-    for a, b in zip(starts, [*starts[1:], len(ids)], strict=True):
-        yield int(ids[a]), int(sums[a]), pos[a:b]
+    starts = np.flatnonzero(np.r_[True, (ids[1:] != ids[:-1]) | (sums[1:] != sums[:-1])])
+    docs = np.empty(len(starts), dtype=_DOC)
+    docs["id"], docs["sum"], docs["n"] = ids[starts], sums[starts], np.diff(np.r_[starts, len(ids)])
+    return np.array([len(docs), len(pos)], dtype="<u4").tobytes() + docs.tobytes() + pos.astype("<u4").tobytes()
+
+
+def unpack_removals(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    n_docs, n = np.frombuffer(blob, "<u4", 2)
+    docs = np.frombuffer(blob, _DOC, n_docs, 8)
+    return np.repeat(docs["id"], docs["n"]), np.repeat(docs["sum"], docs["n"]), np.frombuffer(blob, "<u4", n, 8 + docs.nbytes)
 
 
-def _out(rows: list[tuple[int, int, np.ndarray]]) -> pa.RecordBatch:
-    lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum([len(r[2]) for r in rows])].astype(np.int32)), pa.array(np.concatenate([r[2] for r in rows]).astype(np.int32)))
-    return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), lists], names=["_id", "_sum", "_pos"])
+def _runs(keys: np.ndarray) -> list[tuple[int, int]]:
+    """Where equal keys begin and end."""
+    starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]).tolist() if len(keys) else []
+    return list(zip(starts, [*starts[1:], len(keys)], strict=False))
+
+
+def _by_home(ids: np.ndarray, sums: np.ndarray, pos: np.ndarray, homes: int) -> Iterator[tuple[int, bytes]]:
+    """Removals packed for the partition that gathers each document's."""
+    home = (mix(ids.view(np.uint64) ^ sums.astype(np.uint64) << np.uint64(32)) >> np.uint64(32)) * np.uint64(homes) >> np.uint64(32)
+    order = np.argsort(home, kind="stable")
+    for a, b in _runs(home[order]):
+        one = order[a:b]
+        yield int(home[one[0]]), pack_removals(ids[one], sums[one], pos[one])
+
+
+def _blobs(rows: list[tuple[int, bytes]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], names=["_range", "_blob"])
 
 
 def repeated_windows(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`_id, _sum, _pos`: first words of the windows that start earlier too; a document may have several rows.
+    """`_id, _sum, _pos`: first words of the windows that start earlier too, one row for a document that has any.
 
-    _sum (32 bits of a hash of the text) tells rows with one id apart.
+    _sum (32 bits of a hash of the text) tells rows with one id apart. Windows are dealt out by ranges of their
+    hash, what is found by home partitions of the documents; rows of both hold packed bytes, so their number
+    follows the partitions and slices. A task holds the windows of one range at a time.
     """
     spark = ready(docs.sparkSession)
     size = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(100_000, size // RANGE_BYTES))
 
     def count_here(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches, "_text"):
+        for batch in text_slices(batches, "_text", SLICE):
             ids, sums = batch.column("_id").to_numpy(), batch.column("_sum").to_numpy().astype(np.int64)
             hashes, row, pos = Words(batch.column("_text")).windows(window)
             later, rest = later_ones(ids[row], pos, hashes)
-            keys, blobs = [], []
+            known = np.flatnonzero(later)
+            out = [(home, b"r" + blob) for home, blob in _by_home(ids[row[known]], sums[row[known]], pos[known], ranges)]
             part = (hashes >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)
             at = np.flatnonzero(rest)
             at = at[np.argsort(part[at], kind="stable")]
-            cuts = np.flatnonzero(np.r_[True, part[at][1:] != part[at][:-1]]) if len(at) else []
-            for a, b in zip(cuts, [*cuts[1:], len(at)], strict=True):
+            for a, b in _runs(part[at]):
                 one = at[a:b]
-                keys.append(int(part[one[0]]))
-                blobs.append(b"e" + pack_entries(ids, sums, row[one], pos[one], hashes[one]))
-            known = np.flatnonzero(later)
-            for k, (key, s, where) in enumerate(_removals(ids[row[known]], sums[row[known]], pos[known])):
-                keys.append((key + k) % ranges)  # settled here: passes through any partition
-                blobs.append(b"r" + np.array([key, s], dtype="<i8").tobytes() + where.astype("<u4").tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int32()), pa.array(blobs, pa.binary())], names=["_range", "_blob"])
+                out.append((int(part[one[0]]), b"e" + pack_entries(ids, sums, row[one], pos[one], hashes[one])))
+            yield _blobs(out)
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = []
         for batch in batches:
             done = []
-            for blob in batch.column("_blob").to_pylist():
+            for own, blob in zip(batch.column("_range").to_pylist(), batch.column("_blob").to_pylist(), strict=True):
                 if blob[:1] == b"e":
                     held.append(unpack_entries(blob[1:]))
                 else:
-                    key, s = np.frombuffer(blob, "<i8", 2, 1)
-                    done.append((int(key), int(s), np.frombuffer(blob, "<u4", offset=17)))
+                    done.append((own, blob[1:]))  # its home has this partition's number
             if done:
-                yield _out(done)
+                yield _blobs(done)
         if held:
             ids, sums, pos, hashes = (np.concatenate(x) for x in zip(*held, strict=True))
             held.clear()
             later, _ = later_ones(ids, pos, hashes)
-            if later.any():
-                rows = list(_removals(ids[later], sums[later].astype(np.int64), pos[later]))
-                for i in range(0, len(rows), 50_000):
-                    yield _out(rows[i : i + 50_000])
+            yield _blobs(list(_by_home(ids[later], sums[later].astype(np.int64), pos[later], ranges)))
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [unpack_removals(blob) for batch in batches for blob in batch.column("_blob").to_pylist()]
+        if sum(len(h[0]) for h in held):
+            ids, sums, pos = (np.concatenate(x) for x in zip(*held, strict=True))
+            held.clear()
+            order = np.lexsort((pos, sums, ids))
+            ids, sums, pos = ids[order], sums[order].astype(np.int64), pos[order].astype(np.int32)
+            starts = np.flatnonzero(np.r_[True, (ids[1:] != ids[:-1]) | (sums[1:] != sums[:-1])])
+            ends = np.r_[starts[1:], len(ids)]
+            for i in range(0, len(starts), 5000):
+                a, b = starts[i : i + 5000], ends[i : i + 5000]
+                lists = pa.ListArray.from_arrays(pa.array((np.r_[a, b[-1]] - a[0]).astype(np.int32)), pa.array(pos[a[0] : b[-1]]))
+                yield pa.RecordBatch.from_arrays([pa.array(ids[a]), pa.array(sums[a]), lists], names=["_id", "_sum", "_pos"])
 
     keyed = docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(-(2**63))).alias("_id"), text_of(text_col).alias("_text")).withColumn("_sum", _text_sum("_text"))
-    dealt = keyed.mapInArrow(count_here, "_range int, _blob binary").repartitionById(ranges, F.col("_range"))
-    return dealt.mapInArrow(settle, "_id long, _sum long, _pos array<int>")
+    packed = "_range int, _blob binary"
+    found = keyed.mapInArrow(count_here, packed).repartitionById(ranges, F.col("_range")).mapInArrow(settle, packed)
+    return found.repartitionById(ranges, F.col("_range")).mapInArrow(gather, "_id long, _sum long, _pos array<int>")
 
 
 def _text_sum(column: str):
@@ -180,7 +190,8 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_i
     """`row` (the whole input row), `n_words`, `n_removed`, `kept_sha256`, `spans` (array of [from, to) word intervals) [and `kept`].
 
     Removed is every word in a window that also starts earlier: under a smaller id, or further up in the same
-    document. Windows are judged on the input. What is kept is joined by one space. Null or empty text: no words.
+    document. Windows are judged on the input. What is kept is joined by one space for kept_sha256; `kept` is the text
+    itself where nothing was removed. Null or empty text: no words.
     Texts shorter than a window lose nothing. Null id: before all others. Rows with one id and different texts
     count as one document whose positions may tie; identical rows are treated alike, and both stay.
     """
@@ -188,10 +199,9 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_i
     found = stash(repeated_windows(docs, window, id_col, text_col), "windows")
     gc.collect()
     spark.sparkContext._jvm.System.gc()  # lets Spark drop the shuffle of the windows before texts are dealt out
-    cuts = found.groupBy("_id", "_sum").agg(F.flatten(F.collect_list("_pos")).alias("_pos"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches, "_text"):
+        for batch in text_slices(batches, "_text", SLICE):
             n_words, n_removed, sha, spans, kept = [], [], [], [], []
             for text, pos in zip(batch.column("_text"), batch.column("_pos"), strict=True):
                 words = text.as_py().encode("utf-8", "surrogatepass").split()  # splits at ASCII white space only
@@ -209,7 +219,7 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_i
                 sha.append(hashlib.sha256(joined).hexdigest())
                 spans.append(gone)
                 if with_text:
-                    kept.append(joined.decode("utf-8", "surrogatepass"))
+                    kept.append(joined.decode("utf-8", "surrogatepass") if gone else text.as_py())
             arrays = [batch.column("row"), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(sha, pa.string()), pa.array(spans, pa.list_(pa.list_(pa.int32())))]
             names = ["row", "n_words", "n_removed", "kept_sha256", "spans"]
             yield pa.RecordBatch.from_arrays([*arrays, *([pa.array(kept, pa.string())] if with_text else [])], names=[*names, *(["kept"] if with_text else [])])
@@ -217,7 +227,7 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_i
     rest = [c for c in docs.columns if c != text_col]
     row = F.struct(*[F.col(f"`{c}`") for c in rest])
     texts = docs.select(row.alias("row"), F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(-(2**63))).alias("_key"), text_of(text_col).alias("_text")).withColumn("_own", _text_sum("_text"))
-    joined = texts.join(cuts, (F.col("_key") == F.col("_id")) & (F.col("_own") == F.col("_sum")), "left").select("row", "_text", "_pos")
+    joined = texts.join(found, (F.col("_key") == F.col("_id")) & (F.col("_own") == F.col("_sum")), "left").select("row", "_text", "_pos")
     kind = joined.schema["row"].dataType.simpleString()
     return joined.mapInArrow(cut, f"row {kind}, n_words long, n_removed long, kept_sha256 string, spans array<array<int>>" + (", kept string" if with_text else ""))
 
