@@ -45,8 +45,9 @@ class PieceCodec:
         self.old: dict[str, tuple[str, tuple[int, ...], bool]] = {}
 
     def _learn(self, chunks: list[str]) -> None:
-        own = self.table.encode_many([SPACE + c.replace(" ", SPACE) for c in chunks])
-        theirs = self.library.encode(chunks, num_threads=1)
+        texts = [c[1:] if c[:1] == " " else c for c in chunks]
+        own = self.table.encode_many([SPACE + c.replace(" ", SPACE) for c in texts])
+        theirs = self.library.encode(texts, num_threads=1)
         number = self.number.__getitem__
         for c, a, b in zip(chunks, own, theirs, strict=True):
             ids = a if a == b else b
@@ -60,7 +61,7 @@ class PieceCodec:
             words = t.split(" ") if t else []
             new = [w for w in words if w not in self.cache]
             if any(map(_EDGE.search, new)):
-                words = _CUT.split(t)
+                words = [f" {w}" if _EDGE.search(w) else w for w in _CUT.split(t)]  # keys that no word of another text has
                 new = [w for w in words if w not in self.cache]
             need.update(new)
             cut.append(words)
