@@ -264,3 +264,20 @@ def trailing_run(c: Column, test) -> Column:
     """The last elements of an array, as far back as test holds."""
     n = F.aggregate(F.reverse(c), F.struct(F.lit(0).alias("n"), F.lit(True).alias("on")), lambda a, x: F.struct((a["n"] + F.when(a["on"] & test(x), 1).otherwise(0)).alias("n"), (a["on"] & test(x)).alias("on")), lambda a: a["n"])
     return F.slice(c, F.size(c) - n + 1, n)
+
+
+def split_at_anchor(cells: Column, is_anchor) -> Column:
+    """struct(before, anchor, after): cells around the first that is an anchor; null without one."""
+    at = F.get(F.filter(F.transform(cells, lambda x, i: F.when(is_anchor(x), i)), lambda i: i.isNotNull()), 0)
+    return F.when(at.isNotNull(), F.struct(F.slice(cells, 1, at).alias("before"), F.get(cells, at).alias("anchor"), F.slice(cells, at + 2, F.greatest(F.size(cells) - at - 1, F.lit(0))).alias("after")))
+
+
+def place_case(c: Column) -> Column:
+    """Words with a capital, Roman numerals in capitals."""
+    return F.array_join(F.transform(F.split(F.trim(c), r"\s+"), lambda w: F.when(F.regexp_like(w, F.lit("(?i)^[ivx]+$")), F.upper(w)).otherwise(F.initcap(F.lower(w)))), " ")
+
+
+def trailing_numbers(line: Column) -> Column:
+    """struct(label, tokens): the run of numbers or dashes that ends a fixed-width line, and what stands before it."""
+    run = F.regexp_extract(line, r"((?:(?:^|\s)(?:\d[\d.]*|[-–—]))+)\s*$", 1)
+    return F.struct(F.trim(F.substring(F.rtrim(line), F.lit(1), F.char_length(F.rtrim(line)) - F.char_length(F.rtrim(run)))).alias("label"), F.filter(F.split(F.trim(run), r"\s+"), lambda x: x != "").alias("tokens"))

@@ -133,3 +133,15 @@ def mean_where(df: DataFrame, groups: Sequence[str], means: Mapping[str, tuple[C
 
 def top_deviations(df: DataFrame, deviation: str, tie: str, n: int = 5) -> DataFrame:
     return df.orderBy(F.desc(F.abs(F.col(deviation))), tie).limit(n)
+
+
+def fewer_names(df: DataFrame, groups: Sequence[str], first: str, second: str) -> DataFrame:
+    """Which of two readings of a column has fewer distinct values: `above` for the first if strictly fewer, else `below`."""
+    g = df.groupBy(*groups).agg(F.countDistinct(first).alias("_a"), F.countDistinct(second).alias("_b"))
+    return g.select(*groups, F.when(F.col("_a") < F.col("_b"), "above").otherwise("below").alias("reading"))
+
+
+def contiguous(df: DataFrame, groups: Sequence[str], number: str) -> DataFrame:
+    """Whether the numbers of a group are exactly first..last, each once."""
+    g = df.groupBy(*groups).agg(F.min(number).alias("_a"), F.max(number).alias("_b"), F.count("*").alias("_n"), F.countDistinct(number).alias("_d"))
+    return g.select(*groups, ((F.col("_n") == F.col("_d")) & (F.col("_n") == F.col("_b") - F.col("_a") + 1)).alias("contiguous"))

@@ -101,3 +101,39 @@ def shuffled_within(df: DataFrame, by: Sequence[str], order: Sequence[str], valu
     a = df.withColumn("_i", F.row_number().over(ordered(by, order)))
     b = df.select(*by, F.col(value).alias(name), F.row_number().over(Window.partitionBy(*by).orderBy(F.xxhash64(*order, F.lit(seed)), *order)).alias("_i"))
     return a.join(b, [*by, "_i"]).drop("_i")
+
+
+def merge_stranded(df: DataFrame, by: Sequence[str], order: Sequence[str], number: str, kept: Sequence[str], body: Sequence[str]) -> DataFrame:
+    """A row with a number but nothing in `body` goes, and lends number and `kept` to the next row if that lacks a number."""
+    w = ordered(by, order)
+    bare = F.col(number).isNotNull()
+    for c in body:
+        bare = bare & (F.coalesce(F.trim(F.col(c).cast("string")), F.lit("")) == "")
+    d = df.withColumn("_bare", bare).withColumn("_lent", F.lag(F.when(F.col("_bare"), F.struct(number, *kept))).over(w)).withColumn("_next_lacks", F.lead(F.col(number).isNull() & ~F.col("_bare")).over(w))
+    take = F.col(number).isNull() & ~F.col("_bare") & F.col("_lent").isNotNull()
+    new = {c: F.when(take, F.coalesce(F.col(f"_lent.{c}"), F.col(c))).otherwise(F.col(c)) for c in (number, *kept)}
+    gone = F.col("_bare") & F.coalesce("_next_lacks", F.lit(False))
+    return d.select(*[new.get(c, F.col(c)).alias(c) for c in df.columns], gone.alias("_gone")).filter("not _gone").drop("_gone")
+
+
+def join_tails(df: DataFrame, by: Sequence[str], order: Sequence[str], is_seat: Column, text: str) -> DataFrame:
+    """Texts of rows that aren't seats are appended, in order, to the seat row before them; rows before the first seat go."""
+    d = islands(df.withColumn("_seat", is_seat), by, order, F.col("_seat"), "_island").filter("_island > 0")
+    w = Window.partitionBy(*by, "_island").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    whole = F.concat_ws(" ", F.collect_list(text).over(w))
+    return d.withColumn("_whole", whole).filter("_seat").withColumn(text, F.col("_whole")).drop("_seat", "_island", "_whole")
+
+
+def unread_headings(df: DataFrame, by: Sequence[str], order: Sequence[str], heading: str, fallbacks: Sequence[str], name: str) -> DataFrame:
+    """`name` and `<name>_basis`: a heading equal to the raw one before it (or blank) is unread, and the first fallback that is there counts."""
+    before = F.lag(heading).over(ordered(by, order))
+    read = (F.trim(F.coalesce(heading, F.lit(""))) != "") & ~F.coalesce(F.col(heading) == before, F.lit(False))
+    value, basis = F.when(read, F.col(heading)), F.when(read, F.lit("heading"))
+    for f in fallbacks:
+        value, basis = F.coalesce(value, F.col(f)), F.when(basis.isNotNull(), basis).when(F.col(f).isNotNull(), F.lit(f))
+    return df.withColumn("_v", value).withColumn("_b", F.coalesce(basis, F.lit("unread"))).withColumnsRenamed({"_v": name, "_b": f"{name}_basis"})
+
+
+def share_within(df: DataFrame, by: Sequence[str], condition: Column, name: str) -> DataFrame:
+    """The share of a group's rows where a condition holds (null: doesn't), on every row."""
+    return df.withColumn(name, F.avg(F.coalesce(condition, F.lit(False)).cast("double")).over(Window.partitionBy(*by)))

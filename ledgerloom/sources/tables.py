@@ -79,3 +79,22 @@ def word_lines(words: DataFrame, by: list[str], line: str, left: str, top: str,
 def read_words(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Word rows of (gzipped) tab-separated files without quoting."""
     return spark.read.schema(schema).csv(path, sep="\t", quote="", header=True)
+
+
+def tar_members(spark: SparkSession, path: str) -> DataFrame:
+    """`path, member, bytes, sha` of the files in (compressed) tar archives; an archive is read where it is opened."""
+    import hashlib
+    import io
+    import tarfile
+
+    import pandas as pd
+
+    def scan(batches):
+        for pdf in batches:
+            rows = []
+            for name, content in zip(pdf["path"], pdf["content"], strict=True):
+                with tarfile.open(fileobj=io.BytesIO(content)) as t:
+                    rows += [(name, m.name, m.size, hashlib.sha256(t.extractfile(m).read()).hexdigest()) for m in t.getmembers() if m.isfile()]
+            yield pd.DataFrame(rows, columns=["path", "member", "bytes", "sha"])
+
+    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(scan, "path string, member string, bytes long, sha string")

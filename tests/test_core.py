@@ -193,3 +193,39 @@ def test_group_folds(spark, sf):
     out = cross_validated(d, ["x"], "quality", "source", 3)
     assert out.groupBy("source").agg(F.countDistinct("fold").alias("n")).filter("n > 1").isEmpty()
     assert out.filter("p is null or p < 0 or p > 1").isEmpty()
+
+
+def test_rows_that_belong_together(spark):
+    d = spark.createDataFrame([(1, 1, "SC", "x"), (2, 2, "BC", None), (3, None, None, "y"), (4, 4, "SC", "z")], "pos int, ward int, cat string, name string").withColumn("f", F.lit(1))
+    got = [(r["pos"], r["ward"], r["cat"], r["name"]) for r in W.merge_stranded(d, ["f"], ["pos"], "ward", ["cat"], ["name"]).orderBy("pos").collect()]
+    assert got == [(1, 1, "SC", "x"), (3, 2, "BC", "y"), (4, 4, "SC", "z")]
+    t = spark.createDataFrame([(0, "lost"), (1, "Ram"), (2, "Lal"), (3, "Sita")], "pos int, v string").withColumn("f", F.lit(1))
+    assert [r["v"] for r in W.join_tails(t, ["f"], ["pos"], F.col("pos").isin(1, 3), "v").orderBy("pos").collect()] == ["Ram Lal", "Sita"]
+    h = spark.createDataFrame([(1, "A", None), (2, "A", "x"), (3, "", None)], "pos int, h string, g string").withColumn("f", F.lit(1))
+    assert [(r["n"], r["n_basis"]) for r in W.unread_headings(h, ["f"], ["pos"], "h", ["g"], "n").orderBy("pos").collect()] == [("A", "heading"), ("x", "g"), (None, "unread")]
+
+
+def test_more_text(spark):
+    assert one(spark, X.place_case, "ward ii RAM pur") == "Ward II Ram Pur"
+    assert tuple(one(spark, X.trailing_numbers, "Total of block   12 - 3.5")) == ("Total of block", ["12", "-", "3.5"])
+    assert tuple(one(spark, X.trailing_numbers, "no numbers"))[1] == []
+    got = one(spark, lambda c: X.split_at_anchor(c, lambda x: x == "Panch"), ["a", "Panch", "b", "c"], "array<string>")
+    assert (got["before"], got["anchor"], got["after"]) == (["a"], "Panch", ["b", "c"])
+    from ledgerloom.functions.similarity import legacy_text
+
+    assert one(spark, legacy_text([("d", "क"), ("e", "म")], "f", "Z"), "fd eZ") == "कि र्म"
+
+
+def test_tar_scan(spark, tmp_path):
+    import hashlib
+    import io
+    import tarfile
+
+    from ledgerloom.sources.tables import tar_members
+
+    with tarfile.open(tmp_path / "a.tar.gz", "w:gz") as t:
+        info = tarfile.TarInfo("m.json")
+        info.size = 2
+        t.addfile(info, io.BytesIO(b"{}"))
+    r = tar_members(spark, str(tmp_path / "a.tar.gz")).head()
+    assert (r["member"], r["bytes"], r["sha"]) == ("m.json", 2, hashlib.sha256(b"{}").hexdigest())
