@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import gc
 import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,6 +22,20 @@ WS_CLASS = r"\x20\x09-\x0D"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 _written: list[tuple[SparkSession, str]] = []
+#: What this process remembers between tasks, so that another operator's task can take the memory.
+worker_caches: list[dict] = []
+
+
+def free_caches() -> None:
+    """Empties the caches that reused workers hold for other operators and returns the memory."""
+    if any(worker_caches):
+        for cache in worker_caches:
+            cache.clear()
+        gc.collect()
+        try:
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except (OSError, AttributeError):
+            pass  # another C library: the memory is reused all the same
 
 
 def ready(spark: SparkSession) -> SparkSession:
@@ -62,12 +80,42 @@ def cleanup(spark: SparkSession) -> int:
     return gone
 
 
+@contextmanager
+def settings(spark: SparkSession, **values: str) -> Iterator[None]:
+    """SQL settings for the jobs run within; dots are written as two underscores."""
+    names = {k.replace("__", "."): v for k, v in values.items()}
+    was = {k: spark.conf.get(k, None) for k in names}
+    for k, v in names.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in was.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 def stash(df: DataFrame, label: str) -> DataFrame:
-    """Writes df as Parquet below the shared folder and reads it again: cuts lineage, survives lost executors."""
+    """Writes df as Parquet below the shared folder and reads it again: cuts lineage, survives lost executors.
+
+    The shuffle files of the job go when it ends; a written table never needs them again.
+    """
     spark = df.sparkSession
     path = scratch(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    with settings(spark, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true"):
+        df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Deletes tables that stash() wrote; only for those that no frame still to be run reads."""
+    for f in frames:
+        target = f.sparkSession._jvm.org.apache.hadoop.fs.Path(f._scratch)
+        target.getFileSystem(f.sparkSession._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def text_of(name: str) -> Column:

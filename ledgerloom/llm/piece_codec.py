@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ready, text_of
+from .common import ready, text_of, worker_caches
 from .merge_agenda import SPACE, MergeTable
 from .tokens import text_slices
 
@@ -73,6 +73,7 @@ class PieceCodec:
 
 
 _codecs: dict[str, PieceCodec] = {}
+worker_caches.append(_codecs)
 
 
 def codec(path: str) -> PieceCodec:

@@ -9,7 +9,6 @@ taken for repeated by chance.
 
 from __future__ import annotations
 
-import gc
 import hashlib
 from collections.abc import Iterator
 
@@ -18,13 +17,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ready, stash, text_of
+from .common import free_caches, ready, stash, text_of
 from .tokens import text_slices
 from .wordhash import Words, mix
 
 WINDOW = 20
 #: Bytes of text whose windows are sorted together in a worker, and bytes of source data for one range of hashes.
-SLICE, RANGE_BYTES = 8 << 20, 8 << 20
+SLICE, RANGE_BYTES = 4 << 20, 5 << 20
 _DOC = np.dtype([("id", "<i8"), ("sum", "<u4"), ("n", "<u4")])
 
 
@@ -124,6 +123,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_i
     ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(100_000, size // RANGE_BYTES))
 
     def count_here(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_caches()
         for batch in text_slices(batches, "_text", SLICE):
             ids, sums = batch.column("_id").to_numpy(), batch.column("_sum").to_numpy().astype(np.int64)
             hashes, row, pos = Words(batch.column("_text")).windows(window)
@@ -139,6 +139,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_i
             yield _blobs(out)
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_caches()
         held = []
         for batch in batches:
             done = []
@@ -195,10 +196,8 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_i
     Texts shorter than a window lose nothing. Null id: before all others. Rows with one id and different texts
     count as one document whose positions may tie; identical rows are treated alike, and both stay.
     """
-    spark = ready(docs.sparkSession)
+    ready(docs.sparkSession)
     found = stash(repeated_windows(docs, window, id_col, text_col), "windows")
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()  # lets Spark drop the shuffle of the windows before texts are dealt out
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, "_text", SLICE):

@@ -16,8 +16,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from .common import worker_caches
+
 #: Chunks remembered by one worker: half of them recent, half of the time before.
-CACHE_CHUNKS = 1_000_000
+CACHE_CHUNKS = 800_000
 #: White space to any of the regex engines involved: at these characters a text isn't cut.
 _GAP = r"\s\x1c-\x1f\u180e\u200b\u2060\ufeff"
 _CUT = re.compile(rf"(?<=[^{_GAP}]) (?=[^{_GAP}])")
@@ -125,6 +127,7 @@ class ChunkEncoder:
 
 
 _encoders: dict[str, ChunkEncoder] = {}
+worker_caches.append(_encoders)
 
 
 def encoder(path: str) -> ChunkEncoder:
