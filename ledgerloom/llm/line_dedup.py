@@ -23,6 +23,7 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     keyed = lines.select("_id", "_sum", "_pos", line_key(F.col("_line")).alias("_key")).filter(F.char_length("_key") >= min_chars)
     keyed = stash(keyed.select("_id", "_sum", "_pos", F.unhex(F.md5("_key")).alias("_h")), "lines")
     shared = keyed.groupBy("_h").agg(F.countDistinct("_id").alias("_n"), F.max("_id").alias("_last")).filter(F.col("_n") >= min_docs)
+    shared = stash(shared.select("_h", "_last"), "shared")
     doomed = keyed.join(shared, "_h").filter(~F.col("_id").eqNullSafe(F.col("_last")))
     return doomed.groupBy("_id", "_sum").agg(F.collect_set("_pos").alias("drops"))
 
