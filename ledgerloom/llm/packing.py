@@ -22,7 +22,7 @@ from .common import ready, stash, text_of
 from .tokens import encoder, text_slices
 
 #: Pieces of one length in one counting cell, about.
-CELL = 20_000
+CELL = 250
 
 
 def cut_lengths(n: int, capacity: int) -> list[int]:
@@ -84,14 +84,14 @@ class Places:
         return self.sequence[at] + k // self.each[at], self.offset[at] + (k % self.each[at]) * length
 
 
-def number_within(pieces: DataFrame, key: str, total: int) -> DataFrame:
-    """Adds `_number`, 0 and up without gaps within each value of key.
+def number_within(pieces: DataFrame, key: str, counts: dict[int, int]) -> DataFrame:
+    """Adds `_number`, 0 and up without gaps within each value of key (whole numbers from 0, counted in counts).
 
-    Cells of a hash spread a value over many groups; counts of cells are summed up before them, so neither a
-    hot value nor the whole table meets in one task. Equal rows may swap numbers, which changes nothing.
+    A value has as many cells, told by a hash, as its count needs. Counts of cells are summed up before them, so
+    neither a hot value nor the whole table meets in one task. Equal rows may swap numbers, which changes nothing.
     """
-    cells = max(1, total // CELL)
-    own = pieces.withColumn("_cell", F.pmod(F.xxhash64(*[c for c in pieces.columns if c != key]), F.lit(cells)))
+    cells = F.get(F.lit([max(1, counts.get(n, 0) // CELL) for n in range(max(counts, default=0) + 1)]), F.col(key).cast("int"))
+    own = pieces.withColumn("_cell", F.pmod(F.xxhash64(*[c for c in pieces.columns if c != key]), cells))
     counts = own.groupBy(F.col(key).alias("_k"), F.col("_cell").alias("_c")).agg(F.count("*").alias("_n"))
     before = counts.select("_k", "_c", (F.sum("_n").over(Window.partitionBy("_k").orderBy("_c")) - F.col("_n")).alias("_before"))
     ranked = own.withColumn("_rank", F.row_number().over(Window.partitionBy(key, "_cell").orderBy(*[c for c in pieces.columns if c != key])))
@@ -114,7 +114,7 @@ def pack(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*[b.column(n) for n in names], pa.array(sequence), pa.array(offset)], names=[*names, "sequence_id", "offset"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema) + ", sequence_id long, offset long"
-    return number_within(pieces, "length", sum(counts.values())).mapInArrow(place, schema)
+    return number_within(pieces, "length", counts).mapInArrow(place, schema)
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = 2048, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
