@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import ready, text_of
 from .tokens import text_slices
@@ -24,7 +25,7 @@ from .tokens import text_slices
 GRAMS, SLOTS = {1: 0.2, 2: 0.3, 3: 0.3, 4: 0.2}, 4096
 #: Labelled texts to fit on, in all and of one language, and landmarks among them: the bound of what reaches the driver.
 SAMPLE, LANDMARKS = 4000, 400
-#: Characters of a training text's presence, at most; texts that are judged are read whole.
+#: Weight of the penalty.
 RIDGE = 1e-2
 #: Score differences to probabilities.
 SHARPNESS = 6.0
@@ -79,18 +80,17 @@ def fit(texts: list[str], languages: list[str], landmarks: int = LANDMARKS, ridg
     names = sorted(set(languages))
     if not names:
         return Model([], np.zeros((len(GRAMS) * SLOTS, 0), dtype=np.float32))
-    rows = np.concatenate([weighted(texts[i : i + 200]) for i in range(0, len(texts), 200)])
     own = np.array(languages)
     chosen = np.concatenate([np.flatnonzero(own == n)[: max(1, landmarks // len(names))] for n in names])
-    z = rows[chosen].astype(np.float64)
-    values, vectors = np.linalg.eigh(z @ z.T)
-    keep = values > 1e-8 * values.max()
+    z = np.concatenate([weighted([texts[k] for k in chosen[i : i + 100]]) for i in range(0, len(chosen), 100)])
+    values, vectors = np.linalg.eigh((z @ z.T).astype(np.float64))
+    keep = values > 1e-6 * values.max()
     root = vectors[:, keep] / np.sqrt(values[keep])  # K_zz to the power -1/2, on its range
-    phi = (rows @ z.T.astype(np.float32)).astype(np.float64) @ root
+    phi = np.concatenate([(weighted(texts[i : i + 100]) @ z.T).astype(np.float64) for i in range(0, len(texts), 100)]) @ root
     y = np.where(own[:, None] == np.array(names)[None, :], 1.0, -1.0)
     share = 1.0 / np.array([(own == n).sum() for n in own])[:, None]  # every language weighs the same
     a = np.linalg.solve(phi.T @ (phi * share) + ridge / len(names) * np.eye(phi.shape[1]), phi.T @ (y * share))
-    return Model(names, (z.T @ (root @ a)).astype(np.float32))
+    return Model(names, (z.T.astype(np.float64) @ (root @ a)).astype(np.float32))
 
 
 def labelled_sample(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang") -> tuple[list[str], list[str]]:
@@ -107,10 +107,9 @@ def labelled_sample(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id
     draw = F.pmod(F.xxhash64("_id", F.substring("_text", 1, 200)), F.lit(1 << 30))
     rate = F.coalesce(*[F.when(F.col("_lang") == n, F.lit(min(1.0, 2.0 * each / c + 50 / c))) for n, c in counts.items()], F.lit(0.0))
     thin = rows.withColumn("_d", draw).filter(F.col("_d") < rate * float(1 << 30))
-    taken: list[tuple[str, str]] = []
-    for n in counts:
-        taken += [(r["_text"], n) for r in thin.filter(F.col("_lang") == n).orderBy("_d", "_id", "_text").limit(each).collect()]
-    return [t for t, _ in taken], [n for _, n in taken]
+    place = F.row_number().over(Window.partitionBy("_lang").orderBy("_d", "_id", "_text"))  # over the thinned rows, some 2 * each a language
+    taken = sorted((r["_lang"], r["_i"], r["_text"]) for r in thin.withColumn("_i", place).filter(F.col("_i") <= each).select("_lang", "_i", "_text").collect())
+    return [t for _, _, t in taken], [n for n, _, _ in taken]
 
 
 def train(docs: DataFrame, **params) -> Model:
