@@ -44,7 +44,7 @@ def encode_png(payload: bytes) -> bytes:
     rows = np.frombuffer(payload, dtype=np.uint8).reshape(-1, WIDTH)
     lines = np.zeros((len(rows), WIDTH + 1), dtype=np.uint8)
     lines[:, 1:] = rows
-    return _SIGNATURE + _chunk(b"IHDR", struct.pack(">IIBBBBB", WIDTH, len(rows), 8, 0, 0, 0, 0)) + _chunk(b"IDAT", zlib.compress(lines, 1)) + _chunk(b"IEND", b"")
+    return _SIGNATURE + _chunk(b"IHDR", struct.pack(">IIBBBBB", WIDTH, len(rows), 8, 0, 0, 0, 0)) + _chunk(b"IDAT", zlib.compress(lines, 6)) + _chunk(b"IEND", b"")
 
 
 def read_header(head: bytes) -> tuple[int, int, int]:
