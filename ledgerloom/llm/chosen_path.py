@@ -2,13 +2,14 @@
 
 Texts become sets of 64-bit hashes of their five-word shingles; equal sets are one node. In each run a node is put
 into the buckets of the few shingles that a shared hash samples from its set, buckets that are still large are split
-again by freshly sampled shingles, and small ones are brute-forced on 64 min-hashes of 16 bits. Runs are repeated
+again by freshly sampled shingles, and small ones are brute-forced on 128 min-hashes of 16 bits. Runs are repeated
 until a pair at the threshold is missed with a probability of 1 - recall at most. What the sketches find similar
 (well below the threshold) is gathered into candidate components; within these the full sets are compared, block
 by block as matrix products, so links are exact, and counted without a row for a pair.
 
-A large bucket that doesn't split (near copies of one text) is thinned by pivots: members compare themselves with
-a few of them, are linked to all they resemble, and leave when they nearly equal one.
+A bucket only tells what is connected, so it gives a spanning forest of its similar members, not their pairs, and
+stops comparing when all are connected. A bucket that stays large on the last level (near copies of one text) is
+compared in pairs of blocks, all of them: nothing is capped.
 """
 
 from __future__ import annotations
@@ -23,16 +24,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ready, stash, text_of
+from .common import discard, free_caches, ready, settings, stash, text_of
 from .components import components
 from .tokens import text_slices
 from .wordhash import Words, mix
 
 SHINGLE, THRESHOLD, RECALL = 5, Fraction(4, 5), 0.99999
-#: Shingles sampled for a node at each level of a run, levels, largest bucket to be brute-forced, pivots a round.
-PICKS, LEVELS, BUCKET, PIVOTS = 4.0, 3, 2000, 16
-#: Min-hashes of a sketch; estimates from which two nodes are candidates, and from which a member leaves with its pivot.
-SKETCH, ALIKE, LEAVES = 64, 0.3, 0.85
+#: Shingles sampled for a node at each level of a run, levels, and the largest bucket that one task brute-forces.
+PICKS, LEVELS, BUCKET = 4.0, 3, 2000
+#: Min-hashes of a sketch; estimates from which two nodes are candidates, and from which one may stand for the other.
+#: A partner (.8) of a node that left for a leader (.86 or more) resembles the leader by .66 or more: 4 deviations above.
+SKETCH, ALIKE, LEAVES = 128, 0.5, 0.95
 #: Nodes of a candidate component compared with as many others in one task.
 BLOCK = 1000
 _RNG = np.random.Generator(np.random.PCG64(77))
@@ -74,6 +76,7 @@ def _signatures(runs: int, levels: int, picks: float, size: int):
     slots = mix(np.arange(1, runs * levels + 1, dtype=np.uint64)) | np.uint64(1)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_caches()
         for batch in text_slices(batches, "_text", 4 << 20):
             hashes, first = shingle_sets(batch.column("_text"), size)
             n = np.diff(first)
@@ -110,24 +113,26 @@ def alike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _pairs(nodes: list[bytes], sketches: np.ndarray, starts: np.ndarray) -> Iterator[tuple[bytes, bytes]]:
-    """Edges that connect what is alike within each bucket: all pairs of small buckets, leaders of the others."""
+    """Edges that connect what is alike within each bucket: all pairs of tiny buckets, a spanning forest of the others."""
     sizes = np.diff(starts)
-    small = np.flatnonzero((sizes > 1) & (sizes <= 8))
+    small = np.flatnonzero((sizes > 1) & (sizes <= 4))
     for size in np.unique(sizes[small]):
         first = starts[:-1][small[sizes[small] == size]]
         for i in range(size):
             for j in range(i + 1, size):
                 for k in first[alike(sketches[first + i], sketches[first + j]) >= ALIKE].tolist():
                     yield nodes[k + i], nodes[k + j]
-    for g in np.flatnonzero(sizes > 8).tolist():
-        left = np.arange(starts[g], starts[g + 1])
-        everyone = left
-        while len(left):
-            like = alike(sketches[everyone], sketches[left[0]])
-            for k in everyone[like >= ALIKE].tolist():
-                if k != left[0]:
-                    yield nodes[left[0]], nodes[k]
-            stay = like[np.searchsorted(everyone, left)] < LEAVES
+    for g in np.flatnonzero(sizes > 4).tolist():
+        at, own = int(starts[g]), sketches[starts[g] : starts[g + 1]]
+        label, left, parts = np.arange(len(own)), np.arange(len(own)), len(own)
+        while len(left) and parts > 1:
+            like = alike(own, own[left[0]])
+            near = np.flatnonzero((like >= ALIKE) & (label != label[left[0]]))
+            for k in near[np.unique(label[near], return_index=True)[1]].tolist():
+                yield nodes[at + int(left[0])], nodes[at + k]
+                label[label == label[k]] = label[left[0]]
+                parts -= 1
+            stay = like[left] < LEAVES
             stay[0] = False
             left = left[stay]
 
@@ -168,63 +173,43 @@ def _starts(table: pa.Table, keys: list[str]) -> np.ndarray:
 
 
 def brute_force(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Candidate edges of buckets (`key, node, sketch`, sorted by key)."""
-    for table in _grouped(batches, ["key"], 20_000):
-        yield _edges(_pairs(table.column("node").to_pylist(), _sketches(table.column("sketch")), np.r_[_starts(table, ["key"]), table.num_rows]))
-
-
-def try_pivots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """`key, node, sketch, pivots` to `key, node, likes (pivots it resembles), leaves`."""
-    for batch in batches:
-        likes, leaves = [], []
-        own = _sketches(batch.column("sketch"))
-        for node, sketch, pivots in zip(batch.column("node").to_pylist(), own, batch.column("pivots"), strict=True):
-            names = pivots.values.field("node").to_pylist()
-            like = alike(_sketches(pivots.values.field("sketch")), sketch)
-            likes.append([p for p, x in zip(names, like.tolist(), strict=True) if x >= ALIKE and p != node])
-            leaves.append(bool((like >= LEAVES).any()))
-        yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("node"), pa.array(likes, pa.list_(pa.binary())), pa.array(leaves, pa.bool_())], names=["key", "node", "likes", "leaves"])
+    """Candidate edges of buckets or pairs of their blocks (`key, i, j, node, sketch`, sorted)."""
+    keys = ["key", "i", "j"]
+    for table in _grouped(batches, keys, 10_000):
+        yield _edges(_pairs(table.column("node").to_pylist(), _sketches(table.column("sketch")), np.r_[_starts(table, keys), table.num_rows]))
 
 
 def candidate_edges(nodes: DataFrame, runs: int, levels: int, bucket: int = BUCKET) -> DataFrame:
-    """Edges (`a, b`) between nodes (`node, sketch, picks`) that meet in a bucket and have similar sketches."""
+    """Edges (`a, b`) that connect the nodes (`node, sketch, picks`) which meet in a bucket and have similar sketches."""
     out = []
 
     def counted(members: DataFrame) -> DataFrame:
         """Buckets of two and more, with their size; the sizes are written so that hot buckets can be split in the join."""
         members = stash(members, "members")
         sizes = stash(members.groupBy(F.col("key").alias("_key")).agg(F.count("*").alias("size")).filter("size > 1"), "sizes")
-        return stash(members.join(sizes, F.col("key") == F.col("_key")).drop("_key"), "buckets")
+        out = stash(members.join(sizes, F.col("key") == F.col("_key")).drop("_key"), "buckets")
+        discard(members, sizes)
+        return out
 
     def brute(buckets: DataFrame) -> None:
-        with_sketch = buckets.select("key", "node").join(nodes.select(F.col("node").alias("_n"), "sketch"), F.col("node") == F.col("_n")).select("key", "node", "sketch")
-        out.append(stash(with_sketch.repartition("key").sortWithinPartitions("key", "node").mapInArrow(brute_force, "a binary, b binary"), "found"))
+        parts = F.ceil(F.col("size") * 2 / bucket).cast("int")
+        parts = F.when(F.col("size") > bucket, parts).otherwise(1)  # two blocks fill a task
+        rows = buckets.select("key", "node", parts.alias("parts")).withColumn("_b", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+        rows = rows.withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("key", F.least("_b", "_o").alias("i"), F.greatest("_b", "_o").alias("j"), "node")
+        with_sketch = rows.join(nodes.select(F.col("node").alias("_n"), "sketch"), F.col("node") == F.col("_n")).select("key", "i", "j", "node", "sketch")
+        out.append(stash(with_sketch.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "node").mapInArrow(brute_force, "a binary, b binary"), "found"))
 
     level1 = nodes.select("node", F.posexplode(F.slice("picks", 1, runs)).alias("run", "_p")).select("run", "node", F.explode("_p").alias("_t"))
     buckets = counted(level1.select("run", F.xxhash64("run", "_t").alias("key"), "node"))
     for level in range(1, levels):
-        brute(buckets.filter(F.col("size") <= bucket))
         large = buckets.filter(F.col("size") > bucket)
         if large.isEmpty():
             break
+        brute(buckets.filter(F.col("size") <= bucket))
         deeper = large.select("run", "key", "node").join(nodes.select(F.col("node").alias("_n"), "picks"), F.col("node") == F.col("_n"))
         deeper = deeper.select("run", "key", "node", F.explode(F.get("picks", F.lit(level * runs) + F.col("run"))).alias("_t"))
         buckets = counted(deeper.select("run", F.xxhash64("key", "_t").alias("key"), "node"))
-    else:
-        brute(buckets.filter(F.col("size") <= bucket))
-        active, turn = buckets.filter(F.col("size") > bucket), 0
-        while not active.isEmpty():
-            turn += 1
-            rows = active.select("run", "key", "size", "node").join(nodes.select(F.col("node").alias("_n"), "sketch"), F.col("node") == F.col("_n")).drop("_n")
-            rows = stash(rows.withColumn("_lead", F.pmod(F.xxhash64("node", "key", F.lit(turn)), F.lit(1 << 30)) < F.ceil(F.lit(PIVOTS) * (1 << 30) / F.col("size"))), "active")
-            pivots = stash(rows.filter("_lead").groupBy(F.col("key").alias("_pk")).agg(F.collect_list(F.struct("node", "sketch")).alias("pivots")), "pivots")
-            tried = stash(rows.join(pivots, F.col("key") == F.col("_pk")).select("key", "node", "sketch", "pivots").mapInArrow(try_pivots, "key long, node binary, likes array<binary>, leaves boolean"), "tried")
-            out.append(tried.select(F.col("node").alias("a"), F.explode("likes").alias("b")))
-            gone = tried.filter("leaves").select(F.col("key").alias("_gk"), F.col("node").alias("_gn"))
-            rest = rows.join(gone, (F.col("key") == F.col("_gk")) & (F.col("node") == F.col("_gn")), "left_anti")
-            buckets = counted(rest.select("run", "key", "node"))
-            brute(buckets.filter(F.col("size") <= bucket))
-            active = buckets.filter(F.col("size") > bucket)
+    brute(buckets)
     edges = out[0]
     for more in out[1:]:
         edges = edges.unionAll(more)
@@ -317,20 +302,23 @@ def jaccard_join(docs: DataFrame, threshold: Fraction = THRESHOLD, recall: float
     runs = runs_for(recall, threshold=float(threshold))
     keyed = docs.select(F.col(f"`{id_col}`").cast("long").alias("_id"), text_of(text_col).alias("_text")).withColumn("_sum", F.xxhash64("_text"))
     signed = stash(keyed.mapInArrow(_signatures(runs, LEVELS, PICKS, shingle), "_id long, _sum long, node binary, sketch binary, picks array<array<long>>"), "signatures")
-    copies = stash(signed.filter("node is not null").groupBy("node").agg(F.min(F.struct("_id", "_sum")).alias("_rep"), F.count("*").alias("weight")), "copies")
-    reps = copies.select(F.col("node").alias("_n"), F.col("_rep._id").alias("_ri"), F.col("_rep._sum").alias("_rs"))
-    nodes = signed.join(reps, (F.col("node") == F.col("_n")) & F.col("_id").eqNullSafe(F.col("_ri")) & (F.col("_sum") == F.col("_rs"))).select("node", "sketch", "picks")
-    nodes = stash(nodes.dropDuplicates(["node"]), "nodes")
+    first = F.min(F.struct("_id", "_sum", "sketch", "picks"))
+    nodes = stash(signed.filter("node is not null").groupBy("node").agg(first.alias("_rep"), F.count("*").alias("weight")).select("node", "weight", "_rep.*"), "nodes")
+    copies = nodes.select("node", "weight", F.struct("_id", "_sum").alias("_rep"))
     comps = components(candidate_edges(nodes, runs, LEVELS))
     sizes = stash(comps.groupBy(F.col("root").alias("_root")).agg(F.count("*").alias("_size")), "sizes")
     placed = comps.join(sizes, F.col("root") == F.col("_root")).select(F.col("node").alias("_n"), F.col("root").alias("comp"), F.ceil(F.col("_size") / BLOCK).cast("int").alias("parts"))
     placed = stash(copies.join(placed, F.col("node") == F.col("_n")).select(F.col("_rep._id").alias("_pi"), F.col("_rep._sum").alias("_ps"), "node", "weight", "comp", "parts"), "placed")
-    texts = keyed.join(placed, F.col("_id").eqNullSafe(F.col("_pi")) & (F.col("_sum") == F.col("_ps"))).dropDuplicates(["_id", "_sum"])
+    # One hashed key, so that Spark's run-time Bloom filter (at most 8 MB, used while `placed` is small) spares the shuffle
+    # most texts; the ids are compared as well.
+    same = F.coalesce("_id", F.lit(0)).bitwiseXOR(F.coalesce("_pi", F.lit(0))) == 0
+    texts = keyed.withColumn("_k", F.xxhash64("_id", "_sum")).join(placed.filter("parts >= 1").withColumn("_pk", F.xxhash64("_pi", "_ps")), (F.col("_k") == F.col("_pk")) & same).dropDuplicates(["node"])
     sets = texts.select("comp", "node", "weight", "parts", "_text").mapInArrow(_with_shingles(shingle), "comp binary, node binary, weight long, parts int, shingles binary")
     block = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
     spread = sets.withColumn("block", block).withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     spread = spread.select("comp", F.least("block", "_o").alias("i"), F.greatest("block", "_o").alias("j"), "block", "node", "weight", "shingles")
-    checked = stash(spread.repartition("comp", "i", "j").sortWithinPartitions("comp", "i", "j", "node").mapInArrow(_verify(threshold), "node binary, links long, root binary"), "checked")
+    with settings(docs.sparkSession, spark__sql__optimizer__runtime__bloomFilter__applicationSideScanSizeThreshold="0"):
+        checked = stash(spread.repartition("comp", "i", "j").sortWithinPartitions("comp", "i", "j", "node").mapInArrow(_verify(threshold), "node binary, links long, root binary"), "checked")
     links = checked.groupBy(F.col("node").alias("_ln")).agg(F.sum("links").alias("links"))
     classes = components(checked.filter("root <> node").select(F.col("node").alias("a"), F.col("root").alias("b")).distinct()).select(F.col("node").alias("_cn"), F.col("root").alias("_cr"))
     whole = copies.join(classes, F.col("node") == F.col("_cn"), "left").join(links, F.col("node") == F.col("_ln"), "left")
