@@ -105,6 +105,30 @@ def unique_anchor_join(left: DataFrame, right: DataFrame, anchor: str) -> DataFr
     return once(left).join(once(right), anchor)
 
 
+def word_windows(df: DataFrame, id_: str, text: str, words: int) -> DataFrame:
+    """`id, place, _h` of every run of `words` words of the whole text, by 128 bits; a text with fewer words is one run."""
+    w = F.filter(F.split(F.col(text), "[ \t\n\r]+"), lambda x: x != "")
+    d = df.select(id_, w.alias("_w")).filter(F.size("_w") > 0)
+    run = lambda i: F.slice("_w", i, words)
+    runs = F.transform(F.sequence(F.lit(1), F.greatest(F.size("_w") - words + 1, F.lit(1))), lambda i: F.struct(i.alias("place"), F.xxhash64(run(i)).alias("a"), F.xxhash64(F.lit(words), run(i)).alias("b"), (F.size("_w") < words).alias("short")))
+    return d.select(id_, F.explode(runs).alias("_r")).select(id_, "_r.place", F.struct("_r.a", "_r.b", "_r.short").alias("_h"))
+
+
+def unique_window_join(left: DataFrame, right: DataFrame, left_id: str, right_id: str, text: str, words: int) -> DataFrame:
+    """`left_id, right_id, left_place, right_place` of word windows that occur once in all texts of either side.
+
+    Places (of the first word, from 1) must rise together within a pair of texts, or all matches of the pair go. Left
+    windows meet the right side's unique ones before they are counted, so only what can match is shuffled.
+    """
+    once = lambda d, id_, place: d.groupBy("_h").agg(F.count("*").alias("_n"), F.min(id_).alias(id_), F.min("place").alias(place)).filter("_n = 1").drop("_n")
+    r = once(word_windows(right, right_id, text, words), right_id, "right_place")
+    found = once(word_windows(left, left_id, text, words).join(r.select("_h"), "_h", "left_semi"), left_id, "left_place").join(r, "_h")
+    pair = Window.partitionBy(left_id, right_id)
+    back = found.withColumn("_back", F.col("right_place") < F.lag("right_place").over(pair.orderBy("left_place")))
+    kept = back.withColumn("_any", F.max(F.coalesce("_back", F.lit(False))).over(pair)).filter("not _any")
+    return kept.select(left_id, right_id, "left_place", "right_place")
+
+
 def classified_join(left: DataFrame, right: DataFrame, key: str, right_id: str) -> DataFrame:
     """Left rows with `matches`, `status` (unmatched, unique, ambiguous) and the right id where it is unique."""
     r = right.groupBy(key).agg(F.count("*").alias("_m"), F.min(right_id).alias("_id"))

@@ -225,6 +225,22 @@ def unique_anchor_join(t):
     return d.select(F.sha2("k", 256).alias("anchor"), "doc_id", "item_id")
 
 
+@query(
+    "q_unique_window_join",
+    """WITH d AS (SELECT doc_id, list_filter(string_split_regex(text, '[ \\t\\n\\r]+'), lambda x: x <> '') AS w FROM documents),
+    i AS (SELECT item_id, list_filter(string_split_regex(text, '[ \\t\\n\\r]+'), lambda x: x <> '') AS w FROM benchmark),
+    x AS (SELECT doc_id, p, list_slice(w, p, p + 7) AS k FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 7, 1))) AS p FROM d WHERE len(w) > 0)),
+    y AS (SELECT item_id, p, list_slice(w, p, p + 7) AS k FROM (SELECT item_id, w, unnest(generate_series(1, greatest(len(w) - 7, 1))) AS p FROM i WHERE len(w) > 0)),
+    a AS (SELECT min(doc_id) AS doc_id, min(p) AS p, k FROM x GROUP BY k HAVING count(*) = 1),
+    b AS (SELECT min(item_id) AS item_id, min(p) AS p, k FROM y GROUP BY k HAVING count(*) = 1),
+    m AS (SELECT doc_id, item_id, a.p AS doc_place, b.p AS item_place, coalesce(b.p < lag(b.p) OVER (PARTITION BY doc_id, item_id ORDER BY a.p), false) AS back FROM a JOIN b USING (k))
+    SELECT doc_id, item_id, doc_place, item_place FROM (SELECT *, bool_or(back) OVER (PARTITION BY doc_id, item_id) AS bad FROM m) WHERE NOT bad""",
+)
+def unique_window_join(t):
+    d = J.unique_window_join(t.documents.select("doc_id", "text"), t.benchmark.select("item_id", "text"), "doc_id", "item_id", "text", 8)
+    return d.withColumnsRenamed({"left_place": "doc_place", "right_place": "item_place"})
+
+
 @query(
     "q_cardinality_classified_join",
     """WITH r AS (SELECT regexp_replace(upper(p_name), '[^A-Z0-9]', '', 'g') AS k, count(*) AS m, min(p_partkey) AS i FROM part WHERE p_size <= 25 GROUP BY 1)

@@ -229,3 +229,25 @@ def test_tar_scan(spark, tmp_path):
         t.addfile(info, io.BytesIO(b"{}"))
     r = tar_members(spark, str(tmp_path / "a.tar.gz")).head()
     assert (r["member"], r["bytes"], r["sha"]) == ("m.json", 2, hashlib.sha256(b"{}").hexdigest())
+
+
+def test_unique_windows_of_whole_texts(spark):
+    """Passages anywhere in a text are found; windows seen twice on a side don't count; matches out of order are discarded."""
+    words = [f"w{i}" for i in range(60)]
+    item, tail, twice, swapped = words[:12], words[12:24], words[24:36], words[36:52]
+    opening = "the same opening of more than forty characters in every text here "
+    docs = [(1, f"{opening} one {' '.join(item)} end"), (2, f"{opening} two\n{' '.join(twice)}"), (3, f"{opening} three {' '.join(twice)}"), (4, " ".join([*swapped[8:], "x", *swapped[:8]])), (5, " ".join([*["z"] * 9, *tail]))]
+    items = [(10, " ".join(item)), (11, " ".join(twice)), (12, " ".join(swapped)), (13, f"{opening} {' '.join(tail)}")]
+    got = J.unique_window_join(spark.createDataFrame(docs, "d int, t string"), spark.createDataFrame(items, "i int, t string"), "d", "i", "t", 8)
+
+    def windows(rows):
+        return [(" ".join(t.split()[p : p + 8]), k, p + 1) for k, t in rows for p in range(max(len(t.split()) - 7, 1))]
+
+    once = lambda rows: {w: (k, p) for w, k, p in rows if [r[0] for r in rows].count(w) == 1}
+    a, b = once(windows(docs)), once(windows(items))
+    want = {}
+    for w in a.keys() & b.keys():
+        want.setdefault((a[w][0], b[w][0]), []).append((a[w][1], b[w][1]))
+    want = {(*k, *m) for k, v in want.items() if [y for _, y in sorted(v)] == sorted(y for _, y in v) for m in v}
+    assert {tuple(r) for r in got.select("d", "i", "left_place", "right_place").collect()} == want
+    assert {r[:2] for r in want} == {(1, 10), (5, 13)}
