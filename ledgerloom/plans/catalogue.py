@@ -621,8 +621,10 @@ def shuffle_baseline(t):
 
 
 def _reads(t):
-    k = (F.col("o_orderkey") % 500).cast("long")
-    return t.orders.select((F.col("o_custkey") % 10).alias("file"), k.alias("k"), (k + 1 + F.when(k > 250, 5).otherwise(0)).alias("serial")).distinct()
+    """Every order: its customer's orders in turn as positions of a file; each urgent one leaves out a serial."""
+    turn = Window.partitionBy("o_custkey").orderBy("o_orderkey").rowsBetween(Window.unboundedPreceding, 0)
+    k = F.count("*").over(turn)
+    return t.orders.select(F.col("o_custkey").alias("file"), k.alias("k"), (k + F.count_if(F.col("o_orderpriority") == "1-URGENT").over(turn)).alias("serial"))
 
 
 @query("q_serial_segments")

@@ -17,6 +17,7 @@ from ledgerloom.operators import sets as U
 from ledgerloom.operators import windows as W
 from ledgerloom.operators.linkage import assign, link
 from ledgerloom.operators.sequences import assign_serials, segments, serial_segments, supports
+from ledgerloom.plans import catalogue
 
 
 def one(spark, column, value, kind="string"):
@@ -251,3 +252,28 @@ def test_unique_windows_of_whole_texts(spark):
     want = {(*k, *m) for k, v in want.items() if [y for _, y in sorted(v)] == sorted(y for _, y in v) for m in v}
     assert {tuple(r) for r in got.select("d", "i", "left_place", "right_place").collect()} == want
     assert {r[:2] for r in want} == {(1, 10), (5, 13)}
+
+
+def test_serial_queries_read_every_order(spark, tmp_path):
+    """Keys that agree modulo 10 and 500, and a file longer than 500: brute force over every order."""
+    rnd = random.Random(7)
+    sizes = {3: 1200, 13: 40, 23: 2, 33: 1}
+    files = [c for c, n in sizes.items() for _ in range(n)]
+    rnd.shuffle(files)
+    orders = [(500 * i, c, "1-URGENT" if rnd.random() < 0.1 else "5-LOW") for i, c in enumerate(files)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderpriority string").write.parquet(f"{tmp_path}/orders.parquet")
+    segs, assigned = set(), set()
+    for c in sizes:
+        urgent = [p == "1-URGENT" for _, f, p in sorted(orders) if f == c]
+        offsets = [sum(urgent[: i + 1]) for i in range(len(urgent))]
+        own = serial_segments([(i + 1, i + 1 + o) for i, o in enumerate(offsets)])
+        segs |= {(c, *s) for s in own}
+        for k in range(1, len(urgent) + 1):
+            inside = [o for a, b, o in own if a <= k <= b]
+            before, after = [o for _, b, o in own if b < k], [o for a, _, o in own if a > k]
+            o = inside[0] if inside else before[-1] if before and after and before[-1] == after[0] else None
+            assigned.add((c, k, None if o is None else k + o))
+    run = lambda n, *cols: [tuple(r) for r in catalogue.QUERIES[n](spark, str(tmp_path)).select(*cols).collect()]
+    assert sorted(run("q_serial_segments", "file", "first_k", "last_k", "offset")) == sorted(segs)
+    got = run("q_serial_assignment", "file", "k", "assigned")
+    assert len(got) == len(orders) and set(got) == assigned
