@@ -105,6 +105,44 @@ def unique_anchor_join(left: DataFrame, right: DataFrame, anchor: str) -> DataFr
     return once(left).join(once(right), anchor)
 
 
+def first_containing(sets: DataFrame, group: Sequence[str], owner: str, element: str, share: float = 0.8, least: int = 1, across: bool = False) -> DataFrame:
+    """As contained_earlier, with all of J11 if `across`: the first owner of a group is also compared with all owners of
+    other groups. `group..., owner, size, repeats, shared`, and `repeats_<group>...` before `repeats` if `across`.
+
+    The first hit is the least by (group, owner). Equal sets of a group are one node, under its first owner. A node
+    holding `share` of a set has one of its rarest elements, so only those are joined; a first try of each element's
+    first node bounds what is left to compare. Hits are counted on whole sets. Null elements don't count.
+    """
+    s = sets.select(F.struct(F.lit(0).alias("_"), *group).alias("_g"), F.col(owner).alias("_o"), F.col(element).alias("_e")).filter("_e is not null").distinct()
+    owners = s.groupBy("_g", "_o").agg(F.sort_array(F.collect_list("_e")).alias("_a"))
+    nodes = owners.groupBy("_g", "_a").agg(F.min("_o").alias("_y"), F.collect_list("_o").alias("_os")).withColumn("_n", F.size("_a").cast("long"))
+    spread = nodes.select("_g", "_y", "_n", F.explode("_a").alias("_e"))
+    ranked = spread.join(spread.groupBy("_e").agg(F.count("*").alias("_f")), "_e").groupBy("_g", "_y", "_n").agg(F.sort_array(F.collect_list(F.struct("_f", "_e"))).alias("_r"))
+    rare = ranked.filter(F.col("_n") >= least).select("_g", "_y", "_n", F.explode(F.slice("_r", 1, (F.col("_n") - F.ceil(share * F.col("_n")) + 1).cast("int"))).alias("_p")).select("_g", "_y", "_n", "_p._e")
+    to = spread.select(F.col("_g").alias("_tg"), F.col("_y").alias("_ty"), "_e")
+    sized = nodes.select("_g", "_y", "_n", "_a")
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        """Pairs of nodes that hold: `_g, _y, _hit` of the least."""
+        both = pairs.select("_g", "_y", "_tg", "_ty").distinct().join(sized, ["_g", "_y"]).join(nodes.select(F.col("_g").alias("_tg"), F.col("_y").alias("_ty"), F.col("_a").alias("_ta")), ["_tg", "_ty"])
+        both = both.withColumn("_k", F.size(F.array_intersect("_a", "_ta")).cast("long")).filter(F.col("_k") >= share * F.col("_n"))
+        return both.groupBy("_g", "_y").agg(F.min(F.struct("_tg", "_ty", "_k")).alias("_hit"))
+
+    leads = to.groupBy(F.col("_tg").alias("_g"), "_e").agg(F.min("_ty").alias("_ty")).withColumn("_tg", F.col("_g"))
+    tried = verified(rare.join(leads, ["_g", "_e"]).filter("_ty < _y")).select("_g", "_y", F.col("_hit._ty").alias("_bound"))
+    left = rare.join(tried, ["_g", "_y"], "left").withColumn("_bound", F.coalesce("_bound", "_y"))
+    inner = left.join(to.withColumn("_g", F.col("_tg")), ["_g", "_e"]).filter("_ty < _bound").select("_g", "_y", "_tg", "_ty")
+    pairs = inner.unionByName(tried.select("_g", "_y", F.col("_g").alias("_tg"), F.col("_bound").alias("_ty")))
+    if across:
+        heads = rare.join(nodes.groupBy("_g").agg(F.min("_y").alias("_y")), ["_g", "_y"], "left_semi")
+        pairs = pairs.unionByName(heads.join(to, "_e").filter("_g != _tg").select("_g", "_y", "_tg", "_ty"))
+    best = nodes.join(verified(pairs), ["_g", "_y"], "left").filter(F.col("_n") >= least).withColumn("_o", F.explode("_os"))
+    own = F.when(F.col("_o") > F.col("_y"), F.struct(F.col("_g").alias("_tg"), F.col("_y").alias("_ty"), F.col("_n").alias("_k")))
+    hits = best.withColumn("_hit", F.least("_hit", own)).filter("_hit is not null")
+    extra = [F.col(f"_hit._tg.{c}").alias(f"repeats_{c}") for c in group] if across else []
+    return hits.select(*[F.col(f"_g.{c}").alias(c) for c in group], F.col("_o").alias(owner), F.col("_n").alias("size"), *extra, F.col("_hit._ty").alias("repeats"), F.col("_hit._k").alias("shared"))
+
+
 def word_windows(df: DataFrame, id_: str, text: str, words: int) -> DataFrame:
     """`id, place, _h` of every run of `words` words of the whole text, by 128 bits; a text with fewer words is one run."""
     w = F.filter(F.split(F.col(text), "[ \t\n\r]+"), lambda x: x != "")

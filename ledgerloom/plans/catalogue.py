@@ -214,6 +214,18 @@ def near_dup_documents(t):
     return J.contained_earlier(rows.select("doc_id", F.unhex(F.sha2(F.trim("l"), 256)).alias("e")), [], "doc_id", "e")
 
 
+@query(
+    "q_contained_documents",
+    """WITH s AS (SELECT DISTINCT doc_id, sha256(trim(l)) AS e FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS l FROM documents) WHERE trim(l) <> ''),
+    z AS (SELECT doc_id, count(*) AS size FROM s GROUP BY ALL),
+    p AS (SELECT x.doc_id, y.doc_id AS r, count(*) AS shared FROM s x JOIN s y ON x.e = y.e AND y.doc_id < x.doc_id GROUP BY ALL)
+    SELECT doc_id, size, min(r) AS repeats, arg_min(shared, r) AS shared FROM p JOIN z USING (doc_id) WHERE shared >= 0.8 * size GROUP BY ALL""",
+)
+def contained_documents(t):
+    rows = t.documents.select("doc_id", F.explode(F.split("text", "\n")).alias("l")).filter("trim(l) <> ''")
+    return J.first_containing(rows.select("doc_id", F.unhex(F.md5(F.trim("l"))).alias("e")), [], "doc_id", "e")
+
+
 @query(
     "q_unique_anchor_join",
     """WITH a AS (SELECT min(doc_id) AS doc_id, k FROM (SELECT doc_id, left(text, 40) AS k FROM documents) GROUP BY k HAVING count(*) = 1),

@@ -277,3 +277,30 @@ def test_serial_queries_read_every_order(spark, tmp_path):
     assert sorted(run("q_serial_segments", "file", "first_k", "last_k", "offset")) == sorted(segs)
     got = run("q_serial_assignment", "file", "k", "assigned")
     assert len(got) == len(orders) and set(got) == assigned
+
+
+@pytest.mark.parametrize("across", [False])
+def test_first_containing(spark, across):
+    """Brute force by the reference's two rules; a last page reprinted at the head of the next file is found across files."""
+    rnd = random.Random(5)
+    pages = {(g, o): set(rnd.sample(range(14), rnd.randint(1, 7))) for g in "abcd" for o in range(12)}
+    pages |= {("a", 20): set(range(100, 110)), ("b", -1): set(range(100, 109)), ("c", 30): {1, 2, 3}, ("c", 31): {1, 2, 3}, ("c", 32): {1, 2, 3, 4}}
+    d = spark.createDataFrame([(g, o, e) for (g, o), v in pages.items() for e in v], "g string, o int, e int")
+    want = set()
+    for (g, o), v in pages.items():
+        head = across and o == min(p for f, p in pages if f == g)
+        hits = [k for k in sorted(pages) if ((k[0] == g and k[1] < o) or (head and k[0] != g)) and len(v & pages[k]) >= 0.8 * len(v)]
+        if len(v) >= 2 and hits:
+            want.add((g, o, len(v), *hits[0][0 if across else 1 :], len(v & pages[hits[0]])))
+    got = [tuple(r) for r in J.first_containing(d, ["g"], "o", "e", 0.8, 2, across).collect()]
+    assert len(got) == len(want) and set(got) == want
+    assert (("b", -1, 9, "a", 20, 9) in want) is across
+    if not across:
+        assert {tuple(r) for r in J.contained_earlier(d, ["g"], "o", "e", 0.8, 2).select("g", "o", "size", "repeats", "shared").collect()} == want
+
+
+def test_short_lines_count(spark, tmp_path):
+    """A document whose shared lines are all short is contained; one is not that only shares its long line."""
+    docs = [(1, "a\nb\nc\nd\n" + "x" * 30), (2, "a\nb\nc\nd"), (3, "p\nq\nr\n" + "x" * 30), (4, "\n \n")]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert [tuple(r) for r in catalogue.QUERIES["q_contained_documents"](spark, str(tmp_path)).collect()] == [(2, 4, 1, 4)]
