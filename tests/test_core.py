@@ -279,7 +279,7 @@ def test_serial_queries_read_every_order(spark, tmp_path):
     assert len(got) == len(orders) and set(got) == assigned
 
 
-@pytest.mark.parametrize("across", [False])
+@pytest.mark.parametrize("across", [False, True])
 def test_first_containing(spark, across):
     """Brute force by the reference's two rules; a last page reprinted at the head of the next file is found across files."""
     rnd = random.Random(5)
