@@ -202,6 +202,19 @@ def repeated_sets(t):
     return J.contained_earlier(d, ["o_custkey"], "o_orderkey", "e", 0.8, 2)
 
 
+@query(
+    "q_repeated_part_sets",
+    """WITH s AS (SELECT DISTINCT o_custkey AS g, o_orderkey AS o, l_partkey AS e FROM orders JOIN lineitem ON o_orderkey = l_orderkey),
+    z AS (SELECT g, o, count(*) AS size FROM s GROUP BY ALL), f AS (SELECT g, min(o) AS head FROM s GROUP BY g),
+    p AS (SELECT x.g, x.o, y.g AS rg, y.o AS r, count(*) AS shared FROM s x JOIN f ON f.g = x.g JOIN s y ON x.e = y.e AND ((y.g = x.g AND y.o < x.o) OR (y.g <> x.g AND x.o = head)) GROUP BY ALL)
+    SELECT g AS o_custkey, o AS o_orderkey, size, rg AS repeats_o_custkey, r AS repeats, shared FROM p JOIN z USING (g, o)
+    WHERE size >= 2 AND shared >= 0.8 * size QUALIFY row_number() OVER (PARTITION BY g, o ORDER BY rg, r) = 1""",
+)
+def repeated_part_sets(t):
+    d = t.orders.select("o_custkey", "o_orderkey").join(t.lineitem.select("l_orderkey", F.col("l_partkey").alias("e")), F.col("o_orderkey") == F.col("l_orderkey"))
+    return J.first_containing(d, ["o_custkey"], "o_orderkey", "e", 0.8, 2, across=True)
+
+
 @query(
     "q_near_dup_documents",
     """WITH s AS (SELECT DISTINCT doc_id, sha256(trim(l)) AS e FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS l FROM documents) WHERE length(trim(l)) >= 20),

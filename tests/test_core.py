@@ -304,3 +304,12 @@ def test_short_lines_count(spark, tmp_path):
     docs = [(1, "a\nb\nc\nd\n" + "x" * 30), (2, "a\nb\nc\nd"), (3, "p\nq\nr\n" + "x" * 30), (4, "\n \n")]
     spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     assert [tuple(r) for r in catalogue.QUERIES["q_contained_documents"](spark, str(tmp_path)).collect()] == [(2, 4, 1, 4)]
+
+
+def test_part_sets_are_whole_keys(spark, tmp_path):
+    """Parts 200 apart differ; repeats within a customer and of a customer's first order in another's are found."""
+    lines = {(1, 10): [1, 2, 3], (1, 11): [201, 202, 203], (1, 12): [1, 2, 3], (2, 20): [201, 202], (2, 21): [1, 2], (3, 30): [7, 8, 9]}
+    spark.createDataFrame([(o, c) for c, o in lines], "o_orderkey long, o_custkey long").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame([(o, e) for (_, o), v in lines.items() for e in v], "l_orderkey long, l_partkey long").write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = {tuple(r) for r in catalogue.QUERIES["q_repeated_part_sets"](spark, str(tmp_path)).collect()}
+    assert got == {(1, 12, 3, 1, 10, 3), (2, 20, 2, 1, 11, 2)}
