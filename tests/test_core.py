@@ -16,7 +16,7 @@ from ledgerloom.operators import quality as Q
 from ledgerloom.operators import sets as U
 from ledgerloom.operators import windows as W
 from ledgerloom.operators.linkage import assign, link
-from ledgerloom.operators.sequences import assign_serials, segments, serial_segments, supports
+from ledgerloom.operators.sequences import assign_serials, matched_reads, segments, serial_segments, serial_steps, supports
 from ledgerloom.plans import catalogue
 
 
@@ -313,3 +313,12 @@ def test_part_sets_are_whole_keys(spark, tmp_path):
     spark.createDataFrame([(o, e) for (_, o), v in lines.items() for e in v], "l_orderkey long, l_partkey long").write.parquet(f"{tmp_path}/lineitem.parquet")
     got = {tuple(r) for r in catalogue.QUERIES["q_repeated_part_sets"](spark, str(tmp_path)).collect()}
     assert got == {(1, 12, 3, 1, 10, 3), (2, 20, 2, 1, 11, 2)}
+
+
+def test_reads_to_steps(spark):
+    heads = [("f", 1, k, n) for k, n in enumerate(["Rampur Kalan", "Sonepat", "Rampur-Kalan", "Dabwali"])] + [("f", 2, k, f"Village {chr(97 + k) * 8}") for k in range(4, 8)]
+    reads = [("f", 1, 9, "rampur kalam"), ("f", 1, 3, "zzzz"), ("f", 2, 5, "Dabwali")] + [("f", 2, k + (1 if k < 6 else 4), f"Village {chr(97 + k) * 8}") for k in range(4, 8)]
+    got = matched_reads(spark.createDataFrame(reads, "file string, page int, serial int, name string"), spark.createDataFrame(heads, "file string, page int, k int, name string"), ["file", "page"], "k", "serial", "name")
+    assert {(r["k"], r["serial"]) for r in got.collect()} == {(2, 9), (4, 5), (5, 6), (6, 10), (7, 11)}
+    steps = serial_steps(segments(got.filter("page = 2"), "file", "k", "serial"), "file")
+    assert [tuple(r) for r in steps.collect()] == [("f", 5, 6, 1, 4, 3)]
