@@ -1,13 +1,15 @@
 """The registered queries on the smallest tables, against their SQL or brute force, and the pipeline's stages."""
 
 import collections
+import random
+import re
 
 import duckdb
 import pytest
 from test_operators import WORD, brute_substrings, check_packing, jaccard, shingles
 
 import corpus_pipeline
-from ledgerloom.llm import line_dedup, queries, quality_rules
+from ledgerloom.llm import line_dedup, queries, quality_rules, url_filters
 
 
 @pytest.fixture(scope="module")
@@ -79,3 +81,22 @@ def test_pipeline(spark, sf):
             assert steps[3][i] == steps[2][i]
     check_packing(rows, list(steps[3].items()), 2048)
     assert line_dedup.query(spark, sf).count() == source.count()
+
+
+def test_urls_with_links_against_sql(spark, tmp_path):
+    """The whole of operator 5 on pages that link hosts in a cycle, to a hub and at random: propagation changes verdicts."""
+    rnd = random.Random(3)
+    pages = duckdb.sql("SELECT page_id, url, coalesce(html, '') AS html FROM '/root/testdata/sf0.01/pages.parquet' ORDER BY page_id").df()
+    hosts = sorted({re.split("[/?#]", u.split("://", 1)[1])[0].lower() for u in pages["url"] if "://" in u} - {""})
+    assert len(hosts) > 2
+    links = [f'<a href="http://{h}/x">' for h in hosts]
+    linked = pages.assign(html=[t + links[i % len(hosts)] + links[0] + links[(i * 7 + 1) % len(hosts)] + rnd.choice(links) for i, t in enumerate(pages["html"])])
+    got, sql = {}, {}
+    for name, d in (("plain", pages), ("linked", linked)):
+        spark.createDataFrame(d, "page_id long, url string, html string").write.parquet(f"{tmp_path}/{name}/pages.parquet")
+        got[name] = sorted(map(tuple, queries.QUERIES["op5_url_filters"](spark, f"{tmp_path}/{name}").select("page_id", "host", "path", "rule", "verdict").collect()), key=str)
+        c = duckdb.connect()
+        c.sql(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/{name}/pages.parquet/*.parquet'")
+        sql[name] = sorted(c.sql(f"SELECT page_id, host, path, rule, verdict FROM ({queries.ORACLES['op5_url_filters']})").fetchall(), key=str)
+    assert got == sql and got["plain"] != got["linked"]
+    assert url_filters.host_edges(spark.read.parquet(f"{tmp_path}/linked/pages.parquet")).count() > len(hosts)
