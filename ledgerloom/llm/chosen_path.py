@@ -4,12 +4,13 @@ Texts become sets of 64-bit hashes of their five-word shingles; equal sets are o
 into the buckets of the few shingles that a shared hash samples from its set, buckets that are still large are split
 again by freshly sampled shingles, and small ones are brute-forced on 128 min-hashes of 16 bits. Runs are repeated
 until a pair at the threshold is missed with a probability of 1 - recall at most. What the sketches find similar
-(well below the threshold) is gathered into candidate components; within these the full sets are compared, block
-by block as matrix products, so links are exact, and counted without a row for a pair.
+(below the threshold) is gathered into candidate components; within these the full sets are compared as matrix
+products, so links are exact.
 
-A bucket only tells what is connected, so it gives a spanning forest of its similar members, not their pairs, and
-stops comparing when all are connected. A bucket that stays large on the last level (near copies of one text) is
-compared in pairs of blocks, all of them: nothing is capped.
+A bucket only tells what is connected, so it gives a spanning forest of its similar members, not their pairs. In a
+large bucket members are tied to leaders drawn by hash, one row a member, and only those that aren't connected yet
+go on; nothing is capped. In verification a block of nodes is one packed row, so the rows for a group of G near
+copies follow G: the G^2 / 2 comparisons that exact link counts need are products within a task.
 """
 
 from __future__ import annotations
@@ -30,13 +31,15 @@ from .tokens import text_slices
 from .wordhash import Words, mix
 
 SHINGLE, THRESHOLD, RECALL = 5, Fraction(4, 5), 0.99999
-#: Shingles sampled for a node at each level of a run, levels, and the largest bucket that one task brute-forces.
-PICKS, LEVELS, BUCKET = 4.0, 3, 2000
-#: Min-hashes of a sketch; estimates from which two nodes are candidates, and from which one may stand for the other.
-#: A partner (.8) of a node that left for a leader (.86 or more) resembles the leader by .66 or more: 4 deviations above.
-SKETCH, ALIKE, LEAVES = 128, 0.5, 0.95
-#: Nodes of a candidate component compared with as many others in one task.
-BLOCK = 1000
+#: Shingles sampled for a node at each level of a run, levels, and the largest bucket that is brute-forced.
+PICKS, LEVELS, BUCKET = 4.0, 3, 1000
+#: Min-hashes of a sketch, and the estimate from which two nodes are candidates: 5 deviations below a pair at .8.
+SKETCH, ALIKE = 128, 0.62
+#: Leaders drawn from a large bucket (about), estimates from which a member is tied to a leader, and from which it is
+#: settled. A partner (.8) of a settled member resembles its leader by .7, so it is tied to it as well: 5 deviations.
+LEADERS, TIED, SETTLED = 200, 0.5, 0.9
+#: Nodes of a candidate component in one block, and the bytes of their sets.
+BLOCK, BLOCK_BYTES = 600, 16 << 20
 _RNG = np.random.Generator(np.random.PCG64(77))
 _MIN = _RNG.integers(1, 2**63, SKETCH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -102,7 +105,8 @@ def _signatures(runs: int, levels: int, picks: float, size: int):
             cell = np.bincount(row[at] * len(slots) + slot, minlength=len(n) * len(slots))
             inner = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(cell)].astype(np.int32)), pa.array(hashes[at].view(np.int64)))
             outer = pa.ListArray.from_arrays(pa.array((np.arange(len(n) + 1) * len(slots)).astype(np.int32)), inner)
-            yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("_sum"), pa.array(node, pa.binary()), pa.array(sketches, pa.binary()), outer], names=["_id", "_sum", "node", "sketch", "picks"])
+            columns = [batch.column("_id"), batch.column("_sum"), pa.array(node, pa.binary()), pa.array(n.astype(np.int64)), pa.array(sketches, pa.binary()), outer]
+            yield pa.RecordBatch.from_arrays(columns, names=["_id", "_sum", "node", "n", "sketch", "picks"])
 
     return sign
 
@@ -124,17 +128,13 @@ def _pairs(nodes: list[bytes], sketches: np.ndarray, starts: np.ndarray) -> Iter
                     yield nodes[k + i], nodes[k + j]
     for g in np.flatnonzero(sizes > 4).tolist():
         at, own = int(starts[g]), sketches[starts[g] : starts[g + 1]]
-        label, left, parts = np.arange(len(own)), np.arange(len(own)), len(own)
-        while len(left) and parts > 1:
-            like = alike(own, own[left[0]])
-            near = np.flatnonzero((like >= ALIKE) & (label != label[left[0]]))
+        label = np.arange(len(own))
+        for i in range(len(own) - 1):  # only what isn't connected with i yet is compared with it
+            rest = i + 1 + np.flatnonzero(label[i + 1 :] != label[i])
+            near = rest[alike(own[rest], own[i]) >= ALIKE]
             for k in near[np.unique(label[near], return_index=True)[1]].tolist():
-                yield nodes[at + int(left[0])], nodes[at + k]
-                label[label == label[k]] = label[left[0]]
-                parts -= 1
-            stay = like[left] < LEAVES
-            stay[0] = False
-            left = left[stay]
+                yield nodes[at + i], nodes[at + k]
+                label[label == label[k]] = label[i]
 
 
 def _edges(pairs: Iterator[tuple[bytes, bytes]]) -> pa.RecordBatch:
@@ -173,15 +173,66 @@ def _starts(table: pa.Table, keys: list[str]) -> np.ndarray:
 
 
 def brute_force(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Candidate edges of buckets or pairs of their blocks (`key, i, j, node, sketch`, sorted)."""
-    keys = ["key", "i", "j"]
-    for table in _grouped(batches, keys, 10_000):
-        yield _edges(_pairs(table.column("node").to_pylist(), _sketches(table.column("sketch")), np.r_[_starts(table, keys), table.num_rows]))
+    """Candidate edges of small buckets (`key, node, sketch`, sorted)."""
+    for table in _grouped(batches, ["key"], 10_000):
+        yield _edges(_pairs(table.column("node").to_pylist(), _sketches(table.column("sketch")), np.r_[_starts(table, ["key"]), table.num_rows]))
 
 
-def candidate_edges(nodes: DataFrame, runs: int, levels: int, bucket: int = BUCKET) -> DataFrame:
-    """Edges (`a, b`) that connect the nodes (`node, sketch, picks`) which meet in a bucket and have similar sketches."""
-    out = []
+def _trees(hit: np.ndarray) -> np.ndarray:
+    """The least member that each row can reach, in a symmetric matrix of links."""
+    root = np.arange(len(hit))
+    while True:
+        new = np.minimum(root, np.where(hit, root[None, :], len(hit)).min(axis=1, initial=len(hit)))
+        new = np.minimum(new, new[new])
+        if (new == root).all():
+            return root
+        root = new
+
+
+def follow_leaders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of large buckets, each with all leaders of its bucket as guests, to one row for each member.
+
+    `ties` are the leaders that the member resembles, one for each tree of leaders, `label` is the root of the tree
+    of the nearest one, and settled are members so near to a leader that all their partners are tied to its tree.
+    """
+    for table in _grouped(batches, ["key", "part"], 4000):
+        starts = np.r_[_starts(table, ["key", "part"]), table.num_rows].tolist()
+        node, sketch = table.column("node").to_pylist(), _sketches(table.column("sketch"))
+        guest = table.column("guest").to_numpy(zero_copy_only=False).astype(bool)
+        keep, labels, settled, ties = np.flatnonzero(~guest), [], [], []
+        for a, b in zip(starts[:-1], starts[1:], strict=True):
+            leaders, members = a + np.flatnonzero(guest[a:b]), a + np.flatnonzero(~guest[a:b])
+            if not len(leaders):
+                labels, settled, ties = labels + [None] * len(members), settled + [False] * len(members), ties + [[]] * len(members)
+                continue
+            tree = _trees(np.stack([alike(sketch[leaders], sketch[k]) for k in leaders]) >= TIED)
+            like = np.stack([alike(sketch[members], sketch[k]) for k in leaders], axis=1)
+            own = [[] for _ in members]
+            for t in np.unique(tree).tolist():
+                inside = np.flatnonzero(tree == t)
+                best = inside[like[:, inside].argmax(axis=1)]
+                for m in np.flatnonzero(like[np.arange(len(members)), best] >= TIED).tolist():
+                    leader = node[leaders[best[m]]]
+                    own[m].append(node[leaders[t]] if leader == node[members[m]] else leader)
+            best = like.argmax(axis=1)
+            top = like[np.arange(len(members)), best]
+            labels += [node[leaders[tree[k]]] if x >= TIED else None for k, x in zip(best.tolist(), top.tolist(), strict=True)]
+            settled += (top >= SETTLED).tolist()
+            ties += own
+        arrays = [table.column(c).take(pa.array(keep)).combine_chunks() for c in ("run", "key", "node")]
+        arrays = [x.chunk(0) if isinstance(x, pa.ChunkedArray) else x for x in arrays]
+        yield pa.RecordBatch.from_arrays([*arrays, pa.array(labels, pa.binary()), pa.array(settled, pa.bool_()), pa.array(ties, pa.list_(pa.binary()))], names=["run", "key", "node", "label", "settled", "ties"])
+
+
+def candidate_edges(nodes: DataFrame, runs: int, levels: int, bucket: int = BUCKET, leaders: int = LEADERS) -> DataFrame:
+    """Edges (`a, b`) that connect the nodes (`node, sketch, picks`) which meet in a bucket and have similar sketches.
+
+    Small buckets are brute-forced. Of a large one some leaders are drawn by hash and its members tied to those they
+    resemble: a row a member. What is so near to a leader that its partners must resemble him too is settled; the
+    others are split further, unless all are in one tree anyway. After the last level leaders are drawn anew from
+    what is left, twice as many each time, until it is small.
+    """
+    sketches, found = nodes.select(F.col("node").alias("_n"), "sketch"), []
 
     def counted(members: DataFrame) -> DataFrame:
         """Buckets of two and more, with their size; the sizes are written so that hot buckets can be split in the join."""
@@ -192,26 +243,42 @@ def candidate_edges(nodes: DataFrame, runs: int, levels: int, bucket: int = BUCK
         return out
 
     def brute(buckets: DataFrame) -> None:
-        parts = F.ceil(F.col("size") * 2 / bucket).cast("int")
-        parts = F.when(F.col("size") > bucket, parts).otherwise(1)  # two blocks fill a task
-        rows = buckets.select("key", "node", parts.alias("parts")).withColumn("_b", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
-        rows = rows.withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("key", F.least("_b", "_o").alias("i"), F.greatest("_b", "_o").alias("j"), "node")
-        with_sketch = rows.join(nodes.select(F.col("node").alias("_n"), "sketch"), F.col("node") == F.col("_n")).select("key", "i", "j", "node", "sketch")
-        out.append(stash(with_sketch.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "node").mapInArrow(brute_force, "a binary, b binary"), "found"))
-
-    level1 = nodes.select("node", F.posexplode(F.slice("picks", 1, runs)).alias("run", "_p")).select("run", "node", F.explode("_p").alias("_t"))
-    buckets = counted(level1.select("run", F.xxhash64("run", "_t").alias("key"), "node"))
-    for level in range(1, levels):
+        rows = buckets.select("key", "node").join(sketches, F.col("node") == F.col("_n")).select("key", "node", "sketch")
+        found.append(stash(rows.repartition("key").sortWithinPartitions("key", "node").mapInArrow(brute_force, "a binary, b binary"), "found"))
+
+    def lead(large: DataFrame, salt: int, number: int) -> DataFrame:
+        """Ties the members of large buckets to their leaders; returns the members still open."""
+        parts = F.ceil(F.col("size") / bucket).cast("int")
+        drawn = F.pmod(F.xxhash64("key", "node", F.lit(salt)), F.col("size")) < number
+        at = lambda p, guest: F.struct(p.cast("int").alias("part"), F.lit(guest).alias("guest"))
+        own = F.array(at(F.pmod(F.xxhash64("node"), parts), False))
+        places = F.when(drawn, F.concat(own, F.transform(F.sequence(F.lit(0), parts - 1), lambda p: at(p, True)))).otherwise(own)
+        rows = large.join(sketches, F.col("node") == F.col("_n")).select("run", "key", "node", "sketch", F.explode(places).alias("_p")).select("run", "key", "_p.*", "node", "sketch")
+        rows = rows.repartition("key", "part").sortWithinPartitions("key", "part", "guest", "node")
+        led = stash(rows.mapInArrow(follow_leaders, "run int, key long, node binary, label binary, settled boolean, ties array<binary>"), "led")
+        found.append(led.select(F.col("node").alias("a"), F.explode("ties").alias("b")).filter("a <> b"))
+        open_ = led.filter("not settled")
+        many = open_.groupBy(F.col("key").alias("_key")).agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count_if(F.col("label").isNull()).alias("alone"))
+        many = stash(many.filter("alone > 0 or lo <> hi").select("_key"), "many")
+        return open_.join(many, F.col("key") == F.col("_key")).select("run", "key", "node")
+
+    members = nodes.select("node", F.posexplode(F.slice("picks", 1, runs)).alias("run", "_p")).select("run", "node", F.explode("_p").alias("_t")).select("run", F.xxhash64("run", "_t").alias("key"), "node")
+    level, number = 0, leaders
+    while True:
+        buckets = counted(members)
+        brute(buckets.filter(F.col("size") <= bucket))
         large = buckets.filter(F.col("size") > bucket)
         if large.isEmpty():
             break
-        brute(buckets.filter(F.col("size") <= bucket))
-        deeper = large.select("run", "key", "node").join(nodes.select(F.col("node").alias("_n"), "picks"), F.col("node") == F.col("_n"))
-        deeper = deeper.select("run", "key", "node", F.explode(F.get("picks", F.lit(level * runs) + F.col("run"))).alias("_t"))
-        buckets = counted(deeper.select("run", F.xxhash64("key", "_t").alias("key"), "node"))
-    brute(buckets)
-    edges = out[0]
-    for more in out[1:]:
+        members = lead(large, level, number)
+        level += 1
+        if level < levels:
+            deeper = members.join(nodes.select(F.col("node").alias("_n"), "picks"), F.col("node") == F.col("_n"))
+            members = deeper.select("run", "key", "node", F.explode(F.get("picks", F.lit(level * runs) + F.col("run"))).alias("_t")).select("run", F.xxhash64("key", "_t").alias("key"), "node")
+        else:
+            number *= 2
+    edges = found[0]
+    for more in found[1:]:
         edges = edges.unionAll(more)
     return edges
 
@@ -222,59 +289,132 @@ def _links(overlap: np.ndarray, n: np.ndarray, m: np.ndarray, threshold: Fractio
     return overlap.astype(np.int64) * (p + q) >= p * (n[:, None] + m[None, :])
 
 
-def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
-    """Sizes of all intersections, as products of 0/1 matrices over the shingles that two sets or more share."""
-    n = len(sets)
+def _overlaps(left: list[np.ndarray], right: list[np.ndarray] | None = None) -> np.ndarray:
+    """Sizes of all intersections (of left with itself if there is no right), as products of 0/1 matrices over the shingles that two sets or more share."""
+    sets = left + (right or [])
+    n, split = len(sets), len(left)
     flat, own = np.concatenate(sets), np.repeat(np.arange(n), [len(s) for s in sets])
-    if n == 2:
+    if n == 2 and right is None:
         return np.array([[len(sets[0]), x := len(flat) - len(np.unique(flat))], [x, len(sets[1])]])
     _, inverse, counts = np.unique(flat, return_inverse=True, return_counts=True)
     shared = counts[inverse] > 1
     number = np.cumsum(counts > 1) - 1
     column, own = number[inverse[shared]], own[shared]
-    out, step = np.zeros((n, n), dtype=np.float32), max(256, 4_000_000 // n)
+    out, step = np.zeros((split, n if right is None else n - split), dtype=np.float32), max(256, 4_000_000 // n)
     order = np.argsort(column, kind="stable")
     column, own = column[order], own[order]
     for lo in range(0, int(column[-1]) + 1 if len(column) else 0, step):
         a, b = np.searchsorted(column, [lo, lo + step])
         m = np.zeros((n, min(step, int(column[-1]) + 1 - lo)), dtype=np.float32)
         m[own[a:b], column[a:b] - lo] = 1
-        out += m @ m.T
-    return np.rint(out).astype(np.int64)
-
-
-def _verify(threshold: Fraction):
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Blocks (`comp, i, j, block, node, weight, shingles`, sorted) to links counted for each node and edges to local roots."""
-        for table in _grouped(batches, ["comp", "i", "j"], 2000):
-            starts = np.r_[_starts(table, ["comp", "i", "j"]), table.num_rows].tolist()
-            node, weight = table.column("node").to_pylist(), table.column("weight").to_numpy()
-            i, block = table.column("i").to_numpy(), table.column("block").to_numpy()
-            both = table.column("i").to_numpy() != table.column("j").to_numpy()
+        out += m @ m.T if right is None else m[:split] @ m[split:].T
+    out = np.rint(out).astype(np.int64)
+    if right is None:
+        np.fill_diagonal(out, [len(s) for s in left])
+    return out
+
+
+BLOCKS = "comp binary, block int, parts int, nodes array<binary>, weights array<long>, links array<long>, roots array<binary>, sizes array<int>, sets binary"
+
+
+def _within(threshold: Fraction):
+    def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Blocks of candidate components (`comp, block, parts, node, weight, shingles`, sorted) to one row each: links within, local roots, and the packed sets where other blocks follow."""
+        for table in _grouped(batches, ["comp", "block"], 500):
+            starts = np.r_[_starts(table, ["comp", "block"]), table.num_rows].tolist()
+            node, weight, parts = table.column("node").to_pylist(), table.column("weight").to_numpy(), table.column("parts").to_numpy()
             shingles = table.column("shingles").combine_chunks()
             shingles = shingles.chunk(0) if isinstance(shingles, pa.ChunkedArray) else shingles
-            names, links, roots = [], [], []
+            out: list[list] = [[] for _ in range(6)]
             for a, b in zip(starts[:-1], starts[1:], strict=True):
                 sets = [np.frombuffer(shingles[k].as_buffer(), dtype="<u8") for k in range(a, b)]
                 n = np.array([len(s) for s in sets])
                 hit = _links(_overlaps(sets), n, n, threshold)
                 np.fill_diagonal(hit, False)
-                if both[a]:  # pairs within a block are counted where the block meets itself
-                    left = block[a:b] == i[a]
-                    hit &= left[:, None] != left[None, :]
-                names += node[a:b]
-                links += (hit @ weight[a:b]).tolist()
-                root = np.arange(b - a)
-                while True:  # least member that can be reached
-                    new = np.minimum(root, np.where(hit, root[None, :], b - a).min(axis=1))
-                    new = np.minimum(new, new[new])
-                    if (new == root).all():
-                        break
-                    root = new
-                roots += [node[a + k] for k in root.tolist()]
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(links, pa.int64()), pa.array(roots, pa.binary())], names=["node", "links", "root"])
-
-    return verify
+                more = parts[a] > 1
+                row = (node[a:b], weight[a:b], hit @ weight[a:b], [node[a + k] for k in _trees(hit).tolist()], n.astype(np.int32) if more else None, pa.compress(np.concatenate(sets).tobytes(), "zstd", asbytes=True) if more else None)
+                for column, value in zip(out, row, strict=True):
+                    column.append(value)
+            kinds = [pa.list_(pa.binary()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.binary()), pa.list_(pa.int32()), pa.binary()]
+            at = pa.array(starts[:-1], pa.int64())
+            head = [table.column(c).take(at).combine_chunks() for c in ("comp", "block", "parts")]
+            head = [x.chunk(0) if isinstance(x, pa.ChunkedArray) else x for x in head]
+            yield pa.RecordBatch.from_arrays([*head, *[pa.array(c, k) for c, k in zip(out, kinds, strict=True)]], names=["comp", "block", "parts", "nodes", "weights", "links", "roots", "sizes", "sets"])
+
+    return within
+
+
+def _unpacked(sets: bytes, sizes: list[int]) -> list[np.ndarray]:
+    flat = np.frombuffer(pa.decompress(sets, 8 * sum(sizes), "zstd", asbytes=True), dtype="<u8")
+    return np.split(flat, np.cumsum(sizes)[:-1])
+
+
+def _bridges(hit: np.ndarray, left: list[bytes], right: list[bytes]) -> list[tuple[bytes, bytes]]:
+    """Edges of a spanning forest between the trees (named by their roots) of two blocks."""
+    names = {r: k for k, r in enumerate(dict.fromkeys([*left, *right]))}
+    i, j = np.array([names[r] for r in left]), np.array([names[r] for r in right])
+    a, b = np.nonzero(hit)
+    pairs, label, back, out = np.unique(np.stack([i[a], j[b]], axis=1), axis=0), list(range(len(names))), list(names), []
+
+    def top(x: int) -> int:
+        while label[x] != x:
+            label[x] = x = label[label[x]]
+        return x
+
+    for x, y in pairs.tolist():
+        if (p := top(x)) != (q := top(y)):
+            label[p] = q
+            out.append((back[x], back[y]))
+    return out
+
+
+def _across(threshold: Fraction):
+    def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Pairs of blocks of one component (`comp, i, j`, then a row of BLOCKS for each, sorted) to links by block and edges between their trees: one row a pair."""
+        for table in _grouped(batches, ["comp", "i", "j"], 2):
+            rows = table.to_pylist()
+            out = []
+            for x, y in zip(rows[::2], rows[1::2], strict=True):
+                n, m = np.array(x["sizes"]), np.array(y["sizes"])
+                hit = _links(_overlaps(_unpacked(x["sets"], x["sizes"]), _unpacked(y["sets"], y["sizes"])), n, m, threshold)
+                edges = _bridges(hit, x["roots"], y["roots"])
+                out.append({"comp": x["comp"], "i": x["i"], "j": x["j"], "links_i": hit @ np.array(y["weights"]), "links_j": hit.T @ np.array(x["weights"]), "a": [e[0] for e in edges], "b": [e[1] for e in edges]})
+            kinds = {"comp": pa.binary(), "i": pa.int32(), "j": pa.int32(), "links_i": pa.list_(pa.int64()), "links_j": pa.list_(pa.int64()), "a": pa.list_(pa.binary()), "b": pa.list_(pa.binary())}
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in kinds.items()], names=list(kinds))
+
+    return across
+
+
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Link counts of blocks (`comp, block, nodes, links`, sorted, nodes in one row of a block) added up, to a row a block."""
+    for table in _grouped(batches, ["comp", "block"], 50):
+        starts = np.r_[_starts(table, ["comp", "block"]), table.num_rows].tolist()
+        nodes, links = table.column("nodes").to_pylist(), table.column("links").to_pylist()
+        named = [next(n for n in nodes[a:b] if n is not None) for a, b in zip(starts[:-1], starts[1:], strict=True)]
+        total = [np.sum(np.array(links[a:b], dtype=np.int64), axis=0) for a, b in zip(starts[:-1], starts[1:], strict=True)]
+        yield pa.RecordBatch.from_arrays([pa.array(named, pa.list_(pa.binary())), pa.array(total, pa.list_(pa.int64()))], names=["nodes", "links"])
+
+
+def verified(sets: DataFrame, threshold: Fraction) -> tuple[DataFrame, DataFrame]:
+    """Links counted for each node (`node, links`) and edges (`a, b`) that connect what is linked, from rows `comp, block, parts, node, weight, shingles`.
+
+    A block of a component is one row from here on. Blocks of one component meet pair by pair; a pair gives one row with the
+    links of both blocks' nodes, which are added up block by block, and edges between trees alone.
+    """
+    blocks = stash(sets.repartition("comp", "block").sortWithinPartitions("comp", "block", "node").mapInArrow(_within(threshold), BLOCKS), "blocks")
+    edges = blocks.select(F.inline(F.arrays_zip(F.col("nodes").alias("a"), F.col("roots").alias("b"))))
+    single = blocks.filter("parts = 1").select(F.inline(F.arrays_zip(F.col("nodes").alias("node"), F.col("links").alias("links"))))
+    large = blocks.filter("parts > 1")
+    if large.isEmpty():
+        return single, edges.filter("a <> b")
+    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    met = large.withColumn("_o", other).filter("_o <> block").select("comp", F.least("block", "_o").alias("i"), F.greatest("block", "_o").alias("j"), "block", "weights", "roots", "sizes", "sets")
+    pairs = stash(met.repartition("comp", "i", "j").sortWithinPartitions("comp", "i", "j", "block").mapInArrow(_across(threshold), "comp binary, i int, j int, links_i array<long>, links_j array<long>, a array<binary>, b array<binary>"), "pairs")
+    none = F.lit(None).cast("array<binary>")
+    parts = large.select("comp", "block", "nodes", "links").unionAll(pairs.select("comp", F.col("i"), none, F.col("links_i"))).unionAll(pairs.select("comp", F.col("j"), none, F.col("links_j")))
+    sums = parts.repartition("comp", "block").sortWithinPartitions("comp", "block").mapInArrow(_summed, "nodes array<binary>, links array<long>")
+    links = single.unionAll(sums.select(F.inline(F.arrays_zip(F.col("nodes").alias("node"), F.col("links").alias("links")))))
+    return links, edges.unionAll(pairs.select(F.inline(F.arrays_zip("a", "b")))).filter("a <> b")
 
 
 def _with_shingles(size: int):
@@ -301,26 +441,24 @@ def jaccard_join(docs: DataFrame, threshold: Fraction = THRESHOLD, recall: float
     ready(docs.sparkSession)
     runs = runs_for(recall, threshold=float(threshold))
     keyed = docs.select(F.col(f"`{id_col}`").cast("long").alias("_id"), text_of(text_col).alias("_text")).withColumn("_sum", F.xxhash64("_text"))
-    signed = stash(keyed.mapInArrow(_signatures(runs, LEVELS, PICKS, shingle), "_id long, _sum long, node binary, sketch binary, picks array<array<long>>"), "signatures")
-    first = F.min(F.struct("_id", "_sum", "sketch", "picks"))
+    signed = stash(keyed.mapInArrow(_signatures(runs, LEVELS, PICKS, shingle), "_id long, _sum long, node binary, n long, sketch binary, picks array<array<long>>"), "signatures")
+    first = F.min(F.struct("_id", "_sum", "n", "sketch", "picks"))
     nodes = stash(signed.filter("node is not null").groupBy("node").agg(first.alias("_rep"), F.count("*").alias("weight")).select("node", "weight", "_rep.*"), "nodes")
     copies = nodes.select("node", "weight", F.struct("_id", "_sum").alias("_rep"))
     comps = components(candidate_edges(nodes, runs, LEVELS))
-    sizes = stash(comps.groupBy(F.col("root").alias("_root")).agg(F.count("*").alias("_size")), "sizes")
-    placed = comps.join(sizes, F.col("root") == F.col("_root")).select(F.col("node").alias("_n"), F.col("root").alias("comp"), F.ceil(F.col("_size") / BLOCK).cast("int").alias("parts"))
-    placed = stash(copies.join(placed, F.col("node") == F.col("_n")).select(F.col("_rep._id").alias("_pi"), F.col("_rep._sum").alias("_ps"), "node", "weight", "comp", "parts"), "placed")
+    placed = stash(nodes.join(comps.withColumnRenamed("node", "_cn"), F.col("node") == F.col("_cn")).select(F.col("_id").alias("_pi"), F.col("_sum").alias("_ps"), "node", "weight", "n", F.col("root").alias("comp")), "placed")
+    parts = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") * 8 / BLOCK_BYTES)).cast("int")
+    sizes = stash(placed.groupBy(F.col("comp").alias("_root")).agg(parts.alias("parts")), "sizes")
+    placed = stash(placed.join(sizes, F.col("comp") == F.col("_root")).drop("_root", "n"), "placed")
     # One hashed key, so that Spark's run-time Bloom filter (at most 8 MB, used while `placed` is small) spares the shuffle
     # most texts; the ids are compared as well.
     same = F.coalesce("_id", F.lit(0)).bitwiseXOR(F.coalesce("_pi", F.lit(0))) == 0
     texts = keyed.withColumn("_k", F.xxhash64("_id", "_sum")).join(placed.filter("parts >= 1").withColumn("_pk", F.xxhash64("_pi", "_ps")), (F.col("_k") == F.col("_pk")) & same).dropDuplicates(["node"])
     sets = texts.select("comp", "node", "weight", "parts", "_text").mapInArrow(_with_shingles(shingle), "comp binary, node binary, weight long, parts int, shingles binary")
-    block = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
-    spread = sets.withColumn("block", block).withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    spread = spread.select("comp", F.least("block", "_o").alias("i"), F.greatest("block", "_o").alias("j"), "block", "node", "weight", "shingles")
     with settings(docs.sparkSession, spark__sql__optimizer__runtime__bloomFilter__applicationSideScanSizeThreshold="0"):
-        checked = stash(spread.repartition("comp", "i", "j").sortWithinPartitions("comp", "i", "j", "node").mapInArrow(_verify(threshold), "node binary, links long, root binary"), "checked")
-    links = checked.groupBy(F.col("node").alias("_ln")).agg(F.sum("links").alias("links"))
-    classes = components(checked.filter("root <> node").select(F.col("node").alias("a"), F.col("root").alias("b")).distinct()).select(F.col("node").alias("_cn"), F.col("root").alias("_cr"))
+        links, edges = verified(sets.withColumn("block", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")), threshold)
+    links = links.withColumnRenamed("node", "_ln")
+    classes = components(edges).select(F.col("node").alias("_cn"), F.col("root").alias("_cr"))
     whole = copies.join(classes, F.col("node") == F.col("_cn"), "left").join(links, F.col("node") == F.col("_ln"), "left")
     whole = stash(whole.select("node", "_rep", "weight", F.coalesce("_cr", "node").alias("_class"), (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links")), "nodes")
     firsts = stash(whole.groupBy(F.col("_class").alias("_fc")).agg(F.min("_rep").alias("_first")), "firsts")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stash
+from .common import discard, stash
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -23,6 +23,9 @@ def components(edges: DataFrame) -> DataFrame:
         up = least.select(F.col("node").alias("_up"), F.col("root").alias("_top"))
         jumped = stash(least.join(up, F.col("root") == F.col("_up")).select("node", F.least("root", "_top").alias("root")), "labels")
         old = labels.select(F.col("node").alias("_n"), F.col("root").alias("_r"))
-        if jumped.join(old, F.col("node") == F.col("_n")).filter("root <> _r").isEmpty():
+        still = jumped.join(old, F.col("node") == F.col("_n")).filter("root <> _r").isEmpty()
+        discard(least, labels)
+        if still:
+            discard(both)
             return jumped
         labels = jumped

@@ -182,7 +182,28 @@ def test_jaccard_join(spark, docs, empty):
                 c[rnd.randrange(len(c))] = f"v{rnd.randint(0, 9)}"
             texts.append(" ".join(c))
     d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = {r["_id"]: (r["class_id"], r["n_links"]) for r in chosen_path.jaccard_join(d).collect()}
+    found, want = chosen_path.jaccard_join(d).collect(), brute_links(texts)
+    assert {r["_id"]: (r["class_id"], r["n_links"]) for r in found} == want
+    same = collections.Counter(shingles(t) for t in texts)
+    assert {r["_id"]: r["n_copies"] for r in found} == {i: same[shingles(t)] if shingles(t) else 1 for i, t in enumerate(texts)}
+    assert sum(n for _, n in want.values()) > 200
+    assert chosen_path.jaccard_join(empty).count() == 0
+    kept = chosen_path.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert kept.filter("doc_id = 3").count() == 1 and kept.filter("doc_id in (10, 13)").isEmpty()  # the null id is the first of their class
+
+
+def copies_of(base, n, edits, seed):
+    rnd, out = random.Random(seed), []
+    for _ in range(n):
+        c = list(base)
+        for _ in range(edits):
+            c[rnd.randrange(len(c))] = f"v{rnd.randint(0, 10**6)}"
+        out.append(" ".join(c))
+    return out
+
+
+def brute_links(texts):
     sets, root, links = [shingles(t) for t in texts], list(range(len(texts))), [0] * len(texts)
     find = lambda x: x if root[x] == x else find(root[x])
     for i in range(len(texts)):
@@ -192,30 +213,39 @@ def test_jaccard_join(spark, docs, empty):
                 links[j] += 1
                 a, b = find(i), find(j)
                 root[max(a, b)] = min(a, b)
-    assert got == {i: (find(i), links[i]) for i in range(len(texts))}
-    assert sum(links) > 100
-    assert chosen_path.jaccard_join(empty).count() == 0
-    kept = chosen_path.keep_one(docs)
-    assert kept.columns == docs.columns
-    assert kept.filter("doc_id = 3").count() == 1 and kept.filter("doc_id in (10, 13)").isEmpty()  # the null id is the first of their class
+    return {i: (find(i), links[i]) for i in range(len(texts))}
 
 
-def test_large_buckets(spark, monkeypatch):
-    """Buckets over the limit are split, and what doesn't split is compared in blocks."""
+@pytest.mark.parametrize("edits", [1, 3])
+def test_large_buckets(spark, monkeypatch, edits):
+    """Large buckets go by leaders and large components by blocks: near copies of several texts that share half of their words."""
     monkeypatch.setattr(chosen_path, "BLOCK", 7)
-    rnd = random.Random(4)
-    base = [f"w{i}" for i in range(300)]
-    texts = []
-    for _ in range(60):
-        c = list(base)
-        for _ in range(2):
-            c[rnd.randrange(300)] = f"v{rnd.randint(0, 10**6)}"
-        texts.append(" ".join(c))
+    half = [f"w{i}" for i in range(150)]
+    texts = [t for k in range(3) for t in copies_of([*half, *[f"x{k}-{i}" for i in range(150)]], 40, edits, k)]
+    texts += [" ".join([*half[:40], *[f"y{k}-{i}" for i in range(60)]]) for k in range(30)]
+    monkeypatch.setattr(chosen_path, "candidate_edges", lambda n, r, lv, f=chosen_path.candidate_edges: f(n, r, lv, 16, 5))
     d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    monkeypatch.setattr(chosen_path, "candidate_edges", lambda n, r, lv, f=chosen_path.candidate_edges: f(n, r, lv, 16))
-    got = {r["_id"]: (r["class_id"], r["n_links"]) for r in chosen_path.jaccard_join(d).collect()}
-    sets = [shingles(t) for t in texts]
-    assert got == {i: (0, sum(jaccard(sets[i], s) >= 0.8 for j, s in enumerate(sets) if j != i)) for i in range(60)}
+    want = brute_links(texts)
+    assert {r["_id"]: (r["class_id"], r["n_links"]) for r in chosen_path.jaccard_join(d).collect()} == want
+    assert sum(n for _, n in want.values()) > 1000
+
+
+def test_rows_follow_the_size_of_a_group(spark, monkeypatch):
+    """Edges and link counts for one group of G near copies grow with G; only pairs of blocks, a row each, with (G / BLOCK)^2."""
+    monkeypatch.setattr(chosen_path, "BLOCK", 50)
+    seen = {}
+    for g in (400, 1600):
+        texts = copies_of([f"w{i}" for i in range(120)], g, 1, g)
+        d = spark.createDataFrame(list(enumerate(texts)), "_id long, _text string").withColumn("_sum", F.lit(0).cast("long"))
+        runs = 2
+        nodes = d.mapInArrow(chosen_path._signatures(runs, 3, 4.0, 5), "_id long, _sum long, node binary, n long, sketch binary, picks array<array<long>>").dropDuplicates(["node"]).cache()
+        edges = chosen_path.candidate_edges(nodes, runs, 3, 100, 20)
+        sets = d.select(F.lit(b"c").alias("comp"), F.xxhash64("_text").cast("string").cast("binary").alias("node"), F.lit(1).cast("long").alias("weight"), F.lit(g // 50).alias("parts"), "_text").mapInArrow(chosen_path._with_shingles(5), "comp binary, node binary, weight long, parts int, shingles binary")
+        links, tied = chosen_path.verified(sets.withColumn("block", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")), chosen_path.THRESHOLD)
+        seen[g] = (edges.count(), links.count(), tied.count())
+        assert seen[g][1] == nodes.count()
+        assert seen[g][2] <= g + (g // 50) * (g // 50 - 1) / 2
+    assert seen[1600][0] <= 4.5 * seen[400][0], seen
 
 
 def test_runs():
