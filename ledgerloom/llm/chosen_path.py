@@ -22,7 +22,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import discard, free_caches, ready, settings, stash, text_of
@@ -228,9 +228,9 @@ def candidate_edges(nodes: DataFrame, runs: int, levels: int, bucket: int = BUCK
     """Edges (`a, b`) that connect the nodes (`node, sketch, picks`) which meet in a bucket and have similar sketches.
 
     Small buckets are brute-forced. Of a large one some leaders are drawn by hash and its members tied to those they
-    resemble: a row a member. What is so near to a leader that its partners must resemble him too is settled; the
-    others are split further, unless all are in one tree anyway. After the last level leaders are drawn anew from
-    what is left, twice as many each time, until it is small.
+    resemble: a row a member. What is so near to a leader that its partners must resemble it too is settled; the
+    others are split further, unless nearly all are in one tree anyway. After the last level leaders are drawn anew
+    from what is left, four times as many each time, until it is small.
     """
     sketches, found = nodes.select(F.col("node").alias("_n"), "sketch"), []
 
@@ -246,28 +246,42 @@ def candidate_edges(nodes: DataFrame, runs: int, levels: int, bucket: int = BUCK
         rows = buckets.select("key", "node").join(sketches, F.col("node") == F.col("_n")).select("key", "node", "sketch")
         found.append(stash(rows.repartition("key").sortWithinPartitions("key", "node").mapInArrow(brute_force, "a binary, b binary"), "found"))
 
-    def lead(large: DataFrame, salt: int, number: int) -> DataFrame:
-        """Ties the members of large buckets to their leaders; returns the members still open."""
-        parts = F.ceil(F.col("size") / bucket).cast("int")
-        drawn = F.pmod(F.xxhash64("key", "node", F.lit(salt)), F.col("size")) < number
+    def follow(rows: DataFrame, size: Column, guest: Column) -> DataFrame:
+        """One row for each member (`run, key, node`) of large buckets, tied to the guests of its bucket."""
+        parts = F.ceil(size / bucket).cast("int")
         at = lambda p, guest: F.struct(p.cast("int").alias("part"), F.lit(guest).alias("guest"))
         own = F.array(at(F.pmod(F.xxhash64("node"), parts), False))
-        places = F.when(drawn, F.concat(own, F.transform(F.sequence(F.lit(0), parts - 1), lambda p: at(p, True)))).otherwise(own)
-        rows = large.join(sketches, F.col("node") == F.col("_n")).select("run", "key", "node", "sketch", F.explode(places).alias("_p")).select("run", "key", "_p.*", "node", "sketch")
+        places = F.when(guest, F.concat(own, F.transform(F.sequence(F.lit(0), parts - 1), lambda p: at(p, True)))).otherwise(own)
+        rows = rows.join(sketches, F.col("node") == F.col("_n")).select("run", "key", "node", "sketch", F.explode(places).alias("_p")).select("run", "key", "_p.*", "node", "sketch")
         rows = rows.repartition("key", "part").sortWithinPartitions("key", "part", "guest", "node")
         led = stash(rows.mapInArrow(follow_leaders, "run int, key long, node binary, label binary, settled boolean, ties array<binary>"), "led")
         found.append(led.select(F.col("node").alias("a"), F.explode("ties").alias("b")).filter("a <> b"))
-        open_ = led.filter("not settled")
-        many = open_.groupBy(F.col("key").alias("_key")).agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count_if(F.col("label").isNull()).alias("alone"))
-        many = stash(many.filter("alone > 0 or lo <> hi").select("_key"), "many")
-        return open_.join(many, F.col("key") == F.col("_key")).select("run", "key", "node")
+        return led
+
+    def lead(large: DataFrame, salt: int, number: int) -> DataFrame:
+        """Ties the members of large buckets to leaders drawn by hash; returns the members of buckets that must be split.
+
+        Members outside of their bucket's largest tree are strays. A few strays are guests once more, so that all
+        who are open meet them, which ends the bucket: the others are in one tree.
+        """
+        led = follow(large, F.col("size"), F.pmod(F.xxhash64("key", "node", F.lit(salt)), F.col("size")) < number)
+        open_ = led.filter("not settled").select("run", "key", "node", "label")
+        trees = open_.groupBy("key", "label").agg(F.count("*").alias("n"))
+        main = F.max_by(F.col("label"), F.when(F.col("label").isNotNull(), F.struct("n", "label")))
+        state = trees.groupBy(F.col("key").alias("_key")).agg(main.alias("main"), F.sum("n").alias("size"), (F.sum("n") - F.coalesce(F.max(F.when(F.col("label").isNotNull(), F.col("n"))), F.lit(0))).alias("strays"))
+        state = stash(state.filter("strays > 0"), "state")
+        left = stash(open_.join(state, F.col("key") == F.col("_key")).drop("_key"), "left")
+        few = left.filter(F.col("strays") <= bucket)
+        if not few.isEmpty():
+            follow(few, F.col("size"), ~F.col("label").eqNullSafe(F.col("main")))
+        return left.filter(F.col("strays") > bucket).select("run", "key", "node")
 
     members = nodes.select("node", F.posexplode(F.slice("picks", 1, runs)).alias("run", "_p")).select("run", "node", F.explode("_p").alias("_t")).select("run", F.xxhash64("run", "_t").alias("key"), "node")
     level, number = 0, leaders
     while True:
         buckets = counted(members)
         brute(buckets.filter(F.col("size") <= bucket))
-        large = buckets.filter(F.col("size") > bucket)
+        large = stash(buckets.filter(F.col("size") > bucket), "large")  # often few rows, so the sketches needn't be shuffled again
         if large.isEmpty():
             break
         members = lead(large, level, number)
@@ -276,7 +290,7 @@ def candidate_edges(nodes: DataFrame, runs: int, levels: int, bucket: int = BUCK
             deeper = members.join(nodes.select(F.col("node").alias("_n"), "picks"), F.col("node") == F.col("_n"))
             members = deeper.select("run", "key", "node", F.explode(F.get("picks", F.lit(level * runs) + F.col("run"))).alias("_t")).select("run", F.xxhash64("key", "_t").alias("key"), "node")
         else:
-            number *= 2
+            number *= 4
     edges = found[0]
     for more in found[1:]:
         edges = edges.unionAll(more)
