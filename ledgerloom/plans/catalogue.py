@@ -652,14 +652,26 @@ def _reads(t):
     return t.orders.select(F.col("o_custkey").alias("file"), k.alias("k"), (k + F.count_if(F.col("o_orderpriority") == "1-URGENT").over(turn)).alias("serial"))
 
 
-@query("q_serial_segments")
+_SERIALS = """WITH r AS (SELECT o_custkey AS file, count(*) OVER w AS k, count(*) FILTER (WHERE o_orderpriority = '1-URGENT') OVER w AS o
+    FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderkey ROWS UNBOUNDED PRECEDING)),
+s AS (SELECT file, min(k) AS first_k, max(k) AS last_k, o AS "offset" FROM r GROUP BY file, o HAVING count(*) > 1)
+"""
+
+
+@query("q_serial_segments", _SERIALS + 'SELECT file, first_k, last_k, "offset" FROM s')
 def serial_segments(t):
     from ledgerloom.operators.sequences import segments
 
     return segments(_reads(t), "file", "k", "serial")
 
 
-@query("q_serial_assignment")
+@query(
+    "q_serial_assignment",
+    _SERIALS
+    + """SELECT r.file, r.k, r.k + s."offset" AS assigned, CASE WHEN s.file IS NOT NULL THEN 'inside'
+    WHEN r.file IN (SELECT file FROM s) THEN 'outside_confirmed_serials' ELSE 'no_serial_read' END AS basis
+FROM r LEFT JOIN s ON r.file = s.file AND r.k BETWEEN s.first_k AND s.last_k""",
+)
 def serial_assignment(t):
     from ledgerloom.operators.sequences import assign_serials, segments
 

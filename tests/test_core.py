@@ -1,5 +1,6 @@
 """Fixtures with exact expected values, and the operators' behaviour at edges."""
 
+import collections
 import itertools
 import random
 
@@ -9,14 +10,15 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import text as X
 from ledgerloom.functions.similarity import indel_ratio, name_similarity
+from ledgerloom.functions.text import name_key
 from ledgerloom.operators import aggregates as A
 from ledgerloom.operators import joins as J
 from ledgerloom.operators import overlay as O
 from ledgerloom.operators import quality as Q
 from ledgerloom.operators import sets as U
 from ledgerloom.operators import windows as W
-from ledgerloom.operators.linkage import assign, link
-from ledgerloom.operators.sequences import assign_serials, matched_reads, segments, serial_segments, serial_steps, supports
+from ledgerloom.operators.linkage import assign, link, one_to_one, scored_pairs
+from ledgerloom.operators.sequences import assign_serials, matched_reads, segments, serial_steps
 from ledgerloom.plans import catalogue
 
 
@@ -31,11 +33,20 @@ def test_units(spark):
     assert got == [0, 0, 0, 1, 1, 2]
 
 
-def test_serials():
-    assert supports(51, 2, 1) and not supports(51, 7, 1)
-    mid = [(k, k + 1) for k in range(10)] + [(k, k - 9) for k in range(10, 13)] + [(k, k + 1) for k in range(13, 20)]
-    assert serial_segments(mid) == [(0, 19, 1)]
-    assert serial_segments([(k, k + 1) for k in range(10)] + [(k, k + 5) for k in range(10, 20)]) == [(0, 9, 1), (10, 19, 5)]
+def test_serials(spark):
+    files = {
+        "misread": [(k, k + 1) for k in range(10)] + [(k, k - 9) for k in range(10, 13)] + [(k, k + 1) for k in range(13, 20)],
+        "step": [(k, k + 1) for k in range(10)] + [(k, k + 5) for k in range(10, 20)],
+        "digits": [(49, 50), (50, 51), (51, 2), (52, 3), (53, 7), (54, 55)],  # last digits agree, 7 doesn't
+        "lone": [(1, 2), (2, 9), (3, 4), (4, 5)],
+        "none": [(1, 5)],
+        "twice": [(k, k + d) for k, d in enumerate([1, 1, 11, 11, 1, 1, 11, 11, 1, 1])],
+    }
+    d = spark.createDataFrame([(f, *r) for f, rows in files.items() for r in [*rows, (99, None)]], "file string, k int, serial int")
+    got = {}
+    for r in segments(d.unionAll(d), "file", "k", "serial").orderBy("first_k").collect():
+        got.setdefault(r["file"], []).append((r["first_k"], r["last_k"], r["offset"]))
+    assert got == {"misread": [(0, 19, 1)], "step": [(0, 9, 1), (10, 19, 5)], "digits": [(49, 54, 1)], "lone": [(3, 4, 1)], "twice": [(0, 1, 1), (2, 8, 11)]}
 
 
 def test_serial_assignment(spark):
@@ -120,6 +131,36 @@ def test_link(spark):
     b = spark.createDataFrame([(11, "x", "Rampur Khurd", 7), (12, "x", "Ramapur Kalan", 5), (13, "y", "Bahu", 9)], "id int, b string, name string, wards int")
     got = {(r["left"], r["right"]) for r in link(a, b, ["b"], "name", "id", "wards").collect()}
     assert got == {(1, 12), (2, 11)}
+    allowed = spark.createDataFrame([("x", "x"), ("x", "y")], "b string, right_b string")
+    assert {(r["left"], r["right"], r["b"]) for r in link(a, b, ["b"], "name", "id", "wards", allowed=allowed).collect()} == {(1, 12, "x"), (2, 11, "x"), (3, 13, "x")}
+
+
+def test_link_against_brute_force(spark):
+    """Scores and the optimum of every block, over all assignments."""
+    rnd = random.Random(8)
+    words = ["rampur", "kalan", "bahu", "bhau", "rampura", "kheri", "kheda", "nagar", "nagla", "a", "io"]
+    rows = lambda n: [(i, rnd.choice("xyz"), " ".join(rnd.sample(words, rnd.randint(1, 2))), rnd.randint(1, 2)) for i in range(n)]
+    left, right = rows(14), rows(14)
+    kinds = "id int, b string, name string, wards int"
+    a, b = spark.createDataFrame(left, kinds), spark.createDataFrame(right, kinds)
+    scored = {(r["left"], r["right"]): r["score"] for r in scored_pairs(a, b, ["b"], "name", "id", 0.8).collect()}
+    keys = {(r["name"]): r["k"] for r in a.unionAll(b).select("name", name_key(F.col("name")).alias("k")).collect()}
+    want = {}
+    for i, x, n, _ in left:
+        for j, y, m, _ in right:
+            if x == y and not (keys[n]["numbers"] and keys[m]["numbers"]) and (s := name_similarity(keys[n]["folded"], keys[m]["folded"])) >= 0.8:
+                want[i, j] = s
+    assert scored == pytest.approx(want) and len(want) > 5
+    got = {(r["left"], r["right"]): r["score"] for r in one_to_one(scored_pairs(a, b, ["b"], "name", "id", 0.8), ["b"]).collect()}
+    assert len({i for i, _ in got}) == len({j for _, j in got}) == len(got)
+
+    def best(rest, used):
+        if not rest:
+            return 0.0
+        i, *rest = rest
+        return max([best(rest, used), *[s + best(rest, used | {j}) for (k, j), s in want.items() if k == i and j not in used]])
+
+    assert sum(got.values()) == pytest.approx(best(sorted({i for i, _ in want}), frozenset()))
 
 
 def test_joins_at_edges(spark):
@@ -266,7 +307,7 @@ def test_serial_queries_read_every_order(spark, tmp_path):
     for c in sizes:
         urgent = [p == "1-URGENT" for _, f, p in sorted(orders) if f == c]
         offsets = [sum(urgent[: i + 1]) for i in range(len(urgent))]
-        own = serial_segments([(i + 1, i + 1 + o) for i, o in enumerate(offsets)])
+        own = [(offsets.index(o) + 1, offsets.index(o) + n, o) for o, n in collections.Counter(offsets).items() if n > 1]  # they only grow
         segs |= {(c, *s) for s in own}
         for k in range(1, len(urgent) + 1):
             inside = [o for a, b, o in own if a <= k <= b]
