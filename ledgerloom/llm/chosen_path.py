@@ -2,7 +2,7 @@
 
 Texts become sets of 64-bit hashes of their five-word shingles; equal sets are one node. In each run a node is put
 into the buckets of the few shingles that a shared hash samples from its set, buckets that are still large are split
-again by freshly sampled shingles, and small ones are brute-forced on 128 min-hashes of 16 bits. Runs are repeated
+again by freshly sampled shingles, and small ones are brute-forced on 128 min-hashes of 8 bits. Runs are repeated
 until a pair at the threshold is missed with a probability of 1 - recall at most. What the sketches find similar
 (below the threshold) is gathered into candidate components; within these the full sets are compared as matrix
 products, so links are exact.
@@ -32,7 +32,7 @@ from .wordhash import Words, mix
 
 SHINGLE, THRESHOLD, RECALL = 5, Fraction(4, 5), 0.99999
 #: Shingles sampled for a node at each level of a run, levels, and the largest bucket that is brute-forced.
-PICKS, LEVELS, BUCKET = 4.0, 3, 1000
+PICKS, LEVELS, BUCKET = 4.0, 3, 2000
 #: Min-hashes of a sketch, and the estimate from which two nodes are candidates: 5 deviations below a pair at .8.
 SKETCH, ALIKE = 128, 0.62
 #: Leaders drawn from a large bucket (about), estimates from which a member is tied to a leader, and from which it is
@@ -40,6 +40,8 @@ SKETCH, ALIKE = 128, 0.62
 LEADERS, TIED, SETTLED = 200, 0.5, 0.9
 #: Nodes of a candidate component in one block, and the bytes of their sets.
 BLOCK, BLOCK_BYTES = 600, 16 << 20
+#: Joins with a selected part of the rows filter the other side before the shuffle, by Spark's Bloom filter of 8 MB at most.
+_BLOOM = {"spark__sql__optimizer__runtime__bloomFilter__applicationSideScanSizeThreshold": "0", "spark__sql__optimizer__runtime__bloomFilter__creationSideThreshold": "1024g"}
 _RNG = np.random.Generator(np.random.PCG64(77))
 _MIN = _RNG.integers(1, 2**63, SKETCH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -86,9 +88,9 @@ def _signatures(runs: int, levels: int, picks: float, size: int):
             full = np.flatnonzero(n > 0)
             raw = hashes.tobytes()
             node = [hashlib.md5(raw[8 * first[i] : 8 * first[i + 1]], usedforsecurity=False).digest() if n[i] else None for i in range(len(n))]
-            sketch = np.empty((len(full), SKETCH), dtype="<u2")
+            sketch = np.empty((len(full), SKETCH), dtype=np.uint8)
             for k in range(SKETCH if len(full) else 0):
-                sketch[:, k] = mix(np.minimum.reduceat(hashes * _MIN[k], first[full])) & np.uint64(0xFFFF)
+                sketch[:, k] = mix(np.minimum.reduceat(hashes * _MIN[k], first[full])) & np.uint64(0xFF)
             sketches = [None] * len(n)
             for i, s in zip(full.tolist(), sketch, strict=True):
                 sketches[i] = s.tobytes()
@@ -143,7 +145,7 @@ def _edges(pairs: Iterator[tuple[bytes, bytes]]) -> pa.RecordBatch:
 
 
 def _sketches(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), dtype="<u2").reshape(-1, SKETCH)
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint8).reshape(-1, SKETCH)
 
 
 def _grouped(batches: Iterator[pa.RecordBatch], keys: list[str], rows: int) -> Iterator[pa.Table]:
@@ -189,11 +191,19 @@ def _trees(hit: np.ndarray) -> np.ndarray:
         root = new
 
 
-def follow_leaders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _follow(tied: float):
+    def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return follow_leaders(batches, tied)
+
+    return follow
+
+
+def follow_leaders(batches: Iterator[pa.RecordBatch], tied: float) -> Iterator[pa.RecordBatch]:
     """Blocks of large buckets, each with all leaders of its bucket as guests, to one row for each member.
 
-    `ties` are the leaders that the member resembles, one for each tree of leaders, `label` is the root of the tree
-    of the nearest one, and settled are members so near to a leader that all their partners are tied to its tree.
+    `label` is the root of the tree of the leader that the member resembles most, `ties` are the roots of other trees
+    with leaders that it resembles, and settled are members so near to a leader that all their partners are tied to
+    its tree.
     """
     for table in _grouped(batches, ["key", "part"], 4000):
         starts = np.r_[_starts(table, ["key", "part"]), table.num_rows].tolist()
@@ -205,18 +215,16 @@ def follow_leaders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             if not len(leaders):
                 labels, settled, ties = labels + [None] * len(members), settled + [False] * len(members), ties + [[]] * len(members)
                 continue
-            tree = _trees(np.stack([alike(sketch[leaders], sketch[k]) for k in leaders]) >= TIED)
+            tree = _trees(np.stack([alike(sketch[leaders], sketch[k]) for k in leaders]) >= tied)
             like = np.stack([alike(sketch[members], sketch[k]) for k in leaders], axis=1)
-            own = [[] for _ in members]
-            for t in np.unique(tree).tolist():
-                inside = np.flatnonzero(tree == t)
-                best = inside[like[:, inside].argmax(axis=1)]
-                for m in np.flatnonzero(like[np.arange(len(members)), best] >= TIED).tolist():
-                    leader = node[leaders[best[m]]]
-                    own[m].append(node[leaders[t]] if leader == node[members[m]] else leader)
             best = like.argmax(axis=1)
             top = like[np.arange(len(members)), best]
-            labels += [node[leaders[tree[k]]] if x >= TIED else None for k, x in zip(best.tolist(), top.tolist(), strict=True)]
+            near = np.where(top >= tied, tree[best], -1)
+            own = [[] for _ in members]
+            for t in np.unique(tree).tolist():
+                for m in np.flatnonzero((like[:, tree == t].max(axis=1) >= tied) & (near != t)).tolist():
+                    own[m].append(node[leaders[t]])
+            labels += [node[leaders[t]] if t >= 0 else None for t in near.tolist()]
             settled += (top >= SETTLED).tolist()
             ties += own
         arrays = [table.column(c).take(pa.array(keep)).combine_chunks() for c in ("run", "key", "node")]
@@ -230,7 +238,7 @@ def candidate_edges(nodes: DataFrame, runs: int, levels: int, bucket: int = BUCK
     Small buckets are brute-forced. Of a large one some leaders are drawn by hash and its members tied to those they
     resemble: a row a member. What is so near to a leader that its partners must resemble it too is settled; the
     others are split further, unless nearly all are in one tree anyway. After the last level leaders are drawn anew
-    from what is left, four times as many each time, until it is small.
+    from what is left, many and four times as many each time, until nothing is.
     """
     sketches, found = nodes.select(F.col("node").alias("_n"), "sketch"), []
 
@@ -238,7 +246,7 @@ def candidate_edges(nodes: DataFrame, runs: int, levels: int, bucket: int = BUCK
         """Buckets of two and more, with their size; the sizes are written so that hot buckets can be split in the join."""
         members = stash(members, "members")
         sizes = stash(members.groupBy(F.col("key").alias("_key")).agg(F.count("*").alias("size")).filter("size > 1"), "sizes")
-        out = stash(members.join(sizes, F.col("key") == F.col("_key")).drop("_key"), "buckets")
+        out = stash(members.join(sizes.filter("size > 1"), F.col("key") == F.col("_key")).drop("_key"), "buckets")
         discard(members, sizes)
         return out
 
@@ -246,16 +254,16 @@ def candidate_edges(nodes: DataFrame, runs: int, levels: int, bucket: int = BUCK
         rows = buckets.select("key", "node").join(sketches, F.col("node") == F.col("_n")).select("key", "node", "sketch")
         found.append(stash(rows.repartition("key").sortWithinPartitions("key", "node").mapInArrow(brute_force, "a binary, b binary"), "found"))
 
-    def follow(rows: DataFrame, size: Column, guest: Column) -> DataFrame:
+    def follow(rows: DataFrame, guest: Column, tied: float) -> DataFrame:
         """One row for each member (`run, key, node`) of large buckets, tied to the guests of its bucket."""
-        parts = F.ceil(size / bucket).cast("int")
+        parts = F.ceil(F.col("size") / bucket).cast("int")
         at = lambda p, guest: F.struct(p.cast("int").alias("part"), F.lit(guest).alias("guest"))
         own = F.array(at(F.pmod(F.xxhash64("node"), parts), False))
         places = F.when(guest, F.concat(own, F.transform(F.sequence(F.lit(0), parts - 1), lambda p: at(p, True)))).otherwise(own)
         rows = rows.join(sketches, F.col("node") == F.col("_n")).select("run", "key", "node", "sketch", F.explode(places).alias("_p")).select("run", "key", "_p.*", "node", "sketch")
         rows = rows.repartition("key", "part").sortWithinPartitions("key", "part", "guest", "node")
-        led = stash(rows.mapInArrow(follow_leaders, "run int, key long, node binary, label binary, settled boolean, ties array<binary>"), "led")
-        found.append(led.select(F.col("node").alias("a"), F.explode("ties").alias("b")).filter("a <> b"))
+        led = stash(rows.mapInArrow(_follow(tied), "run int, key long, node binary, label binary, settled boolean, ties array<binary>"), "led")
+        found.append(led.select(F.col("node").alias("a"), F.col("label").alias("b")).unionAll(led.filter(F.size("ties") > 0).select("node", F.explode("ties"))).filter("a <> b"))
         return led
 
     def lead(large: DataFrame, salt: int, number: int) -> DataFrame:
@@ -264,7 +272,7 @@ def candidate_edges(nodes: DataFrame, runs: int, levels: int, bucket: int = BUCK
         Members outside of their bucket's largest tree are strays. A few strays are guests once more, so that all
         who are open meet them, which ends the bucket: the others are in one tree.
         """
-        led = follow(large, F.col("size"), F.pmod(F.xxhash64("key", "node", F.lit(salt)), F.col("size")) < number)
+        led = follow(large, F.pmod(F.xxhash64("key", "node", F.lit(salt)), F.col("size")) < number, TIED)
         open_ = led.filter("not settled").select("run", "key", "node", "label")
         trees = open_.groupBy("key", "label").agg(F.count("*").alias("n"))
         main = F.max_by(F.col("label"), F.when(F.col("label").isNotNull(), F.struct("n", "label")))
@@ -273,24 +281,23 @@ def candidate_edges(nodes: DataFrame, runs: int, levels: int, bucket: int = BUCK
         left = stash(open_.join(state, F.col("key") == F.col("_key")).drop("_key"), "left")
         few = left.filter(F.col("strays") <= bucket)
         if not few.isEmpty():
-            follow(few, F.col("size"), ~F.col("label").eqNullSafe(F.col("main")))
-        return left.filter(F.col("strays") > bucket).select("run", "key", "node")
+            follow(few, ~F.col("label").eqNullSafe(F.col("main")), ALIKE)
+        return left.filter(F.col("strays") > bucket).select("run", "key", "node", "size")
 
     members = nodes.select("node", F.posexplode(F.slice("picks", 1, runs)).alias("run", "_p")).select("run", "node", F.explode("_p").alias("_t")).select("run", F.xxhash64("run", "_t").alias("key"), "node")
-    level, number = 0, leaders
-    while True:
-        buckets = counted(members)
-        brute(buckets.filter(F.col("size") <= bucket))
-        large = stash(buckets.filter(F.col("size") > bucket), "large")  # often few rows, so the sketches needn't be shuffled again
-        if large.isEmpty():
-            break
-        members = lead(large, level, number)
-        level += 1
-        if level < levels:
-            deeper = members.join(nodes.select(F.col("node").alias("_n"), "picks"), F.col("node") == F.col("_n"))
-            members = deeper.select("run", "key", "node", F.explode(F.get("picks", F.lit(level * runs) + F.col("run"))).alias("_t")).select("run", F.xxhash64("key", "_t").alias("key"), "node")
-        else:
-            number *= 4
+    with settings(nodes.sparkSession, **_BLOOM):
+        for level in range(levels):
+            buckets, number = counted(members), leaders if level < levels - 1 else bucket
+            brute(buckets.filter(F.col("size") <= bucket))
+            left = stash(buckets.filter(F.col("size") > bucket), "large")
+            if left.isEmpty():
+                break
+            left = lead(left.filter(F.col("size") > bucket), level, number)
+            deeper = left.join(nodes.select(F.col("node").alias("_n"), "picks"), F.col("node") == F.col("_n"))
+            members = deeper.select("run", "key", "node", F.explode(F.filter(F.get("picks", F.lit((level + 1) * runs) + F.col("run")), lambda t: F.xxhash64("run", t) != F.col("key"))).alias("_t"))  # not the first shingle again.select("run", F.xxhash64("key", "_t").alias("key"), "node")
+        while not left.isEmpty():
+            level, number = level + 1, 4 * number
+            left = lead(left, level, number)
     edges = found[0]
     for more in found[1:]:
         edges = edges.unionAll(more)
@@ -335,6 +342,7 @@ def _within(threshold: Fraction):
     def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Blocks of candidate components (`comp, block, parts, node, weight, shingles`, sorted) to one row each: links within, local roots, and the packed sets where other blocks follow."""
         for table in _grouped(batches, ["comp", "block"], 500):
+            table = table.take(pa.array(_starts(table, ["comp", "block", "node"]))).combine_chunks()
             starts = np.r_[_starts(table, ["comp", "block"]), table.num_rows].tolist()
             node, weight, parts = table.column("node").to_pylist(), table.column("weight").to_numpy(), table.column("parts").to_numpy()
             shingles = table.column("shingles").combine_chunks()
@@ -464,12 +472,11 @@ def jaccard_join(docs: DataFrame, threshold: Fraction = THRESHOLD, recall: float
     parts = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") * 8 / BLOCK_BYTES)).cast("int")
     sizes = stash(placed.groupBy(F.col("comp").alias("_root")).agg(parts.alias("parts")), "sizes")
     placed = stash(placed.join(sizes, F.col("comp") == F.col("_root")).drop("_root", "n"), "placed")
-    # One hashed key, so that Spark's run-time Bloom filter (at most 8 MB, used while `placed` is small) spares the shuffle
-    # most texts; the ids are compared as well.
+    # One hashed key, so that the Bloom filter spares the shuffle most texts; the ids are compared as well.
     same = F.coalesce("_id", F.lit(0)).bitwiseXOR(F.coalesce("_pi", F.lit(0))) == 0
-    texts = keyed.withColumn("_k", F.xxhash64("_id", "_sum")).join(placed.filter("parts >= 1").withColumn("_pk", F.xxhash64("_pi", "_ps")), (F.col("_k") == F.col("_pk")) & same).dropDuplicates(["node"])
+    texts = keyed.withColumn("_k", F.xxhash64("_id", "_sum")).join(placed.filter("parts >= 1").withColumn("_pk", F.xxhash64("_pi", "_ps")), (F.col("_k") == F.col("_pk")) & same)  # repeated rows come twice
     sets = texts.select("comp", "node", "weight", "parts", "_text").mapInArrow(_with_shingles(shingle), "comp binary, node binary, weight long, parts int, shingles binary")
-    with settings(docs.sparkSession, spark__sql__optimizer__runtime__bloomFilter__applicationSideScanSizeThreshold="0"):
+    with settings(docs.sparkSession, **_BLOOM):
         links, edges = verified(sets.withColumn("block", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")), threshold)
     links = links.withColumnRenamed("node", "_ln")
     classes = components(edges).select(F.col("node").alias("_cn"), F.col("root").alias("_cr"))
