@@ -2,8 +2,8 @@
 
 Rabin-Karp hashes of every window are counted in Spark. Each Arrow slice first settles what repeats within it, so
 a passage in a third of all documents is one entry a slice; the other windows go, packed as bytes by hash range, to
-the partition of their range. Windows with an earlier equal come back as positions, merge into maximal intervals,
-and are cut from the texts. Hashes have 64 bits: 30 GB of text have some 10^10 windows, of which about 3 would be
+the partition of their range, are sorted there, and a task holds one range at a time. Windows with an earlier equal
+come back as positions, merge into maximal intervals, and are cut from the texts. Hashes have 64 bits: 30 GB of text have some 10^10 windows, of which about 3 would be
 taken for repeated by chance.
 """
 
@@ -22,8 +22,9 @@ from .tokens import text_slices
 from .wordhash import Words, mix
 
 WINDOW = 20
-#: Bytes of text whose windows are sorted together in a worker, and bytes of source data for one range of hashes.
-SLICE, RANGE_BYTES = 4 << 20, 5 << 20
+#: Bytes of text whose windows are sorted together in a worker, of text for one range of hashes, and at most for one
+#: partition of such ranges.
+SLICE, RANGE_BYTES, PART_BYTES = 4 << 20, 5 << 20, 1 << 30
 _DOC = np.dtype([("id", "<i8"), ("sum", "<u4"), ("n", "<u4")])
 
 
@@ -111,16 +112,31 @@ def _blobs(rows: list[tuple[int, bytes]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], names=["_range", "_blob"])
 
 
+def _each_range(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int, bytes]]]:
+    """The blobs of one range after the other, from batches sorted by range."""
+    held: list[tuple[int, bytes]] = []
+    for batch in batches:
+        for own, blob in zip(batch.column("_range").to_pylist(), batch.column("_blob"), strict=True):
+            if held and held[0][0] != own:
+                yield held
+                held = []
+            held.append((own, blob.as_py()))
+    if held:
+        yield held
+
+
 def repeated_windows(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """`_id, _sum, _pos`: first words of the windows that start earlier too, one row for a document that has any.
 
     _sum (32 bits of a hash of the text) tells rows with one id apart. Windows are dealt out by ranges of their
-    hash, what is found by home partitions of the documents; rows of both hold packed bytes, so their number
-    follows the partitions and slices. A task holds the windows of one range at a time.
+    hash, what is found by homes of the documents, which have the numbers of the ranges; rows of both hold packed
+    bytes. The number of ranges follows the bytes of all texts, counted first, so a task, which holds the windows of
+    one range at a time, needs the same memory at any size.
     """
     spark = ready(docs.sparkSession)
-    size = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(100_000, size // RANGE_BYTES))
+    size = docs.agg(F.sum(F.octet_length(F.col(f"`{text_col}`").cast("string")))).head()[0] or 0
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // PART_BYTES)
+    ranges = max(parts, size // RANGE_BYTES)
 
     def count_here(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         free_caches()
@@ -140,27 +156,18 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_i
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         free_caches()
-        held = []
-        for batch in batches:
-            done = []
-            for own, blob in zip(batch.column("_range").to_pylist(), batch.column("_blob").to_pylist(), strict=True):
-                if blob[:1] == b"e":
-                    held.append(unpack_entries(blob[1:]))
-                else:
-                    done.append((own, blob[1:]))  # its home has this partition's number
-            if done:
-                yield _blobs(done)
-        if held:
-            ids, sums, pos, hashes = (np.concatenate(x) for x in zip(*held, strict=True))
-            held.clear()
-            later, _ = later_ones(ids, pos, hashes)
-            yield _blobs(list(_by_home(ids[later], sums[later].astype(np.int64), pos[later], ranges)))
+        for blobs in _each_range(batches):
+            done = [(own, blob[1:]) for own, blob in blobs if blob[:1] == b"r"]  # found already; its home has this number
+            held = [unpack_entries(blob[1:]) for _, blob in blobs if blob[:1] == b"e"]
+            if held:
+                ids, sums, pos, hashes = (np.concatenate(x) for x in zip(*held, strict=True))
+                later, _ = later_ones(ids, pos, hashes)
+                done += _by_home(ids[later], sums[later].astype(np.int64), pos[later], ranges)
+            yield _blobs(done)
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [unpack_removals(blob) for batch in batches for blob in batch.column("_blob").to_pylist()]
-        if sum(len(h[0]) for h in held):
-            ids, sums, pos = (np.concatenate(x) for x in zip(*held, strict=True))
-            held.clear()
+        for blobs in _each_range(batches):
+            ids, sums, pos = (np.concatenate(x) for x in zip(*[unpack_removals(blob) for _, blob in blobs], strict=True))
             order = np.lexsort((pos, sums, ids))
             ids, sums, pos = ids[order], sums[order].astype(np.int64), pos[order].astype(np.int32)
             starts = np.flatnonzero(np.r_[True, (ids[1:] != ids[:-1]) | (sums[1:] != sums[:-1])])
@@ -172,8 +179,9 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_i
 
     keyed = docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(-(2**63))).alias("_id"), text_of(text_col).alias("_text")).withColumn("_sum", _text_sum("_text"))
     packed = "_range int, _blob binary"
-    found = keyed.mapInArrow(count_here, packed).repartitionById(ranges, F.col("_range")).mapInArrow(settle, packed)
-    return found.repartitionById(ranges, F.col("_range")).mapInArrow(gather, "_id long, _sum long, _pos array<int>")
+    at = (F.col("_range").cast("long") * parts / ranges).cast("int")
+    found = keyed.mapInArrow(count_here, packed).repartitionById(parts, at).sortWithinPartitions("_range").mapInArrow(settle, packed)
+    return found.repartitionById(parts, at).sortWithinPartitions("_range").mapInArrow(gather, "_id long, _sum long, _pos array<int>")
 
 
 def _text_sum(column: str):
