@@ -8,7 +8,6 @@ presence rows with the landmarks', scoring a batch of texts is a few matrix prod
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,7 +28,6 @@ SAMPLE, LANDMARKS = 4000, 400
 RIDGE = 1e-2
 #: Score differences to probabilities.
 SHARPNESS = 6.0
-_LETTER = re.compile(r"[^\W\d_]")
 
 
 def presence(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -71,7 +69,7 @@ class Model:
         p = np.exp(SHARPNESS * (scores - scores.max(axis=1, keepdims=True)))
         p /= p.sum(axis=1, keepdims=True)
         best = p.argmax(axis=1)
-        heard = [bool(_LETTER.search(t)) for t in texts]
+        heard = [any(map(str.isalpha, t)) for t in texts]  # Unicode category L
         return [self.languages[b] if h else "und" for b, h in zip(best, heard, strict=True)], [float(p[i, b]) if heard[i] else 0.0 for i, b in enumerate(best)]
 
 
@@ -97,13 +95,16 @@ def labelled_sample(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id
     """Texts and languages of at most `sample` labelled rows, as many of each language as there are, up to an equal share.
 
     Rows are drawn by a hash of their id (then of their text), so the sample doesn't depend on how they are dealt.
-    Candidates are thinned by that hash before they are put in order, by a rate that follows the counts.
+    Candidates are thinned by that hash before they are put in order, by a rate that follows the counts. Every language
+    is learned; more languages than sample are an error.
     """
     rows = docs.select(F.col(f"`{id_col}`").alias("_id"), text_of(text_col).alias("_text"), F.col(f"`{label_col}`").cast("string").alias("_lang")).filter("_lang is not null and trim(_text) <> ''")
-    counts = {r["_lang"]: r["n"] for r in rows.groupBy("_lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "_lang").limit(1000).collect()}
+    counts = {r["_lang"]: r["n"] for r in rows.groupBy("_lang").agg(F.count("*").alias("n")).limit(sample + 1).collect()}
     if not counts:
         return [], []
-    each = max(1, sample // len(counts))
+    if len(counts) > sample:
+        raise ValueError(f"more than {sample} languages; the sample has to grow with them")
+    each = sample // len(counts)
     draw = F.pmod(F.xxhash64("_id", F.substring("_text", 1, 200)), F.lit(1 << 30))
     rate = F.coalesce(*[F.when(F.col("_lang") == n, F.lit(min(1.0, 2.0 * each / c + 50 / c))) for n, c in counts.items()], F.lit(0.0))
     thin = rows.withColumn("_d", draw).filter(F.col("_d") < rate * float(1 << 30))
