@@ -2,9 +2,9 @@
 
 The search works on counts of lengths, so its size depends on the capacity and not on the number of documents.
 A node takes the largest length left, lists undominated fillings of the room beside it, and uses a filling as often
-as the counts allow. Best-fit decreasing gives the first incumbent; a branch is cut when its waste so far, with
-the waste that the remaining large lengths can't avoid, can't beat the incumbent. The search is depth-first and
-stops at the lower bound or after a stated number of nodes, with the best packing found.
+as the counts allow. Best-fit decreasing gives the first incumbent; a branch is cut when its waste so
+far rules out fewer sequences than the incumbent's. The search is depth-first and stops at the lower bound (of total
+length, and of the sequences that large lengths force) or after a stated number of nodes, with the best packing found.
 """
 
 from __future__ import annotations

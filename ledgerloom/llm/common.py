@@ -54,6 +54,8 @@ def shared_root(spark: SparkSession) -> str:
     if found:
         return found
     found = spark.sparkContext.getCheckpointDir()
+    if found is None and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
     if found is None:
         local = tempfile.mkdtemp(prefix="ledgerloom-")
         atexit.register(shutil.rmtree, local, ignore_errors=True)
@@ -137,7 +139,3 @@ def ascii_lower(s: Column) -> Column:
     """A-Z to a-z and nothing else; texts of ASCII alone take the faster built-in."""
     return F.when(F.octet_length(s) == F.char_length(s), F.lower(s)).otherwise(F.translate(s, UPPER, UPPER.lower()))
 
-
-def packed(df: DataFrame, *keep: str) -> DataFrame:
-    """Whole rows under one name that can't clash (`_row`), and the columns named in keep as `_<name>`."""
-    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), *[F.col(f"`{c}`").alias(f"_{c}") for c in keep])

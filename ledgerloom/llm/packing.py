@@ -23,6 +23,8 @@ from .tokens import encoder, text_slices
 
 #: Pieces of one length in one counting cell, about.
 CELL = 250
+#: Cells of one length that are summed up together: a hot length of 10^10 pieces has 10^4 blocks.
+CELLS = 4096
 
 
 def cut_lengths(n: int, capacity: int) -> list[int]:
@@ -87,13 +89,16 @@ class Places:
 def number_within(pieces: DataFrame, key: str, counts: dict[int, int]) -> DataFrame:
     """Adds `_number`, 0 and up without gaps within each value of key (whole numbers from 0, counted in counts).
 
-    A value has as many cells, told by a hash, as its count needs. Counts of cells are summed up before them, so
-    neither a hot value nor the whole table meets in one task. Equal rows may swap numbers, which changes nothing.
+    A value has as many cells, told by a hash, as its count needs. Counts of cells are summed up in blocks, then those of
+    blocks, so neither a hot value nor the whole table meets in one task. Equal rows may swap numbers, which changes nothing.
     """
     cells = F.get(F.lit([max(1, counts.get(n, 0) // CELL) for n in range(max(counts, default=0) + 1)]), F.col(key).cast("int"))
     own = pieces.withColumn("_cell", F.pmod(F.xxhash64(*[c for c in pieces.columns if c != key]), cells))
     counts = own.groupBy(F.col(key).alias("_k"), F.col("_cell").alias("_c")).agg(F.count("*").alias("_n"))
-    before = counts.select("_k", "_c", (F.sum("_n").over(Window.partitionBy("_k").orderBy("_c")) - F.col("_n")).alias("_before"))
+    counts = counts.withColumn("_s", F.col("_c").cast("long").bitwiseAND(F.lit(~(CELLS - 1))))  # blocks of cells, summed up first
+    blocks = counts.groupBy("_k", "_s").agg(F.sum("_n").alias("_n"))
+    blocks = blocks.select(F.col("_k").alias("_bk"), F.col("_s").alias("_bs"), (F.sum("_n").over(Window.partitionBy("_k").orderBy("_s")) - F.col("_n")).alias("_base"))
+    before = counts.select("_k", "_s", "_c", (F.sum("_n").over(Window.partitionBy("_k", "_s").orderBy("_c")) - F.col("_n")).alias("_own")).join(blocks, (F.col("_k") == F.col("_bk")) & (F.col("_s") == F.col("_bs"))).select("_k", "_c", (F.col("_own") + F.col("_base")).alias("_before"))
     ranked = own.withColumn("_rank", F.row_number().over(Window.partitionBy(key, "_cell").orderBy(*[c for c in pieces.columns if c != key])))
     joined = ranked.join(before, (F.col(key) == F.col("_k")) & (F.col("_cell") == F.col("_c")))
     return joined.select(*pieces.columns, (F.col("_before") + F.col("_rank") - 1).alias("_number"))

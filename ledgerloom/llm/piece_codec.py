@@ -50,8 +50,9 @@ class PieceCodec:
         theirs = self.library.encode(texts, num_threads=1)
         number = self.number.__getitem__
         for c, a, b in zip(chunks, own, theirs, strict=True):
-            ids = a if a == b else b
-            self.cache[c] = (",".join(map(str, ids)), tuple(map(number, ids)), a != b)
+            if a != b:
+                raise ValueError(f"the agenda's ids of {c!r} are not the library's")
+            self.cache[c] = (",".join(map(str, a)), tuple(map(number, a)), False)
 
     def encode(self, texts: list[str]) -> list[list[tuple[str, tuple[int, ...], bool]]]:
         if len(self.cache) > self.limit // 2:

@@ -61,7 +61,7 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", st
     return d.withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
 
 
-def thresholds(measured: DataFrame, labels: DataFrame, alpha: float = 0.02, delta: float = 0.05, label_id: str = "doc_id", label_col: str = "quality") -> DataFrame:
+def thresholds(measured: DataFrame, labels: DataFrame, alpha: float = 0.02, delta: float = 0.05, label_id: str = "doc_id", label_col: str = "quality", good_weight: int = GOOD_WEIGHT) -> DataFrame:
     """One row for each stratum with labels: `stratum` and `cut_<rule>`, null where no cutoff is certified or worth it.
 
     Several labels of one document: good if any says so. Null ids or labels are left out.
@@ -83,7 +83,7 @@ def thresholds(measured: DataFrame, labels: DataFrame, alpha: float = 0.02, delt
     )
     sure = F.when((F.col("n") == 0) | (F.col("k") >= a * F.col("n")), F.lit(False)).otherwise(tail <= delta / families)
     order = Window.partitionBy("stratum", "rule").orderBy("step")
-    gain = F.col("bad") - GOOD_WEIGHT * F.col("k")
+    gain = F.col("bad") - good_weight * F.col("k")
     best = g.withColumn("ok", F.min(sure).over(order)).filter(F.col("ok") & (gain > 0)).groupBy("stratum", "rule").agg(F.max_by("cut", F.struct(gain, -F.col("step"))).alias("cut"))
     return best.groupBy("stratum").agg(*[F.max(F.when(F.col("rule") == r, F.col("cut"))).alias(f"cut_{r}") for r, _, _ in RULES])
 
@@ -96,7 +96,7 @@ def judge(measured: DataFrame, cuts: DataFrame) -> DataFrame:
     return j.withColumn("kept", F.size("rejected_by") == 0).drop(*[f"cut_{r}" for r, _, _ in RULES])
 
 
-def assess(docs: DataFrame, labels: DataFrame, alpha: float = 0.02, delta: float = 0.05, id_col: str = "doc_id", text_col: str = "text", stratum_col: str | None = "lang") -> DataFrame:
+def assess(docs: DataFrame, labels: DataFrame, alpha: float = 0.02, delta: float = 0.05, id_col: str = "doc_id", text_col: str = "text", stratum_col: str | None = "lang", good_weight: int = GOOD_WEIGHT) -> DataFrame:
     """Measures and verdict of every row of docs: `_id, _sum` (xxhash64 of the text), `stratum`, measures, `kept`.
 
     Null or empty text: no words, so base_failed. Null stratum: a stratum of its own. Null id: judged like any
@@ -104,7 +104,7 @@ def assess(docs: DataFrame, labels: DataFrame, alpha: float = 0.02, delta: float
     only. The measures (numbers only, no text) are written once and read for the holdout and for the verdicts.
     """
     measured = stash(measures(docs, id_col, text_col, stratum_col), "measures")
-    return judge(measured, thresholds(measured, labels, alpha, delta))
+    return judge(measured, thresholds(measured, labels, alpha, delta, good_weight=good_weight))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, **params) -> DataFrame:
@@ -122,7 +122,7 @@ def query(spark, sf_dir: str) -> DataFrame:
     return out.select(F.col("_id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-def _oracle(alpha: float = 0.02, delta: float = 0.05) -> str:
+def _oracle(alpha: float = 0.02, delta: float = 0.05, good_weight: int = GOOD_WEIGHT) -> str:
     a, r = alpha / len(RULES), len(RULES)
     ln0, ln1 = f"ln({a!r}::DOUBLE)", f"ln((1 - {a!r})::DOUBLE)"
     grid = " UNION ALL ".join(f"SELECT stratum, good, '{n}' AS rule, {i} AS step, {c!r}::DOUBLE AS cut, ({s.replace('/', '::DOUBLE /')} > {c!r}) AS hit FROM held" for n, s, cuts in RULES for i, c in enumerate(cuts))
@@ -147,7 +147,7 @@ cells AS (SELECT stratum, rule, step, cut, count(*) FILTER (WHERE good) AS n, co
 sure AS (SELECT *, CASE WHEN n = 0 OR k >= {a!r} * n THEN false ELSE
            list_sum(list_transform(range(0, k + 1), lambda j: exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * {ln0} + (n - j) * {ln1})))
            <= {delta!r} / ((SELECT count(DISTINCT stratum) FROM cells) * {r}) END AS ok FROM cells),
-seq AS (SELECT *, bool_and(ok) OVER (PARTITION BY stratum, rule ORDER BY step) AS fine, bad - {GOOD_WEIGHT} * k AS gain FROM sure),
+seq AS (SELECT *, bool_and(ok) OVER (PARTITION BY stratum, rule ORDER BY step) AS fine, bad - {good_weight} * k AS gain FROM sure),
 best AS (SELECT stratum, rule, arg_max(cut, gain * 1000 - step) AS cut FROM seq WHERE fine AND gain > 0 GROUP BY ALL)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT (base_failed OR {over}) AS kept FROM m
 """
