@@ -119,10 +119,21 @@ def test_urls(spark):
 def test_propagation(spark):
     edges = spark.createDataFrame([("a", "b", 1), ("a", "c", 3), ("b", "c", 1)], "_src string, _dst string, _n long")
     seeds = spark.createDataFrame([(1, "a", 4.0), (0, "c", 2.0)], "kind int, host string, seed double")
-    got = {(r["kind"], r["host"]): r["mass"] for r in url_filters.propagate(edges, seeds, 0.5, 6).collect()}
+    got = {(r["kind"], r["host"]): r["mass"] for r in url_filters.propagate(edges, seeds, 0.5, 0.02).collect()}
     assert got == pytest.approx({(1, "a"): 4.0, (1, "b"): 0.5, (1, "c"): 1.75, (0, "c"): 2.0, (0, "a"): 0.75 + 0.125, (0, "b"): 0.25})
 
 
+def test_propagation_to_a_tolerance(spark):
+    """Against the exact solution on a cycle, where mass never ends: what is missing stays below the tolerance."""
+    edges = spark.createDataFrame([("a", "b", 1), ("b", "c", 2), ("c", "a", 1), ("c", "b", 1)], "_src string, _dst string, _n long")
+    seeds = spark.createDataFrame([(1, "a", 5.0), (1, "c", 1.0)], "kind int, host string, seed double")
+    got = {r["host"]: r["mass"] for r in url_filters.propagate(edges, seeds).collect() if r["kind"] == 1}
+    move = np.array([[0, 1, 0], [0, 0, 1], [0.5, 0.5, 0]])
+    exact = np.linalg.solve(np.eye(3) - url_filters.DAMPING * move.T, [5.0, 0, 1.0])
+    missing = exact - [got[h] for h in "abc"]
+    assert (missing >= -1e-9).all() and missing.sum() <= url_filters.TOLERANCE * exact.sum()
+
+
 def test_words():
     for block in (8, 1 << 20):
         wordhash.BLOCK, was = block, wordhash.BLOCK
@@ -161,6 +172,20 @@ def test_substring_dedup(docs, empty):
     assert substring_dedup.dedup_substrings(empty).count() == 0
 
 
+@pytest.mark.parametrize("parts", [1, 3])
+def test_substring_dedup_by_many_ranges(spark, docs, monkeypatch, parts):
+    """More ranges than partitions, whose number follows the bytes of the texts and no estimate of a plan."""
+    monkeypatch.setattr(substring_dedup, "RANGE_BYTES", 500)
+    d = docs.filter("doc_id is not null").unionAll(spark.createDataFrame([(9999, PASSAGE, "en", "", "")], docs.schema))
+    was = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    got = by_id(substring_dedup.dedup_substrings(d).select("row.doc_id", "n_words", "n_removed", "kept_sha256").collect(), 1, 2, 3)
+    assert substring_dedup.repeated_windows(d).rdd.getNumPartitions() == parts
+    spark.conf.set("spark.sql.shuffle.partitions", was)
+    for i, *want in brute_substrings([(i, WORD.findall(t or "")) for i, t in [*enumerate(TEXTS), (9999, PASSAGE)]]):
+        assert set(got[i]) == {tuple(want)}, i
+
+
 def jaccard(a, b):
     return len(a & b) / len(a | b)
 
@@ -419,7 +444,55 @@ def test_language(spark, sf):
     assert language_id.identify(edge.limit(0), model).count() == 0
     nothing = language_id.train(d.limit(0))
     assert {r["lang_pred"] for r in language_id.identify(edge, nothing).collect()} == {"und"}
+    assert language_id.identify(spark.createDataFrame([(1, "½ ² ① Ⅷ 4"), (2, "ª")], "doc_id long, text string"), model).filter("lang_pred = 'und'").count() == 1
+    with pytest.raises(ValueError, match="languages"):
+        language_id.labelled_sample(d, sample=2)
     a, b = language_id.weighted(["Hallo Welt", "hello world"])
     held = lambda t, n: {t.lower()[i : i + n] for i in range(len(t) - n + 1)}
     want = sum(w * len(held("Hallo Welt", n) & held("hello world", n)) / (len(held("Hallo Welt", n)) * len(held("hello world", n))) ** 0.5 for n, w in language_id.GRAMS.items())
     assert float(a @ b) == pytest.approx(want, abs=0.02)  # hashing may join a few
+
+
+def test_language_against_plain_kernel_ridge(spark, sf):
+    """With every text a landmark: kernel ridge regression on exact n-gram sets, solved in its dual form."""
+    rows = spark.read.parquet(f"{sf}/documents.parquet").filter("lang is not null and length(text) between 50 and 1500").orderBy("doc_id").limit(90).collect()
+    texts, own = [r.text for r in rows], np.array([r.lang for r in rows])
+    grams = [{n: {t[i : i + n] for i in range(len(t) - n + 1)} for n in language_id.GRAMS} for t in (x.lower() for x in texts)]
+    k = np.array([[sum(w * len(a[n] & b[n]) / (len(a[n]) * len(b[n])) ** 0.5 for n, w in language_id.GRAMS.items()) for b in grams] for a in grams])
+    names = sorted(set(own))
+    y = np.where(own[:60, None] == np.array(names)[None, :], 1.0, -1.0)
+    share = np.array([1 / (own[:60] == x).sum() for x in own[:60]])
+    alpha = np.linalg.solve(share[:, None] * k[:60, :60] + language_id.RIDGE / len(names) * np.eye(60), share[:, None] * y)
+    want = k[60:, :60] @ alpha
+    model = language_id.fit(texts[:60], own[:60].tolist(), landmarks=10**6)
+    got = language_id.weighted(texts[60:]) @ model.weights
+    assert model.languages == names and np.abs(got - want).max() < 0.2
+    assert [names[i] for i in want.argmax(axis=1)] == model.predict(texts[60:])[0]
+
+
+def test_every_column_of_the_digests(spark, sf):
+    """Digests that the queries of operators 3, 7 and 8 derive, against the libraries, over the whole smallest table."""
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    from ledgerloom.llm.queries import QUERIES
+
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    sp = sentencepiece.SentencePieceProcessor(model_file=P.path("piece_bpe_32k.model"))
+    got = {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in QUERIES["op3_piece_codec"](spark, sf).collect()}
+    assert got == {i: (len(ids), sha(",".join(map(str, ids))), sha(sp.decode(ids) if ids else "")) for i, ids in ((i, sp.encode(t)) for i, t in texts.items())}
+    plain, start = Tokenizer.from_file(P.path("word_bpe_49k.json")), 0
+    want = {}
+    for i in sorted(texts):
+        ids = [*plain.encode(texts[i], add_special_tokens=False).ids, 2]
+        want[i] = (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        start += len(ids)
+    assert {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in QUERIES["op8_token_files"](spark, sf).collect()} == want
+    for r in QUERIES["op7_media_columns"](spark, sf).collect():
+        payload = media.pad(texts[r.doc_id].encode())
+        data, counts = media.encode_png(payload), collections.Counter(payload)
+        mode = min(counts, key=lambda b: (-counts[b], b))
+        feature = f"64x{len(payload) // 64}x8 mean={sum(payload) * 1000 // len(payload) / 1000:.3f} values={len(counts)} mode={mode}"
+        assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(texts[r.doc_id].encode()), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]))
+        assert (r.media_bytes, r.media_sha256, r.feature) == (len(data), hashlib.sha256(data).hexdigest(), feature)

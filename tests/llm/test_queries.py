@@ -100,3 +100,18 @@ def test_urls_with_links_against_sql(spark, tmp_path):
         sql[name] = sorted(c.sql(f"SELECT page_id, host, path, rule, verdict FROM ({queries.ORACLES['op5_url_filters']})").fetchall(), key=str)
     assert got == sql and got["plain"] != got["linked"]
     assert url_filters.host_edges(spark.read.parquet(f"{tmp_path}/linked/pages.parquet")).count() > len(hosts)
+
+
+def test_learned_cutoffs_against_sql(spark):
+    """Operator 4 where cutoffs are certified in several strata, some of them at the price of good documents (k > 0)."""
+    sf = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    got = {r._id: (r.kept, tuple(r.rejected_by), r.stratum) for r in quality_rules.assess(docs, labels, alpha=0.3, good_weight=1).collect()}
+    c = duckdb.connect()
+    for t in ("documents", "labels"):
+        c.sql(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
+    want = dict(c.sql(f"SELECT doc_id, kept FROM ({quality_rules._oracle(0.3, 0.05, 1)})").fetchall())
+    assert {i: k for i, (k, _, _) in got.items()} == want
+    learned = {i: s for i, (k, by, s) in got.items() if not k and by != ("base",)}
+    good = {r.doc_id for r in labels.filter("quality = 1").collect()}
+    assert len(set(learned.values())) > 1 and good & set(learned)
