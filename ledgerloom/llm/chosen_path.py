@@ -221,9 +221,11 @@ def follow_leaders(batches: Iterator[pa.RecordBatch], tied: float) -> Iterator[p
             top = like[np.arange(len(members)), best]
             near = np.where(top >= tied, tree[best], -1)
             own = [[] for _ in members]
-            for t in np.unique(tree).tolist():
-                for m in np.flatnonzero((like[:, tree == t].max(axis=1) >= tied) & (near != t)).tolist():
-                    own[m].append(node[leaders[t]])
+            order = np.argsort(tree, kind="stable")
+            roots, first = np.unique(tree[order], return_index=True)
+            other = (np.maximum.reduceat(like[:, order], first, axis=1) >= tied) & (near[:, None] != roots[None, :])
+            for m, t in np.argwhere(other).tolist():
+                own[m].append(node[leaders[roots[t]]])
             labels += [node[leaders[t]] if t >= 0 else None for t in near.tolist()]
             settled += (top >= SETTLED).tolist()
             ties += own
@@ -238,9 +240,10 @@ def candidate_edges(nodes: DataFrame, runs: int, levels: int, bucket: int = BUCK
     Small buckets are brute-forced. Of a large one some leaders are drawn by hash and its members tied to those they
     resemble: a row a member. What is so near to a leader that its partners must resemble it too is settled; the
     others are split further, unless nearly all are in one tree anyway. After the last level leaders are drawn anew
-    from what is left, many and four times as many each time, until nothing is.
+    from what is left, four times as many each time, until it is small.
     """
     sketches, found = nodes.select(F.col("node").alias("_n"), "sketch"), []
+    tasks = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # few bytes, much to compare: not to be coalesced
 
     def counted(members: DataFrame) -> DataFrame:
         """Buckets of two and more, with their size; the sizes are written so that hot buckets can be split in the join."""
@@ -252,7 +255,7 @@ def candidate_edges(nodes: DataFrame, runs: int, levels: int, bucket: int = BUCK
 
     def brute(buckets: DataFrame) -> None:
         rows = buckets.select("key", "node").join(sketches, F.col("node") == F.col("_n")).select("key", "node", "sketch")
-        found.append(stash(rows.repartition("key").sortWithinPartitions("key", "node").mapInArrow(brute_force, "a binary, b binary"), "found"))
+        found.append(stash(rows.repartition(tasks, "key").sortWithinPartitions("key", "node").mapInArrow(brute_force, "a binary, b binary"), "found"))
 
     def follow(rows: DataFrame, guest: Column, tied: float) -> DataFrame:
         """One row for each member (`run, key, node`) of large buckets, tied to the guests of its bucket."""
@@ -261,7 +264,7 @@ def candidate_edges(nodes: DataFrame, runs: int, levels: int, bucket: int = BUCK
         own = F.array(at(F.pmod(F.xxhash64("node"), parts), False))
         places = F.when(guest, F.concat(own, F.transform(F.sequence(F.lit(0), parts - 1), lambda p: at(p, True)))).otherwise(own)
         rows = rows.join(sketches, F.col("node") == F.col("_n")).select("run", "key", "node", "sketch", F.explode(places).alias("_p")).select("run", "key", "_p.*", "node", "sketch")
-        rows = rows.repartition("key", "part").sortWithinPartitions("key", "part", "guest", "node")
+        rows = rows.repartition(tasks, "key", "part").sortWithinPartitions("key", "part", "guest", "node")
         led = stash(rows.mapInArrow(_follow(tied), "run int, key long, node binary, label binary, settled boolean, ties array<binary>"), "led")
         found.append(led.select(F.col("node").alias("a"), F.col("label").alias("b")).unionAll(led.filter(F.size("ties") > 0).select("node", F.explode("ties"))).filter("a <> b"))
         return led
@@ -282,22 +285,24 @@ def candidate_edges(nodes: DataFrame, runs: int, levels: int, bucket: int = BUCK
         few = left.filter(F.col("strays") <= bucket)
         if not few.isEmpty():
             follow(few, ~F.col("label").eqNullSafe(F.col("main")), ALIKE)
-        return left.filter(F.col("strays") > bucket).select("run", "key", "node", "size")
+        return left.filter(F.col("strays") > bucket).select("run", "key", "node")
 
     members = nodes.select("node", F.posexplode(F.slice("picks", 1, runs)).alias("run", "_p")).select("run", "node", F.explode("_p").alias("_t")).select("run", F.xxhash64("run", "_t").alias("key"), "node")
+    level, number = 0, leaders
     with settings(nodes.sparkSession, **_BLOOM):
-        for level in range(levels):
-            buckets, number = counted(members), leaders if level < levels - 1 else bucket
+        while True:
+            buckets = counted(members)
             brute(buckets.filter(F.col("size") <= bucket))
-            left = stash(buckets.filter(F.col("size") > bucket), "large")
-            if left.isEmpty():
+            large = stash(buckets.filter(F.col("size") > bucket), "large")
+            if large.isEmpty():
                 break
-            left = lead(left.filter(F.col("size") > bucket), level, number)
-            deeper = left.join(nodes.select(F.col("node").alias("_n"), "picks"), F.col("node") == F.col("_n"))
-            members = deeper.select("run", "key", "node", F.explode(F.filter(F.get("picks", F.lit((level + 1) * runs) + F.col("run")), lambda t: F.xxhash64("run", t) != F.col("key"))).alias("_t"))  # not the first shingle again.select("run", F.xxhash64("key", "_t").alias("key"), "node")
-        while not left.isEmpty():
-            level, number = level + 1, 4 * number
-            left = lead(left, level, number)
+            members = lead(large.filter(F.col("size") > bucket), level, number)
+            level += 1
+            if level < levels:
+                deeper = members.join(nodes.select(F.col("node").alias("_n"), "picks"), F.col("node") == F.col("_n"))
+                members = deeper.select("run", "key", "node", F.explode(F.get("picks", F.lit(level * runs) + F.col("run"))).alias("_t")).select("run", F.xxhash64("key", "_t").alias("key"), "node")
+            else:
+                number *= 4
     edges = found[0]
     for more in found[1:]:
         edges = edges.unionAll(more)
