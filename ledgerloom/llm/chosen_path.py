@@ -82,7 +82,7 @@ def _signatures(runs: int, levels: int, picks: float, size: int):
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         free_caches()
-        for batch in text_slices(batches, "_text", 4 << 20):
+        for batch in text_slices(batches, "_text", 1 << 20):
             hashes, first = shingle_sets(batch.column("_text"), size)
             n = np.diff(first)
             full = np.flatnonzero(n > 0)
@@ -118,6 +118,14 @@ def alike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a == b).mean(axis=-1)
 
 
+def _matches(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Equal min-hashes of each sketch of a (row) and of b (column), a byte each."""
+    out = np.empty((len(a), len(b)), dtype=np.uint8)
+    for k, sketch in enumerate(b):
+        out[:, k] = np.count_nonzero(a == sketch, axis=1)
+    return out
+
+
 def _pairs(nodes: list[bytes], sketches: np.ndarray, starts: np.ndarray) -> Iterator[tuple[bytes, bytes]]:
     """Edges that connect what is alike within each bucket: all pairs of tiny buckets, a spanning forest of the others."""
     sizes = np.diff(starts)
@@ -184,7 +192,8 @@ def _trees(hit: np.ndarray) -> np.ndarray:
     """The least member that each row can reach, in a symmetric matrix of links."""
     root = np.arange(len(hit))
     while True:
-        new = np.minimum(root, np.where(hit, root[None, :], len(hit)).min(axis=1, initial=len(hit)))
+        least = [np.where(hit[k : k + 256], root[None, :], len(hit)).min(axis=1, initial=len(hit)) for k in range(0, len(hit), 256)]
+        new = np.minimum(root, np.concatenate([*least, root[:0]]))
         new = np.minimum(new, new[new])
         if (new == root).all():
             return root
@@ -215,19 +224,19 @@ def follow_leaders(batches: Iterator[pa.RecordBatch], tied: float) -> Iterator[p
             if not len(leaders):
                 labels, settled, ties = labels + [None] * len(members), settled + [False] * len(members), ties + [[]] * len(members)
                 continue
-            tree = _trees(np.stack([alike(sketch[leaders], sketch[k]) for k in leaders]) >= tied)
-            like = np.stack([alike(sketch[members], sketch[k]) for k in leaders], axis=1)
+            tree = _trees(_matches(sketch[leaders], sketch[leaders]) >= tied * SKETCH)
+            like = _matches(sketch[members], sketch[leaders])
             best = like.argmax(axis=1)
             top = like[np.arange(len(members)), best]
-            near = np.where(top >= tied, tree[best], -1)
+            near = np.where(top >= tied * SKETCH, tree[best], -1)
             own = [[] for _ in members]
             order = np.argsort(tree, kind="stable")
             roots, first = np.unique(tree[order], return_index=True)
-            other = (np.maximum.reduceat(like[:, order], first, axis=1) >= tied) & (near[:, None] != roots[None, :])
+            other = (np.maximum.reduceat(like[:, order], first, axis=1) >= tied * SKETCH) & (near[:, None] != roots[None, :])
             for m, t in np.argwhere(other).tolist():
                 own[m].append(node[leaders[roots[t]]])
             labels += [node[leaders[t]] if t >= 0 else None for t in near.tolist()]
-            settled += (top >= SETTLED).tolist()
+            settled += (top >= SETTLED * SKETCH).tolist()
             ties += own
         arrays = [table.column(c).take(pa.array(keep)).combine_chunks() for c in ("run", "key", "node")]
         arrays = [x.chunk(0) if isinstance(x, pa.ChunkedArray) else x for x in arrays]
