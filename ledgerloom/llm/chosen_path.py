@@ -212,17 +212,18 @@ def follow_leaders(batches: Iterator[pa.RecordBatch], tied: float) -> Iterator[p
 
     `label` is the root of the tree of the leader that the member resembles most, `ties` are the roots of other trees
     with leaders that it resembles, and settled are members so near to a leader that all their partners are tied to
-    its tree.
+    its tree. `main` is the root of the tree with most leaders.
     """
     for table in _grouped(batches, ["key", "part"], 4000):
         starts = np.r_[_starts(table, ["key", "part"]), table.num_rows].tolist()
         node, sketch = table.column("node").to_pylist(), _sketches(table.column("sketch"))
         guest = table.column("guest").to_numpy(zero_copy_only=False).astype(bool)
-        keep, labels, settled, ties = np.flatnonzero(~guest), [], [], []
+        keep, labels, settled, ties, main = np.flatnonzero(~guest), [], [], [], []
         for a, b in zip(starts[:-1], starts[1:], strict=True):
             leaders, members = a + np.flatnonzero(guest[a:b]), a + np.flatnonzero(~guest[a:b])
             if not len(leaders):
                 labels, settled, ties = labels + [None] * len(members), settled + [False] * len(members), ties + [[]] * len(members)
+                main += [None] * len(members)
                 continue
             tree = _trees(_matches(sketch[leaders], sketch[leaders]) >= tied * SKETCH)
             like = _matches(sketch[members], sketch[leaders])
@@ -238,9 +239,10 @@ def follow_leaders(batches: Iterator[pa.RecordBatch], tied: float) -> Iterator[p
             labels += [node[leaders[t]] if t >= 0 else None for t in near.tolist()]
             settled += (top >= SETTLED * SKETCH).tolist()
             ties += own
+            main += [node[leaders[np.bincount(tree).argmax()]]] * len(members)
         arrays = [table.column(c).take(pa.array(keep)).combine_chunks() for c in ("run", "key", "node")]
         arrays = [x.chunk(0) if isinstance(x, pa.ChunkedArray) else x for x in arrays]
-        yield pa.RecordBatch.from_arrays([*arrays, pa.array(labels, pa.binary()), pa.array(settled, pa.bool_()), pa.array(ties, pa.list_(pa.binary()))], names=["run", "key", "node", "label", "settled", "ties"])
+        yield pa.RecordBatch.from_arrays([*arrays, pa.array(labels, pa.binary()), pa.array(settled, pa.bool_()), pa.array(ties, pa.list_(pa.binary())), pa.array(main, pa.binary())], names=["run", "key", "node", "label", "settled", "ties", "main"])
 
 
 def candidate_edges(nodes: DataFrame, runs: int, levels: int, bucket: int = BUCKET, leaders: int = LEADERS) -> DataFrame:
@@ -274,26 +276,24 @@ def candidate_edges(nodes: DataFrame, runs: int, levels: int, bucket: int = BUCK
         places = F.when(guest, F.concat(own, F.transform(F.sequence(F.lit(0), parts - 1), lambda p: at(p, True)))).otherwise(own)
         rows = rows.join(sketches, F.col("node") == F.col("_n")).select("run", "key", "node", "sketch", F.explode(places).alias("_p")).select("run", "key", "_p.*", "node", "sketch")
         rows = rows.repartition(tasks, "key", "part").sortWithinPartitions("key", "part", "guest", "node")
-        led = stash(rows.mapInArrow(_follow(tied), "run int, key long, node binary, label binary, settled boolean, ties array<binary>"), "led")
+        led = stash(rows.mapInArrow(_follow(tied), "run int, key long, node binary, label binary, settled boolean, ties array<binary>, main binary"), "led")
         found.append(led.select(F.col("node").alias("a"), F.col("label").alias("b")).unionAll(led.filter(F.size("ties") > 0).select("node", F.explode("ties"))).filter("a <> b"))
         return led
 
     def lead(large: DataFrame, salt: int, number: int) -> DataFrame:
         """Ties the members of large buckets to leaders drawn by hash; returns the members of buckets that must be split.
 
-        Members outside of their bucket's largest tree are strays. A few strays are guests once more, so that all
-        who are open meet them, which ends the bucket: the others are in one tree.
+        Members outside of the tree with most leaders are strays. A few strays are guests once more, so that all who
+        are open meet them, which ends the bucket: the others are in one tree.
         """
         led = follow(large, F.pmod(F.xxhash64("key", "node", F.lit(salt)), F.col("size")) < number, TIED)
-        open_ = led.filter("not settled").select("run", "key", "node", "label")
-        trees = open_.groupBy("key", "label").agg(F.count("*").alias("n"))
-        main = F.max_by(F.col("label"), F.when(F.col("label").isNotNull(), F.struct("n", "label")))
-        state = trees.groupBy(F.col("key").alias("_key")).agg(main.alias("main"), F.sum("n").alias("size"), (F.sum("n") - F.coalesce(F.max(F.when(F.col("label").isNotNull(), F.col("n"))), F.lit(0))).alias("strays"))
-        state = stash(state.filter("strays > 0"), "state")
-        left = stash(open_.join(state, F.col("key") == F.col("_key")).drop("_key"), "left")
+        within = F.coalesce(F.col("label") == F.col("main"), F.lit(False))
+        open_ = led.filter("not settled").select("run", "key", "node", within.alias("within"))
+        state = open_.groupBy(F.col("key").alias("_key")).agg(F.count("*").alias("size"), F.count(F.when(~F.col("within"), 1)).alias("strays"))
+        left = stash(open_.join(stash(state.filter("strays > 0"), "state"), F.col("key") == F.col("_key")).drop("_key"), "left")
         few = left.filter(F.col("strays") <= bucket)
         if not few.isEmpty():
-            follow(few, ~F.col("label").eqNullSafe(F.col("main")), ALIKE)
+            follow(few, ~F.col("within"), ALIKE)
         return left.filter(F.col("strays") > bucket).select("run", "key", "node")
 
     members = nodes.select("node", F.posexplode(F.slice("picks", 1, runs)).alias("run", "_p")).select("run", "node", F.explode("_p").alias("_t")).select("run", F.xxhash64("run", "_t").alias("key"), "node")
