@@ -276,13 +276,15 @@ def test_rows_follow_the_size_of_a_group(spark, monkeypatch):
 def test_strangers_in_a_large_bucket_meet(spark):
     """Leaders settle themselves alone, which leaves fewer than a bucket of strangers: those must still meet each other."""
     rng = np.random.default_rng(5)
-    sketches = rng.integers(0, 256, (24, chosen_path.SKETCH), dtype=np.uint8)
-    sketches[12:] = sketches[:12]  # 12 pairs
-    sketches[12:, :20] = rng.integers(0, 256, (12, 20), dtype=np.uint8)
-    rows = [(bytes([k]), s.tobytes(), [[7]] * 3) for k, s in enumerate(sketches)]
+    rows, pairs = [], set()
+    for bucket in range(12):  # of 24 strangers each, but for one pair
+        sketches = rng.integers(0, 256, (24, chosen_path.SKETCH), dtype=np.uint8)
+        sketches[1, 20:] = sketches[0, 20:]
+        rows += [(bytes([bucket, k]), s.tobytes(), [[bucket]] * 3) for k, s in enumerate(sketches)]
+        pairs.add((bytes([bucket, 0]), bytes([bucket, 1])))
     nodes = spark.createDataFrame(rows, "node binary, sketch binary, picks array<array<long>>")
     edges = chosen_path.candidate_edges(nodes, 1, 3, bucket=20, leaders=6).collect()
-    assert {tuple(sorted((e["a"][0] % 12, e["b"][0] % 12))) for e in edges} == {(k, k) for k in range(12)}
+    assert {tuple(sorted((bytes(e["a"]), bytes(e["b"])))) for e in edges} == pairs
 
 
 def test_runs():
