@@ -75,14 +75,19 @@ def calibration(df: DataFrame, p: Column, y: Column, edges: Sequence[float] = (0
 def classifier_metrics(df: DataFrame, p: Column, y: Column) -> DataFrame:
     """One row: `n, auc, log_loss, brier, accuracy`. The AUC is exact, from average ranks of tied scores.
 
-    Ranks come from counts of distinct scores, so the only ordered window runs over those.
+    Distinct scores are ranked within cells of their logit; the window over all is one of at most 3841 cells.
     """
     d = df.select(p.alias("_p"), y.cast("int").alias("_y")).filter("_p is not null and _y is not null")
-    q = F.least(F.greatest(F.col("_p"), F.lit(1e-6)), F.lit(1 - 1e-6))
+    clipped = lambda e: F.least(F.greatest(F.col("_p"), F.lit(e)), F.lit(1 - e))
+    q = clipped(1e-6)
     d = d.withColumn("_ll", F.when(F.col("_y") == 1, -F.log(q)).otherwise(-F.log(1 - q))).withColumn("_br", F.pow(F.col("_p") - F.col("_y"), 2)).withColumn("_ok", ((F.col("_p") >= 0.5).cast("int") == F.col("_y")).cast("int"))
     levels = d.groupBy("_p").agg(F.count("*").alias("_c"), F.sum("_y").alias("_pos"), F.sum("_ll").alias("_ll"), F.sum("_br").alias("_br"), F.sum("_ok").alias("_ok"))
-    below = F.sum("_c").over(Window.orderBy("_p")) - F.col("_c")
-    s = levels.withColumn("_rank", below + (F.col("_c") + 1) / 2).agg(F.sum("_c").alias("n"), F.sum("_pos").alias("np"), F.sum(F.col("_pos") * F.col("_rank")).alias("rs"), F.sum("_ll").alias("ll"), F.sum("_br").alias("br"), F.sum("_ok").alias("ok"))
+    wide = clipped(1e-13)
+    levels = levels.withColumn("_cell", F.floor(F.log(wide / (1 - wide)) * 64))
+    rank = F.sum("_c").over(Window.partitionBy("_cell").orderBy("_p")) - F.col("_c") + (F.col("_c") + 1) / 2
+    cells = levels.withColumn("_rank", rank).groupBy("_cell").agg(F.sum("_c").alias("_c"), F.sum("_pos").alias("_pos"), F.sum(F.col("_pos") * F.col("_rank")).alias("_rs"), *[F.sum(c).alias(c) for c in ("_ll", "_br", "_ok")])
+    below = F.sum("_c").over(Window.orderBy("_cell")) - F.col("_c")
+    s = cells.withColumn("_below", below).agg(F.sum("_c").alias("n"), F.sum("_pos").alias("np"), F.sum(F.col("_rs") + F.col("_pos") * F.col("_below")).alias("rs"), F.sum("_ll").alias("ll"), F.sum("_br").alias("br"), F.sum("_ok").alias("ok"))
     auc = F.try_divide(F.col("rs") - F.col("np") * (F.col("np") + 1) / 2, F.col("np") * (F.col("n") - F.col("np")))
     return s.select("n", F.round(auc, 4).alias("auc"), F.round(F.col("ll") / F.col("n"), 4).alias("log_loss"), F.round(F.col("br") / F.col("n"), 4).alias("brier"), F.round(F.col("ok") / F.col("n"), 4).alias("accuracy"))
 

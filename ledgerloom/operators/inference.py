@@ -7,40 +7,66 @@ from collections.abc import Sequence
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+
+#: Cells of groups of one size; the only window over all is one over (size, cell).
+CELLS = 64
 
 
 def group_folds(df: DataFrame, group: str, folds: int = 10) -> DataFrame:
-    """`group, fold`: no group on two sides; a serpentine over groups by size balances the folds, as greedy dealing would."""
-    from pyspark.sql.window import Window
+    """`group, fold`: no group on two sides; a serpentine over groups by size balances the folds, as greedy dealing would.
 
-    sizes = df.groupBy(group).agg(F.count("*").alias("_n"))
-    i = F.row_number().over(Window.orderBy(F.desc("_n"), group)) - 1
+    Groups are numbered by size, then within cells of a hash, so one task orders only counts of (size, cell).
+    """
+    sizes = df.groupBy(group).agg(F.count("*").alias("_n")).withColumn("_c", F.pmod(F.xxhash64(group), F.lit(CELLS)))
+    cells = sizes.groupBy("_n", "_c").agg(F.count("*").alias("_g"))
+    cells = cells.select(F.col("_n").alias("_m"), F.col("_c").alias("_d"), (F.sum("_g").over(Window.orderBy(F.desc("_n"), "_c")) - F.col("_g")).alias("_before"))
+    numbered = sizes.withColumn("_i", F.row_number().over(Window.partitionBy("_n", "_c").orderBy(group)) - 1)
+    i = F.col("_before") + F.col("_i")
     turn, place = F.floor(i / folds), i % folds
-    return sizes.select(group, F.when(turn % 2 == 0, place).otherwise(folds - 1 - place).cast("int").alias("fold"))
+    fold = F.when(turn % 2 == 0, place).otherwise(folds - 1 - place).cast("int")
+    return numbered.join(cells, (F.col("_n") == F.col("_m")) & (F.col("_c") == F.col("_d"))).select(group, fold.alias("fold"))
 
 
-def fit_logit(df: DataFrame, features: Sequence[str], label: str, c: float = 1.0, steps: int = 12) -> np.ndarray:
-    """Intercept and weights of L2-penalised logistic regression (penalty 1 / (2c) on weights, none on the intercept).
+def fit_logits(df: DataFrame, features: Sequence[str], label: str, parts: Sequence[Column], c: float = 1.0, steps: int = 12) -> list[np.ndarray]:
+    """For each part (a condition on rows) intercept and weights of L2-penalised logistic regression on its rows.
 
-    Newton's method; a step is one aggregate of (features + 1)^2 sums, so only that many numbers leave the executors.
+    The penalty is 1 / (2c) on weights, none on the intercept. Newton's method; a step is one aggregate for all parts
+    of (features + 1)^2 sums each, so only that many numbers leave the executors. A part without rows: zeros.
     """
     x = [F.lit(1.0), *[F.col(f).cast("double") for f in features]]
-    w = np.zeros(len(x))
+    d = len(x)
+    weights, open_ = [np.zeros(d) for _ in parts], set(range(len(parts)))
     penalty = np.diag([0.0] + [1.0 / c] * len(features))
     for _ in range(steps):
-        z = sum((xi * float(wi) for xi, wi in zip(x[1:], w[1:], strict=True)), F.lit(float(w[0])))
-        p = 1 / (1 + F.exp(-z))
-        aggs = [F.sum((p - F.col(label)) * xi).alias(f"g{i}") for i, xi in enumerate(x)] + [F.sum(p * (1 - p) * x[i] * x[j]).alias(f"h{i}_{j}") for i in range(len(x)) for j in range(i, len(x))]
-        r = df.agg(*aggs).head()
-        if r["g0"] is None:
-            return w
-        g = np.array([r[f"g{i}"] for i in range(len(x))]) + penalty @ w
-        h = np.array([[r[f"h{min(i, j)}_{max(i, j)}"] for j in range(len(x))] for i in range(len(x))]) + penalty
-        step = np.linalg.solve(h + 1e-9 * np.eye(len(x)), g)
-        w = w - step
-        if np.abs(step).max() < 1e-8:
+        aggs = []
+        for k in sorted(open_):
+            w = weights[k]
+            p = 1 / (1 + F.exp(-sum((xi * float(wi) for xi, wi in zip(x[1:], w[1:], strict=True)), F.lit(float(w[0])))))
+            terms = [(p - F.col(label)) * xi for xi in x] + [p * (1 - p) * x[i] * x[j] for i in range(d) for j in range(i, d)]
+            aggs.append(F.struct(*[F.sum(F.when(parts[k], t)).alias(f"s{n}") for n, t in enumerate(terms)]).alias(f"part{k}"))
+        if not aggs:
             break
-    return w
+        row = df.agg(*aggs).head()
+        for k in sorted(open_):
+            sums = list(row[f"part{k}"])
+            if sums[0] is None:
+                open_.discard(k)
+                continue
+            h = np.zeros((d, d))
+            h[np.triu_indices(d)] = sums[d:]
+            h = h + np.triu(h, 1).T + penalty
+            step = np.linalg.solve(h + 1e-9 * np.eye(d), np.array(sums[:d]) + penalty @ weights[k])
+            weights[k] = weights[k] - step
+            if np.abs(step).max() < 1e-8:
+                open_.discard(k)
+    return weights
+
+
+def fit_logit(df: DataFrame, features: Sequence[str], label: str, c: float = 1.0, steps: int = 12) -> np.ndarray:
+    """fit_logits on all rows."""
+    return fit_logits(df, features, label, [F.lit(True)], c, steps)[0]
 
 
 def probability(weights: np.ndarray, features: Sequence[str]) -> Column:
@@ -49,12 +75,20 @@ def probability(weights: np.ndarray, features: Sequence[str]) -> Column:
 
 
 def cross_validated(df: DataFrame, features: Sequence[str], label: str, group: str, folds: int = 10) -> DataFrame:
-    """df with `fold` and `p`, each row scored by a model that saw none of its group; nulls in features give a null p."""
-    d = df.join(group_folds(df.filter(F.col(label).isNotNull()), group, folds), group).cache()
-    known = d.filter(F.col(label).isNotNull())
+    """df with `fold` and `p`, each row scored by a model that saw none of its group; nulls in features give a null p.
+
+    All folds are fitted together, one aggregate a step. Groups without a label have no fold, and their rows go.
+    """
+    d = df.join(group_folds(df.filter(F.col(label).isNotNull()), group, folds), group)
+    known = d.filter(F.col(label).isNotNull()).select(*features, label, "fold")
     for f in features:
         known = known.filter(F.col(f).isNotNull())
+    known = known.persist()
+    try:
+        models = fit_logits(known, features, label, [F.col("fold") != k for k in range(folds)])
+    finally:
+        known.unpersist()
     p = F.lit(None).cast("double")
-    for k in range(folds):
-        p = F.when(F.col("fold") == k, probability(fit_logit(known.filter(F.col("fold") != k), features, label), features)).otherwise(p)
+    for k, w in enumerate(models):
+        p = F.when(F.col("fold") == k, probability(w, features)).otherwise(p)
     return d.withColumn("p", p)

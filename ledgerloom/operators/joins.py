@@ -54,25 +54,49 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_on: str
     return out.select("_row.*", *[F.col(f"_got.{c}").alias(c) for c in take])
 
 
+#: Cells of a grid over the ends of bands; only tables of one row a cell are ordered in one task.
+CELLS = 1024
+
+
 def band_join(df: DataFrame, bands: DataFrame, value: str, low: str, high: str, order: str, take: Sequence[str]) -> DataFrame:
     """Each row with the columns `take` of the last band (by `order`) whose [low, high) holds the value.
 
-    Bands become disjoint pieces first (one sweep over their ends). Distinct values are placed among the pieces, so
-    the range condition is met over the small tables only and rows join by equality.
+    Bands become disjoint pieces, numbered over a grid of cells. A band covers at most two nodes of each level of the
+    binary tree over the pieces, and a piece looks up its ancestors, so pieces meet bands by equality in m log m rows
+    however many bands overlap. Distinct values find their piece as of its start within a cell; rows join by equality.
+    Ends are numbers, dates or timestamps. No bands, a null value, or a band with a null or empty range: nulls.
     """
-    ends = bands.select(F.col(low).alias("_p")).union(bands.select(F.col(high).alias("_p"))).distinct()
-    pieces = ends.withColumn("_q", F.lead("_p").over(Window.orderBy("_p"))).filter("_q is not null")
-    best = pieces.join(bands, (F.col(low) <= F.col("_p")) & (F.col(high) >= F.col("_q"))).groupBy("_p", "_q").agg(F.max_by(F.struct(*take), F.col(order)).alias("_t"))
-    cut = best.select(F.col("_p").alias("_at"), F.struct("_q", "_t").alias("_c"))
-    return _nearest_piece(df, cut, value, take, df.columns)
-
-
-def _nearest_piece(rows: DataFrame, cut: DataFrame, value: str, take: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """Joins by equality on distinct values, each placed among the pieces once."""
-    values = rows.select(F.col(value).alias("_v")).filter("_v is not null").distinct()
-    placed = values.join(cut, (F.col("_v") >= F.col("_at")) & (F.col("_v") < F.col("_c._q")), "left").select("_v", "_c._t")
-    out = rows.join(placed, F.col(value) == F.col("_v"), "left")
-    return out.select(*columns, *[F.col(f"_t.{c}").alias(c) for c in take])
+    kind = bands.schema[low].dataType.typeName()
+    number = (lambda c: F.unix_date(c).cast("double")) if kind == "date" else (lambda c: F.col(c).cast("double"))
+    span = bands.agg(F.min(number(low)).alias("a"), F.max(number(high)).alias("b")).head()
+    if span["a"] is None or span["b"] is None:
+        return df.select("*", *[F.lit(None).cast(bands.schema[c].dataType).alias(c) for c in take])
+    width = (span["b"] - span["a"]) / CELLS or 1.0
+    cell = lambda c: F.floor(F.greatest(F.least((number(c) - span["a"]) / width, F.lit(CELLS - 1.0)), F.lit(0.0))).cast("int")
+    cut = _pieces(bands.filter(F.col(low) < F.col(high)), low, high, order, take, cell)
+    cut = cut.select(F.explode(F.sequence(cell("_p"), cell("_q"))).alias("_c"), F.col("_p").alias("_at"), "_q", "_t")
+    values = df.select(F.col(value).alias("_v")).filter("_v is not null").distinct().withColumn("_c", cell("_v"))
+    placed = asof_join(values, cut, ["_c"], "_v", "_at", ["_q", "_t"], "_q").select("_v", F.when(F.col("_v") < F.col("_q"), F.col("_t")).alias("_t"))
+    out = df.join(placed, F.col(value) == F.col("_v"), "left")
+    return out.select(*df.columns, *[F.col(f"_t.{c}").alias(c) for c in take])
+
+
+def _pieces(bands: DataFrame, low: str, high: str, order: str, take: Sequence[str], cell) -> DataFrame:
+    """`_p, _q, _t`: disjoint pieces [_p, _q) that a band covers, each with `take` of its last band."""
+    ends = bands.select(F.col(low).alias("_p")).union(bands.select(F.col(high).alias("_p"))).distinct().withColumn("_c", cell("_p"))
+    within, cells = Window.partitionBy("_c").orderBy("_p"), Window.orderBy("_c")
+    ends = ends.withColumn("_i", F.row_number().over(within) - 1).withColumn("_q", F.lead("_p").over(within))
+    per_cell = ends.groupBy("_c").agg(F.count("*").alias("_n"), F.min("_p").alias("_first"))
+    per_cell = per_cell.select("_c", (F.sum("_n").over(cells) - F.col("_n")).alias("_before"), F.lead("_first").over(cells).alias("_next"), F.sum("_n").over(Window.partitionBy()).alias("_total"))
+    ends = ends.join(per_cell, "_c").select("_p", F.coalesce("_q", "_next").alias("_q"), (F.col("_before") + F.col("_i")).alias("_i"), "_total")
+    at = lambda c, i: ends.select(F.col("_p").alias(c), F.col("_i").alias(i))
+    placed = bands.select(F.col(low).alias("_a"), F.col(high).alias("_b"), F.col(order).alias("_o"), F.struct(*take).alias("_t")).join(at("_a", "_l"), "_a").join(at("_b", "_r"), "_b")
+    levels = lambda top: F.explode(F.sequence(F.lit(0), F.length(F.bin(top)) - 1))
+    spread = placed.withColumn("_k", levels(F.col("_r"))).withColumn("_l", F.expr("shiftright(_l + shiftleft(1L, _k) - 1, _k)")).withColumn("_r", F.expr("shiftright(_r, _k)")).filter("_l < _r")
+    nodes = spread.withColumn("_i", F.explode(F.array_compact(F.array(F.when(F.col("_l") % 2 == 1, F.col("_l")), F.when(F.col("_r") % 2 == 1, F.col("_r") - 1)))))
+    nodes = nodes.groupBy("_k", "_i").agg(F.max_by("_t", "_o").alias("_t"), F.max("_o").alias("_o"))
+    up = ends.filter("_q is not null").withColumn("_k", levels(F.col("_total"))).withColumn("_i", F.expr("shiftright(_i, _k)"))
+    return up.join(nodes, ["_k", "_i"]).groupBy("_p", "_q").agg(F.max_by("_t", "_o").alias("_t"))
 
 
 def set_overlap(sets: DataFrame, group: Sequence[str], owner: str, element: str) -> DataFrame:

@@ -363,3 +363,45 @@ def test_reads_to_steps(spark):
     assert {(r["k"], r["serial"]) for r in got.collect()} == {(2, 9), (4, 5), (5, 6), (6, 10), (7, 11)}
     steps = serial_steps(segments(got.filter("page = 2"), "file", "k", "serial"), "file")
     assert [tuple(r) for r in steps.collect()] == [("f", 5, 6, 1, 4, 3)]
+
+
+def test_band_join_against_brute_force(spark):
+    rnd = random.Random(5)
+    for n in (0, 1, 60):
+        bands = [(i, float(a := rnd.randint(-20, 40)), float(a + rnd.choice([0, 1, 7, 30])), f"b{i}") for i in range(n)] + [(n, None, 5.0, "open")]
+        values = [(i, v) for i, v in enumerate([None, -20.0, 70.0, 1e9, -1e9, *[rnd.uniform(-25, 75) for _ in range(80)], *[float(k) for k in range(-21, 72)]])]
+        want = {i: max(((o, t) for o, a, b, t in bands if v is not None and a is not None and a <= v < b), default=(0, None))[1] for i, v in values}
+        df, b = spark.createDataFrame(values, "i int, v double"), spark.createDataFrame(bands, "o int, lo double, hi double, t string")
+        out = J.band_join(df, b, "v", "lo", "hi", "o", ["t"])
+        assert {r["i"]: r["t"] for r in out.collect()} == want
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_metrics_against_ranks(spark):
+    rnd = np.random.default_rng(3)
+    p = np.r_[0.0, 1.0, 1e-15, np.round(rnd.random(300), 2), rnd.random(300)]
+    y = (rnd.random(len(p)) < p).astype(int)
+    pos, neg = p[y == 1], p[y == 0]
+    want = ((pos[:, None] > neg).mean() + (pos[:, None] == neg).mean() / 2).round(4)
+    d = spark.createDataFrame([*zip(p.tolist(), y.tolist()), (None, 1), (0.5, None)], "p double, y int")
+    got = A.classifier_metrics(d, F.col("p"), F.col("y")).head()
+    assert got["n"] == len(p) and abs(got["auc"] - want) < 1e-9
+
+
+def test_fits_against_newton_on_arrays(spark):
+    from ledgerloom.operators.inference import fit_logits, group_folds
+
+    rnd = np.random.default_rng(4)
+    x = rnd.normal(size=(200, 2))
+    y = (rnd.random(200) < 1 / (1 + np.exp(-x[:, 0]))).astype(int)
+    d = spark.createDataFrame([(float(a), float(b), int(c), i % 3) for i, ((a, b), c) in enumerate(zip(x, y))], "a double, b double, y int, k int")
+    got = fit_logits(d, ["a", "b"], "y", [F.col("k") != 0, F.lit(True), F.col("k") > 5])
+    for rows, w in ((np.arange(200) % 3 != 0, got[0]), (np.full(200, True), got[1])):
+        m = np.c_[np.ones(rows.sum()), x[rows]]
+        gradient = m.T @ (1 / (1 + np.exp(-m @ w)) - y[rows]) + np.r_[0, w[1:]]
+        assert np.abs(gradient).max() < 1e-6  # the penalised loss is convex, so this is its minimum
+    assert got[2].tolist() == [0, 0, 0]
+    g = spark.createDataFrame([(f"g{i}",) for i in range(500) for _ in range(1 + i % 4)], "g string")
+    folds = g.join(group_folds(g, "g", 5), "g").groupBy("fold").count().collect()
+    assert len(folds) == 5 and max(r["count"] for r in folds) - min(r["count"] for r in folds) <= 4
