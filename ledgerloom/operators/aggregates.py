@@ -150,3 +150,38 @@ def contiguous(df: DataFrame, groups: Sequence[str], number: str) -> DataFrame:
     """Whether the numbers of a group are exactly first..last, each once."""
     g = df.groupBy(*groups).agg(F.min(number).alias("_a"), F.max(number).alias("_b"), F.count("*").alias("_n"), F.countDistinct(number).alias("_d"))
     return g.select(*groups, ((F.col("_n") == F.col("_d")) & (F.col("_n") == F.col("_b") - F.col("_a") + 1)).alias("contiguous"))
+
+
+def repeat_classes(df: DataFrame, key: Sequence[str], values: Sequence[str], page: str) -> DataFrame:
+    """Repeated keys: `key..., n, pages, kind`, identical if all rows have the same values (nulls equal), else conflict.
+
+    `pages` are the distinct pages in order, joined by a semicolon.
+    """
+    seen = df.groupBy(*key, F.to_json(F.struct(*values), {"ignoreNullFields": "false"}).alias("_v"), F.col(page).alias("_p")).agg(F.count("*").alias("_n"))
+    g = seen.groupBy(*key).agg(F.sum("_n").alias("n"), (F.min("_v") == F.max("_v")).alias("_same"), F.array_sort(F.collect_set("_p")).alias("_ps"))
+    return g.filter("n > 1").select(*key, "n", F.array_join(F.transform("_ps", lambda p: p.cast("string")), ";").alias("pages"), F.when(F.col("_same"), "identical").otherwise("conflict").alias("kind"))
+
+
+def printings_agree(df: DataFrame, key: Sequence[str], script: str, label: str, position: str) -> DataFrame:
+    """`key..., scripts, agree` of keys printed in several scripts, by the last label of each script."""
+    last = df.groupBy(*key, script).agg(F.max_by(label, position).alias("_l"))
+    g = last.groupBy(*key).agg(F.count("*").alias("scripts"), F.size(F.collect_set("_l")).alias("_d"), F.count("_l").alias("_s"))
+    return g.filter("scripts > 1").select(*key, "scripts", ((F.col("_d") == 1) & (F.col("_s") == F.col("scripts"))).alias("agree"))
+
+
+def interior_steps(df: DataFrame, groups: Sequence[str], order: str, offset: str) -> DataFrame:
+    """`groups..., missing_inside, repeated, steps`: rises and falls of an offset, and their text `before>after` in order."""
+    w = Window.partitionBy(*groups).orderBy(order)
+    d = df.withColumn("_b", F.lag(offset).over(w)).withColumn("_s", F.col(offset) - F.col("_b"))
+    step = F.when(F.col("_s") != 0, F.struct(F.col(order).alias("o"), F.concat_ws(">", F.col("_b").cast("string"), F.col(offset).cast("string")).alias("t")))
+    up, down = F.sum(F.greatest("_s", F.lit(0))), F.sum(F.greatest(-F.col("_s"), F.lit(0)))
+    steps = F.array_join(F.transform(F.array_sort(F.collect_list(step)), lambda x: x["t"]), ";")
+    return d.groupBy(*groups).agg(F.coalesce(up, F.lit(0)).cast("long").alias("missing_inside"), F.coalesce(down, F.lit(0)).cast("long").alias("repeated"), steps.alias("steps"))
+
+
+def examples(df: DataFrame, groups: Sequence[str], value: str, n: int = 3) -> DataFrame:
+    """`groups..., n, examples`: rows of a group and its first n distinct values, joined by a comma; at most n values are gathered."""
+    counts = df.groupBy(*groups, value).agg(F.count("*").alias("_n"))
+    i = F.row_number().over(Window.partitionBy(*groups).orderBy(F.asc_nulls_last(value)))
+    g = counts.withColumn("_i", i).groupBy(*groups).agg(F.sum("_n").alias("n"), F.array_sort(F.collect_list(F.when(F.col("_i") <= n, F.col(value)))).alias("_e"))
+    return g.select(*groups, "n", F.array_join(F.transform("_e", lambda x: x.cast("string")), ",").alias("examples"))

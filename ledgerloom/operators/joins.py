@@ -243,3 +243,56 @@ def identical_groups(df: DataFrame, content: Column, key: str) -> DataFrame:
 def pair_group(a: Column, b: Column) -> Column:
     """One id for an unordered pair of keys."""
     return F.sha2(F.to_json(F.array_sort(F.array(a, b))), 256)
+
+
+def one_to_one(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Left join of two sides on which no key repeats (an error at run time), with `_merge` of both or left_only."""
+    j = checked_dimension(left, on).join(checked_dimension(right, on).withColumn("_r", F.lit(True)), list(on), "left")
+    return j.withColumn("_merge", F.when(F.col("_r").isNull(), "left_only").otherwise("both")).drop("_r")
+
+
+def last_lookup(df: DataFrame, decisions: DataFrame, on: Sequence[str], order: str) -> DataFrame:
+    """Left join with the last decision (by `order`) for each key; rows of df don't fan out."""
+    rest = [c for c in decisions.columns if c not in on and c != order]
+    last = decisions.groupBy(*on).agg(F.max_by(F.struct(*rest), order).alias("_d"))
+    return df.join(last, list(on), "left").select(*df.columns, *[F.col(f"_d.{c}").alias(c) for c in rest])
+
+
+def both_sides(pairs: DataFrame, left: DataFrame, right: DataFrame, left_key: str, right_key: str, key: str, suffixes: tuple[str, str]) -> DataFrame:
+    """Pairs of keys with the columns of either row, suffixed by its side; a key must occur once a side."""
+    out = pairs
+    for rows, k, suffix in ((left, left_key, suffixes[0]), (right, right_key, suffixes[1])):
+        named = checked_dimension(rows, [key]).select(F.col(key).alias(k), *[F.col(c).alias(c + suffix) for c in rows.columns if c != key])
+        out = out.join(named, k, "left")
+    return out
+
+
+def mapped_family(df: DataFrame, mapping: DataFrame, families: DataFrame, key: str, mapped: str, family: str, name: str) -> DataFrame:
+    """`name` is the family of the key's mapped value where it has one, else the mapped value (null: unmapped)."""
+    d = lookup(lookup(df, mapping.select(key, mapped), [key], unique=True), families.select(mapped, family), [mapped], unique=True)
+    return d.select(*df.columns, F.coalesce(family, mapped).alias(name))
+
+
+def reviewed_join(left: DataFrame, right: DataFrame, aliases: DataFrame, key: str, right_id: str) -> DataFrame:
+    """Left rows with `match_<right_id>` and `status`: normalized_name, ambiguous_name, reviewed_spelling_variant, unmatched.
+
+    A key without a match is tried under its reviewed spelling (aliases: `key, spelling`, one a key).
+    """
+    m = right.groupBy(F.col(key).alias("_k")).agg(F.count("*").alias("_n"), F.min(right_id).alias("_id"))
+    d = lookup(left, aliases.select(key, F.col("spelling").alias("_alias")), [key], unique=True)
+    d = d.join(m, F.col(key) == F.col("_k"), "left").join(m.select(F.col("_k").alias("_ak"), F.col("_n").alias("_an"), F.col("_id").alias("_aid")), F.col("_n").isNull() & (F.col("_alias") == F.col("_ak")), "left")
+    n = F.coalesce("_n", "_an")
+    status = F.when(n.isNull(), "unmatched").when(n > 1, "ambiguous_name").when(F.col("_n").isNotNull(), "normalized_name").otherwise("reviewed_spelling_variant")
+    return d.select(*left.columns, F.when(n == 1, F.coalesce("_id", "_aid")).alias(f"match_{right_id}"), status.alias("status"))
+
+
+def used_once(df: DataFrame, match: str) -> DataFrame:
+    """`reused`: whether the match of a row is that of another row as well (null: no)."""
+    uses = df.filter(F.col(match).isNotNull()).groupBy(match).agg((F.count("*") > 1).alias("reused"))
+    return df.join(uses, match, "left").withColumn("reused", F.coalesce("reused", F.lit(False)))
+
+
+def aligned_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_order: Sequence[str], right_order: Sequence[str], left_office: str, right_office: str) -> DataFrame:
+    """positional_join for groups whose sequences of offices are the same on both sides."""
+    agree = F.min(F.col(left_office).eqNullSafe(F.col(right_office)).cast("int")).over(Window.partitionBy(*by))
+    return positional_join(left, right, by, left_order, right_order).withColumn("_same", agree).filter("_same = 1").drop("_same")

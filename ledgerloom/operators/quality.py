@@ -35,3 +35,18 @@ def receipts_agree(receipts: DataFrame, files: DataFrame) -> DataFrame:
     """Receipts (`path, sha256, bytes`) that files (`path, sha, bytes`) don't bear out."""
     j = receipts.join(files.select("path", F.col("sha").alias("_s"), F.col("bytes").alias("_b")), "path", "left")
     return j.filter(~(F.col("sha256").eqNullSafe(F.col("_s")) & F.col("bytes").eqNullSafe(F.col("_b")))).select(*receipts.columns)
+
+
+def cardinalities(frames: dict[str, tuple[DataFrame, int]]) -> DataFrame:
+    """Hard checks (as report's rows) that each frame has its fixed number of rows."""
+    parts = [report(df, [(n, True, F.count("*") == rows, F.concat(F.count("*").cast("string"), F.lit(f" of {rows}")))]) for n, (df, rows) in frames.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionAll(p)
+    return out
+
+
+def at_least(name: str, part: Column, whole: Column, share: float, hard: bool = False) -> tuple[str, bool, Column, Column]:
+    """A check that part is at least so large a share of whole (aggregates); without a whole it fails."""
+    found = F.try_divide(part, whole)
+    return name, hard, found >= share, F.concat(part.cast("string"), F.lit(" of "), whole.cast("string"))

@@ -44,3 +44,24 @@ def split_three(df: DataFrame, disposition: str, names: Sequence[str]) -> list[D
 def conserved(df: DataFrame, disposition: str) -> DataFrame:
     """Rows of each part and of the whole."""
     return df.groupBy(disposition).agg(F.count("*").alias("n")).unionAll(df.agg(F.lit("total").alias(disposition), F.count("*").alias("n")))
+
+
+def lacking(part: DataFrame, whole: DataFrame, *keys: str) -> DataFrame:
+    """Distinct keys of part that whole lacks: empty if part is a subset (nulls are equal)."""
+    return key_differences(part, whole, *keys).filter("side = 'left_only'").drop("side")
+
+
+def overridden(key: str, value: str, *sources: DataFrame) -> DataFrame:
+    """`key, value, source` of all keys; a later source (from 0) overrides earlier ones where it has a value."""
+    parts = [s.select(key, value, F.lit(i).alias("source")) for i, s in enumerate(sources)]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionAll(p)
+    last = F.max_by(F.struct(value, "source"), F.when(F.col(value).isNotNull(), F.col("source")).otherwise(-1))
+    return out.groupBy(key).agg(last.alias("_t")).select(key, f"_t.{value}", F.when(F.col(f"_t.{value}").isNotNull(), F.col("_t.source")).alias("source"))
+
+
+def keep_origins(fresh: DataFrame, previous: DataFrame, key: str, origin: str) -> DataFrame:
+    """A fresh inventory, with the origin of the previous one where that isn't blank."""
+    old = previous.groupBy(key).agg(F.max(F.nullif(F.trim(origin), F.lit(""))).alias("_o"))
+    return fresh.join(old, key, "left").withColumn(origin, F.coalesce("_o", origin)).drop("_o")

@@ -137,3 +137,19 @@ def unread_headings(df: DataFrame, by: Sequence[str], order: Sequence[str], head
 def share_within(df: DataFrame, by: Sequence[str], condition: Column, name: str) -> DataFrame:
     """The share of a group's rows where a condition holds (null: doesn't), on every row."""
     return df.withColumn(name, F.avg(F.coalesce(condition, F.lit(False)).cast("double")).over(Window.partitionBy(*by)))
+
+
+def numeric_order(*columns: str) -> list[Column]:
+    """Sort keys that take texts for whole numbers, others for 0."""
+    return [F.coalesce(F.expr(f"try_cast(`{c}` AS bigint)"), F.lit(0)) for c in columns]
+
+
+def distinct_in_order(df: DataFrame, by: Sequence[str], key: str, position: str) -> DataFrame:
+    """`by..., key, position`: distinct keys at their first position."""
+    return df.groupBy(*by, key).agg(F.min(position).alias(position))
+
+
+def page_candidates(df: DataFrame, by: Sequence[str], page: str, order: Sequence[str], value: str, name: str) -> DataFrame:
+    """The last value of the page before as a candidate of its own column, if that page is adjacent; value itself is left alone."""
+    last = df.groupBy(*by, page).agg(F.max_by(value, F.when(F.col(value).isNotNull(), F.struct(*order))).alias(name))
+    return df.join(last.withColumn(page, F.col(page) + 1), [*by, page], "left")

@@ -12,6 +12,7 @@ from ledgerloom.functions import text as X
 from ledgerloom.operators import aggregates as A
 from ledgerloom.operators import joins as J
 from ledgerloom.operators import overlay as O
+from ledgerloom.operators import predicates as P
 from ledgerloom.operators import sets as U
 from ledgerloom.operators import windows as W
 from ledgerloom.sources import html as H
@@ -697,3 +698,263 @@ def logit_groupcv(t):
 @query("q_nested_links")
 def nested_links(t):
     return t.pages.select("page_id", F.explode(H.links("html", "url")).alias("l")).select("page_id", "l.*")
+
+
+# --- records: filters, lookups, classes, checks --------------------------------------------------------------
+
+
+@query("q_fewer_names", "SELECT o_custkey, CASE WHEN count(DISTINCT o_orderstatus) < count(DISTINCT o_orderpriority) THEN 'above' ELSE 'below' END AS reading FROM orders GROUP BY 1")
+def fewer_names(t):
+    return A.fewer_names(t.orders, ["o_custkey"], "o_orderstatus", "o_orderpriority")
+
+
+@query("q_contiguous", "SELECT l_orderkey, count(*) = count(DISTINCT l_linenumber) AND count(*) = max(l_linenumber) - min(l_linenumber) + 1 AS contiguous FROM lineitem GROUP BY 1")
+def contiguous(t):
+    return A.contiguous(t.lineitem, ["l_orderkey"], "l_linenumber")
+
+
+@query("q_cost_rollup", "SELECT round(sum(CASE WHEN o_orderstatus = 'F' THEN o_totalprice ELSE 1000 END) / 1000, 2) AS cost, sum(CASE WHEN o_orderstatus = 'F' THEN o_totalprice ELSE 1000 END) <= 1e9 AS within FROM orders")
+def cost_rollup(t):
+    d = t.orders.select(F.when(F.col("o_orderstatus") == "F", "completed").otherwise("open").alias("status"), F.col("o_totalprice").alias("priced"), F.lit(1000.0).alias("reserved"))
+    return A.cost_rollup(d, "status", "priced", "reserved", 1e9).select(F.round(F.col("cost") / 1000, 2).alias("cost"), "within")
+
+
+@query("q_mean_where", "SELECT l_returnflag, round(avg(l_discount) FILTER (WHERE l_quantity > 25), 6) AS large, round(avg(l_tax) FILTER (WHERE l_linestatus = 'O'), 6) AS open FROM lineitem GROUP BY 1")
+def mean_where(t):
+    d = A.mean_where(t.lineitem, ["l_returnflag"], {"large": (F.col("l_quantity") > 25, F.col("l_discount")), "open": (F.col("l_linestatus") == "O", F.col("l_tax"))})
+    return d.select("l_returnflag", F.round("large", 6).alias("large"), F.round("open", 6).alias("open"))
+
+
+@query("q_first_of", "SELECT o_custkey, o_orderkey FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) = 1")
+def first_of(t):
+    return W.first_of(t.orders, ["o_custkey"], ["o_orderdate", "o_orderkey"]).select("o_custkey", "o_orderkey")
+
+
+@query("q_share_within", "SELECT l_orderkey, l_linenumber, round(avg((l_returnflag = 'R')::INT) OVER (PARTITION BY l_orderkey), 6) AS share, avg((l_returnflag = 'R')::INT) OVER (PARTITION BY l_orderkey) BETWEEN .4 AND .6 AS mixed FROM lineitem")
+def share_within(t):
+    d = W.share_within(t.lineitem, ["l_orderkey"], F.col("l_returnflag") == "R", "s")
+    return d.select("l_orderkey", "l_linenumber", F.round("s", 6).alias("share"), F.col("s").between(0.4, 0.6).alias("mixed"))
+
+
+@query("q_unknown_flags", "SELECT DISTINCT event_type FROM events WHERE event_type NOT IN ('view', 'click', 'purchase')")
+def unknown_flags(t):
+    return A.unknown_flags(t.events, F.array("event_type"), t.spark.createDataFrame([("view",), ("click",), ("purchase",)], "event_type string"), "event_type")
+
+
+@query(
+    "q_covers_frame",
+    """WITH f AS (SELECT o_orderkey AS k, unnest(range(1, 5)) AS i FROM orders), c AS (SELECT l_orderkey AS k, l_linenumber AS i, count(*) AS n FROM lineitem GROUP BY ALL)
+    SELECT k, i, CASE WHEN c.n IS NULL THEN 'missing' WHEN f.k IS NULL THEN 'unexpected' ELSE 'duplicate' END AS problem FROM f FULL JOIN c USING (k, i) WHERE c.n IS NULL OR f.k IS NULL OR c.n > 1""",
+)
+def covers_frame(t):
+    from ledgerloom.operators.quality import covers_frame
+
+    frame = t.orders.select(F.col("o_orderkey").alias("k"), F.explode(F.sequence(F.lit(1), F.lit(4))).alias("i"))
+    return covers_frame(t.lineitem.select(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("i")), frame, "k", "i")
+
+
+@query("q_pair_group", "SELECT p_partkey, sha256('[\"' || least(p_name, p_brand) || '\",\"' || greatest(p_name, p_brand) || '\"]') AS pair FROM part")
+def pair_group(t):
+    return t.part.select("p_partkey", J.pair_group(F.col("p_name"), F.col("p_brand")).alias("pair"))
+
+
+@query("q_last_record", "SELECT user_id, arg_max(event_type, event_id) AS event_type, max(event_id) AS event_id FROM events GROUP BY 1")
+def last_record(t):
+    from ledgerloom.sources.tables import last_record
+
+    return last_record(t.events.select("user_id", "event_type", "event_id"), "user_id", "event_id")
+
+
+@query("q_last_lookup", "SELECT c_custkey, (SELECT arg_max(o_orderstatus, o_orderkey) FROM orders WHERE o_custkey = c_custkey) AS o_orderstatus FROM customer")
+def last_lookup(t):
+    d = t.orders.select(F.col("o_custkey").alias("c_custkey"), "o_orderstatus", "o_orderkey")
+    return J.last_lookup(t.customer.select("c_custkey"), d, ["c_custkey"], "o_orderkey")
+
+
+@query("q_one_to_one", "SELECT doc_id, quality, CASE WHEN l.doc_id IS NULL THEN 'left_only' ELSE 'both' END AS _merge FROM documents d LEFT JOIN labels l USING (doc_id)")
+def one_to_one(t):
+    return J.one_to_one(t.documents.select("doc_id"), t.labels.select("doc_id", "quality"), ["doc_id"])
+
+
+@query("q_both_sides", "SELECT a.p_partkey AS a, b.p_partkey AS b, a.p_name AS p_name_1, b.p_name AS p_name_2 FROM part a JOIN part b ON b.p_partkey = a.p_partkey + 1")
+def both_sides(t):
+    pairs = t.part.select(F.col("p_partkey").alias("a"), (F.col("p_partkey") + 1).alias("b")).join(t.part.select(F.col("p_partkey").alias("b")), "b", "left_semi")
+    rows = t.part.select("p_partkey", "p_name")
+    return J.both_sides(pairs, rows, rows, "a", "b", "p_partkey", ("_1", "_2"))
+
+
+@query("q_mapped_family", "SELECT c_custkey, CASE WHEN n_regionkey = 0 THEN 'south' ELSE n_name END AS family FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey")
+def mapped_family(t):
+    nations = t.nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
+    south = t.nation.filter("n_regionkey = 0").select("n_name", F.lit("south").alias("f"))
+    return J.mapped_family(t.customer.select("c_custkey", "c_nationkey"), nations, south, "c_nationkey", "n_name", "f", "family").select("c_custkey", "family")
+
+
+@query(
+    "q_reviewed_join",
+    """WITH m AS (SELECT p_name AS k, count(*) AS n, min(p_partkey) AS id FROM part WHERE p_size < 3 GROUP BY 1),
+    a AS (SELECT p_name AS k, min(p_name) OVER () AS spelling FROM (SELECT DISTINCT p_name FROM part WHERE p_name LIKE 'b%'))
+    SELECT p_partkey, CASE WHEN coalesce(m.n, x.n) = 1 THEN coalesce(m.id, x.id) END AS match_id, CASE WHEN coalesce(m.n, x.n) IS NULL THEN 'unmatched' WHEN coalesce(m.n, x.n) > 1 THEN 'ambiguous_name'
+    WHEN m.n IS NOT NULL THEN 'normalized_name' ELSE 'reviewed_spelling_variant' END AS status
+    FROM part LEFT JOIN m ON p_name = m.k LEFT JOIN a ON p_name = a.k LEFT JOIN m x ON m.n IS NULL AND a.spelling = x.k""",
+)
+def reviewed_join(t):
+    rows = t.part.select("p_partkey", F.col("p_name").alias("k"), "p_size")
+    b = rows.filter("k like 'b%'").select("k").distinct()
+    aliases = b.join(b.agg(F.min("k").alias("spelling")).hint("broadcast"))
+    return J.reviewed_join(rows.select("p_partkey", "k"), rows.filter("p_size < 3").select("k", F.col("p_partkey").alias("id")), aliases, "k", "id").drop("k")
+
+
+@query("q_used_once", "SELECT o_orderkey, o_custkey, o_custkey IS NOT NULL AND count(*) OVER (PARTITION BY o_custkey) > 1 AS reused FROM orders")
+def used_once(t):
+    return J.used_once(t.orders.select("o_orderkey", "o_custkey"), "o_custkey")
+
+
+@query(
+    "q_aligned_join",
+    """WITH a AS (SELECT l_orderkey AS k, l_returnflag AS fa, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS place, count(*) OVER (PARTITION BY l_orderkey) AS n FROM lineitem),
+    b AS (SELECT l_orderkey AS k, l_returnflag AS fb, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber DESC, l_partkey DESC, l_suppkey DESC) AS place FROM lineitem),
+    j AS (SELECT k, place, fa, fb, bool_and(fa = fb) OVER (PARTITION BY k) AS ok FROM a JOIN b USING (k, place)) SELECT k, place, fa, fb FROM j WHERE ok""",
+)
+def aligned_join(t):
+    side = lambda name: t.lineitem.select(F.col("l_orderkey").alias("k"), F.col("l_returnflag").alias(name), F.struct("l_linenumber", "l_partkey", "l_suppkey").alias("o" + name))
+    return J.aligned_join(side("fa"), side("fb"), ["k"], [F.asc("ofa")], [F.desc("ofb")], "fa", "fb").select("k", "place", "fa", "fb")
+
+
+@query(
+    "q_repeat_classes",
+    """SELECT l_partkey, count(*) AS n, string_agg(DISTINCT l_linenumber::VARCHAR, ';' ORDER BY l_linenumber::VARCHAR) AS pages, CASE WHEN count(DISTINCT (l_returnflag, l_linestatus)) = 1 THEN 'identical' ELSE 'conflict' END AS kind
+    FROM lineitem GROUP BY 1 HAVING count(*) > 1""",
+)
+def repeat_classes(t):
+    return A.repeat_classes(t.lineitem, ["l_partkey"], ["l_returnflag", "l_linestatus"], "l_linenumber")
+
+
+@query(
+    "q_printings_agree",
+    """WITH l AS (SELECT user_id, event_type, arg_max(value > 50, event_id) AS v FROM events GROUP BY ALL)
+    SELECT user_id, count(*) AS scripts, count(DISTINCT v) = 1 AND count(v) = count(*) AS agree FROM l GROUP BY 1 HAVING count(*) > 1""",
+)
+def printings_agree(t):
+    return A.printings_agree(t.events.withColumn("v", F.col("value") > 50), ["user_id"], "event_type", "v", "event_id")
+
+
+@query(
+    "q_interior_steps",
+    """WITH s AS (SELECT l_orderkey, (l_linenumber, l_partkey, l_suppkey) AS o, l_suppkey % 3 AS v, lag(l_suppkey % 3) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS b FROM lineitem)
+    SELECT l_orderkey, coalesce(sum(greatest(v - b, 0)) FILTER (WHERE b IS NOT NULL), 0)::BIGINT AS missing_inside, coalesce(sum(greatest(b - v, 0)) FILTER (WHERE b IS NOT NULL), 0)::BIGINT AS repeated,
+    coalesce(string_agg(b || '>' || v, ';' ORDER BY o) FILTER (WHERE b <> v), '') AS steps FROM s GROUP BY 1""",
+)
+def interior_steps(t):
+    d = t.lineitem.select("l_orderkey", F.struct("l_linenumber", "l_partkey", "l_suppkey").alias("o"), (F.col("l_suppkey") % 3).alias("v"))
+    return A.interior_steps(d, ["l_orderkey"], "o", "v")
+
+
+@query("q_examples", "WITH d AS (SELECT p_brand, p_size, count(*) AS c, row_number() OVER (PARTITION BY p_brand ORDER BY p_size) AS i FROM part GROUP BY 1, 2) SELECT p_brand, sum(c)::BIGINT AS n, string_agg(p_size::VARCHAR, ',' ORDER BY p_size) FILTER (WHERE i <= 3) AS examples FROM d GROUP BY 1")
+def examples(t):
+    return A.examples(t.part, ["p_brand"], "p_size")
+
+
+@query("q_subset_gaps", "SELECT DISTINCT o_custkey AS k FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0)")
+def subset_gaps(t):
+    return U.lacking(t.orders.select(F.col("o_custkey").alias("k")), t.customer.filter("c_acctbal > 0").select(F.col("c_custkey").alias("k")), "k")
+
+
+@query(
+    "q_overridden",
+    """SELECT doc_id, coalesce(CASE toxic WHEN 1 THEN 'toxic' END, CASE quality WHEN 1 THEN 'good' END, d.lang) AS mark,
+    CASE WHEN toxic = 1 THEN 2 WHEN quality = 1 THEN 1 WHEN d.lang IS NOT NULL THEN 0 END AS source FROM documents d LEFT JOIN labels USING (doc_id)""",
+)
+def overridden(t):
+    mark = lambda c, v: t.labels.select("doc_id", F.when(F.col(c) == 1, v).alias("mark"))
+    return U.overridden("doc_id", "mark", t.documents.select("doc_id", F.col("lang").alias("mark")), mark("quality", "good"), mark("toxic", "toxic"))
+
+
+@query("q_keep_origins", "SELECT doc_id, CASE WHEN quality = 1 THEN 'reviewed' ELSE source END AS source FROM documents LEFT JOIN labels USING (doc_id)")
+def keep_origins(t):
+    return U.keep_origins(t.documents.select("doc_id", "source"), t.labels.select("doc_id", F.when(F.col("quality") == 1, "reviewed").otherwise(" ").alias("source")), "doc_id", "source")
+
+
+@query("q_won", "SELECT doc_id FROM documents LEFT JOIN labels USING (doc_id) WHERE lang IS NOT NULL AND NOT coalesce(toxic = 1, false)")
+def won(t):
+    return P.won(t.documents.join(t.labels, "doc_id", "left").withColumn("vacant", F.col("toxic") == 1), "lang", "vacant").select("doc_id")
+
+
+@query("q_counted_on", "SELECT o_orderpriority, count(*) AS n FROM orders WHERE NOT (o_orderpriority IN ('1-URGENT', '2-HIGH') AND o_orderstatus = 'F') GROUP BY 1")
+def counted_on(t):
+    basis = F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), "people").otherwise("seats")
+    return P.counted_on(t.orders, basis, "people", F.col("o_orderstatus") == "F").groupBy("o_orderpriority").agg(F.count("*").alias("n"))
+
+
+@query("q_level_rows", "SELECT doc_id FROM documents LEFT JOIN labels USING (doc_id) WHERE lang = 'en' AND quality IS NULL")
+def level_rows(t):
+    return P.having(t.documents.join(t.labels, "doc_id", "left"), lang="en", quality=None).select("doc_id")
+
+
+@query(
+    "q_outside_domains",
+    """SELECT 'o_orderstatus' AS "column", o_orderstatus AS value, count(*) AS n FROM orders WHERE o_orderstatus NOT IN ('F', 'O') GROUP BY 2
+    UNION ALL SELECT 'o_orderpriority', o_orderpriority, count(*) FROM orders WHERE o_orderpriority NOT IN ('1-URGENT', '2-HIGH', '3-MEDIUM') GROUP BY 2""",
+)
+def outside_domains(t):
+    return P.outside_domains(t.orders, {"o_orderstatus": ["F", "O"], "o_orderpriority": ["1-URGENT", "2-HIGH", "3-MEDIUM"]})
+
+
+@query("q_only_words_of", "SELECT p_partkey FROM part WHERE regexp_full_match(p_name, '(small|large|widget|bolt)( (small|large|widget|bolt))*')")
+def only_words_of(t):
+    return t.part.filter(P.only_words_of(F.col("p_name"), ["small", "large", "widget", "bolt"])).select("p_partkey")
+
+
+@query("q_without_confirmed", "SELECT doc_id FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id AND toxic = 1)")
+def without_confirmed(t):
+    return P.without(t.documents.select("doc_id"), t.labels.filter("toxic = 1"), ["doc_id"])
+
+
+@query(
+    "q_bare_labels",
+    """WITH d AS (SELECT doc_id, lang, quality, toxic, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS ordinal FROM documents LEFT JOIN labels USING (doc_id))
+    SELECT doc_id, ordinal FROM d WHERE lang IS NULL OR quality IS NOT NULL OR toxic IS NOT NULL""",
+)
+def bare_labels(t):
+    d = t.documents.select("doc_id", "lang", "source").join(t.labels, "doc_id", "left")
+    return P.without_bare_labels(d, ["source"], ["doc_id"], "lang", ["quality", "toxic"]).select("doc_id", "ordinal")
+
+
+@query("q_numeric_order", "SELECT o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY coalesce(try_cast(left(o_orderpriority, 1) AS BIGINT), 0), o_orderkey) AS place FROM orders")
+def numeric_order(t):
+    d = t.orders.withColumn("p", F.substring("o_orderpriority", 1, 1))
+    return d.select("o_orderkey", F.row_number().over(Window.partitionBy("o_custkey").orderBy(*W.numeric_order("p"), "o_orderkey")).alias("place"))
+
+
+@query("q_distinct_in_order", "SELECT user_id, event_type, min(event_id) AS event_id FROM events GROUP BY 1, 2")
+def distinct_in_order(t):
+    return W.distinct_in_order(t.events, ["user_id"], "event_type", "event_id")
+
+
+@query(
+    "q_page_candidates",
+    """WITH l AS (SELECT user_id, date_trunc('day', ts)::DATE - DATE '2024-01-01' AS d, event_id, CASE WHEN event_type <> 'view' THEN event_type END AS v FROM events),
+    m AS (SELECT user_id, d + 1 AS d, arg_max(v, event_id) AS candidate FROM l WHERE v IS NOT NULL GROUP BY ALL) SELECT event_id, candidate FROM l LEFT JOIN m USING (user_id, d)""",
+)
+def page_candidates(t):
+    d = t.events.select("user_id", F.date_diff(F.to_date("ts"), F.lit("2024-01-01").cast("date")).alias("d"), "event_id", F.when(F.col("event_type") != "view", F.col("event_type")).alias("v"))
+    return W.page_candidates(d, ["user_id"], "d", ["event_id"], "v", "candidate").select("event_id", "candidate")
+
+
+@query("q_logit_clip", "WITH d AS (SELECT doc_id, least(greatest(coalesce(toxic * 1.0, .5), 1e-4), 1 - 1e-4) AS q FROM documents LEFT JOIN labels USING (doc_id)) SELECT doc_id, round(ln(q / (1 - q)), 6) AS z FROM d")
+def logit_clip(t):
+    return t.documents.select("doc_id").join(t.labels, "doc_id", "left").select("doc_id", F.round(X.logit(F.col("toxic").cast("double")), 6).alias("z"))
+
+
+@query(
+    "q_quality_report",
+    """SELECT 'labelled' AS "check", false AS hard, count(quality) >= .97 * count(*) AS ok, count(quality) || ' of ' || count(*) AS detail FROM documents LEFT JOIN labels USING (doc_id)
+    UNION ALL SELECT 'no blank text', true, count_if(trim(text) = '') = 0, count_if(trim(text) = '')::VARCHAR FROM documents UNION ALL SELECT 'nations', true, count(*) = 25, count(*) || ' of 25' FROM nation""",
+)
+def quality_report(t):
+    from ledgerloom.operators import quality as Q
+
+    blank = F.count_if(F.trim("text") == "")
+    d = t.documents.join(t.labels, "doc_id", "left")
+    checks = Q.report(d, [Q.at_least("labelled", F.count("quality"), F.count("*"), 0.97), ("no blank text", True, blank == 0, blank)])
+    return checks.unionAll(Q.cardinalities({"nations": (t.nation, 25)}))

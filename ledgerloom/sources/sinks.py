@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.sets import differing
+from ledgerloom.sources.tables import file_inventory
 
 
 def write_parquet(df: DataFrame, path: str) -> None:
@@ -46,11 +47,22 @@ def content_digest(hashes: DataFrame) -> str:
 
 
 def manifest(spark: SparkSession, files: dict[str, str]) -> str:
-    """JSON of tables (name -> path): schema and rows, keys sorted."""
-    out = {n: {"rows": (d := spark.read.parquet(p)).count(), "schema": {f.name: f.dataType.simpleString() for f in d.schema}} for n, p in files.items()}
+    """JSON of tables (name -> path): schema, rows, and the digest of every file of a table; keys sorted.
+
+    Digests are made where files are read; the driver gets a line a file.
+    """
+    out = {}
+    for n, p in files.items():
+        d, found = spark.read.parquet(p), file_inventory(spark, [p], "*.parquet").select("path", "bytes", "sha").collect()
+        out[n] = {"rows": d.count(), "schema": {f.name: f.dataType.simpleString() for f in d.schema}, "files": {r["path"].rsplit("/", 1)[-1]: {"bytes": r["bytes"], "sha256": r["sha"]} for r in found}}
     return json.dumps(out, indent=2, sort_keys=True)
 
 
+def checksums(inventory: DataFrame) -> DataFrame:
+    """`line` of a SHA256SUMS file for each row of an inventory (`path, sha`): digest, two spaces, the file's name."""
+    return inventory.select(F.concat(F.col("sha"), F.lit("  "), F.element_at(F.split("path", "/"), -1)).alias("line"))
+
+
 def dictionary(df: DataFrame) -> list[dict]:
     """Columns with type and comment."""
     return [{"column": f.name, "type": f.dataType.simpleString(), "comment": f.metadata.get("comment", "")} for f in df.schema]

@@ -61,7 +61,7 @@ def file_inventory(spark: SparkSession, paths: list[str], pattern: str = "*") ->
 def json_documents(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """One JSON document a file, with the file's path and digest."""
     raw = spark.read.format("binaryFile").load(path)
-    return raw.select(F.from_json(F.decode("content", F.lit("UTF-8")), schema, {"mode": "FAILFAST"}).alias("doc"), "path", F.sha2("content", 256).alias("sha"))
+    return raw.select(F.from_json(F.decode("content", "UTF-8"), schema, {"mode": "FAILFAST"}).alias("doc"), "path", F.sha2("content", 256).alias("sha"))
 
 
 def last_record(df: DataFrame, key: str, position: str) -> DataFrame:
@@ -76,9 +76,15 @@ def word_lines(words: DataFrame, by: list[str], line: str, left: str, top: str,
     return g.select(*by, line, "top", F.array_join(F.transform("_w", lambda w: w[text]), " ").alias("text"))
 
 
-def read_words(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Word rows of (gzipped) tab-separated files without quoting."""
-    return spark.read.schema(schema).csv(path, sep="\t", quote="", header=True)
+def read_words(spark: SparkSession, path: str, schema: T.StructType, level: int | None = None) -> DataFrame:
+    """Word rows of (gzipped) tab-separated files without quoting; of one `level`, if it is given (5: words)."""
+    d = spark.read.schema(schema).csv(path, sep="\t", quote="", header=True)
+    return d if level is None else d.filter(F.col("level") == level)
+
+
+def read_texts(spark: SparkSession, path: str) -> DataFrame:
+    """CSV of all columns as texts, named by the header; missing cells are null."""
+    return spark.read.csv(path, header=True, inferSchema=False, multiLine=True, escape='"')
 
 
 def tar_members(spark: SparkSession, path: str) -> DataFrame:

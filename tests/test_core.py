@@ -14,6 +14,7 @@ from ledgerloom.functions.text import name_key
 from ledgerloom.operators import aggregates as A
 from ledgerloom.operators import joins as J
 from ledgerloom.operators import overlay as O
+from ledgerloom.operators import predicates as P
 from ledgerloom.operators import quality as Q
 from ledgerloom.operators import sets as U
 from ledgerloom.operators import windows as W
@@ -405,3 +406,82 @@ def test_fits_against_newton_on_arrays(spark):
     g = spark.createDataFrame([(f"g{i}",) for i in range(500) for _ in range(1 + i % 4)], "g string")
     folds = g.join(group_folds(g, "g", 5), "g").groupBy("fold").count().collect()
     assert len(folds) == 5 and max(r["count"] for r in folds) - min(r["count"] for r in folds) <= 4
+
+
+def test_names_of_islands(spark):
+    rows = [(1, 1, "Ram"), (1, 2, "Ram Kumar Singh"), (1, 3, "Ram Kumar"), (1, 4, "Ramesh"), (2, 5, "Ram"), (2, 6, None)]
+    d = W.complete_names(spark.createDataFrame([(0, *r) for r in rows], "f int, i int, o int, n string"), ["f"], "i", "n", "full", "o")
+    assert [r["full"] for r in d.orderBy("o").collect()] == ["Ram Kumar Singh"] * 3 + ["Ramesh", "Ram", None]
+
+
+def test_ratio_anchor_and_log_odds(spark):
+    from ledgerloom.functions.similarity import block_ratio, name_anchor
+
+    d = spark.createDataFrame([("Ab-c d", "abcd"), ("abcd", "bcde"), (None, "x"), ("ﬁ  Straße", "a\x07b")], "a string, b string")
+    got = d.select(block_ratio("a", "b").alias("r"), name_anchor("a").alias("x"), name_anchor("b").alias("y")).collect()
+    assert [r["r"] for r in got[:3]] == [1.0, 0.75, 0.0]
+    assert [r["x"] for r in got] == ["ab-c d", "abcd", None, "ﬁ strasse"] or got[3]["x"] == "fi strasse"
+    assert got[3]["y"] is None
+    z = spark.range(1).select(X.logit(F.lit(None).cast("double")).alias("a"), X.logit(F.lit(2.0)).alias("b"), X.logit(F.lit(0.9), F.lit(True)).alias("c")).head()
+    assert (z["a"], round(z["b"], 4), z["c"]) == (0.0, 9.2102, 0.0)
+
+
+def test_blanked_cells(spark):
+    d = spark.createDataFrame([(1, "a\x07\"b", "ok"), (2, None, "t\tab"), (3, "x", "\x1f")], "k int, a string, b string")
+    clean, evidence = P.blanked(d, ["k"], ["a", "b"])
+    assert [tuple(r) for r in clean.orderBy("k").collect()] == [(1, None, "ok"), (2, None, "t\tab"), (3, "x", None)]
+    assert [tuple(r) for r in evidence.orderBy("k").collect()] == [(1, "a", 'a\\u0007\\"b'), (3, "b", "\\u001F")]
+
+
+def test_files_and_receipts(spark, tmp_path):
+    import gzip
+    import hashlib
+    import json
+
+    from ledgerloom.sources import sinks as K
+    from ledgerloom.sources import tables as T
+
+    (tmp_path / "j").mkdir()
+    (tmp_path / "j" / "a.json").write_text('{\n"n": 1}')
+    (tmp_path / "j" / "b.json").write_text('{"n": 2}')
+    from pyspark.sql.types import StructType
+
+    docs = T.json_documents(spark, str(tmp_path / "j"), StructType().add("n", "integer"))
+    want = {p.name: hashlib.sha256(p.read_bytes()).hexdigest() for p in (tmp_path / "j").iterdir()}
+    assert {(r["path"].split("/")[-1], r["doc"]["n"], r["sha"]) for r in docs.collect()} == {("a.json", 1, want["a.json"]), ("b.json", 2, want["b.json"])}
+    files = T.file_inventory(spark, [str(tmp_path / "j")])
+    assert {r["line"] for r in K.checksums(files).collect()} == {f"{s}  {n}" for n, s in want.items()}
+    receipts = files.select("path", F.when(F.col("path").endswith("a.json"), F.lit("0")).otherwise(F.col("sha")).alias("sha256"), "bytes")
+    assert [r["path"].split("/")[-1] for r in Q.receipts_agree(receipts, files).collect()] == ["a.json"]
+
+    with gzip.open(tmp_path / "w.tsv.gz", "wt") as f:
+        f.write('level\tline\tleft\ttop\ttext\n4\t1\t0\t0\t\n5\t1\t30\t9\t"two\n5\t1\t10\t8\tone\n5\t2\t5\t3\tfirst\n')
+    schema = StructType().add("level", "integer").add("line", "integer").add("left", "integer").add("top", "integer").add("text", "string")
+    lines = T.word_lines(T.read_words(spark, str(tmp_path / "w.tsv.gz"), schema, 5), [], "line", "left", "top", "text")
+    assert [(r["top"], r["text"]) for r in lines.orderBy("top").collect()] == [(3, "first"), (8, 'one "two')]
+
+    (tmp_path / "t.csv").write_text('a,b\n01,\n"x\ny",2\n')
+    assert [tuple(r) for r in T.read_texts(spark, str(tmp_path / "t.csv")).orderBy("a").collect()] == [("01", None), ("x\ny", "2")]
+
+    d = spark.createDataFrame([(1, None, "x"), (2, "b", "y")], "k int, s string, extra string")
+    K.write_csv(d, str(tmp_path / "c"), ["s", "k"])
+    assert next((tmp_path / "c").glob("*.csv")).read_bytes() == b"s,k\n,1\nb,2\n"
+    K.write_parquet(d, str(tmp_path / "p"))
+    m = json.loads(K.manifest(spark, {"d": str(tmp_path / "p")}))["d"]
+    assert m["rows"] == 2 and m["schema"] == {"k": "int", "s": "string", "extra": "string"}
+    assert {n: f["sha256"] for n, f in m["files"].items()} == {p.name: hashlib.sha256(p.read_bytes()).hexdigest() for p in (tmp_path / "p").glob("*.parquet")}
+    assert K.dictionary(d)[0] == {"column": "k", "type": "int", "comment": ""}
+
+
+def test_record_lookups_at_edges(spark):
+    left = spark.createDataFrame([(1, "a"), (2, None), (3, "c")], "k int, n string")
+    right = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "n string, o int")
+    assert {tuple(r) for r in J.last_lookup(left, right.withColumn("d", F.col("o") * 10), ["n"], "o").select("k", "d").collect()} == {(1, 20), (2, None), (3, None)}
+    with pytest.raises(Exception, match="repeated key"):
+        J.one_to_one(left, right, ["n"]).collect()
+    aliases = spark.createDataFrame([("c", "b")], "n string, spelling string")
+    got = {r["k"]: (r["match_o"], r["status"]) for r in J.reviewed_join(left, right, aliases, "n", "o").collect()}
+    assert got == {1: (None, "ambiguous_name"), 2: (None, "unmatched"), 3: (3, "reviewed_spelling_variant")}
+    assert {r["k"]: r["reused"] for r in J.used_once(left.withColumn("m", F.when(F.col("k") != 2, 7)), "m").collect()} == {1: True, 2: False, 3: True}
+    empty = left.limit(0)
+    assert A.repeat_classes(empty.withColumnRenamed("n", "name"), ["name"], ["k"], "k").isEmpty() and P.outside_domains(empty, {"n": ["a"]}).isEmpty()
