@@ -56,24 +56,33 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_on: str
 
 #: Cells of a grid over the ends of bands; only tables of one row a cell are ordered in one task.
 CELLS = 1024
+#: Up to so many bands are a CASE expression in the scan of the rows, without any join.
+FEW = 64
 
 
 def band_join(df: DataFrame, bands: DataFrame, value: str, low: str, high: str, order: str, take: Sequence[str]) -> DataFrame:
-    """Each row with the columns `take` of the last band (by `order`) whose [low, high) holds the value.
+    """Each row with the columns `take` of the last band (by `order`, not null) whose [low, high) holds the value.
 
-    Bands become disjoint pieces, numbered over a grid of cells. A band covers at most two nodes of each level of the
+    A few bands (FEW) are tried in turn within the scan. More of them become disjoint pieces, numbered over a grid of cells. A band covers at most two nodes of each level of the
     binary tree over the pieces, and a piece looks up its ancestors, so pieces meet bands by equality in m log m rows
     however many bands overlap. Distinct values find their piece as of its start within a cell; rows join by equality.
     Ends are numbers, dates or timestamps. No bands, a null value, or a band with a null or empty range: nulls.
     """
+    bands = bands.filter(F.col(order).isNotNull() & (F.col(low) < F.col(high)))
+    few = bands.select(low, high, order, *[c for c in take if c not in (low, high, order)]).limit(FEW + 1).collect()
+    if len(few) <= FEW:
+        typed = lambda row, c: F.lit(row[c]).cast(bands.schema[c].dataType)
+        found = F.lit(None).cast(bands.select(F.struct(*take)).schema[0].dataType)
+        for row in sorted(few, key=lambda r: r[order]):
+            within = (F.col(value) >= typed(row, low)) & (F.col(value) < typed(row, high))
+            found = F.when(within, F.struct(*[typed(row, c).alias(c) for c in take])).otherwise(found)
+        return df.withColumn("_t", found).select(*df.columns, *[F.col(f"_t.{c}").alias(c) for c in take])
     kind = bands.schema[low].dataType.typeName()
     number = (lambda c: F.unix_date(c).cast("double")) if kind == "date" else (lambda c: F.col(c).cast("double"))
     span = bands.agg(F.min(number(low)).alias("a"), F.max(number(high)).alias("b")).head()
-    if span["a"] is None or span["b"] is None:
-        return df.select("*", *[F.lit(None).cast(bands.schema[c].dataType).alias(c) for c in take])
     width = (span["b"] - span["a"]) / CELLS or 1.0
     cell = lambda c: F.floor(F.greatest(F.least((number(c) - span["a"]) / width, F.lit(CELLS - 1.0)), F.lit(0.0))).cast("int")
-    cut = _pieces(bands.filter(F.col(low) < F.col(high)), low, high, order, take, cell)
+    cut = _pieces(bands, low, high, order, take, cell)
     cut = cut.select(F.explode(F.sequence(cell("_p"), cell("_q"))).alias("_c"), F.col("_p").alias("_at"), "_q", "_t")
     values = df.select(F.col(value).alias("_v")).filter("_v is not null").distinct().withColumn("_c", cell("_v"))
     placed = asof_join(values, cut, ["_c"], "_v", "_at", ["_q", "_t"], "_q").select("_v", F.when(F.col("_v") < F.col("_q"), F.col("_t")).alias("_t"))
