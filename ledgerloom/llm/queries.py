@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chosen_path, language_id, line_dedup, media, packing, piece_codec, quality_rules, substring_dedup, token_files, url_filters
+from . import chosen_path, importance, language_id, line_dedup, media, packing, piece_codec, quality_rules, substring_dedup, token_files, url_filters
 
 QUERIES = {
     "op1_line_dedup": line_dedup.query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_token_files": token_files.query,
     "op9_packing": packing.query,
     "op10_chosen_path_join": chosen_path.query,
+    "op11_importance_resampling": importance.query,
 }
 
 ORACLES = {
@@ -22,4 +23,5 @@ ORACLES = {
     "op4_quality_rules": quality_rules.ORACLE,
     "op5_url_filters": url_filters.ORACLE,
     "op6_substring_dedup": substring_dedup.ORACLE,
+    "op11_importance_resampling": importance.ORACLE,
 }
