@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chosen_path, importance, language_id, line_dedup, media, packing, piece_codec, quality_rules, substring_dedup, token_files, url_filters
+from . import chosen_path, importance, language_id, line_dedup, main_text, media, packing, piece_codec, quality_rules, substring_dedup, token_files, url_filters
 
 QUERIES = {
     "op1_line_dedup": line_dedup.query,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_packing": packing.query,
     "op10_chosen_path_join": chosen_path.query,
     "op11_importance_resampling": importance.query,
+    "op12_main_text": main_text.query,
 }
 
 ORACLES = {
