@@ -142,8 +142,8 @@ class Lines(HTMLParser):
             elif state <= 1:
                 state, article = 0, "article" if article == "article" or not (tag == "main" or role == "main") else "main"
         elif tag in FURNITURE or role in ROLES or (tag not in ("html", "body") and _marked(found, MARKS)):
-            state = max(state, 1 if tag in _REOPENED else 2)
-        elif tag in _HEADINGS and article and state == 1 and not self.open.get("nav") and not self.open.get("form"):
+            state = max(state, 1 if tag == "header" or tag in _REOPENED and not article else 2)
+        elif tag in _HEADINGS and article and state == 1:
             state = 0  # the heading in an article's own header
         if not inline and tag != "p":
             self.parents.append(region)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chosen_path, importance, language_id, line_dedup, main_text, media, packing, piece_codec, quality_rules, substring_dedup, token_files, url_filters
+from . import chosen_path, hard_negatives, importance, language_id, line_dedup, main_text, media, packing, piece_codec, quality_rules, substring_dedup, token_files, url_filters
 
 QUERIES = {
     "op1_line_dedup": line_dedup.query,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_chosen_path_join": chosen_path.query,
     "op11_importance_resampling": importance.query,
     "op12_main_text": main_text.query,
+    "op13_hard_negatives": hard_negatives.query,
 }
 
 ORACLES = {
@@ -25,4 +26,5 @@ ORACLES = {
     "op5_url_filters": url_filters.ORACLE,
     "op6_substring_dedup": substring_dedup.ORACLE,
     "op11_importance_resampling": importance.ORACLE,
+    "op13_hard_negatives": hard_negatives.ORACLE,
 }
