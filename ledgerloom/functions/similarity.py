@@ -54,6 +54,12 @@ def nfkc(s: pd.Series) -> pd.Series:
     return s.map(lambda x: None if x is None else unicodedata.normalize("NFKC", x))
 
 
+@F.pandas_udf(T.StringType())
+def composed(s: pd.Series) -> pd.Series:
+    """NFC."""
+    return s.map(lambda x: None if x is None else unicodedata.normalize("NFC", x))
+
+
 @F.pandas_udf(T.StringType())
 def name_anchor(s: pd.Series) -> pd.Series:
     """NFC, case-folded and squashed; null for texts with control characters."""
@@ -64,32 +70,3 @@ def name_anchor(s: pd.Series) -> pd.Series:
         return " ".join(unicodedata.normalize("NFC", x).casefold().split()) or None
 
     return s.map(anchor)
-
-
-def legacy_text(mapping: list[tuple[str, str]], short_i: str, reph: str):
-    """A UDF that decodes a legacy Devanagari font: literal replacements in order, then marks to where they are spoken.
-
-    mapping is data of the font. short_i marks a vowel printed before its consonants, reph an r printed after them;
-    text that ends with a mark that has no consonants is an error. The result is NFC with single spaces.
-    """
-    consonant = "[क-हक़-य़]़?"
-    cluster = f"{consonant}(?:्{consonant})*"
-    vowel = re.compile(f"{re.escape(short_i)}({re.escape(reph)}?)({cluster})")
-    spoken = re.compile(f"({cluster}[ा-ौँ-ः]*){re.escape(reph)}")
-
-    def decode(text):
-        if text is None:
-            return None
-        for old, new in mapping:
-            text = text.replace(old, new)
-        text = vowel.sub(lambda m: f"{m[2]}ि{m[1]}", text)
-        text = spoken.sub("र्\\1", text)
-        if short_i in text or reph in text:
-            raise ValueError(f"a mark without its consonants: {text!r}")
-        return unicodedata.normalize("NFC", " ".join(text.split()))
-
-    @F.pandas_udf(T.StringType())
-    def decoded(s: pd.Series) -> pd.Series:
-        return s.map(decode)
-
-    return decoded

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column
@@ -281,3 +282,21 @@ def trailing_numbers(line: Column) -> Column:
     """struct(label, tokens): the run of numbers or dashes that ends a fixed-width line, and what stands before it."""
     run = F.regexp_extract(line, r"((?:(?:^|\s)(?:\d[\d.]*|[-–—]))+)\s*$", 1)
     return F.struct(F.trim(F.substring(F.rtrim(line), F.lit(1), F.char_length(F.rtrim(line)) - F.char_length(F.rtrim(run)))).alias("label"), F.filter(F.split(F.trim(run), r"\s+"), lambda x: x != "").alias("tokens"))
+
+
+def font_text(c: Column, glyphs: Sequence[tuple[str, str]], early: dict[str, str], late: dict[str, str]) -> Column:
+    """The Devanagari text of a font that keeps its letters at other places; glyphs are replaced in turn.
+
+    late: marks printed after a syllable whose sign is spoken before it; early: marks printed before a consonant cluster whose
+    sign is spoken after it. Both map the mark to the sign. A mark that is left without its cluster is an error.
+    White space is squashed; `similarity.composed` gives the canonical form of what is left.
+    """
+    letter = "[\u0915-\u0939\u0958-\u095f]\u093c?"
+    cluster, signs = f"{letter}(?:\u094d{letter})*", "[\u093e-\u094c\u0901-\u0903]*"
+    out = reduce(lambda x, g: F.replace(x, F.lit(g[0]), F.lit(g[1])), glyphs, c)
+    for mark, sign in late.items():
+        out = F.regexp_replace(out, f"({cluster}{signs})\\Q{mark}\\E", f"{sign}$1")
+    for mark, sign in early.items():
+        out = F.regexp_replace(out, f"\\Q{mark}\\E({cluster})", f"$1{sign}")
+    stray = reduce(lambda x, m: x | F.contains(out, F.lit(m)), [*early, *late], F.lit(False))
+    return F.when(stray, F.raise_error(F.concat(F.lit("a mark without its consonants: "), out)).cast("string")).otherwise(F.trim(F.regexp_replace(out, r"(?U)\s+", " ")))

@@ -1,137 +1,23 @@
-"""Blocked fuzzy one-to-one linkage: bounds in the JVM, distinct names scored in Arrow batches, optimal assignment by component."""
+"""Blocked fuzzy one-to-one linkage in passes: comparisons propose and score pairs, an optimal assignment decides."""
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ledgerloom.functions.similarity import similarity
-from ledgerloom.functions.text import name_key, vetoed
-
-
-def assign(cost: np.ndarray) -> np.ndarray:
-    """Column of each row for the least total cost (rows <= columns), by shortest augmenting paths with potentials."""
-    n, m = cost.shape
-    u, v, match, way = np.zeros(n + 1), np.zeros(m + 1), np.zeros(m + 1, dtype=int), np.zeros(m + 1, dtype=int)
-    for i in range(1, n + 1):
-        match[0], j0 = i, 0
-        low, seen = np.full(m + 1, np.inf), np.zeros(m + 1, dtype=bool)
-        while True:
-            seen[j0] = True
-            i0 = match[j0]
-            step = cost[i0 - 1] - u[i0] - v[1:]
-            better = ~seen[1:] & (step < low[1:])
-            low[1:][better], way[1:][better] = step[better], j0
-            j1 = int(np.where(seen, np.inf, low).argmin())
-            d = low[j1]
-            u[match[seen]] += d
-            v[seen] -= d
-            low[~seen] -= d
-            j0 = j1
-            if match[j0] == 0:
-                break
-        while j0:
-            match[j0] = match[way[j0]]
-            j0 = way[j0]
-    out = np.full(n, -1)
-    for j in range(1, m + 1):
-        if match[j]:
-            out[match[j] - 1] = j - 1
-    return out
-
-
-def best_pairs(pairs: pd.DataFrame) -> pd.DataFrame:
-    """One-to-one pairs of the greatest total score among `left, right, score`; ties go to the lesser keys.
-
-    Each connected component of the pairs is solved on its own, so the matrices are as large as a component.
-    """
-    pairs, top = pairs.sort_values(["left", "right"]), {}
-
-    def root(x):
-        while top.setdefault(x, x) != x:
-            top[x] = top[top[x]]
-            x = top[x]
-        return x
-
-    for a, b in pairs[["left", "right"]].itertuples(index=False):
-        top[root((1, b))] = root((0, a))
-    own, keep = [root((0, a)) for a in pairs["left"]], []
-    for _, part in pairs.groupby(pd.Series(pd.factorize(pd.Series(own, dtype=object))[0], index=pairs.index), sort=False):
-        rows, cols = part["left"].drop_duplicates().tolist(), part["right"].drop_duplicates().sort_values().tolist()
-        at_r, at_c = {k: i for i, k in enumerate(rows)}, {k: i for i, k in enumerate(cols)}
-        gain = np.zeros((len(rows), len(cols) + len(rows)))  # a column of its own for each row: unmatched
-        for a, b, s in part[["left", "right", "score"]].itertuples(index=False):
-            gain[at_r[a], at_c[b]] = s
-        keep += [(rows[i], cols[j], gain[i, j]) for i, j in enumerate(assign(-gain)) if j < len(cols) and gain[i, j] > 0]
-    return pd.DataFrame(keep, columns=["left", "right", "score"])
-
-
-def _bag(s: Column) -> Column:
-    """How often each letter is in a folded name: 26 numbers."""
-    return F.transform(F.array(*[F.lit(c) for c in "abcdefghijklmnopqrstuvwxyz"]), lambda c: F.char_length(s) - F.char_length(F.replace(s, c, F.lit(""))))
-
-
-def _at_most(a: str, b: str) -> Column:
-    """What the similarity of two folded names can be at most: no common subsequence is longer than the letters they share."""
-    shared = F.zip_with(f"{a}_bag", f"{b}_bag", lambda x, y: F.least(x, y))
-    total = lambda v: F.aggregate(v, F.lit(0), lambda s, x: s + x)
-    bare = lambda v: F.filter(v, lambda _, i: ~i.isin(0, 4, 8, 14, 20))  # noqa: E731  without a, e, i, o, u
-    ratio = lambda v, n: F.coalesce(F.try_divide(2.0 * total(v), n), F.lit(1.0))
-    whole = ratio(shared, F.char_length(f"{a}_folded") + F.char_length(f"{b}_folded"))
-    return F.greatest(whole, ratio(bare(shared), total(bare(F.col(f"{a}_bag"))) + total(bare(F.col(f"{b}_bag")))) - 0.05)
-
-
-def scored_pairs(left: DataFrame, right: DataFrame, block: Sequence[str], name: str, key: str, threshold: float, bonus: Column | None = None, allowed: DataFrame | None = None) -> DataFrame:
-    """`block..., left, right, name_score, score` of pairs of one block that aren't vetoed and score at least the threshold.
-
-    Rows carry a name key. Every distinct pair of folded names of a block is scored once, and only if its letters
-    allow the threshold. bonus: a second comparison (0 to 1, over `l` and `r` structs), weighted equally.
-    allowed: the pairs of blocks to compare, `block...` of the left and `right_<block>...` of the right side; the
-    result has the left's. Without it a block meets its equal.
-    """
-    side = lambda d, a: d.select(*block, F.struct(*d.columns).alias(a), name_key(F.col(name)).alias(f"{a}_key")).withColumn(f"{a}_folded", F.col(f"{a}_key.folded")).withColumn(f"{a}_bag", _bag(F.col(f"{a}_folded")))
-    l, r = side(left, "l"), side(right, "r")
-    if allowed is not None:
-        l = l.join(allowed.select(*block, *[f"right_{b}" for b in block]).distinct(), list(block))
-        r = r.withColumnsRenamed({b: f"right_{b}" for b in block})
-    need = threshold if bonus is None else 2 * threshold - 1
-    on = list(block) if allowed is None else [f"right_{b}" for b in block]
-    names = lambda d, a: d.select(*on, f"{a}_folded", f"{a}_bag").distinct()
-    different = names(l, "l").join(names(r, "r"), on).filter("l_folded <> r_folded and l_folded <> '' and r_folded <> ''").select("l_folded", "r_folded", _at_most("l", "r").alias("_most"))
-    scores = different.filter(F.col("_most") >= need - 1e-9).select("l_folded", "r_folded").distinct().withColumn("name_score", similarity("l_folded", "r_folded")).filter(F.col("name_score") >= need - 1e-9)
-    same = names(l, "l").join(names(r, "r"), on).filter("l_folded = r_folded and l_folded <> ''").select("l_folded", "r_folded", F.lit(1.0).alias("name_score")).distinct()
-    scores = scores.unionAll(same)
-    s = l.join(scores, "l_folded").join(r, [*on, "r_folded"]).filter(~vetoed(F.col("l_key"), F.col("r_key")))
-    total = F.col("name_score") if bonus is None else (F.col("name_score") + bonus) / 2
-    return s.withColumn("score", total).filter((F.col("score") >= threshold) & (F.col("name_score") > 0)).select(*block, F.col(f"l.{key}").alias("left"), F.col(f"r.{key}").alias("right"), "name_score", "score")
-
-
-def one_to_one(pairs: DataFrame, block: Sequence[str]) -> DataFrame:
-    """Optimal assignment within each block of pairs that passed the threshold."""
-    key = pairs.schema["left"].dataType.simpleString()
-    kinds = ", ".join(f"`{b}` {pairs.schema[b].dataType.simpleString()}" for b in block)
-
-    def solve(k, pdf: pd.DataFrame) -> pd.DataFrame:
-        out = best_pairs(pdf)
-        for name, value in zip(block, k, strict=True):
-            out[name] = value
-        return out
-
-    return pairs.select(*block, "left", "right", "score").groupBy(*block).applyInPandas(solve, f"`left` {key}, `right` {key}, score double, {kinds}").select(*block, "left", "right", "score")
-
-
-def checkpointed(df: DataFrame) -> DataFrame:
-    """df, computed once and kept in the folder that spark.checkpoint.dir names; a folder of its own where that is unset (tests)."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="ledgerloom-"))
-    return df.checkpoint()
+from .assignment import assign, one_to_one
+from .comparisons import Comparison, Equal, Name, compare
+from .state import written
+
+__all__ = ["assign", "link", "link_in_passes", "one_to_one", "overlap_proposals", "scored_pairs", "unique_rows"]
+
+
+def scored_pairs(left: DataFrame, right: DataFrame, block: Sequence[str], name: str, key: str, threshold: float, allowed: DataFrame | None = None) -> DataFrame:
+    """`block..., left, right, name_score, score` of pairs of one block whose names aren't vetoed and score at least the threshold."""
+    return compare(left, right, block, key, [Name(name)], threshold, allowed).withColumnRenamed(f"{name}_score", "name_score")
 
 
 def unique_rows(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
@@ -140,17 +26,24 @@ def unique_rows(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     return d.withColumn("_c", F.count("*").over(Window.partitionBy(*[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]))).filter("_c = 1").drop("_c")
 
 
-def link(left: DataFrame, right: DataFrame, block: Sequence[str], name: str, key: str, size: str, name_threshold: float = 0.80, size_threshold: float = 0.85, allowed: DataFrame | None = None) -> DataFrame:
-    """Two passes: names alone; then, on what is left, name and equal size with equal weights. `pass` tells which.
+def link_in_passes(left: DataFrame, right: DataFrame, block: Sequence[str], key: str, passes: Sequence[tuple[str, Sequence[Comparison], float]], allowed: DataFrame | None = None) -> DataFrame:
+    """`block..., left, right, score, pass`: passes of (name, comparisons, threshold), each on what those before left over.
 
-    The first pass is checkpointed, since three readers use it.
+    A record's key is its own in the whole table. Each pass is written once, since the next ones and the result read it.
     """
-    first = checkpointed(one_to_one(scored_pairs(left, right, block, name, key, name_threshold, None, allowed), block).withColumn("pass", F.lit("name")))
-    rest_l = left.join(first.select(F.col("left").alias(key)), key, "left_anti")
-    rest_r = right.join(first.select(F.col("right").alias(key)), key, "left_anti")
-    equal = F.coalesce(F.col(f"l.{size}") == F.col(f"r.{size}"), F.lit(False)).cast("double")
-    second = one_to_one(scored_pairs(rest_l, rest_r, block, name, key, size_threshold, equal, allowed), block).withColumn("pass", F.lit("name_size"))
-    return first.unionByName(second)
+    found = None
+    for name, comparisons, threshold in passes:
+        new = written(one_to_one(compare(left, right, block, key, comparisons, threshold, allowed), block).withColumn("pass", F.lit(name)))
+        left = left.join(new.select(F.col("left").alias(key)), key, "left_anti")
+        right = right.join(new.select(F.col("right").alias(key)), key, "left_anti")
+        found = new if found is None else found.unionByName(new)
+    return found
+
+
+def link(left: DataFrame, right: DataFrame, block: Sequence[str], name: str, key: str, size: str, name_threshold: float = 0.80, size_threshold: float = 0.85, allowed: DataFrame | None = None) -> DataFrame:
+    """Two passes: names alone; then, on what is left, name and equal size with equal weights. `pass` tells which."""
+    passes = [("name", [Name(name)], name_threshold), ("name_size", [Name(name), Equal(size)], size_threshold)]
+    return link_in_passes(left, right, block, key, passes, allowed)
 
 
 def overlap_proposals(overlap: DataFrame, rows: str = "size_b", shown: int = 3, linked: int = 5, share: float = 0.20) -> DataFrame:

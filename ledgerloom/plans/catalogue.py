@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -640,6 +641,27 @@ def fuzzy_link(t):
     return link(a, b, ["p_brand"], "p_name", "p_partkey", "p_size")
 
 
+_LCS = """len({a}) - bit_count(list_reduce(list_prepend((1::BIGINT << len({a})) - 1, list_transform(range(1, len({b}) + 1), lambda j: list_sum(list_transform(range(1, len({a}) + 1),
+    lambda i: CASE WHEN {a}[i] = {b}[j] THEN 1::BIGINT << (i - 1) ELSE 0 END))::BIGINT)), lambda s, m: ((s + (s & m)) | (s - (s & m))) & ((1::BIGINT << len({a})) - 1)))"""
+
+
+@query(
+    "q_name_pairs",
+    f"""WITH n AS (SELECT DISTINCT p_name, p_brand, p_partkey % 2 AS half FROM part),
+    k AS (SELECT DISTINCT p_name, {reduce(lambda x, f: f"regexp_replace({x}, '{f[0]}', '{f[1].replace('$', chr(92))}', 'g')", X.FOLDS, "lower(p_name)")} AS w FROM n),
+    p AS (SELECT a.p_name AS l_name, b.p_name AS r_name, a.w AS a, b.w AS b, regexp_replace(a.w, '[aeiou]', '', 'g') AS sa, regexp_replace(b.w, '[aeiou]', '', 'g') AS sb FROM k a, k b),
+    s AS (SELECT l_name, r_name, greatest(2.0 * ({_LCS.format(a="a", b="b")}) / (len(a) + len(b)), 2.0 * ({_LCS.format(a="sa", b="sb")}) / (len(sa) + len(sb)) - 0.05) AS score FROM p)
+    SELECT l_name, r_name, round(score, 6) AS score, count(*) AS brands FROM s JOIN n x ON x.p_name = l_name AND x.half = 0 JOIN n y ON y.p_name = r_name AND y.half = 1 AND y.p_brand = x.p_brand
+    WHERE score >= 0.8 - 1e-9 GROUP BY l_name, r_name, score""",
+)
+def name_pairs(t):
+    """Pairs of names of one brand's even and odd parts that are alike, and in how many brands both occur."""
+    from ledgerloom.operators.comparisons import Name, compare
+
+    a, b = (h.select("p_brand", "p_name").distinct() for h in _halves(t))
+    return compare(a, b, ["p_brand"], "p_name", [Name("p_name")], 0.8).groupBy(F.col("left").alias("l_name"), F.col("right").alias("r_name"), F.round("score", 6).alias("score")).agg(F.count("*").alias("brands"))
+
+
 @query("q_shuffle_baseline")
 def shuffle_baseline(t):
     d = W.shuffled_within(t.part.select("p_brand", "p_partkey", "p_size"), ["p_brand"], ["p_partkey"], "p_size", "shuffled")

@@ -254,9 +254,9 @@ def test_more_text(spark):
     assert tuple(one(spark, X.trailing_numbers, "no numbers"))[1] == []
     got = one(spark, lambda c: X.split_at_anchor(c, lambda x: x == "Panch"), ["a", "Panch", "b", "c"], "array<string>")
     assert (got["before"], got["anchor"], got["after"]) == (["a"], "Panch", ["b", "c"])
-    from ledgerloom.functions.similarity import legacy_text
+    from ledgerloom.functions.similarity import composed
 
-    assert one(spark, legacy_text([("d", "क"), ("e", "म")], "f", "Z"), "fd eZ") == "कि र्म"
+    assert one(spark, lambda c: composed(X.font_text(c, [("d", "क"), ("e", "म")], {"f": "ि"}, {"Z": "र्"})), "fd eZ") == "कि र्म"
 
 
 def test_tar_scan(spark, tmp_path):
