@@ -641,6 +641,12 @@ def fuzzy_link(t):
     return link(a, b, ["p_brand"], "p_name", "p_partkey", "p_size")
 
 
+def _sql_fold(c: str) -> str:
+    """functions.text.fold in SQL; DuckDB's patterns have no back references, so doubled letters go one by one."""
+    steps = [x for p, r in X.FOLDS for x in ([(f"{c}{c}", c) for c in "abcdefghijklmnopqrstuvwxyz"] if "\\1" in p else [(p, r.replace("$", "\\"))])]
+    return reduce(lambda x, f: f"regexp_replace({x}, '{f[0]}', '{f[1]}', 'g')", steps, f"lower({c})")
+
+
 _LCS = """len({a}) - bit_count(list_reduce(list_prepend((1::BIGINT << len({a})) - 1, list_transform(range(1, len({b}) + 1), lambda j: list_sum(list_transform(range(1, len({a}) + 1),
     lambda i: CASE WHEN {a}[i] = {b}[j] THEN 1::BIGINT << (i - 1) ELSE 0 END))::BIGINT)), lambda s, m: ((s + (s & m)) | (s - (s & m))) & ((1::BIGINT << len({a})) - 1)))"""
 
@@ -648,7 +654,7 @@ _LCS = """len({a}) - bit_count(list_reduce(list_prepend((1::BIGINT << len({a}))
 @query(
     "q_name_pairs",
     f"""WITH n AS (SELECT DISTINCT p_name, p_brand, p_partkey % 2 AS half FROM part),
-    k AS (SELECT DISTINCT p_name, {reduce(lambda x, f: f"regexp_replace({x}, '{f[0]}', '{f[1].replace('$', chr(92))}', 'g')", X.FOLDS, "lower(p_name)")} AS w FROM n),
+    k AS (SELECT DISTINCT p_name, {_sql_fold("p_name")} AS w FROM n),
     p AS (SELECT a.p_name AS l_name, b.p_name AS r_name, a.w AS a, b.w AS b, regexp_replace(a.w, '[aeiou]', '', 'g') AS sa, regexp_replace(b.w, '[aeiou]', '', 'g') AS sb FROM k a, k b),
     s AS (SELECT l_name, r_name, greatest(2.0 * ({_LCS.format(a="a", b="b")}) / (len(a) + len(b)), 2.0 * ({_LCS.format(a="sa", b="sb")}) / (len(sa) + len(sb)) - 0.05) AS score FROM p)
     SELECT l_name, r_name, round(score, 6) AS score, count(*) AS brands FROM s JOIN n x ON x.p_name = l_name AND x.half = 0 JOIN n y ON y.p_name = r_name AND y.half = 1 AND y.p_brand = x.p_brand
