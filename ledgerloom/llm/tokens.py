@@ -4,7 +4,8 @@ A text is cut only where the tokenizers cut it anyway: around a single line feed
 stands between two characters other than white space. So the ids of a text are the ids of its chunks, joined. Arrow
 cuts a slice of texts and numbers its distinct chunks; only those are looked up, and only chunks that the worker
 doesn't remember are encoded. A word with one mark after it is learned from its two parts. Texts where white space
-touches white space take a slower, equally exact way of cutting.
+touches white space take a slower, equally exact way of cutting. Texts that hold the string of a special token go whole to the
+library, which makes that token's id of it.
 """
 
 from __future__ import annotations
@@ -36,8 +37,10 @@ class ChunkEncoder:
     def __init__(self, path: str, limit: int = CACHE_CHUNKS):
         from tokenizers import Tokenizer
 
+        self.library = Tokenizer.from_file(path)
+        self.special = [(t.content, t.normalized) for t in self.library.get_added_tokens_decoder().values() if t.content]
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = True  # for chunks; none of them holds such a string
         self.limit = limit
         self.ids: dict[str, bytes] = {}  # a chunk after a space, or after a line feed that it begins with
         self.old: dict[str, bytes] = {}
@@ -84,6 +87,19 @@ class ChunkEncoder:
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts of a string column without nulls, and where each text's begin (with the end)."""
+        held = [pc.match_substring(column, t, ignore_case=folded) for t, folded in self.special]  # normalised tokens match other cases too
+        which = np.flatnonzero(np.logical_or.reduce([np.asarray(h) for h in held])) if held else np.zeros(0, dtype=int)
+        if not len(which):
+            return self._encode(column)
+        mask = np.zeros(len(column), dtype=bool)
+        mask[which] = True
+        ids, at = self._encode(pc.if_else(pa.array(mask), pa.scalar("", column.type), column))
+        parts = [ids[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
+        for k in which.tolist():
+            parts[k] = np.array(self.library.encode(column[k].as_py(), add_special_tokens=False).ids, dtype="<u4")
+        return np.concatenate(parts), np.r_[0, np.cumsum([len(p) for p in parts])]
+
+    def _encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         if len(self.ids) > self.limit // 2:
             self.old, self.ids = self.ids, {}
         marked = pc.replace_substring(pc.binary_join_element_wise("\n", column, ""), "\n", " \n")

@@ -304,9 +304,9 @@ def test_chunk_encoder(name):
     from tokenizers import Tokenizer
 
     plain = Tokenizer.from_file(P.path(name))
-    plain.encode_special_tokens = True
     enc = tokens.ChunkEncoder(P.path(name), limit=2000)  # so small that it forgets
-    texts = fuzz()
+    special = "<|endoftext|>"
+    texts = [*fuzz(), f"a {special} b", special, f"{special}{special} x", f"x \n{special}", special.upper(), "<|endoftext", f"<|startoftext|>a{special}"]
     for i in range(0, len(texts), 500):
         part = texts[i : i + 500]
         ids, at = enc.encode(pa.array(part))
