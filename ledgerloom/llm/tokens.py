@@ -37,9 +37,8 @@ class ChunkEncoder:
     def __init__(self, path: str, limit: int = CACHE_CHUNKS):
         from tokenizers import Tokenizer
 
-        self.library = Tokenizer.from_file(path)
-        self.special = [(t.content, t.normalized) for t in self.library.get_added_tokens_decoder().values() if t.content]
         self.tokenizer = Tokenizer.from_file(path)
+        self.special = [(t.content, t.normalized) for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
         self.tokenizer.encode_special_tokens = True  # for chunks; none of them holds such a string
         self.limit = limit
         self.ids: dict[str, bytes] = {}  # a chunk after a space, or after a line feed that it begins with
@@ -95,8 +94,10 @@ class ChunkEncoder:
         mask[which] = True
         ids, at = self._encode(pc.if_else(pa.array(mask), pa.scalar("", column.type), column))
         parts = [ids[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
+        self.tokenizer.encode_special_tokens = False  # the library's own way; a second tokenizer would double the memory
         for k in which.tolist():
-            parts[k] = np.array(self.library.encode(column[k].as_py(), add_special_tokens=False).ids, dtype="<u4")
+            parts[k] = np.array(self._ids(column[k].as_py()), dtype="<u4")
+        self.tokenizer.encode_special_tokens = True
         return np.concatenate(parts), np.r_[0, np.cumsum([len(p) for p in parts])]
 
     def _encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
