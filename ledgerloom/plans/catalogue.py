@@ -986,3 +986,154 @@ def quality_report(t):
     d = t.documents.join(t.labels, "doc_id", "left")
     checks = Q.report(d, [Q.at_least("labelled", F.count("quality"), F.count("*"), 0.97), ("no blank text", True, blank == 0, blank)])
     return checks.unionAll(Q.cardinalities({"nations": (t.nation, 25)}))
+
+
+# --- markup by depth, printed layouts, gates, review rules, rates, attempts -------------------------------------
+
+
+@query(
+    "q_nested_tables",
+    """WITH o AS (SELECT o_custkey AS page, o_orderkey, o_orderpriority, o_orderstatus, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS k FROM orders)
+    SELECT DISTINCT page, 1 AS "table", 1 AS depth, 0 AS "row", x AS "column", 'th' AS tag, CASE WHEN x = 1 THEN 'wide' END AS class, CASE WHEN x = 0 THEN 'order & key' ELSE 'state' END AS text FROM o, (SELECT unnest([0, 1]) AS x)
+    UNION ALL SELECT page, 1, 1, k, 0, 'td', 'k', o_orderkey::VARCHAR FROM o
+    UNION ALL SELECT page, 1, 1, k, 1, 'td', NULL, o_orderpriority || ' end' FROM o
+    UNION ALL SELECT page, k + 1, 2, 0, 0, 'td', NULL, o_orderstatus FROM o""",
+)
+def nested_tables(t):
+    """Every order as a row of its customer's page, with a table within a cell, read back by depth."""
+    from ledgerloom.sources.markup import table_cells
+
+    line = F.concat(F.lit("<tr><td class='k'>"), F.col("o_orderkey"), F.lit("</td>\n<td>"), F.col("o_orderpriority"), F.lit("<table><tr><td>"), F.col("o_orderstatus"), F.lit("</td></tr></table> end</td></tr>"))
+    pages = t.orders.groupBy(F.col("o_custkey").alias("page")).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("o_orderkey", line.alias("h")))), lambda x: x["h"]), "\n").alias("_rows"))
+    html = F.concat(F.lit("<p>no table</p><!-- <table> --><table><tr><th>order &amp; key</th><th colspan=2 CLASS=wide>state</th></tr>"), F.col("_rows"), F.lit("</table>"))
+    cells = table_cells(pages.select("page", html.alias("html")), "html", ["page"])
+    return cells.select("page", "table", "depth", "row", "column", "tag", F.col("attrs")["class"].alias("class"), "text")
+
+
+@query(
+    "q_region_links",
+    """WITH l AS (SELECT page_id, url AS base, unnest(regexp_extract_all(html, '(?s)<a href="([^"]*)">[^<]*</a>', 1)) AS href, unnest(regexp_extract_all(html, '(?s)<a href="[^"]*">([^<]*)</a>', 1)) AS label FROM pages)
+    SELECT page_id, href, regexp_extract(base, '^[a-z]+://[^/?#]*') || href AS url, trim(label) AS label, '' AS heading, count(*) AS n FROM l WHERE href <> '' AND href[1] = '/' GROUP BY ALL""",
+)
+def region_links(t):
+    from ledgerloom.sources.markup import region_links as read
+
+    return read(t.pages, "html", "url", ["page_id"], "body", "article").groupBy("page_id", "href", "url", "label", "heading").agg(F.count("*").alias("n"))
+
+
+@query(
+    "q_layout_rows",
+    """WITH o AS (SELECT o_custkey AS file, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS serial, trim(regexp_replace(o_orderpriority, '[^A-Z]+', ' ', 'g')) || CASE WHEN o_orderstatus = 'P' THEN ' Pending' ELSE '' END AS label,
+        floor(o_totalprice) AS price, day(o_orderdate)::DOUBLE AS day FROM orders)
+    SELECT file, 'item' AS level, 'CUSTOMER ' || file AS heading, serial::INT AS serial, label, price, day FROM o
+    UNION ALL SELECT file, 'group', 'CUSTOMER ' || file, NULL, 'TOTAL', sum(price), sum(day) FROM o GROUP BY file
+    UNION ALL SELECT file, 'all', NULL, NULL, 'OF ALL', count(*), max(day) FROM o GROUP BY file""",
+)
+def layout_rows(t):
+    """Every order as a printed line of its customer's sheet, with labels that go on, totals and a grand total, read back."""
+    from ledgerloom.operators.layout import Layout
+    from ledgerloom.operators.layout import layout_rows as read
+
+    o = t.orders.select(F.col("o_custkey").alias("file"), "o_orderkey", F.trim(F.regexp_replace("o_orderpriority", "[^A-Z]+", " ")).alias("label"), (F.col("o_orderstatus") == "P").alias("more"), F.floor("o_totalprice").alias("price"), F.dayofmonth("o_orderdate").alias("day"))
+    f = o.groupBy("file").agg(F.sort_array(F.collect_list(F.struct("o_orderkey", "label", "more", "price", "day"))).alias("x"), F.sum("price").alias("price"), F.sum("day").alias("day"), F.count("*").alias("n"), F.max("day").alias("most"))
+    line = F.transform("x", lambda r, i: F.concat(F.lit("  "), (i + 1).cast("string"), F.lit(". "), F.rpad(r["label"], 20, " "), F.lpad(r["price"].cast("string"), 12, " "), F.lpad(r["day"].cast("string"), 6, " "), F.when(r["more"], "\n     Pending").otherwise("")))
+    text = F.concat(F.lit("A SHEET\n  NAME   PRICE  DAY\nCUSTOMER "), F.col("file"), F.lit("\n"), F.array_join(line, "\n"), F.lit("\n  TOTAL   "), F.col("price"), F.lit("  "), F.col("day"), F.lit("\n GRAND\n OF ALL   "), F.col("n"), F.lit("  "), F.col("most"))
+    rows = read(f.select("file", text.alias("text")), "file", "text", Layout(["price", "day"], r"CUSTOMER \d+", r"NAME\s+PRICE\s+DAY"))
+    return rows.select("file", "level", "heading", "serial", "label", F.col("cells")[0]["value"].alias("price"), F.col("cells")[1]["value"].alias("day"))
+
+
+@query(
+    "q_gates",
+    """WITH p AS (SELECT l_linestatus AS run, l_orderkey AS g, count(*) AS n, count(*) FILTER (WHERE l_returnflag = 'R') AS r, count(*) FILTER (WHERE l_discount = 0) AS free,
+        count(*) FILTER (WHERE l_quantity > 49) AS many, count(DISTINCT l_linenumber) AS d, max(l_linenumber) AS m FROM lineitem GROUP BY 1, 2),
+    q AS (SELECT p.*, o_orderpriority = '5-LOW' AS excused, abs(100.0 * r / n - 25) > 30 AS off FROM p JOIN orders ON g = o_orderkey),
+    s AS (SELECT run, count(*) AS gs, sum(n) AS n, sum(r) AS r, sum(free) AS free, sum(many) AS many, count(*) FILTER (WHERE off AND NOT excused) AS off, count(*) FILTER (WHERE d <> m OR n <> d) AS gaps FROM q GROUP BY run),
+    o AS (SELECT 'F' AS run, 2 * count(*) AS lines, 'elected' AS basis, count(*) AS orders FROM orders UNION ALL SELECT 'O', 2 * count(*), 'seats', NULL FROM orders)
+    SELECT run, 'lines' AS "check", false AS hard, n - CASE WHEN basis = 'elected' THEN r ELSE 0 END >= 0.97 * lines AS ok, (n - CASE WHEN basis = 'elected' THEN r ELSE 0 END)::DOUBLE AS found, lines::DOUBLE AS wanted FROM s JOIN o USING (run)
+    UNION ALL SELECT run, 'orders', true, coalesce(abs(gs - orders) <= 2, true), gs, orders FROM s JOIN o USING (run)
+    UNION ALL SELECT run, 'free lines', true, free <= 10, free, 10 FROM s
+    UNION ALL SELECT run, 'returned', true, abs(100.0 * r / n - 25) <= 3, round(100.0 * r / n, 4), 25 FROM s
+    UNION ALL SELECT run, 'many', true, 100.0 * many / n < 5, round(100.0 * many / n, 4), 5 FROM s
+    UNION ALL SELECT run, 'returned by order', true, off <= 0.2 * gs, off, round(0.2 * gs, 4) FROM s
+    UNION ALL SELECT run, 'numbers', false, gaps = 0, gaps, 0 FROM s""",
+)
+def gates(t):
+    from ledgerloom.operators import gates as G
+
+    rows = t.lineitem.select(F.col("l_linestatus").alias("run"), "l_orderkey", "l_linenumber", "l_returnflag", "l_discount", "l_quantity")
+    n = t.orders.agg(F.count("*").alias("n"))
+    official = n.select(F.explode(F.array(F.struct(F.lit("F").alias("run"), (2 * F.col("n")).alias("lines"), F.lit("elected").alias("basis"), F.col("n").alias("orders")), F.struct(F.lit("O").alias("run"), (2 * F.col("n")).alias("lines"), F.lit("seats").alias("basis"), F.lit(None).cast("long").alias("orders")))).alias("o")).select("o.*")
+    excused = t.orders.filter("o_orderpriority = '5-LOW'").select(F.explode(F.array(F.lit("F"), F.lit("O"))).alias("run"), F.col("o_orderkey").alias("l_orderkey"))
+    back = F.col("l_returnflag") == "R"
+    checks = [
+        G.Coverage("lines", False, F.lit(True), "lines", 0.97, "basis", back),
+        G.GroupCount("orders", True, "orders", 2),
+        G.AtMost("free lines", True, F.col("l_discount") == 0, 10),
+        G.Share("returned", True, back, F.lit(True), 25.0, "near", 3.0),
+        G.Share("many", True, F.col("l_quantity") > 49, F.lit(True), 5.0, "below"),
+        G.GroupsOff("returned by order", True, back, F.lit(True), 25.0, 30.0, 0.2),
+        G.Numbered("numbers", False, "l_linenumber"),
+    ]
+    return G.evaluate(rows, checks, ["run"], ["l_orderkey"], official, excused)
+
+
+@query(
+    "q_review_rules",
+    """SELECT o_orderkey, concat_ws(';', CASE WHEN o_orderkey % 3 = 0 THEN 'coordinates' END, CASE WHEN o_orderpriority = '3-MEDIUM' AND o_orderstatus <> 'O' THEN 'state unknown' END,
+        CASE WHEN o_orderstatus = 'P' OR o_custkey % 11 = 0 THEN 'state differs' END, CASE WHEN o_custkey % 13 = 0 THEN 'digest' END, CASE WHEN o_totalprice > 400000 THEN 'dear' END, CASE WHEN o_custkey % 5 = 0 THEN 'guard differs' END) AS violations
+    FROM orders WHERE o_orderkey % 3 = 0 OR o_orderpriority = '3-MEDIUM' AND o_orderstatus <> 'O' OR o_orderstatus = 'P' OR o_custkey % 11 = 0 OR o_custkey % 13 = 0 OR o_totalprice > 400000 OR o_custkey % 5 = 0""",
+)
+def review_rules(t):
+    from ledgerloom.operators import review_rules as R
+
+    rows = t.orders.select("o_orderkey", "o_orderpriority", "o_totalprice")
+    on = lambda k: F.pmod("o_custkey", F.lit(k)) == 0
+    reviews = t.orders.select(
+        "o_orderkey",
+        F.when(F.pmod("o_orderkey", F.lit(3)) == 0, "x").otherwise(F.concat_ws(",", "o_custkey", "o_orderkey")).alias("at"),
+        F.col("o_orderstatus").alias("state"),
+        ((F.col("o_orderstatus") == "F") != on(11)).alias("closed"),
+        F.col("o_orderpriority").alias("evidence"),
+        F.when(on(13), "bad").otherwise(F.sha2("o_orderpriority", 256)).alias("sha"),
+        F.when(on(5), F.lower("o_orderpriority")).otherwise(F.col("o_orderpriority")).alias("seen_o_orderpriority"),
+    )
+    rules = [
+        R.Pattern("coordinates", "at", r"\d+,\d+"),
+        R.OneOf("state unknown", "state", ["O"], when=F.col("evidence") == "3-MEDIUM"),
+        R.Literal("state differs", "state", {"F": {"closed": True}, "O": {"closed": False}}),
+        R.Digest("digest", "sha", "evidence"),
+        R.Holds("dear", F.col("row_o_totalprice") <= 400000),
+        R.Agrees("guard differs", ["o_orderpriority"]),
+    ]
+    return R.check_reviews(rows, reviews, ["o_orderkey"], rules).filter(F.size("violations") > 0).select("o_orderkey", F.array_join("violations", ";").alias("violations"))
+
+
+@query(
+    "q_smoothed_rates",
+    """WITH c AS (SELECT o_custkey, o_orderkey % 5 AS fold, count(*) AS n, count(*) FILTER (WHERE o_orderpriority = '1-URGENT') AS h FROM orders GROUP BY 1, 2),
+    f AS (SELECT fold, sum(n) AS n, sum(h) AS h FROM c GROUP BY fold), p AS (SELECT fold, ((SELECT sum(h) FROM f) - h)::DOUBLE / ((SELECT sum(n) FROM f) - n) AS prior FROM f),
+    g AS (SELECT o_custkey, sum(n) AS n, sum(h) AS h FROM c GROUP BY 1)
+    SELECT c.o_custkey, c.fold, (g.n - c.n)::BIGINT AS n, CASE WHEN g.n - c.n >= 3 THEN round((g.h - c.h + 20 * prior) / (g.n - c.n + 20), 6) END AS rate FROM c JOIN g USING (o_custkey) JOIN p USING (fold)""",
+)
+def smoothed_rates(t):
+    from ledgerloom.operators.inference import smoothed_rates as rates
+
+    d = t.orders.select("o_custkey", F.pmod("o_orderkey", F.lit(5)).alias("fold"), (F.col("o_orderpriority") == "1-URGENT").alias("urgent"))
+    return rates(d, "o_custkey", "fold", F.col("urgent")).withColumn("rate", F.round("rate", 6))
+
+
+@query(
+    "q_last_attempts",
+    """SELECT user_id, ts, event_id, event_type, value, props, n AS readings FROM (SELECT *, count(*) OVER (PARTITION BY user_id) AS n,
+        row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS k FROM events) WHERE k = 1""",
+)
+def last_attempts(t):
+    """Each user's last event and the number of all, by a stream that keeps state by user and writes what changed."""
+    import uuid
+
+    from ledgerloom.operators.state import shared_folder
+    from ledgerloom.streaming.attempts import current, run_attempts
+
+    root = f"{shared_folder(t.spark).rstrip('/')}/attempts-{uuid.uuid4().hex}"
+    run_attempts(t.spark, f"{t.sf_dir}/event[s].parquet", t.events.schema, ["user_id"], ["ts", "event_id"], f"{root}/state", f"{root}/out")
+    return current(t.spark, f"{root}/out", ["user_id"])
