@@ -250,7 +250,8 @@ def candidate_edges(nodes: DataFrame, runs: int, levels: int, bucket: int = BUCK
 
     Small buckets are brute-forced. Of a large one some leaders are drawn by hash and its members tied to those they
     resemble: a row a member. What is so near to a leader that its partners must resemble it too is settled; the
-    others are split further, unless nearly all are in one tree anyway. After the last level leaders are drawn anew
+    others are split further, unless nearly all are in one tree anyway. Large buckets of the first run go first: those of
+    other runs whose members are in one tree then aren't led again. After the last level leaders are drawn anew
     from what is left, four times as many each time, until it is small.
     """
     sketches, found = nodes.select(F.col("node").alias("_n"), "sketch"), []
@@ -296,6 +297,16 @@ def candidate_edges(nodes: DataFrame, runs: int, levels: int, bucket: int = BUCK
             follow(few, ~F.col("within"), ALIKE)
         return left.filter(F.col("strays") > bucket).select("run", "key", "node")
 
+    def unconnected(large: DataFrame, edges: list[DataFrame]) -> DataFrame:
+        """Buckets whose members aren't all in one tree of edges; where they are, nothing new can come of them."""
+        known = edges[0]
+        for more in edges[1:]:
+            known = known.unionAll(more)
+        trees = components(known).withColumnsRenamed({"node": "_n", "root": "_root"})
+        placed = stash(large.join(trees, F.col("node") == F.col("_n"), "left").select(*large.columns, "_root"), "placed")
+        one = placed.groupBy(F.col("key").alias("_key")).agg(((F.count("_root") == F.count("*")) & (F.min("_root") == F.max("_root"))).alias("_one")).filter("_one")
+        return stash(placed.join(one, F.col("key") == F.col("_key"), "left_anti").select(*large.columns), "unconnected")
+
     members = nodes.select("node", F.posexplode(F.slice("picks", 1, runs)).alias("run", "_p")).select("run", "node", F.explode("_p").alias("_t")).select("run", F.xxhash64("run", "_t").alias("key"), "node")
     level, number = 0, leaders
     with settings(nodes.sparkSession, **_BLOOM):
@@ -305,7 +316,14 @@ def candidate_edges(nodes: DataFrame, runs: int, levels: int, bucket: int = BUCK
             large = stash(buckets.filter(F.col("size") > bucket), "large")
             if large.isEmpty():
                 break
-            members = lead(large.filter(F.col("size") > bucket), level, number)
+            if level == 0:
+                first = large.filter("run = 0")
+                own = len(found)
+                members = lead(first, level, number)
+                if runs > 1:
+                    members = members.unionAll(lead(unconnected(large.filter("run > 0"), found[own:]), level, number))
+            else:
+                members = lead(large.filter(F.col("size") > bucket), level, number)
             level += 1
             if level < levels:
                 deeper = members.join(nodes.select(F.col("node").alias("_n"), "picks"), F.col("node") == F.col("_n"))
