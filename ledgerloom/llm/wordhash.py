@@ -1,8 +1,8 @@
 """Words of Arrow string columns and hashes of their windows, in numpy, without a Python object for a word.
 
-Words are maximal runs of bytes other than ASCII white space. A word's hash is a polynomial in its bytes (mod 2^64,
-by prefix sums over a block), a window's hash is a Rabin-Karp polynomial in the hashes of its words; both are mixed
-at the end.
+Words are maximal runs of bytes other than ASCII white space. A word's hash is a sum of its bytes' values, each times a
+random weight of its place in the word: a polynomial mod 2^64 has words of two letters that collide whatever its base.
+A window's hash is a Rabin-Karp polynomial in the hashes of its words. Both are mixed at the end.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ BLOCK = 2 << 20
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _BYTE = np.random.Generator(np.random.PCG64(20240)).integers(1, 2**63, 256, dtype=np.uint64)
-_BASE, _WORD_BASE = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
+_WORD_BASE = 0xD1342543DE82EF95
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -40,7 +40,16 @@ class _Powers:
         return self.held
 
 
-_bytes_powers, _word_powers = _Powers(_BASE), _Powers(_WORD_BASE)
+_word_powers = _Powers(_WORD_BASE)
+_weights = mix(np.arange(1, 65, dtype=np.uint64)) | np.uint64(1)
+
+
+def _weights_upto(n: int) -> np.ndarray:
+    """Weights of the places in a word, made as far as the longest word asks."""
+    global _weights
+    if len(_weights) < n:
+        _weights = mix(np.arange(1, 2 * n + 1, dtype=np.uint64)) | np.uint64(1)
+    return _weights
 
 
 class Words:
@@ -68,11 +77,11 @@ class Words:
         while i < len(out):
             base = self.start[i]
             j = max(i + 1, int(np.searchsorted(self.end, base + BLOCK, side="right")))
-            s, e = self.start[i:j] - base, self.end[i:j] - base
-            up, down = _bytes_powers.upto(int(e[-1]))
-            sums = np.zeros(int(e[-1]) + 1, dtype=np.uint64)
-            np.cumsum(_BYTE[self.data[base : base + e[-1]]] * up[: e[-1]], out=sums[1:])
-            out[i:j] = mix((sums[e] - sums[s]) * down[s] + (e - s).astype(np.uint64))
+            size = self.end[i:j] - self.start[i:j]
+            begins = np.cumsum(size) - size
+            place = np.arange(int(begins[-1] + size[-1])) - np.repeat(begins, size)
+            values = _BYTE[self.data[np.repeat(self.start[i:j], size) + place]] * _weights_upto(int(size.max()))[place]
+            out[i:j] = mix(np.add.reduceat(values, begins) + size.astype(np.uint64))
             i = j
         return out
 

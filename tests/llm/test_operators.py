@@ -510,3 +510,11 @@ def test_every_column_of_the_digests(spark, sf):
         feature = f"64x{len(payload) // 64}x8 mean={sum(payload) * 1000 // len(payload) / 1000:.3f} values={len(counts)} mode={mode}"
         assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(texts[r.doc_id].encode()), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]))
         assert (r.media_bytes, r.media_sha256, r.feature) == (len(data), hashlib.sha256(data).hexdigest(), feature)
+
+
+def test_words_that_defeat_polynomials():
+    """The Thue-Morse word and its complement have one hash under any polynomial mod 2^64."""
+    bits = [bin(i).count("1") % 2 for i in range(4096)]
+    a, b = "".join("ab"[x] for x in bits), "".join("ba"[x] for x in bits)
+    words = [x[:n] for n in (512, 1024, 2048, 4096) for x in (a, b)]
+    assert len(set(wordhash.Words(pa.array(words)).hash.tolist())) == len(words)
