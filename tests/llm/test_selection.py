@@ -167,3 +167,22 @@ def test_brackets_spare_most_rows():
     assert held[1][1].tolist() == sorted((i for i in range(8000) if int(q @ q) // 2 <= scores[i] <= int(q @ q)), key=lambda i: (-scores[i], i))[:5]
     assert checked < 6000
     assert hard_negatives.products(np.array([[2.0**31, 3.0]]), np.array([2.0**30, 1.0])).tolist() == [2**61 + 3]
+
+
+def test_components(spark):
+    """Chains, stars around large and small names, rings, doubled and self edges, against union-find."""
+    from ledgerloom.llm.components import components
+
+    rnd = random.Random(8)
+    edges = [(i, i + 1) for i in range(0, 40) if i % 13] + [(500, i) for i in range(450, 480)] + [(100, i) for i in range(101, 130)] + [(200 + i, 200 + (i + 1) % 17) for i in range(17)] + [(7, 7), (999, 999), (1, 2), (2, 1)]
+    edges += [(rnd.randrange(600, 700), rnd.randrange(600, 700)) for _ in range(60)]
+    rnd.shuffle(edges)
+    root = {}
+    find = lambda x: x if root.setdefault(x, x) == x else find(root[x])
+    for a, b in edges:
+        if a != b:
+            a, b = find(a), find(b)
+            root[max(a, b)] = min(a, b)
+    got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a int, b int")).collect()}
+    assert got == {x: find(x) for x in root}
+    assert components(spark.createDataFrame([(3, 3)], "a int, b int")).count() == 0
