@@ -300,3 +300,85 @@ def font_text(c: Column, glyphs: Sequence[tuple[str, str]], early: dict[str, str
         out = F.regexp_replace(out, f"\\Q{mark}\\E({cluster})", f"$1{sign}")
     stray = reduce(lambda x, m: x | F.contains(out, F.lit(m)), [*early, *late], F.lit(False))
     return F.when(stray, F.raise_error(F.concat(F.lit("a mark without its consonants: "), out)).cast("string")).otherwise(F.trim(F.regexp_replace(out, r"(?U)\s+", " ")))
+
+
+# Spellings of offices, categories in Devanagari, tiers of offices.
+OFFICE_SPELLINGS = {"PARICH": "PANCH", "PONCH": "PANCH", "SARPANCN": "SARPANCH"}
+OFFICE_TIERS = {"PANCH": "gp_ward", "SARPANCH": "gp_head", "पंच": "gp_ward", "सरपंच": "gp_head"}
+HINDI_CATEGORIES = {"सामान्य": "NONE", "अनुसूचितजाति": "SC", "अनुजाति": "SC", "पिछड़ीजाति": "BC", "पिछडीजाति": "BC"}
+HINDI_WOMAN = "महिला"
+# How a notification names its number, its block and its district.
+NOTICE_NUMBER = r"(?i){year}\s*[@/]\s*(\d{{3,5}})\s*[.,\-–—&]{{0,3}}\s*(?:Dated\s*:?\s*[\d.\-/]+\s*)?(?:In\s+pursuance|gfj;k\.kk\s+iapk;rh\s+jkt|,rn)"
+PLACE_LATIN = r"""(?i)Block\s*[-–—]?\s*['‘"]?\s*([A-Za-z][A-Za-z0-9 .&\-]{1,30}?)\s*['’"]?\s*,?\s*(?:and\s+)?District\s*[-–—:]?\s*['‘"]?\s*([A-Za-z][A-Za-z .&\-]{1,25}?)\s*(?:during|for|in\b|,|$)"""
+PLACE_FONT = r"\[k\.M&\s*([^\]]{1,30}?)\]\s*ftyk&\s*(\S{1,30}?)\s"
+
+
+def _mapped(c: Column, values: dict) -> Column:
+    return reduce(lambda x, kv: F.when(c == kv[0], kv[1]).otherwise(x), values.items(), F.lit(None).cast("string"))
+
+
+def candidate_category(c: Column) -> Column:
+    """struct(caste, woman): the exact categories, and those of a general seat for a woman; nulls if unknown."""
+    token, known = F.regexp_replace(F.upper(c), "[^A-Z]", ""), exact_category(c)
+    general = known["caste"].isNull() & token.isin("GENERALWOMAN", "GENERALWOMEN")
+    return F.struct(F.when(general, "NONE").otherwise(known["caste"]).alias("caste"), F.when(general, True).otherwise(known["woman"]).alias("woman"))
+
+
+def page_category(c: Column) -> Column:
+    """struct(caste, woman) of a category in Latin letters or, in canonical form, Devanagari; the word for woman alone is a general seat."""
+    latin, value = candidate_category(c), F.regexp_replace(c, r"[\s.,()\-]", "")
+    woman, rest = F.contains(value, F.lit(HINDI_WOMAN)), F.replace(value, F.lit(HINDI_WOMAN), F.lit(""))
+    hindi = F.when((rest == "") & woman, "NONE").otherwise(_mapped(rest, HINDI_CATEGORIES))
+    caste = F.coalesce(latin["caste"], hindi)
+    return F.struct(caste.alias("caste"), F.when(latin["caste"].isNotNull(), latin["woman"]).when(hindi.isNotNull(), woman).alias("woman"))
+
+
+def normalized_office(c: Column) -> Column:
+    """An office in capitals without marks around it, known misprints mended; null is the empty text."""
+    bare = F.regexp_replace(F.upper(F.trim(F.coalesce(c, F.lit("")))), r"^[ .\-*•]+|[ .\-*•]+$", "")
+    return F.coalesce(_mapped(bare, OFFICE_SPELLINGS), bare)
+
+
+def office_tier(office: Column, family: Column) -> Column:
+    """The tier that a printed office has; pages of block members need none; else null."""
+    blank = F.coalesce(office, F.lit("")) == ""
+    return F.coalesce(_mapped(normalized_office(office), OFFICE_TIERS), F.when(blank & (family == "block_member"), "block_member"))
+
+
+def anchored_ward(c: Column) -> Column:
+    """A ward number of one or two digits (also Devanagari) in a cell that may hold `Ward No.` and footnote marks; else null."""
+    s = F.translate(F.regexp_replace(c, r"[*†‡§¹²³\s]+", " "), DEVANAGARI_DIGITS, "0123456789")
+    return F.regexp_extract(F.trim(s), r"(?i)^(?:ward\s*(?:no)?\.?\s*)?(\d{1,2})$", 1).try_cast("int")
+
+
+def notice_number(c: Column, year: int) -> Column:
+    """A notification's own number of a year; null where only other notifications are cited."""
+    return blank_to_null(F.regexp_extract(c, NOTICE_NUMBER.format(year=year), 1))
+
+
+def notice_place(c: Column) -> Column:
+    """struct(block, district, script) that a notification is about: latin first, then the legacy font; null if it names none."""
+    out = F.lit(None).cast("struct<block:string,district:string,script:string>")
+    for pattern, script in ((PLACE_FONT, "krutidev"), (PLACE_LATIN, "latin")):
+        found = F.struct(squash(F.regexp_extract(c, pattern, 1)).alias("block"), squash(F.regexp_extract(c, pattern, 2)).alias("district"), F.lit(script).alias("script"))
+        out = F.when(F.regexp_like(c, F.lit(pattern)), found).otherwise(out)
+    return out
+
+
+def flag_text(c: Column) -> Column:
+    """"", 0 or 1 of a boolean."""
+    return F.coalesce(c.cast("int").cast("string"), F.lit(""))
+
+
+def cell_json(*cells: Column) -> Column:
+    """Cells as one JSON object with nulls kept, in the order given."""
+    return F.to_json(F.struct(*cells), {"ignoreNullFields": "false"})
+
+
+def place_and_person(cells: Column) -> Column:
+    """struct(place, person) of the cells before an office: a cell of dashes parts them; without one, all but the last are the place."""
+    parted, words = split_at_anchor(cells, is_dash), lambda a: F.array_join(F.filter(a, lambda x: F.trim(x) != ""), " ")
+    n = F.size(cells)
+    place = F.when(parted.isNotNull(), words(parted["before"])).otherwise(words(F.slice(cells, 1, F.greatest(n - 1, F.lit(0)))))
+    person = F.when(parted.isNotNull(), words(parted["after"])).otherwise(F.coalesce(F.get(cells, n - 1), F.lit("")))
+    return F.struct(blank_to_null(place).alias("place"), blank_to_null(person).alias("person"))

@@ -58,8 +58,8 @@ def argmax(df: DataFrame, groups: Sequence[str], best: Sequence[Column], take: S
 def agreement(df: DataFrame, key: Sequence[str], witness: str, value: str) -> DataFrame:
     """Keys with several witnesses, and whether they agree: one value a witness (its greatest)."""
     one = df.groupBy(*key, witness).agg(F.max(value).alias("_v"))
-    g = one.groupBy(*key).agg(F.count("*").alias("witnesses"), F.size(F.collect_set("_v")).alias("_d"), F.count("_v").alias("_s"))
-    return g.filter("witnesses > 1").select(*key, "witnesses", ((F.col("_d") <= 1) & (F.col("_s") == F.col("witnesses"))).alias("agree"))
+    g = one.groupBy(*key).agg(F.count("*").alias("witnesses"), F.min("_v").alias("_a"), F.max("_v").alias("_b"), F.count("_v").alias("_s"))
+    return g.filter("witnesses > 1").select(*key, "witnesses", F.coalesce((F.col("_a") == F.col("_b")) & (F.col("_s") == F.col("witnesses")), F.lit(False)).alias("agree"))
 
 
 def calibration(df: DataFrame, p: Column, y: Column, edges: Sequence[float] = (0, 0.1, 0.3, 0.5, 0.7, 0.9, 1)) -> DataFrame:

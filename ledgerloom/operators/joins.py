@@ -61,7 +61,7 @@ FEW = 64
 
 
 def band_join(df: DataFrame, bands: DataFrame, value: str, low: str, high: str, order: str, take: Sequence[str]) -> DataFrame:
-    """Each row with the columns `take` of the last band (by `order`, not null) whose [low, high) holds the value.
+    """Each row with the columns `take` of the last band (by `order`, not null; then by `take`) whose [low, high) holds the value.
 
     A few bands (FEW) are tried in turn within the scan. More of them become disjoint pieces, numbered over a grid of cells. A band covers at most two nodes of each level of the
     binary tree over the pieces, and a piece looks up its ancestors, so pieces meet bands by equality in m log m rows
@@ -73,7 +73,7 @@ def band_join(df: DataFrame, bands: DataFrame, value: str, low: str, high: str,
     if len(few) <= FEW:
         typed = lambda row, c: F.lit(row[c]).cast(bands.schema[c].dataType)
         found = F.lit(None).cast(bands.select(F.struct(*take)).schema[0].dataType)
-        for row in sorted(few, key=lambda r: r[order]):
+        for row in sorted(few, key=lambda r: (r[order], *[(r[c] is not None, r[c]) for c in take])):
             within = (F.col(value) >= typed(row, low)) & (F.col(value) < typed(row, high))
             found = F.when(within, F.struct(*[typed(row, c).alias(c) for c in take])).otherwise(found)
         return df.withColumn("_t", found).select(*df.columns, *[F.col(f"_t.{c}").alias(c) for c in take])
@@ -103,9 +103,9 @@ def _pieces(bands: DataFrame, low: str, high: str, order: str, take: Sequence[st
     levels = lambda top: F.explode(F.sequence(F.lit(0), F.length(F.bin(top)) - 1))
     spread = placed.withColumn("_k", levels(F.col("_r"))).withColumn("_l", F.expr("shiftright(_l + shiftleft(1L, _k) - 1, _k)")).withColumn("_r", F.expr("shiftright(_r, _k)")).filter("_l < _r")
     nodes = spread.withColumn("_i", F.explode(F.array_compact(F.array(F.when(F.col("_l") % 2 == 1, F.col("_l")), F.when(F.col("_r") % 2 == 1, F.col("_r") - 1)))))
-    nodes = nodes.groupBy("_k", "_i").agg(F.max_by("_t", "_o").alias("_t"), F.max("_o").alias("_o"))
+    nodes = nodes.groupBy("_k", "_i").agg(F.max_by("_t", F.struct("_o", "_t")).alias("_t"), F.max("_o").alias("_o"))
     up = ends.filter("_q is not null").withColumn("_k", levels(F.col("_total"))).withColumn("_i", F.expr("shiftright(_i, _k)"))
-    return up.join(nodes, ["_k", "_i"]).groupBy("_p", "_q").agg(F.max_by("_t", "_o").alias("_t"))
+    return up.join(nodes, ["_k", "_i"]).groupBy("_p", "_q").agg(F.max_by("_t", F.struct("_o", "_t")).alias("_t"))
 
 
 def set_overlap(sets: DataFrame, group: Sequence[str], owner: str, element: str) -> DataFrame:
@@ -134,7 +134,8 @@ def contained_earlier(sets: DataFrame, group: Sequence[str], owner: str, element
 
 def unique_anchor_join(left: DataFrame, right: DataFrame, anchor: str) -> DataFrame:
     """Inner join on anchors that occur once on either side."""
-    once = lambda d: d.filter(F.col(anchor).isNotNull()).withColumn("_c", F.count("*").over(Window.partitionBy(anchor))).filter("_c = 1").drop("_c")
+    row = lambda d: F.first(F.struct(*[c for c in d.columns if c != anchor]))
+    once = lambda d: d.filter(F.col(anchor).isNotNull()).groupBy(anchor).agg(F.count("*").alias("_c"), row(d).alias("_r")).filter("_c = 1").select(anchor, "_r.*")
     return once(left).join(once(right), anchor)
 
 

@@ -6,10 +6,11 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ledgerloom.functions.text import control_characters
 
+from .windows import number_within
+
 
 def having(df: DataFrame, **values: object) -> DataFrame:
     """Rows whose columns have these values; None asks for null."""
@@ -51,7 +52,7 @@ def without(df: DataFrame, confirmed: DataFrame, keys: Sequence[str]) -> DataFra
 
 def without_bare_labels(df: DataFrame, by: Sequence[str], order: Sequence[str], label: str, rest: Sequence[str]) -> DataFrame:
     """Rows but those with a label and nothing else, with the `ordinal` (from 1) they had before."""
-    d = df.withColumn("ordinal", F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
+    d = number_within(df, by, order, "ordinal")
     return d.filter(F.col(label).isNull() | F.coalesce(*[F.col(c).cast("string") for c in rest]).isNotNull())
 
 

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .state import written
+
 
 def ordered(by: Sequence[str], order: Sequence[str]):
     return Window.partitionBy(*by).orderBy(*order)
@@ -61,15 +63,36 @@ def complete_names(df: DataFrame, by: Sequence[str], island: str, name: str, out
     return d.withColumn(out, F.when(begins, F.col("_long.n")).otherwise(F.col(name))).drop("_long")
 
 
+def number_within(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], name: str) -> DataFrame:
+    """df with `name`, 1 and up in order within each value of by (nulls are equal), however many rows a value has.
+
+    Rows are dealt by ranges of (by, order) and written once; a range numbers its own rows, and the ranges of a value are
+    placed by their counts, one row a range and value. Rows that are equal in order may swap numbers.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.repartitionByRange(n, *by, *order).sortWithinPartitions(*by, *order)
+    rows = written(dealt.withColumn("_part", F.spark_partition_id()).withColumn("_pos", F.monotonically_increasing_id()))
+    own = [f"_b{i}" for i, _ in enumerate(by)]
+    counts = rows.groupBy(F.col("_part").alias("_p"), *[F.col(b).alias(o) for b, o in zip(by, own, strict=True)]).agg(F.count("*").alias("_n"), F.min("_pos").alias("_start"))
+    counts = counts.withColumn("_before", F.sum("_n").over(Window.partitionBy(*own).orderBy("_p")) - F.col("_n"))
+    same = F.col("_part") == F.col("_p")
+    for b, o in zip(by, own, strict=True):
+        same = same & F.col(b).eqNullSafe(F.col(o))
+    return rows.join(counts, same).select(*df.columns, (F.col("_before") + F.col("_pos") - F.col("_start") + 1).alias(name))
+
+
 def appearance_serial(df: DataFrame, by: Sequence[str], key: str, position: str) -> DataFrame:
-    """`by..., key, serial` by order of first appearance."""
+    """`by..., key, serial` by order of first appearance; groups of any size."""
     first = df.groupBy(*by, key).agg(F.min(position).alias("_p"))
-    return first.withColumn("serial", F.row_number().over(Window.partitionBy(*by).orderBy("_p", key))).drop("_p")
+    return number_within(first, by, ["_p", key], "serial").drop("_p")
 
 
 def mark_repeats(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
-    """Whether a key occurs more than once; nulls are equal."""
-    return df.withColumn(name, F.count("*").over(Window.partitionBy(*keys)) > 1)
+    """Whether a key occurs more than once; nulls are equal. Keys are counted before the join, so a hot one can be split."""
+    own = [f"_k{i}" for i, _ in enumerate(keys)]
+    counts = df.groupBy(*[F.col(k).alias(o) for k, o in zip(keys, own, strict=True)]).agg((F.count("*") > 1).alias(name))
+    same = [F.col(k).eqNullSafe(F.col(o)) for k, o in zip(keys, own, strict=True)]
+    return df.join(counts, same).select(*df.columns, name)
 
 
 def first_of(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -98,8 +121,9 @@ def monotone(df: DataFrame, by: Sequence[str], order: Sequence[str], value: str)
 
 def shuffled_within(df: DataFrame, by: Sequence[str], order: Sequence[str], value: str, name: str, seed: int = 1) -> DataFrame:
     """A column with the group's values in a hashed order: a chance baseline that is the same in every run."""
-    a = df.withColumn("_i", F.row_number().over(ordered(by, order)))
-    b = df.select(*by, F.col(value).alias(name), F.row_number().over(Window.partitionBy(*by).orderBy(F.xxhash64(*order, F.lit(seed)), *order)).alias("_i"))
+    a = number_within(df, by, order, "_i")
+    keyed = df.select(*by, F.col(value).alias(name), F.xxhash64(*order, F.lit(seed)).alias("_h"), *[F.col(o).alias(f"_o{i}") for i, o in enumerate(order)])
+    b = number_within(keyed, by, ["_h", *[f"_o{i}" for i, _ in enumerate(order)]], "_i").select(*by, name, "_i")
     return a.join(b, [*by, "_i"]).drop("_i")
 
 

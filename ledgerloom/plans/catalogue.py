@@ -1137,3 +1137,86 @@ def last_attempts(t):
     root = f"{shared_folder(t.spark).rstrip('/')}/attempts-{uuid.uuid4().hex}"
     run_attempts(t.spark, f"{t.sf_dir}/event[s].parquet", t.events.schema, ["user_id"], ["ts", "event_id"], f"{root}/state", f"{root}/out")
     return current(t.spark, f"{root}/out", ["user_id"])
+
+
+@query(
+    "q_canonical_sources",
+    """WITH d AS (SELECT doc_id, source, lang, sha256(coalesce(text, '')) AS digest FROM documents),
+    g AS (SELECT digest, min(doc_id) AS first, max(doc_id) AS last, count(DISTINCT concat_ws('|', coalesce(source, '~'), coalesce(lang, '~'))) AS ids FROM d GROUP BY digest),
+    r AS (SELECT digest, last FROM g WHERE ids > 1 AND last % 2 = 0)
+    SELECT d.doc_id, CASE WHEN ids = 1 THEN first WHEN r.digest IS NOT NULL THEN r.last END AS canonical, CASE WHEN ids = 1 THEN d.doc_id = first WHEN r.digest IS NOT NULL THEN d.doc_id = r.last END AS is_canonical,
+        CASE WHEN ids > 1 AND r.digest IS NULL THEN 'needs a review' END AS problem FROM d JOIN g USING (digest) LEFT JOIN r USING (digest)""",
+)
+def canonical_sources(t):
+    """Documents of equal text: the first stands for them, or the one that a review (here: for even last ids) names."""
+    from ledgerloom.operators.sources import canonical_sources as choose
+
+    d = t.documents.select("doc_id", "source", "lang", F.sha2(F.coalesce("text", F.lit("")), 256).alias("digest"))
+    reviews = d.groupBy("digest").agg(F.max("doc_id").alias("doc_id")).filter("doc_id % 2 = 0")
+    return choose(d, "digest", ["source", "lang"], "doc_id", reviews, ["doc_id"]).select("doc_id", "canonical", "is_canonical", "problem")
+
+
+@query(
+    "q_positional_scores",
+    """WITH l AS (SELECT l_orderkey, l_returnflag, l_linestatus, floor(l_quantity) AS q, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS i FROM lineitem),
+    p AS (SELECT l_orderkey, l_returnflag, CASE WHEN l_tax = 0 THEN 'X' ELSE l_linestatus END AS l_linestatus, floor(l_quantity) AS q, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS i FROM lineitem WHERE l_quantity > 2),
+    m AS (SELECT coalesce(l.l_orderkey, p.l_orderkey) AS l_orderkey, l.i AS li, p.i AS pi, coalesce(l.l_returnflag = p.l_returnflag, false) AS a, coalesce(l.l_linestatus = p.l_linestatus, false) AS b, coalesce(l.q = p.q, false) AND l.q > 10 AS c, l.q > 10 AS d FROM l FULL JOIN p ON l.l_orderkey = p.l_orderkey AND l.i = p.i),
+    s AS (SELECT l_orderkey, count(li) AS expected_rows, count(pi) AS predicted_rows, count(*) FILTER (WHERE a) AS a, count(*) FILTER (WHERE b) AS b, count(*) FILTER (WHERE c) AS c, count(*) FILTER (WHERE d) AS d, count(*) FILTER (WHERE a AND b) AS e FROM m GROUP BY 1)
+    SELECT l_orderkey, expected_rows, predicted_rows, CASE WHEN expected_rows = predicted_rows THEN 'scored' ELSE 'row_count_mismatch' END AS status, CASE WHEN expected_rows = predicted_rows THEN a END AS correct_l_returnflag,
+        CASE WHEN expected_rows = predicted_rows THEN b END AS correct_l_linestatus, CASE WHEN expected_rows = predicted_rows THEN c END AS correct_q, CASE WHEN expected_rows = predicted_rows THEN e END AS correct_all, CASE WHEN expected_rows = predicted_rows THEN d END AS checked_q FROM s""",
+)
+def positional_scores(t):
+    """Lines of each order read without those of small quantity, and with some states misread, against all lines."""
+    from ledgerloom.operators.sources import positional_scores as score
+
+    own = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus", F.floor("l_quantity").alias("q")]
+    read = t.lineitem.filter("l_quantity > 2").withColumn("l_linestatus", F.when(F.col("l_tax") == 0, "X").otherwise(F.col("l_linestatus")))
+    return score(read.select(*own), t.lineitem.select(*own), ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey"], ["l_returnflag", "l_linestatus", "q"], {"q": F.col("label_q") > 10})
+
+
+@query(
+    "q_overlap_shares",
+    ORACLES["q_block_overlap"].replace("CASE WHEN shared >= 5", "round_even(shared / j.n, 3) AS share_of_b, CASE WHEN shared >= 5"),
+)
+def overlap_shares(t):
+    from ledgerloom.operators.linkage import overlap_proposals
+
+    sets = t.lineitem.select("l_suppkey", "l_partkey").join(t.supplier.select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
+    return overlap_proposals(J.set_overlap(sets, ["s_nationkey"], "l_suppkey", "l_partkey"))
+
+
+@query(
+    "q_office_tiers",
+    """WITH o AS (SELECT o_orderkey, CASE o_orderpriority WHEN '1-URGENT' THEN ' *Panch. ' WHEN '2-HIGH' THEN 'Sarpancn' WHEN '3-MEDIUM' THEN 'सरपंच' WHEN '5-LOW' THEN NULL ELSE 'Clerk' END AS raw, CASE o_orderstatus WHEN 'F' THEN 'block_member' ELSE 'gp' END AS family FROM orders)
+    SELECT o_orderkey, CASE raw WHEN ' *Panch. ' THEN 'PANCH' WHEN 'Sarpancn' THEN 'SARPANCH' WHEN 'Clerk' THEN 'CLERK' ELSE coalesce(raw, '') END AS office,
+        CASE WHEN raw = ' *Panch. ' THEN 'gp_ward' WHEN raw IN ('Sarpancn', 'सरपंच') THEN 'gp_head' WHEN raw IS NULL AND family = 'block_member' THEN 'block_member' END AS tier FROM o""",
+)
+def office_tiers(t):
+    p = F.col("o_orderpriority")
+    d = t.orders.select("o_orderkey", F.when(p == "1-URGENT", " *Panch. ").when(p == "2-HIGH", "Sarpancn").when(p == "3-MEDIUM", "सरपंच").when(p != "5-LOW", "Clerk").alias("raw"), F.when(F.col("o_orderstatus") == "F", "block_member").otherwise("gp").alias("family"))
+    return d.select("o_orderkey", X.normalized_office(F.col("raw")).alias("office"), X.office_tier(F.col("raw"), F.col("family")).alias("tier"))
+
+
+@query(
+    "q_changed_rows",
+    """SELECT o_orderkey, o_custkey, o_totalprice, 'removed' AS change, 1 AS copies FROM orders WHERE o_totalprice > 490000
+    UNION ALL SELECT o_orderkey, o_custkey, -1.0, 'added', 1 FROM orders WHERE o_totalprice > 490000""",
+)
+def changed_rows(t):
+    """A published table of orders against a rebuild that lost the prices of dear ones: parts with equal digests aren't read."""
+    import uuid
+
+    from ledgerloom.operators import digests
+    from ledgerloom.operators.state import shared_folder
+
+    path = f"{shared_folder(t.spark).rstrip('/')}/published-{uuid.uuid4().hex}"
+    old = t.orders.select("o_orderkey", "o_custkey", "o_totalprice")
+    digests.publish(old, path, ["o_orderkey"])
+    new = old.withColumn("o_totalprice", F.when(F.col("o_totalprice") > 490000, -1.0).otherwise(F.col("o_totalprice")))
+    return digests.changed_rows(new, path, ["o_orderkey"]).withColumn("copies", F.col("copies").cast("int"))
+
+
+@query("q_folded_names", f"SELECT DISTINCT name, {_sql_fold('name')} AS folded FROM (SELECT p_name AS name FROM part UNION ALL SELECT n_name FROM nation UNION ALL SELECT c_mktsegment FROM customer)")
+def folded_names(t):
+    names = t.part.select(F.col("p_name").alias("name")).unionAll(t.nation.select("n_name")).unionAll(t.customer.select("c_mktsegment")).distinct()
+    return names.select("name", X.fold(F.col("name")).alias("folded"))

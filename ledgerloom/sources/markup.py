@@ -162,3 +162,18 @@ def region_links(df: DataFrame, markup: str, base: str, keep: Sequence[str], sta
     read = read.withColumn("heading", F.coalesce(F.last(F.when(F.col("_of") != "a", F.col("label")), ignorenulls=True).over(order), F.lit("")))
     links = read.filter((F.col("_of") == "a") & (F.coalesce(F.col("href"), F.lit("")) != "") & ~F.startswith("href", F.lit("#"))).withColumn("url", joined_url(F.col("_base"), F.col("href")))
     return links.filter(F.col("url").rlike("(?i)^https?:")).select(*keep, "at", "href", "url", "label", "heading")
+
+
+def listing(df: DataFrame, markup: str, base: str, keep: Sequence[str], suffix: str = ".pdf") -> DataFrame:
+    """`keep..., row, name, cells, href, url` of listed files: table rows with a link that ends in suffix (any case).
+
+    name is the first cell that isn't a number or blank; a row with several such links gives one record each. Rows of inner tables
+    belong to the row around them.
+    """
+    rows = df.select(*keep, F.col(base).alias("_base"), F.posexplode(F.regexp_extract_all(F.coalesce(F.col(markup), F.lit("")), F.lit(r"(?is)<tr\b.*?</tr\s*>"), 0)).alias("row", "_row"))
+    texts = F.transform(F.regexp_extract_all("_row", F.lit(r"(?is)<t[dh]\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>(.*?)(?=</?t[dhr]\b)"), 1), lambda c: squashed(F.regexp_replace(c, r"(?s)<[^>]*>", " ")))
+    hrefs = F.transform(F.regexp_extract_all("_row", F.lit(r"(?is)<a\b[^>]*?\bhref\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)"), 1), lambda h: F.regexp_replace(h, "^[\"']|[\"']$", ""))
+    rows = rows.withColumn("_cells", texts).withColumn("_href", F.explode(F.filter(hrefs, lambda h: F.endswith(F.lower(h), F.lit(suffix.lower())))))
+    rows = rows.withColumn("cells", F.split(unescaped(F.array_join("_cells", "\x1f")), "\x1f", -1)).withColumn("href", unescaped("_href"))
+    name = F.get(F.filter("cells", lambda c: ~F.regexp_like(c, F.lit(r"^[\d.,()\s-]*$"))), 0)
+    return rows.select(*keep, "row", name.alias("name"), "cells", "href", joined_url(F.col("_base"), F.col("href")).alias("url"))

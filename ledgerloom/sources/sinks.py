@@ -29,7 +29,7 @@ def write_checked(df: DataFrame, path: str) -> int:
 
 def write_csv(df: DataFrame, path: str, columns: list[str]) -> None:
     """The contract's columns in its order, nulls empty, one file."""
-    df.select(*columns).coalesce(1).write.mode("overwrite").csv(path, header=True, nullValue="", emptyValue="", lineSep="\n")
+    df.select(*columns).repartition(1).write.mode("overwrite").csv(path, header=True, nullValue="", emptyValue="", lineSep="\n")
 
 
 def write_json_lines(df: DataFrame, path: str) -> str:
@@ -75,3 +75,19 @@ def replace_block(path: str, begin: str, end: str, text: str) -> None:
         raise ValueError("exactly one marked block is needed")
     head, rest = body.split(begin)
     Path(path).write_text(f"{head}{begin}\n{text}\n{end}{rest.split(end)[1]}")
+
+
+def write_receipt(summary: DataFrame, path: str) -> str:
+    """One row as a JSON file with sorted keys and a line feed, in place of an older one; the text. More rows are an error."""
+    import json
+
+    rows = summary.limit(2).collect()
+    if len(rows) != 1:
+        raise ValueError("a receipt is one row")
+    text = json.dumps(rows[0].asDict(recursive=True), sort_keys=True, indent=2, default=str, ensure_ascii=False) + "\n"
+    spark = summary.sparkSession
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)
+    out.write(text.encode())
+    out.close()
+    return text

@@ -104,3 +104,21 @@ def tar_members(spark: SparkSession, path: str) -> DataFrame:
             yield pd.DataFrame(rows, columns=["path", "member", "bytes", "sha"])
 
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(scan, "path string, member string, bytes long, sha string")
+
+
+def json_packets(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """`path, sha, packet` of (gzipped) files that hold one JSON document each; sha is of the bytes as stored.
+
+    A file that isn't such a document is an error. A packet is a row, so it has to fit into one.
+    """
+    stored = spark.read.format("binaryFile").load(path).select(F.col("path"), F.sha2("content", 256).alias("sha"))
+    read = spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
+    parsed = read.select(F.col("_metadata.file_path").alias("_at"), F.struct(*schema.names).alias("packet"))
+    plain = lambda c: F.regexp_replace(F.col(c), "^([a-z0-9]+):/+", "$1:/")  # noqa: E731  file:/ and file:/// name one file
+    return stored.join(parsed, plain("path") == plain("_at")).select("path", "sha", "packet")
+
+
+def named_by_manifest(df: DataFrame, manifest: DataFrame, path: str, saved_as: str, take: list[str]) -> DataFrame:
+    """df with the manifest's columns `take` for the file name that ends its path; null for files that aren't listed."""
+    listed = manifest.select(F.col(saved_as).alias("_name"), *take)
+    return df.withColumn("_name", F.regexp_extract(path, "([^/]*)$", 1)).join(listed, "_name", "left").select(*df.columns, *take)

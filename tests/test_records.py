@@ -231,3 +231,147 @@ def test_accepted(spark):
     rows = [(1, "m", "d1", "ok"), (2, None, "d2", "ok"), (3, "other", "d3", "ok"), (3, "m", "old", "ok"), (3, "m", "d3", "failed"), (3, "m", None, "ok"), (4, "m", "d1", "ok"), (1, "m", "d1", None)]
     got = S.accepted(spark.createDataFrame(rows, "page int, model string, sha string, status string"), asked, ["page"], ["model"], "sha").collect()
     assert {tuple(r)[:4] for r in got if r.accepted} == set(rows[:2]) and len(got) == len(rows)
+
+
+def test_digests(spark, tmp_path):
+    """One changed row: one part differs, and only that part's files are read."""
+    from ledgerloom.operators import digests as D
+
+    path = f"file://{tmp_path}/table"
+    rows = [(i, f"v{i % 7}" if i % 5 else None) for i in range(200)] + [(3, "v3")]
+    d = spark.createDataFrame(rows, "k int, v string")
+    D.publish(d, path, ["k"], 16)
+    assert D.differing_parts(d.orderBy(F.desc("k")), path, ["k"], 16).count() == 0 and D.changed_rows(d, path, ["k"], 16).count() == 0
+    new = spark.createDataFrame([(k, "new" if k == 11 else v) for k, v in rows if k != 3] + [(3, "v3")], "k int, v string")
+    assert {(r.k, r.v, r.change, r.copies) for r in D.changed_rows(new, path, ["k"], 16).collect()} == {(11, "v4", "removed", 1), (11, "new", "added", 1), (3, "v3", "removed", 1)}
+    one = spark.createDataFrame([(k, "new" if k == 11 else v) for k, v in rows], "k int, v string")
+    bad = [r.part for r in D.differing_parts(one, path, ["k"], 16).collect()]
+    old = spark.read.parquet(f"{path}/rows").filter(F.col("_part").isin(bad))
+    read = {r[0] for r in old.select(F.input_file_name()).distinct().collect()}
+    assert len(bad) == 1 and all(f"_part={bad[0]}/" in f for f in read)
+    assert "PartitionFilters: [isnotnull(_part" in old._jdf.queryExecution().toString()
+    D.publish(one, path, ["k"], 16)  # takes the old one's place
+    assert D.differing_parts(one, path, ["k"], 16).count() == 0 and D.published(spark, path).count() == 201
+    assert [p.name for p in tmp_path.iterdir()] == ["table"]
+    none = spark.createDataFrame([(None, None), (None, "null")], "k int, v string")
+    assert D.part_digests(none, ["k"], 4).first().digest != D.part_digests(none.fillna("null"), ["k"], 4).first().digest
+
+
+def test_observed_write(spark, tmp_path, capsys, monkeypatch):
+    import json
+
+    from ledgerloom.plans import runlog
+
+    monkeypatch.setenv("LEDGERLOOM_LOG", "on")
+    d = spark.createDataFrame([(1, "a"), (2, None)], "k int, v string")
+    out = runlog.observed_write(d, f"{tmp_path}/t", "pairs", blank=F.count_if(F.col("v").isNull()))
+    line = next(json.loads(x) for x in capsys.readouterr().err.splitlines() if "frame_written" in x)
+    assert out["rows"] == line["rows"] == 2 and line["blank"] == 1 and line["bytes"] > 0 and line["frame"] == "pairs" and spark.read.parquet(f"{tmp_path}/t").count() == 2
+
+
+def test_canonical_sources(spark):
+    from ledgerloom.operators.sources import canonical_sources, unique_slugs
+
+    rows = [(1, "x", "h1", "u1"), (2, "x", "h1", "u2"), (3, "y", "h1", "u3"), (4, "y", "h2", "u4"), (5, "z", "h1", "u5"), (6, "z", "h2", "u5"), (7, "w", "h1", "u7"), (8, "w", None, "u8")]
+    d = spark.createDataFrame(rows, "i int, sha string, heading string, url string")
+    reviews = spark.createDataFrame([("y", "u4"), ("z", "u5"), ("gone", "u1")], "sha string, url string")
+    got = {r.i: (r.canonical, r.is_canonical, r.problem) for r in canonical_sources(d, "sha", ["heading"], "i", reviews, ["url"]).collect()}
+    bad, none = (None, None, "review names no single listing"), (None, None, "needs a review")
+    assert got == {1: (1, True, None), 2: (1, False, None), 3: (4, False, None), 4: (4, True, None), 5: bad, 6: bad, 7: none, 8: none}
+    assert {r.i for r in canonical_sources(d, "sha", ["heading"], "i").filter("problem is null").collect()} == {1, 2}
+    s = spark.createDataFrame([(1, "A b"), (2, "a-B!"), (3, "c")], "i int, name string")
+    assert {r.i: r.slug for r in unique_slugs(s, "name", "i").collect()} == {1: "a_b", 2: "a_b_2", 3: "c"}
+
+
+def test_positional_scores(spark):
+    from ledgerloom.operators.sources import positional_scores, typed_agreement
+
+    p = spark.createDataFrame([(1, 1, "3", "SC"), (1, 2, "4", None), (2, 1, "1", "BC")], "page int, i int, ward string, caste string")
+    l = spark.createDataFrame([(1, 5, "3", "SC", True), (1, 9, "5", None, False), (2, 1, "1", "BC", True), (2, 2, "2", "SC", True), (3, 1, "1", "SC", True)], "page int, i int, ward string, caste string, here boolean")
+    got = {r.page: (r.expected_rows, r.predicted_rows, r.status, r.correct_ward, r.correct_caste, r.correct_all, r.checked_caste) for r in positional_scores(p, l, ["page"], ["i"], ["ward", "caste"], {"caste": F.col("label_here")}).collect()}
+    assert got == {1: (2, 2, "scored", 1, 1, 1, 1), 2: (2, 1, "row_count_mismatch", None, None, None, None), 3: (1, 0, "row_count_mismatch", None, None, None, None)}
+    c = spark.createDataFrame([("SC", "SC", None), ("", None, "torn"), (None, None, None), ("SC", "BC", None), ("BC", "BC", "why")], "raw string, caste string, reason string")
+    assert [r.problem for r in typed_agreement(c, "raw", {"caste": F.col("raw")}).collect()] == [None, None, "blank without a reason", "typed values differ", "reason without a blank"]
+
+
+def test_notices_and_offices(spark):
+    from ledgerloom.functions import text as X
+
+    one = lambda f, v: spark.createDataFrame([(v,)], "v string").select(f(F.col("v")).alias("r")).head()["r"]
+    assert tuple(one(X.notice_place, "elections in Block- Narnaul, District-Mahendergarh during General")) == ("Narnaul", "Mahendergarh", "latin")
+    assert tuple(one(X.notice_place, "[k.M&ukjukSy] ftyk&egsUnzx<+ esa")) == ("ukjukSy", "egsUnzx<+", "krutidev") and one(X.notice_place, "nothing") is None
+    number = lambda v: one(lambda c: X.notice_number(c, 2022), v)
+    assert number("No. SEC/4E-II/2022/7385.- In pursuance of") == "7385" and number("2022/7385 Dated: 10.02.2022 In pursuance") == "7385" and number("see No. 2022/7385.") is None
+    assert [one(X.normalized_office, v) for v in (" *Panch. ", "parich", "Sarpancn", None, "• Clerk")] == ["PANCH", "PANCH", "SARPANCH", "", "CLERK"]
+    tier = lambda o, f: spark.createDataFrame([(o, f)], "o string, f string").select(X.office_tier(F.col("o"), F.col("f"))).head()[0]
+    assert [tier("पंच", "gp"), tier("Ponch", "x"), tier(None, "block_member"), tier(None, "gp"), tier("Clerk", "block_member")] == ["gp_ward", "gp_ward", "block_member", None, None]
+    assert [tuple(one(X.page_category, v)) for v in ("SC Women", "General Woman", "अनुसूचित जाति (महिला)", "महिला", "सामान्य", "x", "")] == [("SC", True), ("NONE", True), ("SC", True), ("NONE", True), ("NONE", False), (None, None), (None, None)]
+    assert [one(X.anchored_ward, v) for v in ("Ward No. 3*", "१२ †", "123", "x")] == [3, 12, None, None]
+    flags = spark.createDataFrame([(True,), (False,), (None,)], "b boolean").select(X.flag_text(F.col("b")).alias("t")).collect()
+    assert [r.t for r in flags] == ["1", "0", ""]
+    assert spark.range(1).select(X.cell_json(F.lit("a").alias("x"), F.lit(None).cast("string").alias("y"))).head()[0] == '{"x":"a","y":null}'
+
+
+def test_listing(spark):
+    page = """<table><tr><th>No</th><th>Name</th></tr><tr class=a><td>1.</td><td> A &amp; B </td><td><a href="x/one.PDF">pdf</a> <a href='two.html'>t</a></td></tr>
+    <tr><td>2</td><td></td><td>C<br>D</td><td><a href=/three.pdf>p</a><a href="four.pdf">q</a></td></tr></table>"""
+    d = spark.createDataFrame([(1, page, "http://h/d/i"), (2, None, "http://h")], "id int, html string, url string")
+    got = [(r.row, r.name, r.href, r.url) for r in M.listing(d, "html", "url", ["id"]).orderBy("row", F.desc("href")).collect()]
+    assert got == [(1, "A & B", "x/one.PDF", "http://h/d/x/one.PDF"), (2, "C D", "four.pdf", "http://h/d/four.pdf"), (2, "C D", "/three.pdf", "http://h/three.pdf")]
+
+
+def test_packets_and_receipts(spark, tmp_path):
+    import gzip
+    import json
+
+    from pyspark.sql import types as T
+
+    from ledgerloom.sources.sinks import write_receipt
+    from ledgerloom.sources.tables import json_packets, named_by_manifest
+
+    raw = gzip.compress(json.dumps({"id": 7, "rows": ["a", "b"]}, indent=1).encode(), mtime=0)
+    (tmp_path / "p").mkdir()
+    (tmp_path / "p" / "one.json.gz").write_bytes(raw)
+    schema = T._parse_datatype_string("id int, rows array<string>")
+    row = json_packets(spark, f"{tmp_path}/p", schema).first()
+    assert (row.sha, row.packet.id, row.packet.rows) == (hashlib.sha256(raw).hexdigest(), 7, ["a", "b"])
+    files = spark.createDataFrame([("file:/a/b/one.pdf",), ("two.pdf",)], "path string")
+    manifest = spark.createDataFrame([("one.pdf", "D", "B")], "saved_as string, district string, block string")
+    assert {tuple(r) for r in named_by_manifest(files, manifest, "path", "saved_as", ["district", "block"]).collect()} == {("file:/a/b/one.pdf", "D", "B"), ("two.pdf", None, None)}
+    text = write_receipt(spark.range(3).agg(F.count("*").alias("rows"), F.max("id").alias("a")), f"{tmp_path}/r.json")
+    assert (tmp_path / "r.json").read_text() == text == '{\n  "a": 2,\n  "rows": 3\n}\n'
+    with pytest.raises(ValueError):
+        write_receipt(spark.range(2), f"{tmp_path}/r.json")
+
+
+def test_small_functions(spark):
+    from ledgerloom.functions import similarity
+    from ledgerloom.functions import text as X
+    from ledgerloom.operators.linkage import unique_rows
+    from ledgerloom.sources import html as H
+
+    one = lambda f, v, kind="string": spark.createDataFrame([(v,)], f"v {kind}").select(f(F.col("v")).alias("r")).head()["r"]
+    assert one(X.squash, "  a  b\n‘c’ ") == "a b 'c'" and one(lambda c: similarity.nfkc(c), "ﬁ①") == "fi1"
+    assert [one(X.is_dash, v) for v in ("-", " – ", "a", "-.")] == [True, True, False, True]
+    label = spark.createDataFrame([("BC_A", True), ("NONE", False), ("SC", True)], "c string, w boolean").select(X.category_label(F.col("c"), F.col("w")).alias("l")).collect()
+    assert [r.l for r in label] == ["BC-A Woman", "Other than Woman", "SC Woman"]
+    split = lambda v: tuple(one(X.place_and_person, v, "array<string>"))
+    assert split(["Ram", "pur", "-", "Sita", "Devi"]) == ("Ram pur", "Sita Devi") and split(["Rampur", "Sita"]) == ("Rampur", "Sita") and split(["Sita"]) == (None, "Sita") and split([]) == (None, None)
+    rows = spark.createDataFrame([(1, "a", "x"), (1, "a", "y"), (2, None, "z"), (2, "b", " "), (3, "c", "w")], "k int, b string, name string")
+    assert {tuple(r) for r in unique_rows(rows, ["k", "b"], "name").collect()} == {(2, None, "z"), (3, "c", "w")}
+    flat = spark.createDataFrame([("<table><TR a=1><td>x <b>y</b></td><th>z</th></TR></table>",)], "h string")
+    assert [(r.row, r.cells) for r in H.table_rows(flat, "h", []).collect()] == [(0, ["x y", "z"])]
+
+
+@pytest.mark.parametrize("parts", ["4"])
+def test_numbers_within_hot_groups(spark, parts):
+    from ledgerloom.operators import windows as W
+
+    rows = [("hot" if i % 10 else None, (i * 7919) % 1000) for i in range(1000)]
+    d = spark.createDataFrame(rows, "g string, v int").repartition(7)
+    got = {(r.g, r.v): r.n for r in W.number_within(d, ["g"], ["v"], "n").collect()}
+    for g in ("hot", None):
+        own = sorted(v for x, v in rows if x == g)
+        assert [got[g, v] for v in own] == list(range(1, len(own) + 1))
+    marked = W.mark_repeats(spark.createDataFrame([(1, None), (1, None), (2, "a"), (None, "b"), (None, "b")], "k int, v string"), ["k", "v"], "again")
+    assert sorted((str(r.k), r.again) for r in marked.collect()) == [("1", True), ("1", True), ("2", False), ("None", True), ("None", True)]
