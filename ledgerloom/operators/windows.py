@@ -71,14 +71,14 @@ def number_within(df: DataFrame, by: Sequence[str], order: Sequence[str | Column
     """
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = df.repartitionByRange(n, *by, *order).sortWithinPartitions(*by, *order)
-    rows = written(dealt.withColumn("_part", F.spark_partition_id()).withColumn("_pos", F.monotonically_increasing_id()))
-    own = [f"_b{i}" for i, _ in enumerate(by)]
-    counts = rows.groupBy(F.col("_part").alias("_p"), *[F.col(b).alias(o) for b, o in zip(by, own, strict=True)]).agg(F.count("*").alias("_n"), F.min("_pos").alias("_start"))
-    counts = counts.withColumn("_before", F.sum("_n").over(Window.partitionBy(*own).orderBy("_p")) - F.col("_n"))
-    same = F.col("_part") == F.col("_p")
+    rows = written(dealt.withColumn("_nw_range", F.spark_partition_id()).withColumn("_nw_pos", F.monotonically_increasing_id()))
+    own = [f"_nw_b{i}" for i, _ in enumerate(by)]
+    counts = rows.groupBy(F.col("_nw_range").alias("_nw_of"), *[F.col(b).alias(o) for b, o in zip(by, own, strict=True)]).agg(F.count("*").alias("_nw_n"), F.min("_nw_pos").alias("_nw_start"))
+    counts = counts.withColumn("_nw_before", F.sum("_nw_n").over(Window.partitionBy(*own).orderBy("_nw_of")) - F.col("_nw_n"))
+    same = F.col("_nw_range") == F.col("_nw_of")
     for b, o in zip(by, own, strict=True):
         same = same & F.col(b).eqNullSafe(F.col(o))
-    return rows.join(counts, same).select(*df.columns, (F.col("_before") + F.col("_pos") - F.col("_start") + 1).alias(name))
+    return rows.join(counts, same).select(*df.columns, (F.col("_nw_before") + F.col("_nw_pos") - F.col("_nw_start") + 1).alias(name))
 
 
 def appearance_serial(df: DataFrame, by: Sequence[str], key: str, position: str) -> DataFrame:
@@ -89,7 +89,7 @@ def appearance_serial(df: DataFrame, by: Sequence[str], key: str, position: str)
 
 def mark_repeats(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     """Whether a key occurs more than once; nulls are equal. Keys are counted before the join, so a hot one can be split."""
-    own = [f"_k{i}" for i, _ in enumerate(keys)]
+    own = [f"_mr_k{i}" for i, _ in enumerate(keys)]
     counts = df.groupBy(*[F.col(k).alias(o) for k, o in zip(keys, own, strict=True)]).agg((F.count("*") > 1).alias(name))
     same = [F.col(k).eqNullSafe(F.col(o)) for k, o in zip(keys, own, strict=True)]
     return df.join(counts, same).select(*df.columns, name)
