@@ -24,7 +24,8 @@ def con(sf):
 def test_against_sql(spark, sf, con, name):
     got, want = queries.QUERIES[name](spark, sf), con.sql(queries.ORACLES[name]).df()
     columns = sorted(want.columns)
-    plain = lambda df: sorted(map(str, df[columns].astype(object).where(df[columns].notna(), None).itertuples(index=False, name=None)))
+    whole = lambda v: int(v) if isinstance(v, float) and v.is_integer() else v  # noqa: E731  whole numbers with nulls come as doubles from one side
+    plain = lambda df: sorted(str(tuple(map(whole, r))) for r in df[columns].astype(object).where(df[columns].notna(), None).itertuples(index=False, name=None))
     assert sorted(got.columns) == columns and plain(got.toPandas()) == plain(want)
 
 
