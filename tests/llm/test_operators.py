@@ -116,6 +116,14 @@ def test_urls(spark):
     assert url_filters.filter_urls(d.limit(0)).count() == 0
 
 
+def test_rules_of_the_contract(spark, tmp_path):
+    """One page a rule on hosts of their own, through the whole query; a net/de/ page isn't blocked, nor does it block its host."""
+    rows = [(1, "http://a.com/en/1"), (2, "http://b.example.com/en/7"), (3, "http://x.net/de/1"), (4, "http://x.net/zz"), (5, "http://y.example.net/de/8"), (6, "http://c.org/es/")]
+    spark.createDataFrame([(i, u, "") for i, u in rows], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = {r.page_id: (r.rule, r.verdict) for r in url_filters.query(spark, str(tmp_path)).collect()}
+    assert got == {1: ("com/en/", "block"), 2: ("example.com/en/7", "allow"), 3: ("net/de/", "allow"), 4: (None, "allow"), 5: ("example.net/de/8", "block"), 6: ("org/es/", "block")}
+
+
 def test_propagation(spark):
     edges = spark.createDataFrame([("a", "b", 1), ("a", "c", 3), ("b", "c", 1)], "_src string, _dst string, _n long")
     seeds = spark.createDataFrame([(1, "a", 4.0), (0, "c", 2.0)], "kind int, host string, seed double")
