@@ -3,13 +3,15 @@
 A text is cut only where the tokenizers cut it anyway: around a single line feed, and before a single space, that
 stands between two characters other than white space. So the ids of a text are the ids of its chunks, joined. Arrow
 cuts a slice of texts and numbers its distinct chunks; only those are looked up, and only chunks that the worker
-doesn't remember are encoded. A word with one mark after it is learned from its two parts. Texts where white space
+doesn't remember are encoded. A word with one mark after it is learned from its two parts. Words of letters are one piece to
+the pre-tokenizers below, so they go to the library's model without normalizer and pattern. Texts where white space
 touches white space take a slower, equally exact way of cutting. Texts that hold the string of a special token go whole to the
 library, which makes that token's id of it.
 """
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterator
 
@@ -17,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from .common import worker_caches
+from .common import release, worker_caches
 
 #: Chunks remembered by one worker: half of them recent, half of the time before.
 CACHE_CHUNKS = 800_000
@@ -25,10 +27,37 @@ CACHE_CHUNKS = 800_000
 _GAP = r"\s\x1c-\x1f\u180e\u200b\u2060\ufeff"
 _CUT = re.compile(rf"(?<=[^{_GAP}]) (?=[^{_GAP}])")
 _GAPS = frozenset(c for c in map(chr, range(0xD800)) if re.match(f"[{_GAP}]", c)) | {"\ufeff"}
-#: A word of letters that every engine takes for letters, and one mark.
-_MARKED = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?])")
+#: A word of letters that every engine takes for letters, after a line feed or not, and one mark or none.
+_WORD = re.compile(r"(\n?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?]?)")
 #: What may stand between chunks that are encoded together, if the tokenizer makes one id of it, and how many are.
 _SEPARATORS, _TOGETHER = ("\t", " 7"), 400
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_BYTES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True}
+#: Normalizer and pre-tokenizer of tokenizers to which a word of letters is one piece: the space it takes along, and its case.
+_LETTERS = [
+    (None, _BYTES | {"use_regex": True}, " ", str),
+    (
+        [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}],
+        [{"type": "Split", "pattern": {"Regex": _PATTERN}, "behavior": "Removed", "invert": True}, _BYTES | {"use_regex": False}],
+        "",
+        str.lower,
+    ),
+]
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte before a byte-level model; a line feed stays, to part words."""
+    same = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in same]
+    return {b: chr(b) for b in same} | {b: chr(256 + k) for k, b in enumerate(others)} | {10: "\n"}
+
+
+def _shape(part) -> object:
+    """What a normalizer or pre-tokenizer says of itself; a sequence as its list."""
+    if part is None:
+        return None
+    found = json.loads(part.__getstate__())
+    return found.get("normalizers", found.get("pretokenizers", found))
 
 
 class ChunkEncoder:
@@ -45,6 +74,11 @@ class ChunkEncoder:
         self.old: dict[str, bytes] = {}
         self.feed = self._one("\n")
         self.sep, self.sep_id = next(((s, one[0]) for s in _SEPARATORS if len(one := self._ids(s)) == 1 and self._ids(f"{s} ab{s} c.") == one + self._ids(" ab") + one + self._ids(" c.")), ("", -1))
+        self.space, self.case, self.lean, self.tab = "", str, None, -1
+        shape = _shape(self.tokenizer.normalizer), _shape(self.tokenizer.pre_tokenizer)
+        for normalizer, pieces, space, case in _LETTERS:
+            if shape == (normalizer, pieces):
+                self._lean(space, case)
         self.marks = {m: self._one(m) for m in ".,;:!?" if self._one(f" ab{m}") == self._one(" ab") + self._one(m)}
 
     def _ids(self, text: str) -> list[int]:
@@ -53,17 +87,59 @@ class ChunkEncoder:
     def _one(self, text: str) -> bytes:
         return np.array(self._ids(text), dtype="<u4").tobytes()
 
+    def _lean(self, space: str, case) -> None:
+        """The same model (shared, not copied) behind a split at line feeds."""
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.space, self.case, self.letters = space, case, _byte_letters()
+        self.lean = Tokenizer(self.tokenizer.model)
+        self.lean.pre_tokenizer = pre_tokenizers.CharDelimiterSplit("\n")
+        tab = self.lean.encode(self.letters[9], add_special_tokens=False).ids
+        self.tab = tab[0]
+        words = ["ab", "Words", "\u00c9t\u00e9", "\nab", "\nWords", "\n\u00e9T\u00c9"]
+        self._words(words)
+        own, self.ids = self.ids, {}
+        self._each(words)
+        if len(tab) != 1 or own != self.ids:
+            self.lean = None
+        self.ids = {}
+
+    def _words(self, words: list[str]) -> None:
+        """Words of letters, after a space or a line feed, joined with a tab between them, which none of them holds."""
+        for fed, space in ((False, self.space), (True, "")):
+            mine = [c for c in words if (c[0] == "\n") == fed]
+            blocks = [mine[i : i + _TOGETHER] for i in range(0, len(mine), _TOGETHER)]
+            texts = [f"\t\n{space}" + f"\n\t\n{space}".join([c[1:] for c in b] if fed else b) for b in blocks]
+            texts = [self.case(t).encode().decode("latin-1").translate(self.letters) for t in texts]
+            for block, e in zip(blocks, self.lean.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+                ids = np.array(e.ids, dtype="<u4")
+                raw, starts = ids.tobytes(), (4 * np.flatnonzero(ids == self.tab)).tolist()
+                head = self.feed if fed else b""
+                self.ids.update([(c, head + raw[a + 4 : b]) for c, a, b in zip(block, starts, [*starts[1:], len(raw)], strict=True)])
+
     def _each(self, chunks: list[str]) -> None:
         for c, e in zip(chunks, self.tokenizer.encode_batch_fast([c[1:] if c[0] == "\n" else f" {c}" for c in chunks], add_special_tokens=False), strict=True):
             self.ids[c] = (self.feed if c[0] == "\n" else b"") + np.array(e.ids, dtype="<u4").tobytes()
 
     def _learn(self, chunks: set[str]) -> None:
         """Many chunks are encoded as one text, with a separator that none of them holds."""
-        marked = [(c, m[1], self.marks[m[2]]) for c in chunks if c[-1] in self.marks and (m := _MARKED.fullmatch(c))]
-        chunks = chunks.difference([c for c, _, _ in marked]).union([b for _, b, _ in marked if b not in self.ids])
+        words, marked, others = set(), [], []
+        for c in chunks:
+            m = _WORD.fullmatch(c)
+            if m is None or m[2] and m[2] not in self.marks:
+                others.append(c)
+            elif m[2]:
+                marked.append((c, m[1], self.marks[m[2]]))
+            else:
+                words.add(c)
+        words.update([b for _, b, _ in marked if b not in self.ids])
+        if self.lean is not None:
+            self._words(list(words))
+        else:
+            others += words
         sign = self.sep.strip(" ")
-        joint = [c for c in chunks if sign and sign not in c and c[0] != "\n"]
-        single = [c for c in chunks if not sign or sign in c or c[0] == "\n"]
+        joint = [c for c in others if sign and sign not in c and c[0] != "\n"]
+        single = [c for c in others if not sign or sign in c or c[0] == "\n"]
         blocks = [joint[i : i + _TOGETHER] for i in range(0, len(joint), _TOGETHER)]
         for block, e in zip(blocks, self.tokenizer.encode_batch_fast(["".join([f"{self.sep} {c}" for c in b]) for b in blocks], add_special_tokens=False), strict=True):
             ids = np.array(e.ids, dtype="<u4")
@@ -107,8 +183,10 @@ class ChunkEncoder:
         cut = pc.split_pattern(marked, " ")
         first = np.asarray(cut.offsets, dtype=np.int64)
         numbered = cut.values.dictionary_encode()
-        word, chunks = np.array(numbered.indices)[first[0] :], numbered.dictionary.to_pylist()
+        word, chunks = np.array(numbered.indices)[first[0] :], numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
         first = first - first[0]
+        del marked, cut, numbered
+        release()  # before chunks are learned
         word[first[:-1]] = len(chunks)  # before the line feed that was added
         get, old = self.ids.get, self.old.get
         found = list(map(get, chunks))
@@ -121,25 +199,24 @@ class ChunkEncoder:
             self._learn(set(missing).difference([c for c, _ in again], odd))
             found = [get(c) or (self.feed if c[:1] == "\n" else b"") if f is None else f for c, f in zip(chunks, found, strict=True)]
         found.append(b"")
-        size = np.fromiter(map(len, found), dtype=np.int32, count=len(found)) // 4
-        flat = np.frombuffer(b"".join(found), dtype="<u4")
-        each = size[word]
-        ends = np.cumsum(each)
-        shift = ((np.cumsum(size) - size)[word] - ends + each).astype(np.int32)
-        ids = flat[np.arange(ends[-1] if len(ends) else 0, dtype=np.int32) + np.repeat(shift, each)]
-        starts = np.r_[0, ends][first]
-        skip = len(self.feed) // 4
-        if skip:
-            ids = np.delete(ids, (starts[:-1, None] + np.arange(skip)).ravel())
-            starts = starts - skip * np.arange(len(starts))
+        if self.feed:  # a text's first chunk goes without the line feed that was added
+            begin = word[first[:-1] + 1]
+            word[first[:-1] + 1] = np.arange(len(found), len(found) + len(begin), dtype=word.dtype)
+            found += [found[k][len(self.feed) :] for k in begin.tolist()]
+        taken = pa.array(found, pa.large_binary()).take(pa.array(word))
+        ends = np.frombuffer(taken.buffers()[1] or bytes(8), dtype=np.int64)[: len(word) + 1] // 4
+        ids = np.frombuffer(taken.buffers()[2] or b"", dtype="<u4", count=int(ends[-1]))
+        starts = ends[first]
         if odd:
-            strange = np.array([c in odd for c in chunks] + [False])[word]
+            strange = np.array([c in odd for c in chunks] + [False])
+            strange = (np.r_[strange, strange[begin]] if self.feed else strange)[word]
             strange[first[:-1]] = False
             which = np.flatnonzero(np.add.reduceat(strange, first[:-1]) > 0)
             parts = [ids[a:b] for a, b in zip(starts[:-1], starts[1:], strict=True)]
             for k, blob in zip(which.tolist(), self._slowly([column[k].as_py() for k in which.tolist()]), strict=True):
                 parts[k] = np.frombuffer(blob, dtype="<u4")
             ids, starts = np.concatenate(parts), np.r_[0, np.cumsum([len(p) for p in parts])]
+        release()
         return ids, starts
 
 

@@ -337,6 +337,21 @@ def test_piece_codec(docs, empty):
     assert piece_codec.encode_pieces(empty, P.path("piece_bpe_32k.model")).count() == 0
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_words_of_letters_by_the_model(name):
+    """Words of letters get the library's ids without its normalizer and pattern, which see only what is left."""
+    P = pytest.importorskip("public_tokenizers")
+    words = ["Stra\u00dfe", "\u00e9t\u00e9", "ONTHE", "aa", "x", "\u00ff\u00ff", "Zeit"]
+    texts = ["", *words, " ".join(words), "\n".join(words), ". ".join(words) + "!", "\n".join(f"{w}, {w}7 {w}'s" for w in words), "\u00aa\u00ba\u00b5 \u0130x"]
+    enc = tokens.ChunkEncoder(P.path(name))
+    seen = []
+    enc._each = lambda chunks, each=enc._each: (seen.extend(chunks), each(chunks))[1]
+    ids, at = enc.encode(pa.array(texts))
+    for t, a, b in zip(texts, at[:-1], at[1:], strict=True):
+        assert ids[a:b].tolist() == enc.tokenizer.encode(t, add_special_tokens=False).ids, t
+    assert enc.lean is not None and not [c for c in seen if tokens._WORD.fullmatch(c)]
+
+
 def test_token_files(spark, docs, empty, tmp_path):
     import pyarrow.parquet as pq
     from tokenizers import Tokenizer
