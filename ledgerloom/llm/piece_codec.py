@@ -1,7 +1,8 @@
 """SentencePiece encoding and decoding of whole texts for merge-type models.
 
 Own encoding by the merge agenda; every distinct chunk is checked against the sentencepiece library in its Arrow
-batch before it is used. A text is cut only before a space that stands between two characters other than spaces,
+batch before it is used; a word with one mark after it is checked as its two parts, where no piece holds such a mark after
+a letter (looked up when the model is loaded). A text is cut only before a space that stands between two characters other than spaces,
 which no piece of such a vocabulary spans (checked when the model is loaded), so the ids of a text are those of
 its chunks. If the two ever differ, the library's ids are used and the text's `n_differing` says so.
 """
@@ -24,6 +25,9 @@ from .tokens import text_slices
 #: Chunks remembered by one worker: half of them recent, half of the time before.
 CACHE_CHUNKS = 500_000
 _CUT = re.compile(rf"(?<=[^ {SPACE}]) (?=[^ {SPACE}])")
+#: A word of letters and one mark.
+_LETTERS = r"A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+_MARKED = re.compile(rf"[{_LETTERS}]+[.,;:!?]")
 _EDGE = re.compile(rf"^$|^[ {SPACE}]|[ {SPACE}]$")
 
 
@@ -39,20 +43,37 @@ class PieceCodec:
             raise ValueError("a piece holds a space after another character: texts can't be cut at spaces")
         if self.library.encode("a b") != self.library.encode("a") + self.library.encode("b") or self.library.normalize(" A  éﬁ ") != f"{SPACE}{SPACE}A{SPACE}{SPACE}éﬁ{SPACE}":
             raise ValueError("the model normalises texts or has no dummy prefix: not supported")
+        #: Marks that no piece holds after a letter: no merge crosses the place between a word and such a mark.
+        self.marks: dict[str, tuple[str, tuple[int, ...]]] = {}
+        for m in ".,;:!?":
+            ids = self.table.encode_one(m)
+            if not any(re.search(rf"[{_LETTERS}]{re.escape(m)}", p) for p in self.table.pieces) and self.library.encode(f"a{m}") == self.library.encode("a") + ids:
+                self.marks[m] = ",".join(map(str, ids)), tuple(ids)
         self.limit = limit
         self.number = list(range(self.library.get_piece_size()))  # one object for each id
+        self.name = list(map(str, self.number))
         self.cache: dict[str, tuple[str, tuple[int, ...], bool]] = {}
         self.old: dict[str, tuple[str, tuple[int, ...], bool]] = {}
 
-    def _learn(self, chunks: list[str]) -> None:
+    def _learn(self, chunks: set[str]) -> None:
+        marked = [c for c in chunks if c[-1:] in self.marks and _MARKED.fullmatch(c)]
+        bodies = {c[:-1] for c in marked}.difference(self.cache)
+        again = bodies.intersection(self.old)
+        self.cache.update(zip(again, map(self.old.__getitem__, again), strict=True))
+        self._check(sorted(chunks.difference(marked).union(bodies.difference(again))))
+        for c in marked:
+            (name, ids, differs), (mark, more) = self.cache[c[:-1]], self.marks[c[-1]]
+            self.cache[c] = (f"{name},{mark}", ids + more, differs)
+
+    def _check(self, chunks: list[str]) -> None:
         texts = [c[1:] if c[:1] == " " else c for c in chunks]
         own = self.table.encode_many([SPACE + c.replace(" ", SPACE) for c in texts])
         theirs = self.library.encode(texts, num_threads=1)
-        number = self.number.__getitem__
+        number, name = self.number.__getitem__, self.name.__getitem__
         for c, a, b in zip(chunks, own, theirs, strict=True):
             if a != b:
                 raise ValueError(f"the agenda's ids of {c!r} are not the library's")
-            self.cache[c] = (",".join(map(str, a)), tuple(map(number, a)), False)
+            self.cache[c] = (",".join(map(name, a)), tuple(map(number, a)), False)
 
     def encode(self, texts: list[str]) -> list[list[tuple[str, tuple[int, ...], bool]]]:
         if len(self.cache) > self.limit // 2:
@@ -60,15 +81,15 @@ class PieceCodec:
         cut, need = [], set()
         for t in texts:
             words = t.split(" ") if t else []
-            new = [w for w in words if w not in self.cache]
+            new = set(words).difference(self.cache)
             if any(map(_EDGE.search, new)):
                 words = [f" {w}" if _EDGE.search(w) else w for w in _CUT.split(t)]  # keys that no word of another text has
-                new = [w for w in words if w not in self.cache]
+                new = set(words).difference(self.cache)
             need.update(new)
             cut.append(words)
         again = [w for w in need if w in self.old]
         self.cache.update(zip(again, map(self.old.__getitem__, again), strict=True))
-        self._learn(sorted(need.difference(again)))
+        self._learn(need.difference(again))
         get = self.cache.__getitem__
         return [list(map(get, words)) for words in cut]
 

@@ -352,6 +352,20 @@ def test_words_of_letters_by_the_model(name):
     assert enc.lean is not None and not [c for c in seen if tokens._WORD.fullmatch(c)]
 
 
+def test_marked_pieces():
+    """Words with a mark are learned from their two parts and get the library's ids all the same."""
+    P = pytest.importorskip("public_tokenizers")
+    c = piece_codec.PieceCodec(P.path("piece_bpe_32k.model"))
+    words = ["Stra\u00dfe", "\u00e9t\u00e9", "ONTHE", "aa", "x", "Zeit", "erndedan"]
+    texts = [f"{w}{m}" for w in words for m in [*".,;:!?", "!!", "'s.", "7.", " ,"]] + [". ".join(words) + "?"]
+    learned = []
+    c._check = lambda chunks, check=c._check: (learned.extend(chunks), check(chunks))[1]
+    for t, entries in zip(texts, c.encode(texts), strict=True):
+        ids = [i for e in entries for i in e[1]]
+        assert ids == c.library.encode(t) and ",".join([e[0] for e in entries]) == ",".join(map(str, ids)), t
+    assert c.marks and not [x for x in learned if x[-1] in c.marks and x[:-1].isalpha()]
+
+
 def test_token_files(spark, docs, empty, tmp_path):
     import pyarrow.parquet as pq
     from tokenizers import Tokenizer
