@@ -132,7 +132,10 @@ class ChunkEncoder:
                 marked.append((c, m[1], self.marks[m[2]]))
             else:
                 words.add(c)
-        words.update([b for _, b, _ in marked if b not in self.ids])
+        bodies = {b for _, b, _ in marked}.difference(self.ids)
+        again = bodies.intersection(self.old)
+        self.ids.update(zip(again, map(self.old.__getitem__, again), strict=True))
+        words.update(bodies.difference(again))
         if self.lean is not None:
             self._words(list(words))
         else:
