@@ -3,8 +3,9 @@
 A text is cut only where the tokenizers cut it anyway: around a single line feed, and before a single space, that
 stands between two characters other than white space. So the ids of a text are the ids of its chunks, joined. Arrow
 cuts a slice of texts and numbers its distinct chunks; only those are looked up, and only chunks that the worker
-doesn't remember are encoded. A word with one mark after it is learned from its two parts. Words of letters are one piece to
-the pre-tokenizers below, so they go to the library's model without normalizer and pattern. Texts where white space
+doesn't remember are encoded. To the pre-tokenizers below, words of letters are one piece, so they go to the library's model
+without normalizer and pattern, and marks that end a chunk after a letter are another, so they are looked up by themselves; where
+the tokenizer drops white space and case, chunks that differ in nothing else are one. Texts where white space
 touches white space take a slower, equally exact way of cutting. Texts that hold the string of a special token go whole to the
 library, which makes that token's id of it.
 """
@@ -27,8 +28,15 @@ CACHE_CHUNKS = 800_000
 _GAP = r"\s\x1c-\x1f\u180e\u200b\u2060\ufeff"
 _CUT = re.compile(rf"(?<=[^{_GAP}]) (?=[^{_GAP}])")
 _GAPS = frozenset(c for c in map(chr, range(0xD800)) if re.match(f"[{_GAP}]", c)) | {"\ufeff"}
-#: A word of letters that every engine takes for letters, after a line feed or not, and one mark or none.
-_WORD = re.compile(r"(\n?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?]?)")
+#: A word of letters that every engine takes for letters, after a line feed or not.
+_WORD = re.compile(r"\n?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+#: Bytes: marks, letters of ASCII, second bytes of the other letters of _WORD (after 0xC3), and the lower case of ASCII.
+_MARKS = np.array([33 <= b < 127 and not chr(b).isalnum() for b in range(256)])
+_ASCII = np.array([b < 128 and chr(b).isalpha() for b in range(256)])
+_LATIN = np.array([128 <= b < 192 and b not in (0x97, 0xB7) for b in range(256)])
+_LOWER = np.frombuffer(bytes(range(256)).lower(), dtype=np.uint8)
+#: Runs of marks remembered by one worker.
+_TAILS = 10_000
 #: What may stand between chunks that are encoded together, if the tokenizer makes one id of it, and how many are.
 _SEPARATORS, _TOGETHER = ("\t", " 7"), 400
 _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -79,7 +87,9 @@ class ChunkEncoder:
         for normalizer, pieces, space, case in _LETTERS:
             if shape == (normalizer, pieces):
                 self._lean(space, case)
-        self.marks = {m: self._one(m) for m in ".,;:!?" if self._one(f" ab{m}") == self._one(" ab") + self._one(m)}
+        self.tails: dict[str, bytes] = {}
+        self.parted = self.lean is not None and all(self._one(f" {w}{m}") == self._one(f" {w}") + self._one(m) for w in ("ab", "Caf\u00e9") for m in (".", "!?", "&&&", "'", '."'))
+        self.blank = self.parted and self.case is str.lower and not self.feed and all(self._one(f" {w}") == self._one(w) == self._one(w.lower()) for w in ("Ab", "A-B'S", "7"))
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -123,19 +133,9 @@ class ChunkEncoder:
 
     def _learn(self, chunks: set[str]) -> None:
         """Many chunks are encoded as one text, with a separator that none of them holds."""
-        words, marked, others = set(), [], []
+        words, others = set(), []
         for c in chunks:
-            m = _WORD.fullmatch(c)
-            if m is None or m[2] and m[2] not in self.marks:
-                others.append(c)
-            elif m[2]:
-                marked.append((c, m[1], self.marks[m[2]]))
-            else:
-                words.add(c)
-        bodies = {b for _, b, _ in marked}.difference(self.ids)
-        again = bodies.intersection(self.old)
-        self.ids.update(zip(again, map(self.old.__getitem__, again), strict=True))
-        words.update(bodies.difference(again))
+            (others.append if _WORD.fullmatch(c) is None else words.add)(c)
         if self.lean is not None:
             self._words(list(words))
         else:
@@ -153,7 +153,31 @@ class ChunkEncoder:
             raw, starts = ids.tobytes(), (4 * at).tolist()
             self.ids.update([(c, raw[a + 4 : b]) for c, a, b in zip(block, starts, [*starts[1:], len(raw)], strict=True)])
         self._each(single)
-        self.ids.update([(c, self.ids[b] + m) for c, b, m in marked])
+
+    def _bodies(self, chunks: pa.Array) -> tuple[pa.Array, pa.Array]:
+        """Chunks without the marks that end them after a letter, and these marks. Where white space and case are dropped, they go."""
+        at, n = np.frombuffer(chunks.buffers()[1], dtype=np.int32, count=chunks.offset + len(chunks) + 1)[chunks.offset :].astype(np.int64), len(chunks)
+        data = np.frombuffer(chunks.buffers()[2] or b"", dtype=np.uint8)[at[0] : at[-1]]
+        start, end = at[:-1] - at[0], at[1:] - at[0]
+        size, place = end - start, np.arange(len(data))
+        other = np.maximum.accumulate(np.where(_MARKS[data], -1, place))
+        last = np.where(size > 0, other[end - 1], -1) if len(data) else np.full(n, -1)  # of those that aren't marks
+        letter = (last >= start) & (_ASCII[data[last]] | (last > start) & _LATIN[data[last]] & (data[np.maximum(last - 1, 0)] == 0xC3)) if len(data) else np.zeros(n, dtype=bool)
+        cut = np.where(letter, last + 1, end)
+        if self.blank and len(data):
+            plain = np.diff(np.r_[0, np.cumsum(data >= 128)][np.r_[start, len(data)]]) == 0  # others may compose in lower case alone
+            data = np.where(np.repeat(plain, size), _LOWER[data], data)
+            start = start + ((size > 0) & (data[np.minimum(start, len(data) - 1)] == 10))
+        tail = place >= np.repeat(cut, size)
+        body = (place >= np.repeat(start, size)) & ~tail
+        made = [(np.r_[0, np.cumsum(k)].astype(np.int32), data[m]) for k, m in ((cut - start, body), (end - cut, tail))]
+        return tuple(pa.StringArray.from_buffers(n, pa.py_buffer(o), pa.py_buffer(d)) for o, d in made)
+
+    def _tails(self, tails: list[str]) -> list[bytes]:
+        if len(self.tails) > _TAILS:
+            self.tails.clear()
+        self.tails.update([(t, self._one(t)) for t in tails if t not in self.tails])
+        return [self.tails[t] for t in tails]
 
     def _slowly(self, texts: list[str]) -> list[bytes]:
         """Texts with unusual white space, cut before spaces alone; nothing of them is remembered."""
@@ -186,11 +210,16 @@ class ChunkEncoder:
         cut = pc.split_pattern(marked, " ")
         first = np.asarray(cut.offsets, dtype=np.int64)
         numbered = cut.values.dictionary_encode()
-        word, chunks = np.array(numbered.indices)[first[0] :], numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
+        word, distinct = np.array(numbered.indices)[first[0] :], numbered.dictionary
         first = first - first[0]
         del marked, cut, numbered
+        if self.parted:
+            bodies, tails = (part.dictionary_encode() for part in self._bodies(distinct))
+            own, chunks = bodies.indices, bodies.dictionary.to_numpy(zero_copy_only=False).tolist()
+        else:
+            own, tails, chunks = None, None, distinct.to_numpy(zero_copy_only=False).tolist()
         release()  # before chunks are learned
-        word[first[:-1]] = len(chunks)  # before the line feed that was added
+        word[first[:-1]] = len(distinct)  # before the line feed that was added
         get, old = self.ids.get, self.old.get
         found = list(map(get, chunks))
         missing = [c for c, f in zip(chunks, found, strict=True) if f is None]
@@ -201,17 +230,22 @@ class ChunkEncoder:
             odd = {c for c in missing if not c or c[-1] in _GAPS or c[c[0] == "\n"] in _GAPS}
             self._learn(set(missing).difference([c for c, _ in again], odd))
             found = [get(c) or (self.feed if c[:1] == "\n" else b"") if f is None else f for c, f in zip(chunks, found, strict=True)]
-        found.append(b"")
+        found, strange = pa.array(found, pa.large_binary()), np.array([c in odd for c in chunks] if odd else [], dtype=bool)
+        if own is not None:
+            ends = pa.array(self._tails(tails.dictionary.to_pylist()), pa.large_binary()).take(tails.indices)
+            found = pc.binary_join_element_wise(found.take(own), ends, pa.scalar(b"", pa.large_binary()))
+            strange = strange[np.asarray(own)] if odd else strange
+        found = [found, pa.array([b""], pa.large_binary())]
         if self.feed:  # a text's first chunk goes without the line feed that was added
             begin = word[first[:-1] + 1]
-            word[first[:-1] + 1] = np.arange(len(found), len(found) + len(begin), dtype=word.dtype)
-            found += [found[k][len(self.feed) :] for k in begin.tolist()]
-        taken = pa.array(found, pa.large_binary()).take(pa.array(word))
+            word[first[:-1] + 1] = np.arange(len(distinct) + 1, len(distinct) + 1 + len(begin), dtype=word.dtype)
+            found.append(pa.array([v[len(self.feed) :] for v in found[0].take(pa.array(begin)).to_pylist()], pa.large_binary()))
+        taken = pa.concat_arrays(found).take(pa.array(word))
         ends = np.frombuffer(taken.buffers()[1] or bytes(8), dtype=np.int64)[: len(word) + 1] // 4
         ids = np.frombuffer(taken.buffers()[2] or b"", dtype="<u4", count=int(ends[-1]))
         starts = ends[first]
         if odd:
-            strange = np.array([c in odd for c in chunks] + [False])
+            strange = np.r_[strange, False]
             strange = (np.r_[strange, strange[begin]] if self.feed else strange)[word]
             strange[first[:-1]] = False
             which = np.flatnonzero(np.add.reduceat(strange, first[:-1]) > 0)

@@ -352,6 +352,21 @@ def test_words_of_letters_by_the_model(name):
     assert enc.lean is not None and not [c for c in seen if tokens._WORD.fullmatch(c)]
 
 
+def test_chunks_that_are_one():
+    """Marks after a word, and white space and case where the tokenizer drops them, make no chunks of their own."""
+    P = pytest.importorskip("public_tokenizers")
+    texts = ["Word", "word word.\nword### WORD?!\nWord", "caf\u00e9&&& Caf\u00e9.", "H\u0331. h\u0331.", "7. a7! .a .a.", "\u00d7. \u00f7, \u4e57,", "."]
+    for name, known in (("word_bpe_49k.json", {"word", "caf\u00e9", "Caf\u00e9"}), ("byte_bpe_50k.json", {"word", "WORD", "\nword", "\nWord", "\ncaf\u00e9", "Caf\u00e9"})):
+        enc = tokens.ChunkEncoder(P.path(name))
+        ids, at = enc.encode(pa.array(texts))
+        for t, a, b in zip(texts, at[:-1], at[1:], strict=True):
+            assert ids[a:b].tolist() == enc.tokenizer.encode(t, add_special_tokens=False).ids, t
+        assert {c for c in enc.ids if "word" in c.lower() or "caf" in c.lower()} == known
+        for few in (pa.array([], pa.string()), pa.array([""]), pa.array(["Word.", "\n", "x y!"]).slice(1)):
+            ids, at = enc.encode(few)
+            assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:], strict=True)] == [enc.tokenizer.encode(t, add_special_tokens=False).ids for t in few.to_pylist()]
+
+
 def test_marked_pieces():
     """Words with a mark are learned from their two parts and get the library's ids all the same."""
     P = pytest.importorskip("public_tokenizers")
