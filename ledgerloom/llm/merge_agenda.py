@@ -1,6 +1,6 @@
 """Merge-type (BPE) encoding by an agenda of adjacent symbol pairs in order of their score.
 
-Two forms of one procedure: `encode_one` keeps a heap of pairs for a single chunk; `encode_many` takes the best pair
+Two forms of one procedure: `encode_one` keeps a heap of pairs for a single chunk; `encode_many` and `encode_flat` take the best pair
 of every chunk in each round, for many short chunks at once in arrays. Both merge the pair with the highest score,
 the leftmost among equals, until no adjacent pair is in the vocabulary. Characters outside it become byte ids.
 """
@@ -104,21 +104,34 @@ class MergeTable:
         return [x for i in range(n) if alive[i] for x in self._ids(symbol[i], chunk[i])]
 
     def encode_many(self, chunks: list[str]) -> list[list[int]]:
-        """Ids of every chunk; rounds over flat arrays, each with the best pair of every chunk that still has one."""
-        out: list[list[int]] = [[]] * len(chunks)
-        short = []
-        for k, c in enumerate(chunks):
-            if len(c) > LONG:
-                out[k] = self.encode_one(c)
-            elif c:
-                short.append(k)
-        if not short:
-            return out
-        sizes = np.fromiter((len(chunks[k]) for k in short), dtype=np.int64, count=len(short))
-        code = np.frombuffer("".join(chunks[k] for k in short).encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.int64)
+        """Ids of every chunk."""
+        flat, ends = self.encode_flat(chunks)
+        flat, ends = flat.tolist(), ends.tolist()
+        return [flat[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+
+    def encode_flat(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all chunks, one after the other, and where each chunk's end."""
+        sizes = np.fromiter(map(len, chunks), dtype=np.int64, count=len(chunks))
+        long = sizes > LONG
+        if not long.any():
+            flat, counts = self._rounds(chunks, sizes)
+            return flat, np.cumsum(counts)
+        one = [np.array(self.encode_one(chunks[k]), dtype=np.int64) for k in np.flatnonzero(long).tolist()]
+        counts = np.zeros(len(chunks), dtype=np.int64)
+        some, counts[~long] = self._rounds([c for c in chunks if len(c) <= LONG], sizes[~long])
+        counts[long] = [len(x) for x in one]
+        flat, own = np.empty(counts.sum(), dtype=np.int64), np.repeat(long, counts)
+        flat[own], flat[~own] = np.concatenate(one), some
+        return flat, np.cumsum(counts)
+
+    def _rounds(self, chunks: list[str], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all chunks and their numbers; rounds over flat arrays, each with the best pair of every chunk that still has one."""
+        if not sizes.any():
+            return np.zeros(0, dtype=np.int64), np.zeros(len(chunks), dtype=np.int64)
+        code = np.frombuffer("".join(chunks).encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.int64)
         symbol = np.where(code < len(self.char), self.char[np.minimum(code, len(self.char) - 1)], -1)
         symbol = np.where(symbol < 0, -1 - code, symbol)  # outside the vocabulary: the character itself, negative
-        own = np.repeat(np.arange(len(short)), sizes)
+        own = np.repeat(np.arange(len(chunks)), sizes)
         done_symbols, done_own = [], []
         merge = np.full(len(symbol), -1, dtype=np.int64)
         merge[:-1] = self.merged(symbol[:-1], symbol[1:])
@@ -159,7 +172,4 @@ class MergeTable:
                 ids += got
                 whose += [w] * len(got)
             symbol, own = np.array(ids, dtype=np.int64), np.array(whose, dtype=np.int64)
-        flat, ends = symbol.tolist(), np.cumsum(np.bincount(own, minlength=len(short))).tolist()
-        for k, a, b in zip(short, [0, *ends], ends, strict=False):
-            out[k] = flat[a:b]
-        return out
+        return symbol, np.bincount(own, minlength=len(chunks))

@@ -68,6 +68,26 @@ def _shape(part) -> object:
     return found.get("normalizers", found.get("pretokenizers", found))
 
 
+def split_marks(chunks: pa.Array, firsts: np.ndarray = _MARKS, blank: bool = False) -> tuple[pa.Array, pa.Array]:
+    """Chunks without the marks that end them after a letter, and these marks, of which firsts may come first. blank: line feeds and case go."""
+    at, n = np.frombuffer(chunks.buffers()[1], dtype=np.int32, count=chunks.offset + len(chunks) + 1)[chunks.offset :].astype(np.int64), len(chunks)
+    data = np.frombuffer(chunks.buffers()[2] or b"", dtype=np.uint8)[at[0] : at[-1]]
+    start, end = at[:-1] - at[0], at[1:] - at[0]
+    size, place = end - start, np.arange(len(data))
+    other = np.maximum.accumulate(np.where(_MARKS[data], -1, place))
+    last = np.where(size > 0, other[end - 1], -1) if len(data) else np.full(n, -1)  # of those that aren't marks
+    letter = (last >= start) & (_ASCII[data[last]] | (last > start) & _LATIN[data[last]] & (data[np.maximum(last - 1, 0)] == 0xC3)) if len(data) else np.zeros(n, dtype=bool)
+    cut = np.where(letter & firsts[data[np.minimum(last + 1, len(data) - 1)]], last + 1, end) if len(data) else end
+    if blank and len(data):
+        plain = np.diff(np.r_[0, np.cumsum(data >= 128)][np.r_[start, len(data)]]) == 0  # others may compose in lower case alone
+        data = np.where(np.repeat(plain, size), _LOWER[data], data)
+        start = start + ((size > 0) & (data[np.minimum(start, len(data) - 1)] == 10))
+    tail = place >= np.repeat(cut, size)
+    body = (place >= np.repeat(start, size)) & ~tail
+    made = [(np.r_[0, np.cumsum(k)].astype(np.int32), data[m]) for k, m in ((cut - start, body), (end - cut, tail))]
+    return tuple(pa.StringArray.from_buffers(n, pa.py_buffer(o), pa.py_buffer(d)) for o, d in made)
+
+
 class ChunkEncoder:
     """Token ids of whole texts as bytes of little-endian unsigned 32-bit integers."""
 
@@ -154,25 +174,6 @@ class ChunkEncoder:
             self.ids.update([(c, raw[a + 4 : b]) for c, a, b in zip(block, starts, [*starts[1:], len(raw)], strict=True)])
         self._each(single)
 
-    def _bodies(self, chunks: pa.Array) -> tuple[pa.Array, pa.Array]:
-        """Chunks without the marks that end them after a letter, and these marks. Where white space and case are dropped, they go."""
-        at, n = np.frombuffer(chunks.buffers()[1], dtype=np.int32, count=chunks.offset + len(chunks) + 1)[chunks.offset :].astype(np.int64), len(chunks)
-        data = np.frombuffer(chunks.buffers()[2] or b"", dtype=np.uint8)[at[0] : at[-1]]
-        start, end = at[:-1] - at[0], at[1:] - at[0]
-        size, place = end - start, np.arange(len(data))
-        other = np.maximum.accumulate(np.where(_MARKS[data], -1, place))
-        last = np.where(size > 0, other[end - 1], -1) if len(data) else np.full(n, -1)  # of those that aren't marks
-        letter = (last >= start) & (_ASCII[data[last]] | (last > start) & _LATIN[data[last]] & (data[np.maximum(last - 1, 0)] == 0xC3)) if len(data) else np.zeros(n, dtype=bool)
-        cut = np.where(letter, last + 1, end)
-        if self.blank and len(data):
-            plain = np.diff(np.r_[0, np.cumsum(data >= 128)][np.r_[start, len(data)]]) == 0  # others may compose in lower case alone
-            data = np.where(np.repeat(plain, size), _LOWER[data], data)
-            start = start + ((size > 0) & (data[np.minimum(start, len(data) - 1)] == 10))
-        tail = place >= np.repeat(cut, size)
-        body = (place >= np.repeat(start, size)) & ~tail
-        made = [(np.r_[0, np.cumsum(k)].astype(np.int32), data[m]) for k, m in ((cut - start, body), (end - cut, tail))]
-        return tuple(pa.StringArray.from_buffers(n, pa.py_buffer(o), pa.py_buffer(d)) for o, d in made)
-
     def _tails(self, tails: list[str]) -> list[bytes]:
         if len(self.tails) > _TAILS:
             self.tails.clear()
@@ -214,7 +215,7 @@ class ChunkEncoder:
         first = first - first[0]
         del marked, cut, numbered
         if self.parted:
-            bodies, tails = (part.dictionary_encode() for part in self._bodies(distinct))
+            bodies, tails = (part.dictionary_encode() for part in split_marks(distinct, blank=self.blank))
             own, chunks = bodies.indices, bodies.dictionary.to_numpy(zero_copy_only=False).tolist()
         else:
             own, tails, chunks = None, None, distinct.to_numpy(zero_copy_only=False).tolist()

@@ -381,6 +381,23 @@ def test_marked_pieces():
     assert c.marks and not [x for x in learned if x[-1] in c.marks and x[:-1].isalpha()]
 
 
+def test_pieces_cut_at_lines_and_marks():
+    """Line feeds and runs of marks make no chunks of their own words; spaces beside spaces are cut one by one."""
+    P = pytest.importorskip("public_tokenizers")
+    S = merge_agenda.SPACE
+    c = piece_codec.PieceCodec(P.path("piece_bpe_32k.model"))
+    texts = ["word\nword", "word.\nword### word?!\n\nword", f"word  word {S}word \nword\n word", "\nword", "\n", "", f"word{S}\nword", "7. a7! .a \u00d7. \u4e57,", "x" * 60 + ".\n" + "y" * 60]
+    learned = []
+    c._check = lambda chunks, check=c._check: (learned.extend(chunks), check(chunks))[1]
+    assert [[i for e in g for i in e[1]] for g in c.encode(texts[:2])] == c.library.encode(texts[:2])
+    assert {w for w in learned if "word" in w} == {"word", "\nword"}
+    for batch in (texts, texts[:1], texts[4:6], []):
+        ids, at = c.encode_column(pa.array(batch, pa.string()))
+        own = [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:], strict=True)]
+        assert own == c.library.encode(batch)
+        assert c.names(ids, at) == [",".join(map(str, x)).encode() for x in own]
+
+
 def test_token_files(spark, docs, empty, tmp_path):
     import pyarrow.parquet as pq
     from tokenizers import Tokenizer
