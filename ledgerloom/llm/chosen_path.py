@@ -314,6 +314,7 @@ def candidate_edges(nodes: DataFrame, runs: int, levels: int, bucket: int = BUCK
             buckets = counted(members)
             brute(buckets.filter(F.col("size") <= bucket))
             large = stash(buckets.filter(F.col("size") > bucket), "large")
+            discard(buckets)
             if large.isEmpty():
                 break
             if level == 0:
@@ -495,12 +496,20 @@ def jaccard_join(docs: DataFrame, threshold: Fraction = THRESHOLD, recall: float
     ready(docs.sparkSession)
     runs = runs_for(recall, threshold=float(threshold))
     keyed = docs.select(F.col(f"`{id_col}`").cast("long").alias("_id"), text_of(text_col).alias("_text")).withColumn("_sum", F.xxhash64("_text"))
-    signed = stash(keyed.mapInArrow(_signatures(runs, LEVELS, PICKS, shingle), "_id long, _sum long, node binary, n long, sketch binary, picks array<array<long>>"), "signatures")
-    first = F.min(F.struct("_id", "_sum", "n", "sketch", "picks"))
+    signed = keyed.mapInArrow(_signatures(runs, LEVELS, PICKS, shingle), "_id long, _sum long, node binary, n long, sketch binary, picks array<array<long>>")
+    # Picks of the first level are told apart in the whole table, deeper ones within a bucket: 31 bits do for these, and equal ones stay equal.
+    deeper = F.transform(F.slice("picks", runs + 1, runs * (LEVELS - 1)), lambda p: F.transform(p, lambda t: t.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")))
+    signed = stash(signed.select("_id", "_sum", "node", "n", "sketch", F.slice("picks", 1, runs).alias("picks"), deeper.alias("deeper")), "signatures")
+    first = F.min(F.struct("_id", "_sum", "n", "sketch", "picks", "deeper"))
     nodes = stash(signed.filter("node is not null").groupBy("node").agg(first.alias("_rep"), F.count("*").alias("weight")).select("node", "weight", "_rep.*"), "nodes")
-    copies = nodes.select("node", "weight", F.struct("_id", "_sum").alias("_rep"))
-    comps = components(candidate_edges(nodes, runs, LEVELS))
-    placed = stash(nodes.join(comps.withColumnRenamed("node", "_cn"), F.col("node") == F.col("_cn")).select(F.col("_id").alias("_pi"), F.col("_sum").alias("_ps"), "node", "weight", "n", F.col("root").alias("comp")), "placed")
+    rows = stash(signed.select("_id", "_sum", "node"), "rows")
+    discard(signed)
+    picks = F.concat("picks", F.transform("deeper", lambda p: p.cast("array<long>")))
+    comps = components(candidate_edges(nodes.select("node", "sketch", picks.alias("picks")), runs, LEVELS))
+    slim = stash(nodes.select("node", "weight", "n", "_id", "_sum"), "slim")  # from here on nobody reads sketches and picks
+    discard(nodes)
+    copies = slim.select("node", "weight", F.struct("_id", "_sum").alias("_rep"))
+    placed = stash(slim.join(comps.withColumnRenamed("node", "_cn"), F.col("node") == F.col("_cn")).select(F.col("_id").alias("_pi"), F.col("_sum").alias("_ps"), "node", "weight", "n", F.col("root").alias("comp")), "placed")
     parts = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") * 8 / BLOCK_BYTES)).cast("int")
     sizes = stash(placed.groupBy(F.col("comp").alias("_root")).agg(parts.alias("parts")), "sizes")
     placed = stash(placed.join(sizes, F.col("comp") == F.col("_root")).drop("_root", "n"), "placed")
@@ -516,7 +525,7 @@ def jaccard_join(docs: DataFrame, threshold: Fraction = THRESHOLD, recall: float
     whole = stash(whole.select("node", "_rep", "weight", F.coalesce("_cr", "node").alias("_class"), (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links")), "nodes")
     firsts = stash(whole.groupBy(F.col("_class").alias("_fc")).agg(F.min("_rep").alias("_first")), "firsts")
     info = stash(whole.join(firsts, F.col("_class") == F.col("_fc")).select(F.col("node").alias("_in"), "n_links", "weight", "_first"), "classes")
-    joined = signed.select("_id", "_sum", "node").join(info, F.col("node") == F.col("_in"), "left")
+    joined = rows.join(info, F.col("node") == F.col("_in"), "left")
     none = F.col("_in").isNull()
     return joined.select(
         "_id",

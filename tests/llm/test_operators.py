@@ -398,6 +398,21 @@ def test_pieces_cut_at_lines_and_marks():
         assert c.names(ids, at) == [",".join(map(str, x)).encode() for x in own]
 
 
+def test_sketches_and_picks_go(spark, docs):
+    """Tables with sketches and picks don't outlive the search for candidates."""
+    from pathlib import Path
+    from urllib.parse import urlparse
+
+    from ledgerloom.llm.common import shared_root
+
+    root = Path(urlparse(shared_root(spark)).path)
+    before = set(root.iterdir())
+    found = chosen_path.jaccard_join(docs)
+    left = {p.name: spark.read.parquet(str(p)).columns for p in set(root.iterdir()) - before if p.is_dir()}
+    assert left and not [n for n, columns in left.items() if {"sketch", "picks", "deeper"} & set(columns)]
+    assert found.count() == docs.count()
+
+
 def test_token_files(spark, docs, empty, tmp_path):
     import pyarrow.parquet as pq
     from tokenizers import Tokenizer
