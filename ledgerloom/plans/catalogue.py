@@ -719,7 +719,8 @@ def sequence_align(t):
 def logit_groupcv(t):
     from ledgerloom.operators.inference import cross_validated
 
-    d = t.documents.select("doc_id", "source", (F.col("n_chars") / 1000).alias("length"), (F.length(F.regexp_replace("text", "[^#*$%&|<>]", "")) / F.col("n_chars")).alias("symbols")).join(t.labels, "doc_id")
+    symbols = F.try_divide(F.length(F.regexp_replace("text", "[^#*$%&|<>]+", "")), "n_chars")  # an empty text has no share: its p is null
+    d = t.documents.select("doc_id", "source", (F.col("n_chars") / 1000).alias("length"), symbols.alias("symbols")).join(t.labels, "doc_id")
     return cross_validated(d, ["length", "symbols"], "quality", "source", 5).select("doc_id", "fold", F.round("p", 6).alias("p"))
 
 

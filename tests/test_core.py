@@ -238,6 +238,17 @@ def test_group_folds(spark, sf):
     assert out.filter("p is null or p < 0 or p > 1").isEmpty()
 
 
+def test_empty_text_has_no_probability(spark, tmp_path):
+    """An empty text has no share of symbols: its row stays without p, all others have one."""
+    docs = [(i, "#" * (i % 7) + "ab " * (1 + i % 11), f"s{i % 5}") for i in range(60)]
+    for name, texts in (("some", docs), ("all", [*docs, (60, "", "s1")])):
+        spark.createDataFrame([(i, x, g, len(x)) for i, x, g in texts], "doc_id long, text string, source string, n_chars long").write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        spark.createDataFrame([(i, i * 7 // 3 % 2 if i < 60 else 1, 0) for i, _, _ in texts], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/{name}/labels.parquet")
+    some, all_ = ({r.doc_id: r.p for r in catalogue.QUERIES["q_logit_groupcv"](spark, f"{tmp_path}/{name}").collect()} for name in ("some", "all"))
+    assert len(some) == 60 and None not in some.values() and len(all_) == 61 and all_[60] is None
+    assert all(0 < all_[i] < 1 for i in some)
+
+
 def test_rows_that_belong_together(spark):
     d = spark.createDataFrame([(1, 1, "SC", "x"), (2, 2, "BC", None), (3, None, None, "y"), (4, 4, "SC", "z")], "pos int, ward int, cat string, name string").withColumn("f", F.lit(1))
     got = [(r["pos"], r["ward"], r["cat"], r["name"]) for r in W.merge_stranded(d, ["f"], ["pos"], "ward", ["cat"], ["name"]).orderBy("pos").collect()]
