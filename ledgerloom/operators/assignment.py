@@ -8,7 +8,8 @@ a last step of one, the matching that ends is the best.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import heapq
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -22,6 +23,10 @@ from .state import dropped, written
 LOCAL = 50_000
 #: Units of a score of 1: scores count to six decimals in the auction.
 UNITS = 1_000_000
+#: Cells of a component's matrix up to which it is solved as a matrix; sparser or larger ones along their pairs.
+DENSE = 1_000_000
+#: Units of a score of 1 along pairs.
+FINE = 1 << 40
 #: The step of bids is divided by this from one phase to the next.
 FINER = 6
 
@@ -57,12 +62,64 @@ def assign(cost: np.ndarray) -> np.ndarray:
     return out
 
 
-def best_pairs(pairs: pd.DataFrame) -> pd.DataFrame:
-    """One-to-one pairs of the greatest total score among `left, right, score`; ties go to the lesser keys.
+def transport(gains: Sequence[dict[int, int]], supply: Sequence[int], room: Sequence[int]) -> dict[tuple[int, int], int]:
+    """`(row, column): n` of the greatest total gain, with at most supply[row] and room[column] in all; gains are above 0.
 
-    Each connected component of the pairs is solved on its own, so the matrices are as large as a component.
+    Shortest augmenting paths over the given pairs alone, with prices of columns and profits of rows. A path carries as
+    much as it can, so the number of paths grows with rows and columns, not with supplies.
     """
-    pairs, top = pairs.sort_values(["left", "right"]), {}
+    price, profit, free = [0] * len(room), [0] * len(gains), list(room)
+    held: list[dict[int, int]] = [{} for _ in room]
+    for start, left in enumerate(supply):
+        profit[start] = max([0, *[g - price[j] for j, g in gains[start].items()]])
+        while left:
+            rows, cols, into, back, done, queue = {start: 0}, {}, {}, {}, [], []
+            end, last, column, fresh, d = profit[start], start, None, [start], 0
+            while True:
+                for i in fresh:
+                    if d + profit[i] < end:  # i leaves one of its own unmatched
+                        end, last = d + profit[i], i
+                    for j, g in gains[i].items():
+                        far = d + profit[i] + price[j] - g
+                        if far <= end and far < cols.get(j, end + 1):
+                            cols[j], into[j] = far, i
+                            heapq.heappush(queue, (far, j))
+                while queue and queue[0][0] > cols[queue[0][1]]:
+                    heapq.heappop(queue)
+                if not queue or queue[0][0] > end:
+                    break
+                d, j = heapq.heappop(queue)
+                if free[j]:
+                    end, column = d, j
+                    break
+                done.append(j)
+                fresh = [i for i in held[j] if i not in rows]
+                for i in fresh:
+                    rows[i], back[i] = d, j
+            for i, d in rows.items():
+                profit[i] -= end - d
+            for j in done:
+                price[j] += end - cols[j]
+            path, i = [], last if column is None else into[column]
+            while i != start:
+                path.append((back[i], i))
+                i = into[back[i]]
+            n = min([left, *([] if column is None else [free[column]]), *[held[j][i] for j, i in path]])
+            if column is not None:
+                free[column] -= n
+                held[column][into[column]] = held[column].get(into[column], 0) + n
+            for j, i in path:
+                held[j][i] -= n
+                if not held[j][i]:
+                    del held[j][i]
+                held[j][into[j]] = held[j].get(into[j], 0) + n
+            left -= n
+    return {(i, j): n for j, own in enumerate(held) for i, n in own.items()}
+
+
+def _parts(pairs: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    """The connected components of `left, right`."""
+    top: dict = {}
 
     def root(x):
         while top.setdefault(x, x) != x:
@@ -72,15 +129,37 @@ def best_pairs(pairs: pd.DataFrame) -> pd.DataFrame:
 
     for a, b in pairs[["left", "right"]].itertuples(index=False):
         top[root((1, b))] = root((0, a))
-    own, keep = [root((0, a)) for a in pairs["left"]], []
+    own = [root((0, a)) for a in pairs["left"]]
     for _, part in pairs.groupby(pd.Series(pd.factorize(pd.Series(own, dtype=object))[0], index=pairs.index), sort=False):
+        yield part
+
+
+def best_pairs(pairs: pd.DataFrame) -> pd.DataFrame:
+    """One-to-one pairs of the greatest total score among `left, right, score`; ties go to the lesser keys.
+
+    Each connected component of the pairs is solved on its own, small ones as a matrix, others along their pairs. With
+    `n_left, n_right` left and right are classes of so many records, and `n` tells how many of them a pair takes.
+    """
+    pairs, keep, counted = pairs.sort_values(["left", "right"]), [], "n_left" in pairs
+    for part in _parts(pairs):
         rows, cols = part["left"].drop_duplicates().tolist(), part["right"].drop_duplicates().sort_values().tolist()
         at_r, at_c = {k: i for i, k in enumerate(rows)}, {k: i for i, k in enumerate(cols)}
+        if len(rows) * (len(rows) + len(cols)) > DENSE or (counted and max(part["n_left"].max(), part["n_right"].max()) > 1):
+            gains: list[dict[int, int]] = [{} for _ in rows]
+            supply, room, score = [1] * len(rows), [1] * len(cols), {}
+            for a, b, s in part[["left", "right", "score"]].itertuples(index=False):
+                if round(s * FINE) > 0:
+                    gains[at_r[a]][at_c[b]], score[at_r[a], at_c[b]] = round(s * FINE), s
+            if counted:
+                for a, b, k, m in part[["left", "right", "n_left", "n_right"]].itertuples(index=False):
+                    supply[at_r[a]], room[at_c[b]] = int(k), int(m)
+            keep += [(rows[i], cols[j], score[i, j], n) for (i, j), n in transport(gains, supply, room).items()]
+            continue
         gain = np.zeros((len(rows), len(cols) + len(rows)))  # a column of its own for each row: unmatched
         for a, b, s in part[["left", "right", "score"]].itertuples(index=False):
             gain[at_r[a], at_c[b]] = s
-        keep += [(rows[i], cols[j], gain[i, j]) for i, j in enumerate(assign(-gain)) if j < len(cols) and gain[i, j] > 0]
-    return pd.DataFrame(keep, columns=["left", "right", "score"])
+        keep += [(rows[i], cols[j], gain[i, j], 1) for i, j in enumerate(assign(-gain)) if j < len(cols) and gain[i, j] > 0]
+    return pd.DataFrame(keep, columns=["left", "right", "score", "n"])[["left", "right", "score", *(["n"] if counted else [])]]
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -104,8 +183,8 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _solved(pairs: DataFrame, by: Sequence[str]) -> DataFrame:
-    """The optimum of each group of `by`, one task's work each."""
-    key = pairs.schema["left"].dataType.simpleString()
+    """The optimum of each group of `by`, one task's work each; `n` besides, if classes are counted."""
+    key, counts = pairs.schema["left"].dataType.simpleString(), [c for c in ("n_left", "n_right") if c in pairs.columns]
     kinds = ", ".join(f"`{b}` {pairs.schema[b].dataType.simpleString()}" for b in by)
 
     def solve(k, pdf: pd.DataFrame) -> pd.DataFrame:
@@ -114,7 +193,7 @@ def _solved(pairs: DataFrame, by: Sequence[str]) -> DataFrame:
             out[name] = value
         return out
 
-    return pairs.select(*by, "left", "right", "score").groupBy(*by).applyInPandas(solve, f"`left` {key}, `right` {key}, score double, {kinds}")
+    return pairs.select(*by, "left", "right", "score", *counts).groupBy(*by).applyInPandas(solve, f"`left` {key}, `right` {key}, score double, {'n long, ' if counts else ''}{kinds}")
 
 
 def auction(pairs: DataFrame, units: int = UNITS) -> DataFrame:
@@ -166,14 +245,16 @@ def one_to_one(pairs: DataFrame, block: Sequence[str], local: int = LOCAL, units
     """`block..., left, right, score`: pairs of the greatest total score in each block, each record in one of them at most.
 
     Blocks of at most `local` pairs are a task's work each, components of larger blocks likewise; a larger component is
-    solved by auction. Scores are above 0; repeated pairs count once with their best score.
+    solved by auction. Scores are above 0; repeated pairs count once with their best score. With `n_left, n_right` a pair
+    is one of two classes of so many records that are alike, and `n` tells how many pairs of records it stands for.
     """
-    keys = [F.col(b) for b in block]
-    best = written(pairs.groupBy(*block, "left", "right").agg(F.max("score").alias("score")))
+    keys, counts = [F.col(b) for b in block], [c for c in ("n_left", "n_right") if c in pairs.columns]
+    found = ["left", "right", "score", *(["n"] if counts else [])]
+    best = written(pairs.groupBy(*block, "left", "right").agg(F.max("score").alias("score"), *[F.max(c).alias(c) for c in counts]))
     own = [f"_b{i}" for i, _ in enumerate(block)]
     sizes = best.groupBy(*[F.col(b).alias(o) for b, o in zip(block, own, strict=True)]).agg((F.count("*") > local).alias("_large"))
     known = best.join(sizes, [F.col(b).eqNullSafe(F.col(o)) for b, o in zip(block, own, strict=True)]).drop(*own)
-    out = _solved(known.filter("not _large"), block).select(*block, "left", "right", "score")
+    out = _solved(known.filter("not _large"), block).select(*block, *found)
     if sizes.filter("_large").isEmpty():
         return out
     name = lambda side: F.to_json(F.struct(*keys, F.col(side).alias("_k")))  # noqa: E731  distinct over blocks
@@ -182,10 +263,16 @@ def one_to_one(pairs: DataFrame, block: Sequence[str], local: int = LOCAL, units
     owned = wide.join(label.select(F.expr("substring(node, 2)").alias("_l"), "component", "node").filter(F.startswith("node", F.lit("l"))).drop("node"), "_l")
     size = owned.groupBy("component").agg((F.count("*") > local).alias("_large"))
     known = written(owned.join(size, "component"))
-    small = _solved(known.filter("not _large"), [*block, "component"]).select(*block, "left", "right", "score")
+    small = _solved(known.filter("not _large"), [*block, "component"]).select(*block, *found)
     large = known.filter("_large")
     if large.isEmpty():
         return out.unionAll(small)
-    won = auction(large.select(F.col("_l").alias("left"), F.col("_r").alias("right"), "score"), units)
-    rest = large.join(won.select(F.col("left").alias("_l"), F.col("right").alias("_r")), ["_l", "_r"]).select(*block, "left", "right", "score")
+    bids = large.select(F.col("_l").alias("left"), F.col("_r").alias("right"), "score", *counts)
+    for side, c in zip(("left", "right"), counts):  # each record bids for itself
+        bids = bids.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), F.col(c)))).withColumn(side, F.concat(F.col("_i").cast("string"), F.lit(":"), F.col(side))).drop("_i", c)
+    won = auction(bids, units).select(F.col("left").alias("_l"), F.col("right").alias("_r"))
+    if counts:
+        plain = lambda c: F.regexp_replace(c, "^[0-9]+:", "")
+        won = won.groupBy(plain("_l").alias("_l"), plain("_r").alias("_r")).agg(F.count("*").alias("n"))
+    rest = large.join(won, ["_l", "_r"]).select(*block, *found)
     return out.unionAll(small).unionAll(rest)

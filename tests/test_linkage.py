@@ -147,6 +147,48 @@ def test_link_in_passes(spark):
     assert {(r["left"], r["right"], r["pass"]) for r in got.collect()} == {(1, 11, "name"), (3, 12, "size"), (2, 13, "rest")}
 
 
+def test_classes_against_single_records():
+    """Classes of many records: as good as the matrix of all their records, and the matrix gives what the pairs give."""
+    import numpy as np
+    import pandas as pd
+
+    rnd = random.Random(12)
+    for most in (1, 4, 4, 7) * 10:
+        k, m = [rnd.randint(1, most) for _ in range(4)], [rnd.randint(1, most) for _ in range(5)]
+        pairs = [(i, j, rnd.choice([0.8, 0.85, 0.9, 1.0]), k[i], m[j]) for i in range(4) for j in range(5) if rnd.random() < 0.6]
+        got = best_pairs(pd.DataFrame(pairs, columns=["left", "right", "score", "n_left", "n_right"]))
+        for side, own in (("left", k), ("right", m)):
+            assert all(n <= own[i] for i, n in got.groupby(side)["n"].sum().items())
+        gain = np.zeros((sum(k), sum(m) + sum(k)))
+        for i, j, s, _, _ in pairs:
+            gain[sum(k[:i]) : sum(k[: i + 1]), sum(m[:j]) : sum(m[: j + 1])] = s
+        assert (got["score"] * got["n"]).sum() == pytest.approx(sum(gain[i, j] for i, j in enumerate(assignment.assign(-gain))))
+
+
+def test_equal_records_are_compared_once(spark, monkeypatch):
+    """Many records of few names: pairs of names are assigned, all records that can be are linked, and each once."""
+    from ledgerloom.operators import linkage
+
+    asked = []
+    monkeypatch.setattr(linkage, "one_to_one", lambda p, b: asked.append(p.count()) or one_to_one(p, b))
+    monkeypatch.setattr(linkage, "RUN", 7)
+    a = spark.createDataFrame([(2 * i, "x", "Rampur" if i < 60 else "Kheri", i % 3 or None) for i in range(80)], "id int, b string, name string, size int")
+    b = spark.createDataFrame([(2 * i + 1, "x", "Rampura" if i < 30 else "Rampur" if i < 50 else "Kheri", i % 3 or None) for i in range(90)], "id int, b string, name string, size int")
+    got = link_in_passes(a, b, ["b"], "id", [("name", [Name("name")], 0.85), ("size", [Name("name"), Equal("size")], 0.85)]).collect()
+    assert asked[0] == 3 and max(asked) <= 9
+    assert len({r["left"] for r in got}) == len({r["right"] for r in got}) == len(got) == 70
+    assert sorted(r["left"] for r in got if r["score"] == 1) == [*range(60, 100, 2), *range(120, 160, 2)]
+    assert {(r["b"], r["pass"]) for r in got} == {("x", "name")}
+
+
+@pytest.mark.parametrize("local", [1000, 1])
+def test_counted_classes_in_blocks(spark, local):
+    """The same totals whether blocks or bids of single records decide."""
+    rows = [("x", 1, 11, 0.8, 3, 2), ("x", 1, 12, 0.9, 3, 2), ("x", 2, 12, 1.0, 1, 2), ("y", 1, 11, 0.9, 2, 5)]
+    got = one_to_one(spark.createDataFrame(rows, "b string, left int, right int, score double, n_left long, n_right long"), ["b"], local, 10).collect()
+    assert {(r["b"], r["left"], r["right"]): r["n"] for r in got} == {("x", 1, 11): 2, ("x", 1, 12): 1, ("x", 2, 12): 1, ("y", 1, 11): 2}
+
+
 def test_solver_ties():
     import pandas as pd
 
