@@ -226,7 +226,7 @@ def repeated_part_sets(t):
 )
 def near_dup_documents(t):
     rows = t.documents.select("doc_id", F.explode(F.split("text", "\n")).alias("l")).filter("char_length(trim(l)) >= 20")
-    return J.contained_earlier(rows.select("doc_id", F.unhex(F.sha2(F.trim("l"), 256)).alias("e")), [], "doc_id", "e")
+    return J.first_containing(rows.select("doc_id", F.unhex(F.sha2(F.trim("l"), 256)).alias("e")), [], "doc_id", "e")
 
 
 @query(

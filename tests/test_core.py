@@ -359,6 +359,25 @@ def test_short_lines_count(spark, tmp_path):
     assert [tuple(r) for r in catalogue.QUERIES["q_contained_documents"](spark, str(tmp_path)).collect()] == [(2, 4, 1, 4)]
 
 
+def shuffled(spark) -> int:
+    """Rows written to shuffles so far."""
+    jvm, store = spark._jvm, spark._jsc.sc().statusStore()
+    spark._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    stages = store.stageList(None, False, False, spark.sparkContext._gateway.new_array(jvm.double, 0), jvm.java.util.ArrayList())
+    return sum(stages.apply(i).shuffleWriteRecords() for i in range(stages.size()))
+
+
+def test_common_line_makes_no_pairs(spark, tmp_path):
+    """A line of all documents: contained ones are found, but not every two documents meet in it."""
+    line = "a line that every document has"
+    docs = [(i, "\n".join([line, *[f"{k}: a line of document {i} alone" for k in range(4)]])) for i in range(600)]
+    docs += [(600, docs[3][1] + "\nshort"), (601, "\n".join(docs[7][1].split("\n")[1:])), (602, line)]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    before = shuffled(spark)
+    assert {tuple(r) for r in catalogue.QUERIES["q_near_dup_documents"](spark, str(tmp_path)).collect()} == {(600, 5, 3, 5), (601, 4, 7, 4), (602, 1, 0, 1)}
+    assert shuffled(spark) - before < 100_000
+
+
 def test_part_sets_are_whole_keys(spark, tmp_path):
     """Parts 200 apart differ; repeats within a customer and of a customer's first order in another's are found."""
     lines = {(1, 10): [1, 2, 3], (1, 11): [201, 202, 203], (1, 12): [1, 2, 3], (2, 20): [201, 202], (2, 21): [1, 2], (3, 30): [7, 8, 9]}
