@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .state import written
+
 
 def same(left: Sequence[str], right: Sequence[str]) -> Column:
     """Null-safe equality of two lists of columns."""
@@ -139,38 +141,59 @@ def unique_anchor_join(left: DataFrame, right: DataFrame, anchor: str) -> DataFr
     return once(left).join(once(right), anchor)
 
 
+#: Up to so many nodes with an element, it isn't worth while to look for rarer ones.
+FREQUENT = 100
+
+
 def first_containing(sets: DataFrame, group: Sequence[str], owner: str, element: str, share: float = 0.8, least: int = 1, across: bool = False) -> DataFrame:
     """As contained_earlier, with all of J11 if `across`: the first owner of a group is also compared with all owners of
     other groups. `group..., owner, size, repeats, shared`, and `repeats_<group>...` before `repeats` if `across`.
 
-    The first hit is the least by (group, owner). Equal sets of a group are one node, under its first owner. A node
-    holding `share` of a set has one of its rarest elements, so only those are joined; a first try of each element's
-    first node bounds what is left to compare. Hits are counted on whole sets. Null elements don't count.
+    The first hit is the least by (group, owner). Equal sets of a group are one node, under its first owner; nodes are
+    written once and go by numbers. A node holding `share` of a set has one of its rarest elements, so only those are
+    joined; a first try of each element's first node bounds what is left to compare, and 64 marks of either set drop
+    most pairs that can't hold before they are shuffled. Hits are counted on whole sets. Null elements don't count.
     """
     s = sets.select(F.struct(F.lit(0).alias("_"), *group).alias("_g"), F.col(owner).alias("_o"), F.col(element).alias("_e")).filter("_e is not null").distinct()
     owners = s.groupBy("_g", "_o").agg(F.sort_array(F.collect_list("_e")).alias("_a"))
     nodes = owners.groupBy("_g", "_a").agg(F.min("_o").alias("_y"), F.collect_list("_o").alias("_os")).withColumn("_n", F.size("_a").cast("long"))
-    spread = nodes.select("_g", "_y", "_n", F.explode("_a").alias("_e"))
-    ranked = spread.join(spread.groupBy("_e").agg(F.count("*").alias("_f")), "_e").groupBy("_g", "_y", "_n").agg(F.sort_array(F.collect_list(F.struct("_f", "_e"))).alias("_r"))
-    rare = ranked.filter(F.col("_n") >= least).select("_g", "_y", "_n", F.explode(F.slice("_r", 1, (F.col("_n") - F.ceil(share * F.col("_n")) + 1).cast("int"))).alias("_p")).select("_g", "_y", "_n", "_p._e")
-    to = spread.select(F.col("_g").alias("_tg"), F.col("_y").alias("_ty"), "_e")
-    sized = nodes.select("_g", "_y", "_n", "_a")
+    marks = F.expr("aggregate(_a, 0L, (m, e) -> m | shiftleft(1L, cast(pmod(xxhash64(e), 64L) as int)))")
+    nodes = written(nodes.withColumns({"_s": marks, "_gh": F.hash("_g"), "_id": F.monotonically_increasing_id()}))
+    lost = F.col("_n") - F.ceil(share * F.col("_n"))  # elements that a node holding the set may lack
+    counts = nodes.select(F.explode("_a").alias("_e")).groupBy("_e").agg(F.count("*").alias("_f"))
+    if counts.filter(F.col("_f") > FREQUENT).isEmpty():  # any elements will do
+        rare = nodes.withColumn("_r", F.slice("_a", 1, (lost + 1).cast("int")))
+    else:
+        spread = nodes.select("_id", "_n", F.explode("_a").alias("_e"))
+        ranked = spread.join(counts, "_e").groupBy("_id", "_n").agg(F.sort_array(F.collect_list(F.struct("_f", "_e"))).alias("_r"))
+        ranked = ranked.select("_id", F.transform(F.slice("_r", 1, (lost + 1).cast("int")), lambda x: x["_e"]).alias("_r"))
+        rare = nodes.join(ranked, "_id")
+    rare = rare.filter(F.col("_n") >= least).select("_id", "_gh", "_y", lost.alias("_lost"), "_s", F.explode("_r").alias("_e"))
+    to = nodes.select(F.col("_id").alias("_tid"), F.col("_gh"), F.col("_y").alias("_ty"), F.col("_s").alias("_ts"), F.explode("_a").alias("_e"))
+    likely = F.bit_count(F.col("_s").bitwiseAND(F.bitwise_not("_ts"))) <= F.col("_lost")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        """Pairs of nodes that hold: `_g, _y, _hit` of the least."""
-        both = pairs.select("_g", "_y", "_tg", "_ty").distinct().join(sized, ["_g", "_y"]).join(nodes.select(F.col("_g").alias("_tg"), F.col("_y").alias("_ty"), F.col("_a").alias("_ta")), ["_tg", "_ty"])
-        both = both.withColumn("_k", F.size(F.array_intersect("_a", "_ta")).cast("long")).filter(F.col("_k") >= share * F.col("_n"))
-        return both.groupBy("_g", "_y").agg(F.min(F.struct("_tg", "_ty", "_k")).alias("_hit"))
-
-    leads = to.groupBy(F.col("_tg").alias("_g"), "_e").agg(F.min("_ty").alias("_ty")).withColumn("_tg", F.col("_g"))
-    tried = verified(rare.join(leads, ["_g", "_e"]).filter("_ty < _y")).select("_g", "_y", F.col("_hit._ty").alias("_bound"))
-    left = rare.join(tried, ["_g", "_y"], "left").withColumn("_bound", F.coalesce("_bound", "_y"))
-    inner = left.join(to.withColumn("_g", F.col("_tg")), ["_g", "_e"]).filter("_ty < _bound").select("_g", "_y", "_tg", "_ty")
-    pairs = inner.unionByName(tried.select("_g", "_y", F.col("_g").alias("_tg"), F.col("_bound").alias("_ty")))
+        """Pairs of nodes that hold: `_id, _hit` of the least."""
+        node = lambda a: nodes.select(*[F.col(c).alias(f"{a}{c}") for c in ("_id", "_g", "_y", "_a")])  # noqa: E731  alike, so that one shuffle serves both
+        both = pairs.select("_id", "_tid").distinct().join(node("_x"), F.col("_id") == F.col("_x_id")).join(node("_t"), F.col("_tid") == F.col("_t_id"))
+        earlier = (F.col("_x_g") == F.col("_t_g")) & (F.col("_t_y") < F.col("_x_y"))
+        both = both.filter(earlier | (F.col("_x_g") != F.col("_t_g")) if across else earlier)
+        both = both.withColumn("_k", F.size(F.array_intersect("_x_a", "_t_a")).cast("long")).filter(F.col("_k") >= share * F.size("_x_a"))
+        return both.groupBy("_id").agg(F.min(F.struct(F.col("_t_g").alias("_tg"), F.col("_t_y").alias("_ty"), "_k")).alias("_hit"))
+
+    near = to
+    if group:  # what a group has once makes no pair in it
+        near = written(to.drop("_ts").withColumn("_c", F.count("*").over(Window.partitionBy("_gh", "_e"))).filter("_c > 1").drop("_c"))
+    leads = near.groupBy("_gh", "_e").agg(F.min(F.struct("_ty", "_tid")).alias("_t")).select("_gh", "_e", "_t._ty", "_t._tid")
+    tried = written(verified(rare.join(leads, ["_gh", "_e"]).filter("_ty < _y")).select("_id", F.col("_hit._ty").alias("_bound"), F.col("_hit")))
+    left = rare.join(tried.drop("_hit"), "_id", "left").withColumn("_bound", F.coalesce("_bound", "_y"))
+    inner = left.join(near, ["_gh", "_e"]).filter("_ty < _bound").filter(likely if "_ts" in near.columns else F.lit(True))
+    pairs = inner.select("_id", "_tid")
     if across:
-        heads = rare.join(nodes.groupBy("_g").agg(F.min("_y").alias("_y")), ["_g", "_y"], "left_semi")
-        pairs = pairs.unionByName(heads.join(to, "_e").filter("_g != _tg").select("_g", "_y", "_tg", "_ty"))
-    best = nodes.join(verified(pairs), ["_g", "_y"], "left").filter(F.col("_n") >= least).withColumn("_o", F.explode("_os"))
+        heads = rare.join(nodes.groupBy("_g").agg(F.min(F.struct("_y", "_id")).alias("_m")).select("_m._id"), "_id", "left_semi").select("_id", "_lost", "_s", "_e")
+        pairs = pairs.unionByName(heads.join(to.select("_tid", "_ts", "_e"), "_e").filter(F.col("_id") != F.col("_tid")).filter(likely).select("_id", "_tid"))
+    hit = written(verified(pairs).unionByName(tried.select("_id", "_hit")).groupBy("_id").agg(F.min("_hit").alias("_hit")))
+    best = nodes.join(hit, "_id", "left").filter(F.col("_n") >= least).withColumn("_o", F.explode("_os"))
     own = F.when(F.col("_o") > F.col("_y"), F.struct(F.col("_g").alias("_tg"), F.col("_y").alias("_ty"), F.col("_n").alias("_k")))
     hits = best.withColumn("_hit", F.least("_hit", own)).filter("_hit is not null")
     extra = [F.col(f"_hit._tg.{c}").alias(f"repeats_{c}") for c in group] if across else []

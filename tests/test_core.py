@@ -387,6 +387,17 @@ def test_part_sets_are_whole_keys(spark, tmp_path):
     assert got == {(1, 12, 3, 1, 10, 3), (2, 20, 2, 1, 11, 2)}
 
 
+def test_common_parts_make_few_pairs(spark, tmp_path):
+    """First orders of any two of 40 parts: each part is in many orders, but only those with both are compared whole."""
+    sets = {(c, 10 * c): p for c, p in enumerate(itertools.combinations(range(40), 2))} | {(5000, 50000): (5, 6)}
+    spark.createDataFrame([(o, c) for c, o in sets], "o_orderkey long, o_custkey long").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame([(o, e) for (_, o), v in sets.items() for e in v], "l_orderkey long, l_partkey long").write.parquet(f"{tmp_path}/lineitem.parquet")
+    c = next(c for (c, _), v in sets.items() if v == (5, 6))
+    before = shuffled(spark)
+    assert {tuple(r) for r in catalogue.QUERIES["q_repeated_part_sets"](spark, str(tmp_path)).collect()} == {(c, 10 * c, 2, 5000, 50000, 2), (5000, 50000, 2, c, 10 * c, 2)}
+    assert shuffled(spark) - before < 20_000
+
+
 def test_reads_to_steps(spark):
     heads = [("f", 1, k, n) for k, n in enumerate(["Rampur Kalan", "Sonepat", "Rampur-Kalan", "Dabwali"])] + [("f", 2, k, f"Village {chr(97 + k) * 8}") for k in range(4, 8)]
     reads = [("f", 1, 9, "rampur kalam"), ("f", 1, 3, "zzzz"), ("f", 2, 5, "Dabwali")] + [("f", 2, k + (1 if k < 6 else 4), f"Village {chr(97 + k) * 8}") for k in range(4, 8)]
